@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .fields import locate, quote
 
@@ -46,37 +46,39 @@ def empty_as_null(df: DataFrame, cols=None) -> DataFrame:
 
 
 def parse_date(c: Column, zone: str | None = None) -> Column:
-    """ISO date with optional time and an offset written ``hh:mm``, ``hhmm`` or ``hh``; a text of
+    """ISO date with optional time and an offset written ``hh:mm``, ``hhmm`` or ``hh``; a whole number of
     five or more digits is epoch milliseconds. ``zone`` applies where the text names no offset
     (default: the session time zone). Unreadable text becomes null."""
     text = F.trim(c.cast("string"))
-    moment = F.regexp_replace(text, r"(T.*[+-]\d{2})(\d{2})$", "$1:$2")
-    moment = F.regexp_replace(moment, r"(T.*[+-]\d{2})$", "$1:00")
-    return F.when(text.rlike(r"^-?\d{5,}$"), F.timestamp_millis(text.try_cast("bigint"))).otherwise(
-        _moment(moment, zone)
-    )
+    dated = (F.substring(text, 5, 1) == "-") | (F.length(text) == 4)
+    return F.when(dated, _moment(text, zone)).otherwise(F.timestamp_millis(text.try_cast("bigint")))
 
 
 def parse_date_nanos(c: Column) -> Column:
-    """ISO date, optional time with up to nine fraction digits, UTC unless an offset is given.
-    Spark keeps microseconds: the last three digits are cut."""
-    text = F.trim(c.cast("string"))
-    micros = F.regexp_replace(text, r"(\.\d{6})\d{1,3}", "$1")
-    return F.when(text.rlike(r"^-?\d{5,}$"), F.timestamp_millis(text.try_cast("bigint"))).otherwise(
-        _moment(micros, "UTC")
-    )
+    """ISO date, optional time with up to nine fraction digits, UTC unless an offset is given. Spark
+    keeps microseconds: the last three digits are cut."""
+    return parse_date(c, "UTC")
 
 
 def _moment(text: Column, zone: str | None) -> Column:
-    shaped = F.when(text.rlike(r"^[+-]?\d{4}(-|$)"), text)
-    if zone is None:
-        return shaped.try_cast("timestamp")
-    has_zone = shaped.rlike(r"T.*(Z|[+-]\d{2}:\d{2})$")
-    # a time zone can only follow a time of day
-    day = F.when(shaped.rlike(r"^[+-]?\d{4}$"), F.concat(shaped, F.lit("-01-01")))
-    day = day.when(shaped.rlike(r"^[+-]?\d{4}-\d{1,2}$"), F.concat(shaped, F.lit("-01"))).otherwise(shaped)
-    full = F.when(shaped.contains("T"), shaped).otherwise(F.concat(day, F.lit("T00:00:00")))
-    return F.when(has_zone, shaped).otherwise(F.concat(full, F.lit(" " + zone))).try_cast("timestamp")
+    if zone is None or zone == _session_zone():
+        return text.try_cast("timestamp")
+    time = F.substring(text, 11, 30)
+    day = F.when(F.length(text) == 4, F.concat(text, F.lit("-01-01")))
+    day = day.when(F.length(text) == 7, F.concat(text, F.lit("-01"))).otherwise(text)
+    full = F.when(time != "", text).otherwise(F.concat(day, F.lit("T00:00:00")))
+    zoned = time.contains("+") | time.contains("-") | time.endswith("Z")
+    return F.when(zoned, text).otherwise(F.concat(full, F.lit(" " + zone))).try_cast("timestamp")
+
+
+def _session_zone() -> str | None:
+    session = SparkSession.getActiveSession()
+    return session.conf.get("spark.sql.session.timeZone") if session else None
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def as_instant(c: Column, kind: T.DataType) -> Column:
@@ -84,6 +86,8 @@ def as_instant(c: Column, kind: T.DataType) -> Column:
     the session time zone is."""
     if isinstance(kind, T.TimestampType):
         return c
+    if _session_zone() in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        return c.cast("timestamp")
     second = F.date_part(F.lit("SECOND"), c.cast("timestamp_ntz"))
     parts = [f(c.cast("timestamp_ntz")) for f in (F.year, F.month, F.day, F.hour, F.minute)]
     return F.make_timestamp_ltz(*parts, second, F.lit("UTC"))
@@ -149,8 +153,7 @@ def normalize_join(c: Column) -> Column:
     """A join field in short (``"company"``) or long (``{"name":…,"parent":…}``) JSON form, as
     ``struct<name,parent>``. ``c`` is JSON text or a variant; text that is not JSON is the short form."""
     short = F.struct(c.cast("string").alias("name"), F.lit(None).cast("string").alias("parent"))
-    value = F.try_parse_json(c)
-    return F.when(c.isNull(), None).otherwise(F.coalesce(join_value(value), short))
+    return F.when(c.isNotNull(), F.coalesce(let(F.try_parse_json(c), join_value), short))
 
 
 def join_value(v: Column) -> Column:
@@ -171,15 +174,17 @@ def join_value(v: Column) -> Column:
 
 def geo_point_format(c: Column) -> Column:
     """Format name of a geo point given as JSON text or plain text."""
-    v = F.try_parse_json(c)
-    text = F.trim(F.coalesce(F.try_variant_get(v, "$", "string"), c))
-    return (
-        F.when(c.isNull() | (F.trim(c) == ""), None)
-        .when(F.try_variant_get(v, "$", "array<double>").isNotNull(), "lon_lat_array")
-        .when(F.try_variant_get(v, "$.lat", "double").isNotNull(), "lat_lon_object")
-        .when(text.contains(","), "lat_lon_string")
-        .otherwise("geohash")
-    )
+
+    def name(v: Column) -> Column:
+        text = F.trim(F.coalesce(F.try_variant_get(v, "$", "string"), c))
+        return (
+            F.when(F.try_variant_get(v, "$", "array<double>").isNotNull(), "lon_lat_array")
+            .when(F.try_variant_get(v, "$.lat", "double").isNotNull(), "lat_lon_object")
+            .when(text.contains(","), "lat_lon_string")
+            .otherwise("geohash")
+        )
+
+    return F.when(blank_to_null(c).isNotNull(), let(F.try_parse_json(c), name))
 
 
 def detect_geo_point(df: DataFrame, column: str) -> str | None:
@@ -191,12 +196,13 @@ def detect_geo_point(df: DataFrame, column: str) -> str | None:
 
 def geo_point(c: Column) -> Column:
     """Any geo point form as ``struct<lat,lon,geohash>``; a geohash keeps its text and no numbers."""
-    return geo_value(F.coalesce(F.try_parse_json(c), F.to_variant_object(F.struct(c.alias("text")))))
+    plain = F.to_variant_object(F.struct(c.alias("text")))
+    return F.when(c.isNotNull(), let(F.coalesce(F.try_parse_json(c), plain), geo_value))
 
 
 def geo_value(v: Column) -> Column:
     pair = F.try_variant_get(v, "$", "array<double>")
-    plain = F.trim(F.coalesce(F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$.text", "string")))
+    plain = F.trim(F.coalesce(F.try_variant_get(v, "$.text", "string"), F.try_variant_get(v, "$", "string")))
     halves = F.split(plain, r"\s*,\s*")
 
     def point(lat, lon, geohash=None):

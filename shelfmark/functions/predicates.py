@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .fields import TEMPORAL, Fields, literal
 
-WORD = r"[\p{L}\p{N}]"
-WORD_START = r"(?<![\p{L}\p{N}])"
-WORD_END = r"(?![\p{L}\p{N}])"
+WORD = r"[a-z0-9\p{L}\p{N}]"
+WORD_END = f"(?!{WORD})"
+FEW_WORDS = 8
 _PY_WORDS = re.compile(r"[^\W_]+")
 
 
@@ -90,12 +90,20 @@ def _term_test(fields: Fields, name: str, value):
     return lambda c, kind: c == literal(value, kind)
 
 
+def _starting(literal: str) -> str:
+    """Regular expression for a literal at the start of a word. The literal comes first and what stands
+    before it is checked afterwards, so that most of the text is skipped by plain comparison."""
+    return f"{literal}(?<!{WORD}{literal})"
+
+
 def _has_words(column: Column, words: list[str]) -> Column:
-    """Whether one of the words occurs, as a single regular expression over the whole text: no word
-    array is built per row."""
+    """Whether one of the words occurs. No word array is built per row: a substring test for a few words,
+    then one regular expression."""
     if not words:
         return F.lit(False)
-    return F.lower(column).rlike(f"{WORD_START}(?:{'|'.join(words)}){WORD_END}")
+    text = F.lower(column)
+    found = text.rlike("|".join(_starting(w) + WORD_END for w in words))
+    return any_of(text.contains(w) for w in words) & found if 1 < len(words) <= FEW_WORDS else found
 
 
 def terms(field: str, values: Iterable) -> Predicate:
@@ -203,15 +211,25 @@ def _pattern_test(fields: Fields, name: str, pattern: str):
     """``*`` wildcards: over each word of an analyzed field, otherwise over the whole value."""
     literals = pattern.split("*")
     if fields.is_text(name):
-        if any(_PY_WORDS.sub("", part) for part in literals):
-            return lambda c, kind: F.lit(False)  # no word holds such a character
-        if not "".join(literals):
-            return lambda c, kind: F.lower(c).rlike(WORD)
-        return lambda c, kind: F.lower(c).rlike(WORD_START + f"{WORD}*".join(literals) + WORD_END)
+        return _word_pattern_test(literals)
     escaped = "%".join(re.sub(r"([\\%_])", r"\\\1", part) for part in literals)
     return lambda c, kind: _text(c, kind).like(escaped)
 
 
+def _word_pattern_test(literals: list[str]):
+    """Words are maximal runs of letters and digits, so literals joined by such runs stay in one word."""
+    inner = [part for part in literals if part]
+    if any(_PY_WORDS.sub("", part) for part in inner):
+        return lambda c, kind: F.lit(False)  # no word holds such a character
+    if not inner:
+        return lambda c, kind: F.lower(c).rlike(WORD)
+    if len(inner) == 1 and not literals[0] and not literals[-1]:
+        return lambda c, kind: F.lower(c).contains(inner[0])
+    first = _starting(inner[0]) if literals[0] else inner[0]
+    expression = f"{WORD}*".join([first, *inner[1:]]) + (WORD_END if literals[-1] else "")
+    return lambda c, kind: F.lower(c).rlike(expression)
+
+
 def _text(column: Column, kind: T.DataType) -> Column:
     return column if isinstance(kind, T.StringType) else column.cast("string")
 

@@ -30,8 +30,9 @@ def order_key(df: DataFrame, order) -> Column:
     return F.struct(*(F.col(quote(n)) for n in names), row_hash(df).alias("__tie"))
 
 
-def latest(df: DataFrame, id: str, order=None) -> DataFrame:
-    """One row per id: the last by ``order``. Without an order, two rows of one id fail the job."""
+def latest(df: DataFrame, id: str, order=None, first: bool = False) -> DataFrame:
+    """One row per id: the last (or ``first``) by ``order``. Without an order, two rows of one id fail
+    the job."""
     others = [c for c in df.columns if c != id]
     if not others:
         return df.select(id).distinct()
@@ -40,7 +41,8 @@ def latest(df: DataFrame, id: str, order=None) -> DataFrame:
         kept = df.groupBy(F.col(quote(id)).alias(id)).agg(F.any_value(body).alias("__row"), F.count(F.lit(1)).alias("__n"))
         single = _checked_id(kept, id, F.col("__n") == 1)
     else:
-        kept = df.groupBy(F.col(quote(id)).alias(id)).agg(F.max_by(body, order_key(df, order)).alias("__row"))
+        pick = F.min_by if first else F.max_by
+        kept = df.groupBy(F.col(quote(id)).alias(id)).agg(pick(body, order_key(df, order)).alias("__row"))
         single = F.col(quote(id))
     return kept.select(
         *(single.alias(id) if c == id else F.col("__row").getField(c).alias(c) for c in df.columns)
@@ -52,24 +54,20 @@ def _checked_id(df: DataFrame, id: str, single: Column) -> Column:
     return F.when(single, F.col(quote(id))).otherwise(F.raise_error(text).cast(df.schema[id].dataType))
 
 
-def first_and_rest(df: DataFrame, id: str, order=None) -> tuple[DataFrame, DataFrame]:
-    """The first row of each id, and all further rows. Rows are ranked per (id, salt) first; only the
-    at most ``SALT`` leaders of an id meet in one task."""
-    if order is None:
-        return latest(df, id), df.limit(0)
+def all_but_first(df: DataFrame, id: str, order=None) -> DataFrame:
+    """Every row that is not the first of its id (the one ``latest(first=True)`` gives). Rows are ranked
+    per (id, salt); only the at most ``SALT`` leaders of an id meet in one task."""
+    if order is None:  # latest() has made sure that ids do not repeat
+        return df.limit(0)
     names = [order] if isinstance(order, str) else list(order)
     ranking = [F.col(quote(n)) for n in names] + [F.col("__tie")]
     salted = df.withColumn("__tie", row_hash(df)).withColumn("__salt", F.pmod(F.col("__tie"), F.lit(SALT)))
-    local = salted.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(F.col(quote(id)), "__salt").orderBy(*ranking))
-    )
-    leaders = local.where("__local = 1").withColumn(
-        "__rank", F.row_number().over(Window.partitionBy(F.col(quote(id))).orderBy(*ranking))
-    )
+    within = Window.partitionBy(F.col(quote(id)), "__salt").orderBy(*ranking)
+    local = salted.withColumn("__local", F.row_number().over(within))
+    leaders = local.where("__local = 1")
+    leaders = leaders.withColumn("__rank", F.row_number().over(Window.partitionBy(F.col(quote(id))).orderBy(*ranking)))
     columns = [F.col(quote(c)) for c in df.columns]
-    first = leaders.where("__rank = 1").select(*columns)
-    rest = local.where("__local > 1").select(*columns).unionByName(leaders.where("__rank > 1").select(*columns))
-    return first, rest
+    return local.where("__local > 1").select(*columns).unionByName(leaders.where("__rank > 1").select(*columns))
 
 
 def fold(df: DataFrame, id: str, order, write_null: bool = False) -> DataFrame:

@@ -14,7 +14,7 @@ from .merge import REJECTION, WriteResult
 
 log = logging.getLogger(__name__)
 
-SAMPLE_ROWS = 20
+MAX_KINDS = 100  # error types named in the log
 
 # Per stage, the event type and message of an error event, its category and version.
 STAGES = {
@@ -33,11 +33,11 @@ class RejectedDocuments(RuntimeError):
 
 
 def log_and_drop(rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Handles everything: logs how many rows of each error there are, and a few of them."""
-    for row in rejected.groupBy("_error_type").agg(F.count(F.lit(1)).alias("n")).take(SAMPLE_ROWS):
-        log.warning("dropped %s documents: %s", row["n"], row["_error_type"])
-    for row in rejected.take(SAMPLE_ROWS):
-        log.warning("dropped document: %s", row.asDict(recursive=True))
+    """Handles everything: logs, in one job, how many rows of each error there are and one of them."""
+    body = document(rejected, [c for c in rejected.columns if c not in REJECTION])
+    summary = rejected.groupBy("_error_type").agg(F.count(F.lit(1)).alias("n"), F.min(body).alias("example"))
+    for row in summary.take(MAX_KINDS):
+        log.warning("dropped %s documents: %s, for example %s", row["n"], row["_error_type"], row["example"])
     return rejected, rejected.limit(0)
 
 

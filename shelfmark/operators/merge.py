@@ -19,7 +19,7 @@ from ..functions.documents import NOT_FOUND, document, field_or_const, json_path
 from ..functions.fields import quote
 from ..functions.predicates import as_predicate, negate
 from ..sources.mapping import common_schema, conform, conform_frame
-from .batch import absent_rows, first_and_rest, fold, latest
+from .batch import absent_rows, all_but_first, fold, latest
 
 REJECTION = ("_status", "_error_type", "_error_reason")
 
@@ -209,7 +209,7 @@ def write_create(t: DataFrame, s: DataFrame, id: str, order=None) -> WriteResult
     """Insert only. An id the collection has, or had from an earlier row of the batch, is rejected."""
     _need_id(id, "create", t, s)
     good, bad = split_unfit(t, s, id)
-    first, rest = first_and_rest(good, id, order)
+    first, rest = latest(good, id, order, first=True), all_but_first(good, id, order)
     present = present_ids(t, good, id)
     t2, added, _ = _aligned(t, first.join(present, id, "left_anti").select(*s.columns))
     taken = first.join(present, id, "left_semi").select(*s.columns)
@@ -351,7 +351,8 @@ def write_versioned(
     else:
         names = [] if order is None else [order] if isinstance(order, str) else list(order)
         ranked = good.withColumn("__high", -F.col(quote(version)))
-        one, lost = (d.drop("__high") for d in first_and_rest(ranked, id, ["__high", *names]))
+        one = latest(ranked, id, ["__high", *names], first=True).drop("__high")
+        lost = all_but_first(ranked, id, ["__high", *names]).drop("__high")
     stored = t.select(F.col(quote(id)), F.col(quote(version)).alias("__stored"))
     checked = one.join(stored.join(good.select(id).distinct(), id, "left_semi"), id, "left")
     new, old = F.col(quote(version)), F.col("__stored")

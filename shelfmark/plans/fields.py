@@ -116,7 +116,7 @@ def _geo_text():
 @query("""
     SELECT c_custkey,
         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN CAST(c_nationkey AS DOUBLE) END AS lat,
-        CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN CAST(trunc(c_acctbal / 100) AS DOUBLE) END AS lon,
+        CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN CAST(CAST(trunc(c_acctbal / 100) AS INTEGER) AS DOUBLE) END AS lon,
         CASE WHEN c_mktsegment = 'FURNITURE' THEN 'drm3btev3e86' END AS geohash,
         CASE c_mktsegment WHEN 'BUILDING' THEN 'lon_lat_array' WHEN 'MACHINERY' THEN 'lat_lon_string'
             WHEN 'HOUSEHOLD' THEN 'lat_lon_object' WHEN 'FURNITURE' THEN 'geohash' END AS format

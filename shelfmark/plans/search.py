@@ -117,7 +117,7 @@ def wildcards(spark, sf):
 
 @query(f"""
     SELECT doc_id FROM documents
-    WHERE len(list_filter({TEXT_WORDS}, w -> w LIKE 'wh%th')) > 0 OR len(list_filter({TEXT_WORDS}, w -> w LIKE '%sch')) > 0
+    WHERE len(list_filter({TEXT_WORDS}, lambda w: w LIKE 'wh%th')) > 0 OR len(list_filter({TEXT_WORDS}, lambda w: w LIKE '%sch')) > 0
 """)
 def wildcard_text(spark, sf):
     wanted = p.wildcard("text", "wh*th") | p.ends_with("text", "SCH")
@@ -187,7 +187,7 @@ def query_string(spark, sf):
 @query(f"""
     SELECT conv_id, turn FROM conversations
     WHERE (list_contains({TEXT_WORDS}, 'the') OR role = 'the')
-      AND (len(list_filter({TEXT_WORDS}, w -> starts_with(w, 'that'))) > 0 OR starts_with(role, 'that'))
+      AND (len(list_filter({TEXT_WORDS}, lambda w: starts_with(w, 'that'))) > 0 OR starts_with(role, 'that'))
 """)
 def query_string_all_fields(spark, sf):
     rows = table(spark, sf, "conversations")
@@ -202,9 +202,9 @@ _PAGE_WORDS = WORDS.format("url")
     UNION ALL SELECT 'analyzed', count(*) FROM pages WHERE list_contains({_PAGE_WORDS}, 'en')
     UNION ALL SELECT 'rechecked', count(*) FROM pages WHERE list_contains({_PAGE_WORDS}, 'en') AND url = 'EN'
     UNION ALL SELECT 'prefix', count(*) FROM pages
-        WHERE len(list_filter({_PAGE_WORDS}, w -> starts_with(w, 'https'))) > 0
+        WHERE len(list_filter({_PAGE_WORDS}, lambda w: starts_with(w, 'https'))) > 0
     UNION ALL SELECT 'prefix_rechecked', count(*) FROM pages
-        WHERE len(list_filter({_PAGE_WORDS}, w -> starts_with(w, 'https'))) > 0 AND starts_with(url, 'https')
+        WHERE len(list_filter({_PAGE_WORDS}, lambda w: starts_with(w, 'https'))) > 0 AND starts_with(url, 'https')
     UNION ALL SELECT 'pushdown_off', count(*) FROM pages WHERE starts_with(url, 'https')
 """)
 def search_modes(spark, sf):

@@ -51,7 +51,8 @@ def read_collection(
         if not missing_as_empty:
             raise FileNotFoundError(f"collection [{name}] does not exist")
         return spark.createDataFrame([], prune_schema(wanted or T.StructType(), include, exclude) if wanted else T.StructType())
-    have = _discover(spark, found)
+    raw = spark.table(found[6:]) if found.startswith("table:") else spark.read.parquet(found)
+    have = raw.schema
     target = wanted or have
     if include or exclude:
         if source_filter:
@@ -63,11 +64,11 @@ def read_collection(
     filtered = query is not None or routing is not None
     if filtered:  # the query may test any field; Catalyst drops the columns nobody uses
         extra = [f for f in have.fields if f.name not in target.fieldNames()]
-        df = _scan(spark, found, have, T.StructType([*target.fields, *extra]))
+        df = _scan(spark, raw, found, T.StructType([*target.fields, *extra]))
         df = search(_routed(df, routing, buckets), query, text, strict, pushdown, recheck)
         df = conform_frame(df, pruned)
     else:
-        df = _scan(spark, found, have, pruned)
+        df = _scan(spark, raw, found, pruned)
     if source_filter:
         validate_fields(target, source_filter, validate)
         df = keep_source(df, source_filter)
@@ -82,18 +83,20 @@ def _schema(schema, mapping) -> T.StructType | None:
     return schema if schema is not None else to_schema(parse_mapping(mapping)) if mapping is not None else None
 
 
-def _discover(spark: SparkSession, found: str) -> T.StructType:
-    return spark.table(found[6:]).schema if found.startswith("table:") else spark.read.parquet(found).schema
+def _scan(spark: SparkSession, raw: DataFrame, found: str, want: T.StructType) -> DataFrame:
+    """The scan as ``want``. Catalyst itself prunes columns and struct fields; only to skip leaves inside
+    arrays of structs the pruned schema has to be handed to the Parquet reader."""
+    if raw.schema == want:
+        return raw
+    if not found.startswith("table:") and _is_part(want, raw.schema) and _prunes_arrays(want, raw.schema):
+        return spark.read.schema(want).parquet(found)
+    return conform_frame(raw, want)
 
 
-def _scan(spark: SparkSession, found: str, have: T.StructType, want: T.StructType) -> DataFrame:
-    """The scan as ``want``. When the types are those of the files, the schema is handed to the
-    Parquet reader, which then skips unwanted leaves even inside arrays of structs."""
-    if found.startswith("table:"):
-        return conform_frame(spark.table(found[6:]), want)
-    if _is_part(want, have):
-        return spark.read.schema(want).parquet(found)
-    return conform_frame(spark.read.parquet(found), want)
+def _prunes_arrays(want: T.DataType, have: T.DataType) -> bool:
+    if isinstance(want, T.StructType):
+        return any(_prunes_arrays(f.dataType, have[f.name].dataType) for f in want.fields)
+    return isinstance(want, T.ArrayType) and want != have
 
 
 def _is_part(want: T.DataType, have: T.DataType) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -56,97 +57,135 @@ def read_pairs(df: DataFrame, id: str = "_id") -> DataFrame:
     return df.select(F.col(quote(id)).cast("string").alias("_id"), F.struct("*").alias("doc"))
 
 
+FALLIBLE = {*NUMERIC_TYPES, "date", "date_nanos", "binary", "knn_vector", "boolean"}
+
+
 class _Reader:
-    """Builds, per mapped field, the value Column and the Column telling that the value is malformed."""
+    """Value Columns of mapped fields. A field is addressed by a path from ``base`` (the whole document,
+    or one element of an array), so that expressions stay small however deep the mapping is."""
 
     def __init__(self, rich_dates, zone, empty_as_null, as_array, as_array_exclude, geo, decoders):
         self.rich_dates, self.zone, self.empty_as_null = rich_dates, zone, empty_as_null
         self.arrays, self.arrays_exclude = numbered(as_array), as_array_exclude
         self.geo, self.decoders = geo or {}, decoders or {}
 
-    def field(self, parent: Column, f: Field, path: str) -> tuple[Column, Column]:
-        step = "$['" + f.name.replace("'", "\\'") + "']"
-        here = path + f.name
-        v = F.try_variant_get(parent, step, "variant")
-        v = F.when(~F.is_variant_null(v), v)
-        depth = matched_depth(here, self.arrays, self.arrays_exclude)
-        if not depth:
-            return self.value(v, f, here)
-        return self.array(v, f, here, depth)
-
-    def array(self, v: Column, f: Field, here: str, depth: int) -> tuple[Column, Column]:
+    def depth(self, here: str) -> int:
+        return matched_depth(here, self.arrays, self.arrays_exclude) or 0
+
+    def field(self, base: Column, parent: str, f: Field, here: str) -> Column:
+        path = parent + _step(f.name)
+        return self.array(base, path, f, here, self.depth(here))
+
+    def array(self, base: Column, path: str, f: Field, here: str, depth: int) -> Column:
         """An array of ``depth`` levels; a value with fewer levels is wrapped from the outside."""
         if depth == 0:
-            return self.value(v, f, here)
-        items = F.try_variant_get(v, "$", "array<variant>")
-        nested_enough = items.isNotNull()
+            return self.value(base, path, f, here)
+        items = F.try_variant_get(base, path, "array<variant>")
+        deep_enough = items.isNotNull()
         if depth > 1:
-            first = F.get(items, 0)
-            for _ in range(depth - 2):
-                first = F.get(F.try_variant_get(first, "$", "array<variant>"), 0)
-            nested_enough = nested_enough & F.try_variant_get(first, "$", "array<variant>").isNotNull()
-        deep = F.transform(items, lambda x: self.array(F.when(~F.is_variant_null(x), x), f, here, depth - 1)[0])
-        bad = F.exists(items, lambda x: self.array(F.when(~F.is_variant_null(x), x), f, here, depth - 1)[1])
-        flat, flat_bad = self.array(v, f, here, depth - 1)
-        value = F.when(v.isNull(), None).when(nested_enough, deep).otherwise(F.array(flat))
-        return value, F.coalesce(F.when(nested_enough, bad).otherwise(flat_bad), F.lit(False))
-
-    def value(self, v: Column, f: Field, here: str) -> tuple[Column, Column]:
+            first = path + "[0]" * (depth - 1)
+            deep_enough = deep_enough & F.try_variant_get(base, first, "array<variant>").isNotNull()
+        deep = F.transform(items, lambda x: self.array(x, "$", f, here, depth - 1))
+        flat = F.array(self.array(base, path, f, here, depth - 1))
+        return F.when(deep_enough, deep).when(_present(base, path), flat)
+
+    def value(self, base: Column, path: str, f: Field, here: str) -> Column:
+        if f.type == "nested" and f.fields:
+            return F.transform(_items(base, path), lambda x: self.struct(x, "$", f, here))
+        if f.type in ("object", "nested") and f.fields:
+            return self.struct(base, path, f, here)
+        return self.leaf(base, path, f, here)
+
+    def struct(self, base: Column, path: str, f: Field, here: str) -> Column:
+        parts = [self.field(base, path, c, f"{here}.{c.name}").alias(c.name) for c in f.fields]
+        return F.when(_present(base, path), F.struct(*parts))
+
+    def faults(self, base: Column, path: str, f: Field, here: str, value: Column) -> Column | None:
+        """Whether some text below ``path`` could not be read, given the value already read from it;
+        None when nothing there can fail."""
+        if f.raw:
+            return None
+        if self.depth(here):
+            if f.type not in FALLIBLE:
+                return None
+            return _lost(_text(base, path), value) | F.coalesce(
+                F.exists(_items(base, path), lambda x: _lost(_text(x, "$"), self.value(x, "$", f, here))), F.lit(False)
+            )
+        if f.type == "nested" and f.fields:
+            inner = lambda x: self.child_faults(x, "$", f, here, lambda c: self.field(x, "$", c, f"{here}.{c.name}"))
+            if inner(base) is None:
+                return None
+            return F.coalesce(F.exists(_items(base, path), inner), F.lit(False))
         if f.type in ("object", "nested") and f.fields:
-            return self.compound(v, f, here)
-        text = F.try_variant_get(v, "$", "string")
-        blank = text.isNotNull() & blank_to_null(text).isNull()
-        value = self.leaf(v, text, f, here)
-        tolerant = f.raw or f.type not in {*NUMERIC_TYPES, "date", "date_nanos", "binary", "knn_vector", "boolean"}
-        bad = F.lit(False) if tolerant else v.isNotNull() & ~blank & value.isNull()
-        return value, F.coalesce(bad, F.lit(False))
-
-    def compound(self, v: Column, f: Field, here: str) -> tuple[Column, Column]:
-        def struct(x: Column) -> tuple[Column, Column]:
-            parts = [(c.name, *self.field(x, c, here + ".")) for c in f.fields]
-            value = F.when(x.isNotNull(), F.struct(*(value.alias(n) for n, value, _ in parts)))
-            bad = F.lit(False)
-            for _, _, b in parts:
-                bad = bad | b
-            return value, bad
-
-        if f.type == "object":
-            return struct(v)
-        # a nested field given as a single object is an array of one
-        items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(v.isNotNull(), F.array(v)))
-        bad = F.exists(items, lambda x: struct(x)[1])
-        return F.transform(items, lambda x: struct(x)[0]), F.coalesce(bad, F.lit(False))
-
-    def leaf(self, v: Column, text: Column, f: Field, here: str) -> Column:
+            return self.child_faults(base, path, f, here, lambda c: value.getField(c.name))
+        return _lost(_text(base, path), value) if f.type in FALLIBLE else None
+
+    def child_faults(self, base: Column, path: str, f: Field, here: str, value_of) -> Column | None:
+        found = [self.faults(base, path + _step(c.name), c, f"{here}.{c.name}", value_of(c)) for c in f.fields]
+        found = [c for c in found if c is not None]
+        return reduce(lambda a, b: a | b, found) if found else None
+
+    def leaf(self, base: Column, path: str, f: Field, here: str) -> Column:
+        text = _text(base, path)
         if f.type in self.decoders:
             return self.decoders[f.type](text)
-        number = F.when(~F.schema_of_variant(v).isin("STRING", "BOOLEAN"), text.try_cast("double"))
         if f.type in NUMERIC_TYPES:
-            return F.when(blank_to_null(text).isNotNull(), F.try_variant_get(v, "$", NUMERIC_TYPES[f.type]))
+            return F.try_variant_get(base, path, NUMERIC_TYPES[f.type])
         if f.type == "boolean":
-            return F.coalesce(number_to_bool(number), parse_bool(text))
+            number = F.try_variant_get(base, path, "double")
+            return F.when(_is_number(base, path), number_to_bool(number)).otherwise(parse_bool(text))
         if f.type in ("date", "date_nanos"):
             if not self.rich_dates:
                 return blank_to_null(text)
             parsed = parse_date_nanos(text) if f.type == "date_nanos" else parse_date(text, self.zone)
-            return F.when(number.isNotNull(), F.timestamp_millis(F.try_variant_get(v, "$", "bigint"))).otherwise(parsed)
+            millis = F.timestamp_millis(F.try_variant_get(base, path, "bigint"))
+            return F.when(_is_number(base, path), millis).otherwise(parsed)
         if f.type == "binary":
             return F.try_to_binary(text, F.lit("base64"))
         if f.type == "knn_vector":
-            return F.try_variant_get(v, "$", "array<float>")
+            return F.try_variant_get(base, path, "array<float>")
         if f.type == "join":
-            return join_value(v)
+            return join_value(F.try_variant_get(base, path, "variant"))
         if f.type == "geo_point":
             shape = self.geo.get(here)
-            if shape == "lon_lat_array":
-                return F.try_variant_get(v, "$", "array<double>")
-            return geo_value(v) if shape is None else F.try_variant_get(v, "$", leaf_type(f, geo=shape).simpleString())
+            if shape is None:
+                return geo_value(F.try_variant_get(base, path, "variant"))
+            return F.try_variant_get(base, path, leaf_type(f, geo=shape).simpleString())
         if f.type == "geo_shape" and self.geo.get(here):
-            return geo_shape(F.to_json(v), self.geo[here])
+            return geo_shape(text, self.geo[here])
         if f.type == "null":
             return F.lit(None)
-        plain = F.coalesce(text, F.to_json(v))
-        return blank_to_null(plain) if self.empty_as_null else plain
+        return blank_to_null(text) if self.empty_as_null else text
+
+
+def _step(name: str) -> str:
+    return "['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
+def _text(base: Column, path: str) -> Column:
+    """A scalar as its text, an object or array as JSON text, JSON null as null."""
+    return F.try_variant_get(base, path, "string")
+
+
+def _present(base: Column, path: str) -> Column:
+    v = F.try_variant_get(base, path, "variant")
+    return v.isNotNull() & ~F.is_variant_null(v)
+
+
+def _is_number(base: Column, path: str) -> Column:
+    kind = F.schema_of_variant(F.try_variant_get(base, path, "variant"))
+    return kind.startswith("BIGINT") | kind.startswith("D") & ~kind.startswith("DATE")
+
+
+def _items(base: Column, path: str) -> Column:
+    """The elements of an array; a single value counts as an array of one."""
+    one = F.try_variant_get(base, path, "variant")
+    return F.coalesce(F.try_variant_get(base, path, "array<variant>"), F.when(_present(base, path), F.array(one)))
+
+
+def _lost(text: Column, value: Column) -> Column:
+    """A value that is null although there is text: only then is the text looked at."""
+    return value.isNull() & blank_to_null(text).isNotNull()
 
 
 def parse_docs(
@@ -183,24 +222,24 @@ def parse_docs(
         raise ValueError(f"unknown unmapped [{unmapped}]")
 
     source = F.col(quote(json_col)).cast("string")  # JSON may arrive as bytes
-    if repair is not None:
-        fixed = repair(source) if callable(repair) else repair
-        source = F.when(_malformed(source, fields, reader), fixed).otherwise(source)
     kept = [c for c in df.columns if c != json_col]
-    work = df.withColumn("__json", source).withColumn("__doc", F.try_parse_json("__json"))
+    work = df.withColumn("__json", source)
+    if repair is not None:
+        first = _read(work, fields, reader).withColumn("__flag", _malformed(fields, reader))
+        fixed = repair(F.col("__json")) if callable(repair) else repair
+        edited = F.when(F.col("__flag"), fixed).otherwise(F.col("__json")).alias("__json")
+        work = first.select(*kept, edited)
+    work = _read(work, fields, reader)
 
-    doc, columns = F.col("__doc"), []
+    columns = []
     for f in fields:
-        if f.raw:
-            value = F.get_json_object("__json", "$['" + f.name + "']")
-        else:
-            value = reader.field(doc, f, "")[0]
+        value = F.col("__v").getField(f.name)
         if not decoders:
             value = value.cast(to_schema([f], as_array, as_array_exclude, rich_dates, geo)[0].dataType)
         columns.append(value.alias(f.name))
     if unmapped == "keep":
-        columns.append(_unmapped(doc, fields).alias("_unmapped"))
-    flag = _malformed_doc(doc, fields, reader)
+        columns.append(_unmapped(F.col("__doc"), fields).alias("_unmapped"))
+    flag = _malformed(fields, reader)
     if on_error == "skip":
         work = work.where(~flag)
     elif on_error == "keep":
@@ -211,15 +250,28 @@ def parse_docs(
     return work.select(*kept, *columns)
 
 
-def _malformed(source: Column, fields, reader: _Reader) -> Column:
-    return _malformed_doc(F.try_parse_json(source), fields, reader)
+def _read(work: DataFrame, fields, reader: _Reader) -> DataFrame:
+    """Adds the parsed document (``__doc``) and the values read from it (``__v``).
+
+    Each is made by a one-element explode, which Spark keeps as a step of its own. As plain columns they
+    would be inlined into every filter pushed below them, parsing the text again for each use."""
+    columns = [F.col(quote(c)) for c in work.columns]
+    work = work.select(*columns, F.explode(F.array(F.try_parse_json("__json"))).alias("__doc"))
+    values = []
+    for f in fields:
+        raw = F.get_json_object("__json", "$" + _step(f.name))
+        values.append((raw if f.raw else reader.field(F.col("__doc"), "$", f, f.name)).alias(f.name))
+    if not values:
+        return work
+    return work.select(*columns, "__doc", F.explode(F.array(F.struct(*values))).alias("__v"))
 
 
-def _malformed_doc(doc: Column, fields, reader: _Reader) -> Column:
+def _malformed(fields, reader: _Reader) -> Column:
+    doc = F.col("__doc")
     bad = doc.isNull() | ~F.schema_of_variant(doc).startswith("OBJECT")
     for f in fields:
-        if not f.raw:
-            bad = bad | reader.field(doc, f, "")[1]
+        fault = reader.faults(doc, "$" + _step(f.name), f, f.name, F.col("__v").getField(f.name))
+        bad = bad if fault is None else bad | fault
     return F.coalesce(bad, F.lit(True))
 
 
