@@ -28,6 +28,8 @@ from .functions.predicates import (
     exists,
     filtered,
     is_in,
+    is_not_null,
+    is_null,
     match,
     match_all,
     match_any,

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .fields import TEMPORAL, Fields, literal
+from .fields import TEMPORAL, Fields, literal, locate
 
 WORD = r"[a-z0-9\p{L}\p{N}]"
 WORD_END = f"(?!{WORD})"
@@ -178,35 +178,21 @@ def range(field: str, gt=None, gte=None, lt=None, lte=None) -> Predicate:  # noq
 
 
 def exists(field: str) -> Predicate:
-    """At least one non-null value."""
-
-    def build(x: Fields) -> Column:
-        if x.mode == "exact" and x.kind(field) is not None:
-            return x.column(field).isNotNull()
-        return x.any_value(field, lambda c, kind: c.isNotNull())
-
-    return Predicate(build)
+    """At least one non-null value: neither a null nor an empty array exists."""
+    return Predicate(lambda x: x.any_value(field, lambda c, kind: c.isNotNull()))
 
 
 def missing(field: str) -> Predicate:
     def build(x: Fields) -> Column:
-        if x.kind(field) is None:
+        try:
+            column, _, depth = locate(x.schema, field)
+        except KeyError:
             return F.lit(True)
-        found = exists(field).column(x)
-        if isinstance(_field_type(x, field), T.ArrayType) and x.mode != "exact":
-            return negate(found)
-        return x.column(field).isNull()
+        return negate(exists(field).column(x)) if depth else column.isNull()
 
     return Predicate(build)
 
 
-def _field_type(fields: Fields, name: str) -> T.DataType | None:
-    from .fields import locate
-
-    kind, depth = locate(fields.schema, name)[1:]
-    return T.ArrayType(kind) if depth else kind
-
-
 def _pattern_test(fields: Fields, name: str, pattern: str):
     """``*`` wildcards: over each word of an analyzed field, otherwise over the whole value."""
     literals = pattern.split("*")
@@ -310,12 +296,30 @@ def equals(field: str, value) -> Predicate:
     return Predicate(build)
 
 
+def is_not_null(field: str) -> Predicate:
+    """``IS NOT NULL`` as an engine filter; on recheck an empty array is a value too."""
+
+    def build(x: Fields) -> Column:
+        plain = x.mode == "exact" and x.kind(field) is not None
+        return x.column(field).isNotNull() if plain else exists(field).column(x)
+
+    return Predicate(build)
+
+
+def is_null(field: str) -> Predicate:
+    def build(x: Fields) -> Column:
+        plain = x.mode == "exact" and x.kind(field) is not None
+        return x.column(field).isNull() if plain else missing(field).column(x)
+
+    return Predicate(build)
+
+
 def null_safe_eq(field: str, value) -> Predicate:
     """Equality under which null equals null and a missing field."""
 
     def build(x: Fields) -> Column:
         if value is None:
-            return missing(field).column(x)
+            return is_null(field).column(x)
         if x.mode == "exact":
             return x.any_value(field, lambda c, k: c.eqNullSafe(literal(value, k)))
         return (term if x.mode == "strict" else match)(field, value).column(x)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.documents import NOT_FOUND, document, field_or_const, json_paths, resolve
 from ..functions.fields import quote
 from ..functions.predicates import as_predicate, negate
-from ..sources.mapping import common_schema, conform, conform_frame
+from ..sources.mapping import common_schema, conform, conform_frame, settled_type
 from .batch import absent_rows, all_but_first, fold, latest
 
 REJECTION = ("_status", "_error_type", "_error_reason")
@@ -98,7 +98,7 @@ def split_unfit(t: DataFrame, s: DataFrame, id: str) -> tuple[DataFrame, DataFra
             want, column = t.schema[f.name].dataType, F.col(quote(f.name))
             simple = not isinstance(want, (T.StructType, T.ArrayType, T.MapType))
             if not simple:
-                casts[f.name] = conform(column, f.dataType, want, "try_cast")
+                casts[f.name] = conform(column, f.dataType, settled_type(want, f.dataType), "try_cast")
                 continue
             casts[f.name] = column.try_cast(want)
             problems.append((column.isNotNull() & column.try_cast(want).isNull(), f"failed to parse field [{f.name}]"))

@@ -18,7 +18,7 @@ from ..functions.documents import NOT_FOUND, extract
 from ..functions.fields import locate, quote
 from ..sources.catalog import VERSION, children, current_version, fs_path, home, locate_collection
 from ..sources.collections import is_empty
-from ..sources.mapping import common_schema, conform_frame
+from ..sources.mapping import conform_frame, settled_type
 from .merge import WriteResult, reject
 from .project import project_for_write
 
@@ -87,7 +87,7 @@ def save_collection(
         raise FileExistsError(f"collection [{name}] exists and contains data; consider another save mode")
     if existing is not None:
         known = spark.read.parquet(existing).schema
-        df = conform_frame(df, _known_first(known, df.schema))
+        df = conform_frame(df, settled_type(known, df.schema))
     if existing is not None and mode != "overwrite":
         path, how = existing, "append"
     else:
@@ -97,16 +97,6 @@ def save_collection(
     return path
 
 
-def _known_first(known: T.StructType, new: T.StructType) -> T.StructType:
-    """The collection's own types, then the fields the frame adds."""
-    merged = common_schema([known, new])
-    return T.StructType([known[f.name] if f.name in known.fieldNames() and not _nested(f.dataType) else f for f in merged.fields])
-
-
-def _nested(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
-
-
 def next_version(spark: SparkSession, name: str, root: str) -> str:
     """Path of a version nobody has started. An unfinished one left by a lost job is passed over."""
     started = [int(n[len(VERSION) :]) for n in children(spark, home(name, root)) if n.startswith(VERSION)]

@@ -268,7 +268,7 @@ def _read(work: DataFrame, fields, reader: _Reader) -> DataFrame:
 
 def _malformed(fields, reader: _Reader) -> Column:
     doc = F.col("__doc")
-    bad = doc.isNull() | ~F.schema_of_variant(doc).startswith("OBJECT")
+    bad = doc.isNull() | ~F.ltrim(F.col("__json"), F.lit(" \t\r\n")).startswith("{")
     for f in fields:
         fault = reader.faults(doc, "$" + _step(f.name), f, f.name, F.col("__v").getField(f.name))
         bad = bad if fault is None else bad | fault

@@ -223,6 +223,20 @@ def common_schema(schemas, path: str = "") -> T.StructType:
     return T.StructType([T.StructField(n, k, True) for n, k in merged.items()])
 
 
+def settled_type(known: T.DataType, new: T.DataType) -> T.DataType:
+    """The type a stored field keeps when ``new`` values arrive: its own, plus struct fields it did not
+    have yet."""
+    if isinstance(known, T.StructType) and isinstance(new, T.StructType):
+        fields = [
+            T.StructField(f.name, settled_type(f.dataType, new[f.name].dataType) if f.name in new.fieldNames() else f.dataType)
+            for f in known.fields
+        ]
+        return T.StructType(fields + [f for f in new.fields if f.name not in known.fieldNames()])
+    if isinstance(known, T.ArrayType):
+        return T.ArrayType(settled_type(known.elementType, new.elementType if isinstance(new, T.ArrayType) else new))
+    return known
+
+
 def conform(column: Column, have: T.DataType, want: T.DataType, cast: str = "cast") -> Column:
     """The column as type ``want``: fields added as null, scalars wrapped where an array is wanted.
     ``cast="try_cast"`` turns values that do not fit into null instead of failing."""
