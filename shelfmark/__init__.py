@@ -92,4 +92,10 @@ from .operators.write import (
 from .sources.collections import is_empty, read_alias, read_collection, read_collections, register_view
 from .sources.json_docs import mapped_schema, parse_docs, read_json_docs, read_pairs, with_metadata
 from .sources.mapping import merge_mappings, parse_mapping, to_schema
-from .streaming.sink import commit_history, compact_stream, read_stream_collection, stream_to_collection
+from .streaming.sink import (
+    commit_history,
+    compact_stream,
+    expire_batches,
+    read_stream_collection,
+    stream_to_collection,
+)

@@ -189,16 +189,17 @@ def _merged_columns(t: DataFrame, s: DataFrame, agreed, id: str, write_null: boo
 # -- operations -------------------------------------------------------------------------------------
 
 
-def write_index(t: DataFrame, s: DataFrame, id: str | None = None, order=None) -> WriteResult:
+def write_index(t: DataFrame, s: DataFrame, id: str | None = None, order=None, unique: bool = False) -> WriteResult:
     """Insert or replace whole documents. Without an id column the rows are appended under generated
-    ids. Several rows of one id: the last by ``order`` wins."""
+    ids. Several rows of one id: the last by ``order`` wins. ``unique`` promises that ids do not repeat in
+    the source, which saves looking."""
     if id is None:
         return WriteResult(append_ids(t, s.withColumn("_id", F.uuid()) if "_id" in t.columns else s), _none(s), s)
     _need_id(id, "index", t, s)
     good, bad = split_unfit(t, s, id)
-    t2, one, _ = _aligned(t, latest(good, id, order))
+    t2, one, _ = _aligned(t, good if unique else latest(good, id, order))
     kept = t2.join(good.select(id).distinct(), id, "left_anti").select(*t2.columns)
-    return WriteResult(append_ids(kept, one), bad, s, lambda t, s: write_index(t, s, id, order))
+    return WriteResult(append_ids(kept, one), bad, s, lambda t, s: write_index(t, s, id, order, unique))
 
 
 def _none(s: DataFrame) -> DataFrame:
@@ -217,33 +218,35 @@ def write_create(t: DataFrame, s: DataFrame, id: str, order=None) -> WriteResult
     return WriteResult(append_ids(t2, added), rejected, s, lambda t, s: write_create(t, s, id, order))
 
 
-def _one_per_id(good: DataFrame, id: str, order, write_null: bool) -> DataFrame:
+def _one_per_id(good: DataFrame, id: str, order, write_null: bool, unique: bool) -> DataFrame:
+    if unique:
+        return good
     return latest(good, id) if order is None else fold(good, id, order, write_null)
 
 
 def write_update(
-    t: DataFrame, s: DataFrame, id: str, order=None, write_null: bool = False, version: str | None = None
+    t: DataFrame, s: DataFrame, id: str, order=None, write_null: bool = False, version: str | None = None, unique: bool = False
 ) -> WriteResult:
     """Merge the given fields into existing documents; a missing id is rejected. Several rows of one id
     are applied in ``order``."""
     _need_id(id, "update", t, s)
     good, bad = split_unfit(t, s, id)
-    t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null))
+    t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null, unique))
     joined = t2.join(_prefixed(one, id), id, "left")
     target = joined.select(*_merged_columns(t2, one, agreed, id, write_null, version))
     gone = absent_rows(good, present_ids(t, good, id), id).select(*s.columns)
     rejected = _missing(gone, id).unionByName(bad)
-    return WriteResult(target, rejected, s, lambda t, s: write_update(t, s, id, order, write_null, version))
+    return WriteResult(target, rejected, s, lambda t, s: write_update(t, s, id, order, write_null, version, unique))
 
 
 def write_upsert(
-    t: DataFrame, s: DataFrame, id: str, order=None, write_null: bool = False, version: str | None = None
+    t: DataFrame, s: DataFrame, id: str, order=None, write_null: bool = False, version: str | None = None, unique: bool = False
 ) -> WriteResult:
     """Merge into existing documents, insert the others. With a ``version`` column, a document that
     really changes counts one up; an upsert that changes nothing leaves it alone."""
     _need_id(id, "upsert", t, s)
     good, bad = split_unfit(t, s, id)
-    t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null))
+    t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null, unique))
     columns = _merged_columns(t2, one, agreed, id, write_null, version)
     if is_small(good):
         merged = t2.join(_prefixed(one, id), id, "left").select(*columns)
@@ -253,7 +256,7 @@ def write_upsert(
         target = append_ids(merged, added.select(*(c for c in added.columns)))
     else:
         target = t2.join(_prefixed(one, id), id, "full_outer").select(*columns)
-    return WriteResult(target, bad, s, lambda t, s: write_upsert(t, s, id, order, write_null, version))
+    return WriteResult(target, bad, s, lambda t, s: write_upsert(t, s, id, order, write_null, version, unique))
 
 
 def write_delete(t: DataFrame, s: DataFrame, id: str | None, include=(), exclude=(), json_input: bool = False) -> WriteResult:

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.fields import quote
 from .batch import SALT
 
-GROUP_LIMIT = 1000  # up to here Spark cuts each group before the shuffle by itself
+GROUP_LIMIT = 100  # up to here it is enough that Spark cuts each group to n rows per task before the shuffle
 MAX_GROUPS = 10_000
+MAX_PARTITIONS = 100_000
 
 
 def limit_per_partition(df: DataFrame, n: int, by, order: str = "_id") -> DataFrame:
@@ -47,23 +48,35 @@ def slice_scan(df: DataFrame, max_docs: int, by, id: str = "_id") -> DataFrame:
     two times ``max_docs`` rows.
 
     Only group counts are looked at beforehand. Up to ``MAX_GROUPS`` groups they are broadcast and every
-    slice gets its own partition; with more groups the counts are joined and slices hashed."""
+    slice gets its own partition. With more groups, those with over 1 / ``MAX_GROUPS`` of all rows (so at most
+    ``MAX_GROUPS``) are still broadcast, the others are joined, and slices are hashed to partitions."""
     if max_docs < 1:
         raise ValueError("max_docs must be positive")
     names = [by] if isinstance(by, str) else list(by)
     counts = slice_counts(df, max_docs, names)
-    groups, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("slices"), F.lit(1))).first()
-    counts = counts.drop("docs")
-    few = groups <= MAX_GROUPS
-    if few:  # at most MAX_GROUPS rows: one window, one broadcast
-        before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn("__first", F.coalesce(F.sum("slices").over(before), F.lit(0)))
-        counts = F.broadcast(counts)
-    keyed = counts.select(*(F.col(quote(c)).alias(f"__g_{c}") for c in names), *(c for c in counts.columns if c not in names))
-    same = [F.col(quote(c)).eqNullSafe(F.col(quote(f"__g_{c}"))) for c in names]
-    joined = df.join(keyed, same, "inner")
-    cut = joined.withColumn("_slice", F.pmod(F.xxhash64(F.col(quote(id))), F.col("slices")))
+    groups, total, docs = counts.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("slices"), F.lit(1)), F.coalesce(F.sum("docs"), F.lit(0))
+    ).first()
     columns = [F.col(quote(c)) for c in df.columns] + [F.col("_slice")]
-    if few:
+    if groups <= MAX_GROUPS:
+        before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)  # over at most MAX_GROUPS rows
+        counts = counts.withColumn("__first", F.coalesce(F.sum("slices").over(before), F.lit(0)))
+        cut = _cut(df, F.broadcast(counts), names, id)
         return cut.repartitionById(int(max(1, total)), (F.col("__first") + F.col("_slice")).cast("int")).select(*columns)
-    return cut.repartition(int(min(max(1, total), 100_000)), *(F.col(quote(c)) for c in names), "_slice").select(*columns)
+    large = F.col("docs") > docs / MAX_GROUPS
+    hot, cold = F.broadcast(counts.where(large)), counts.where(~large)
+    same = [F.col(quote(c)).eqNullSafe(F.col(quote(f"__g_{c}"))) for c in names]
+    cold_rows = df.join(_keyed(hot, names), same, "left_anti")
+    cut = _cut(df, hot, names, id).select(*columns).unionByName(_cut(cold_rows, cold, names, id).select(*columns))
+    return cut.repartition(int(min(total, MAX_PARTITIONS)), *(F.col(quote(c)) for c in names), "_slice")
+
+
+def _keyed(counts: DataFrame, names: list[str]) -> DataFrame:
+    extra = [c for c in counts.columns if c not in (*names, "docs")]
+    return counts.select(*(F.col(quote(c)).alias(f"__g_{c}") for c in names), *extra)
+
+
+def _cut(df: DataFrame, counts: DataFrame, names: list[str], id: str) -> DataFrame:
+    same = [F.col(quote(c)).eqNullSafe(F.col(quote(f"__g_{c}"))) for c in names]
+    joined = df.join(_keyed(counts, names), same, "inner")
+    return joined.withColumn("_slice", F.pmod(F.xxhash64(F.col(quote(id))), F.col("slices")))

@@ -10,13 +10,21 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.decode import parse_date
 from ..functions.documents import NOT_FOUND, extract
 from ..functions.fields import locate, quote
-from ..sources.catalog import VERSION, children, current_version, fs_path, home, locate_collection
+from ..sources.catalog import (
+    VERSION,
+    current_version,
+    drop_path,
+    home,
+    locate_collection,
+    scratch,
+    version_numbers,
+    version_path,
+)
 from ..sources.collections import is_empty
 from ..sources.mapping import conform_frame, settled_type
 from .merge import WriteResult, reject
@@ -99,8 +107,8 @@ def save_collection(
 
 def next_version(spark: SparkSession, name: str, root: str) -> str:
     """Path of a version nobody has started. An unfinished one left by a lost job is passed over."""
-    started = [int(n[len(VERSION) :]) for n in children(spark, home(name, root)) if n.startswith(VERSION)]
-    return f"{home(name, root)}/{VERSION}{max(started, default=0) + 1:06d}"
+    base = home(name, root)
+    return version_path(base, max(version_numbers(spark, base), default=0) + 1)
 
 
 def commit_merge(result: WriteResult, name: str, root: str, partition_by=()) -> str:
@@ -114,14 +122,13 @@ def commit_merge(result: WriteResult, name: str, root: str, partition_by=()) ->
 
 def expire_versions(spark: SparkSession, name: str, root: str, keep: int = 2) -> list[str]:
     """Deletes finished versions older than the ``keep`` newest ones."""
-    current = current_version(spark, home(name, root))
+    base = home(name, root)
+    current = current_version(spark, base)
     if keep < 1 or current is None:
         return []
-    numbers = sorted(int(n[len(VERSION) :]) for n in children(spark, home(name, root)) if n.startswith(VERSION))
-    gone = [n for n in numbers if n <= current][:-keep]
+    gone = [n for n in version_numbers(spark, base) if n <= current][:-keep]
     for n in gone:
-        hadoop, fs = fs_path(spark, f"{home(name, root)}/{VERSION}{n:06d}")
-        fs.delete(hadoop, True)
+        drop_path(spark, version_path(base, n))
     return [f"{VERSION}{n:06d}" for n in gone]
 
 
@@ -197,12 +204,16 @@ def write_dynamic(
 
 
 def save_many(df: DataFrame, sinks) -> list:
-    """One frame to several outputs: each sink is a function of the frame. The frame is computed once."""
-    shared = df.persist(StorageLevel.DISK_ONLY)
+    """One frame to several outputs: each sink is a function of the frame. The frame is computed once, into
+    a table in the shared scratch folder, so every output gets the same rows even when executors are lost."""
+    spark = df.sparkSession
+    path = scratch(spark, "shared")
+    df.write.parquet(path)
     try:
+        shared = spark.read.schema(df.schema).parquet(path)
         return [sink(shared) for sink in sinks]
     finally:
-        shared.unpersist()
+        drop_path(spark, path)
 
 
 def external_table(df: DataFrame, columns, aliases: dict[str, str] | None = None, json_output: bool = False) -> DataFrame:

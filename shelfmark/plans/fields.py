@@ -83,22 +83,22 @@ def as_array(spark, sf):
     )
 
 
-@query("SELECT n_nationkey, 1 AS items, n_name AS first_name FROM nation")
+@query("SELECT c_custkey, 1 AS items, c_name AS first_name FROM customer")
 def as_nested(spark, sf):
-    rows = table(spark, sf, "nation").withColumn("nested", d.as_nested(F.struct("n_name", "n_regionkey")))
-    return rows.select("n_nationkey", F.size("nested").alias("items"), F.col("nested")[0]["n_name"].alias("first_name"))
+    rows = table(spark, sf, "customer").withColumn("nested", d.as_nested(F.struct("c_name", "c_nationkey")))
+    return rows.select("c_custkey", F.size("nested").alias("items"), F.col("nested")[0]["c_name"].alias("first_name"))
 
 
 @query("""
-    SELECT 'r' || r_regionkey AS id, 'region' AS name, NULL::VARCHAR AS parent FROM region
-    UNION ALL SELECT 'n' || n_nationkey, 'nation', 'r' || n_regionkey FROM nation
+    SELECT 'c' || c_custkey AS id, 'customer' AS name, NULL::VARCHAR AS parent FROM customer
+    UNION ALL SELECT 'o' || o_orderkey, 'order', 'c' || o_custkey FROM orders
 """)
 def normalize_join(spark, sf):
     """Parents give the short form of the join field, children the long one."""
-    regions = table(spark, sf, "region").select(F.concat(F.lit("r"), "r_regionkey").alias("id"), F.lit('"region"').alias("joiner"))
-    child = F.to_json(F.struct(F.lit("nation").alias("name"), F.concat(F.lit("r"), "n_regionkey").alias("parent")))
-    nations = table(spark, sf, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("id"), child.alias("joiner"))
-    rows = regions.unionByName(nations).withColumn("j", d.normalize_join(F.col("joiner")))
+    parents = table(spark, sf, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("id"), F.lit('"customer"').alias("joiner"))
+    child = F.to_json(F.struct(F.lit("order").alias("name"), F.concat(F.lit("c"), "o_custkey").alias("parent")))
+    children = table(spark, sf, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("id"), child.alias("joiner"))
+    rows = parents.unionByName(children).withColumn("j", d.normalize_join(F.col("joiner")))
     return rows.select("id", "j.name", "j.parent")
 
 

@@ -10,7 +10,7 @@ from ..operators.merge import place_by_routing
 from ..operators.paging import limit_per_partition, page_after, slice_scan
 from ..operators.write import external_table
 from ..sources.catalog import scratch
-from ..sources.collections import is_empty, read_alias, read_collection, read_collections, register_view
+from ..sources.collections import read_alias, read_collection, read_collections, register_view
 from ..sources.json_docs import parse_docs, read_json_docs, read_pairs, with_metadata
 from .registry import query, table
 
@@ -40,11 +40,12 @@ def multi_collection_upcast(spark, sf):
 
 
 @query("""
-    SELECT 'nation' AS _index, n_nationkey, n_name, n_regionkey, NULL::INTEGER AS r_regionkey, NULL::VARCHAR AS r_name FROM nation
-    UNION ALL SELECT 'region', NULL, NULL, NULL, r_regionkey, r_name FROM region
+    SELECT 'supplier' AS _index, s_suppkey, s_name, NULL::BIGINT AS p_partkey, NULL::VARCHAR AS p_name FROM supplier
+    UNION ALL SELECT 'part', NULL, NULL, p_partkey, p_name FROM part
 """)
 def collection_patterns(spark, sf):
-    return read_collections(spark, "*ion*,-conv*", root=sf)
+    rows = read_collections(spark, "*er,part,-customer", root=sf)
+    return rows.select("_index", "s_suppkey", "s_name", "p_partkey", "p_name")
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice, NULL::VARCHAR AS note FROM orders")
@@ -52,11 +53,10 @@ def schema_override(spark, sf):
     return table(spark, sf, "orders", schema="o_orderkey string, o_totalprice double, note string")
 
 
-@query("SELECT name, empty FROM (VALUES ('orders', false), ('no-such-collection', true)) t(name, empty)")
-def empty_collections(spark, sf):
-    names = spark.createDataFrame([("orders",), ("no-such-collection",)], "name string")
-    known = {n: is_empty(spark, n, sf) for n in ("orders", "no-such-collection")}
-    return names.withColumn("empty", F.element_at(F.create_map(*(F.lit(x) for kv in known.items() for x in kv)), F.col("name")))
+@query("SELECT 'orders' AS _index, o_orderkey, o_orderstatus FROM orders")
+def missing_as_empty(spark, sf):
+    names = ["orders", "no-such-collection"]
+    return read_collections(spark, names, root=sf, missing_as_empty=True).select("_index", "o_orderkey", "o_orderstatus")
 
 
 @query("""
@@ -162,16 +162,19 @@ def sql_view(spark, sf):
     )
 
 
-@query("SELECT n_nationkey AS id, n_name AS title, CAST(n_regionkey AS BIGINT) AS region, NULL::VARCHAR AS note FROM nation")
+@query("SELECT c_custkey AS id, c_name AS title, CAST(c_nationkey AS BIGINT) AS region, NULL::VARCHAR AS note FROM customer")
 def external_columns(spark, sf):
-    columns = "id int, title string, region bigint, note string"
-    aliases = {"id": "n_nationkey", "TITLE": "N_NAME", "region": "n_regionkey"}
-    return external_table(table(spark, sf, "nation"), columns, aliases)
+    columns = "id bigint, title string, region bigint, note string"
+    aliases = {"id": "c_custkey", "TITLE": "C_NAME", "region": "c_nationkey"}
+    return external_table(table(spark, sf, "customer"), columns, aliases)
 
 
-@query("SELECT CAST(json_object('r_regionkey', r_regionkey, 'r_name', r_name) AS VARCHAR) AS data FROM region")
+@query("""
+    SELECT CAST(json_object('p_partkey', p_partkey, 'p_name', p_name, 'p_brand', p_brand, 'p_type', p_type,
+                            'p_size', p_size, 'p_retailprice', p_retailprice) AS VARCHAR) AS data FROM part
+""")
 def external_json(spark, sf):
-    return external_table(table(spark, sf, "region"), "data string", json_output=True)
+    return external_table(table(spark, sf, "part"), "data string", json_output=True)
 
 
 @query("""

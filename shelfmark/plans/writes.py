@@ -219,18 +219,18 @@ def versioned_rejects(spark, sf):
 
 
 @query("""
-    SELECT CAST(n_nationkey AS VARCHAR) AS _id, CAST(n_regionkey AS VARCHAR) AS _routing, 'region' AS _parent, 3 AS _version, n_name
-    FROM nation
+    SELECT CAST(c_custkey AS VARCHAR) AS _id, CAST(c_nationkey AS VARCHAR) AS _routing, 'nation' AS _parent, 3 AS _version, c_name
+    FROM customer
 """)
 def write_metadata(spark, sf):
-    rows = table(spark, sf, "nation").withColumn("ref", F.struct(F.col("n_regionkey").alias("key")))
-    out = m.with_write_meta(rows, id="n_nationkey", routing=lambda df: F.col("ref.key"), parent="<region>", version="<3>")
-    return out.select("_id", "_routing", "_parent", "_version", "n_name")
+    rows = table(spark, sf, "customer").withColumn("ref", F.struct(F.col("c_nationkey").alias("key")))
+    out = m.with_write_meta(rows, id="c_custkey", routing=lambda df: F.col("ref.key"), parent="<nation>", version="<3>")
+    return out.select("_id", "_routing", "_parent", "_version", "c_name")
 
 
 @query("""
-    SELECT 'r' || r_regionkey AS id, NULL::VARCHAR AS routing FROM region
-    UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
+    SELECT 'c' || c_custkey AS id, NULL::VARCHAR AS routing FROM customer
+    UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders
 """)
 def join_routing(spark, sf):
     """A child is routed by its parent; a parent has no routing of its own."""
@@ -239,9 +239,9 @@ def join_routing(spark, sf):
         joiner = F.struct(F.lit("x").alias("name"), parent.cast("string").alias("parent"))
         return frame.select(key.alias("id"), joiner.alias("joiner"))
 
-    nations = rows(table(spark, sf, "nation"), F.concat(F.lit("n"), "n_nationkey"), F.concat(F.lit("r"), "n_regionkey"))
-    regions = rows(table(spark, sf, "region"), F.concat(F.lit("r"), "r_regionkey"), F.lit(None))
-    both = regions.unionByName(nations)
+    orders = rows(table(spark, sf, "orders"), F.concat(F.lit("o"), "o_orderkey"), F.concat(F.lit("c"), "o_custkey"))
+    customers = rows(table(spark, sf, "customer"), F.concat(F.lit("c"), "c_custkey"), F.lit(None))
+    both = customers.unionByName(orders)
     return both.select("id", m.routing_of(both, join="joiner").alias("routing"))
 
 
@@ -289,25 +289,25 @@ def null_overwrite(spark, sf):
 
 
 @query("""
-    SELECT 'append' AS mode, 2 * count(*) AS n, 3 AS columns FROM nation
-    UNION ALL SELECT 'ignore', 2 * count(*), 3 FROM nation
-    UNION ALL SELECT 'overwrite', count(*), 5 FROM region
+    SELECT 'append' AS mode, 2 * count(*) AS n, 5 AS columns FROM customer
+    UNION ALL SELECT 'ignore', 2 * count(*), 5 FROM customer
+    UNION ALL SELECT 'overwrite', count(*), 9 FROM supplier
 """)
 def save_modes(spark, sf):
     """What a collection holds after each mode; an overwrite keeps the fields it already knew."""
     root = scratch(spark, "modes")
-    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    customer, supplier = table(spark, sf, "customer"), table(spark, sf, "supplier")
 
     def state(mode):
-        rows = read_collection(spark, "places", root=root)
+        rows = read_collection(spark, "people", root=root)
         return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(mode).alias("mode"), "n", F.lit(len(rows.columns)).alias("columns"))
 
-    save_collection(nation, "places", root, "error")
-    save_collection(nation, "places", root, "append")
+    save_collection(customer, "people", root, "error")
+    save_collection(customer, "people", root, "append")
     states = [state("append")]
-    save_collection(region, "places", root, "ignore")
+    save_collection(supplier, "people", root, "ignore")
     states.append(state("ignore"))
-    save_collection(region, "places", root, "overwrite")
+    save_collection(supplier, "people", root, "overwrite")
     states.append(state("overwrite"))
     return states[0].unionByName(states[1]).unionByName(states[2])
 
@@ -319,12 +319,12 @@ def delete_matching(spark, sf):
     return m.delete_by_query(events, gone).select("event_id", "event_type")
 
 
-@query("SELECT 'places-new' AS _index, r_regionkey, r_name FROM region")
+@query("SELECT 'people-new' AS _index, c_custkey, c_name FROM customer")
 def alias_write(spark, sf):
-    aliases = {"places": [{"collection": "places-old"}, {"collection": "places-new", "is_write_index": True}]}
+    aliases = {"people": [{"collection": "people-old"}, {"collection": "people-new", "is_write_index": True}]}
     root = scratch(spark, "alias")
-    save_collection(table(spark, sf, "region"), "places", root, aliases=aliases)
-    return read_collections(spark, [write_target("places", aliases)], root=root).select("_index", "r_regionkey", "r_name")
+    save_collection(table(spark, sf, "customer"), "people", root, aliases=aliases)
+    return read_collections(spark, [write_target("people", aliases)], root=root).select("_index", "c_custkey", "c_name")
 
 
 @query("""
@@ -340,20 +340,20 @@ def invalid_names(spark, sf):
     return split_index(rows, "orders-{key}")[1].select("o_orderkey", "_status", "_error_type")
 
 
-@query("SELECT 'a' AS _index, r_regionkey FROM region UNION ALL SELECT 'b', r_regionkey FROM region")
+@query("SELECT 'a' AS _index, c_custkey FROM customer UNION ALL SELECT 'b', c_custkey FROM customer")
 def save_many(spark, sf):
     root = scratch(spark, "many")
-    save_to_many(table(spark, sf, "region"), [lambda df, n=n: save_collection(df, n, root) for n in ("a", "b")])
-    return read_collections(spark, "a,b", root=root).select("_index", "r_regionkey")
+    save_to_many(table(spark, sf, "customer"), [lambda df, n=n: save_collection(df, n, root) for n in ("a", "b")])
+    return read_collections(spark, "a,b", root=root).select("_index", "c_custkey")
 
 
-@query("SELECT n_nationkey AS id, n_name AS title, CAST(n_regionkey AS BIGINT) AS region FROM nation")
+@query("SELECT c_custkey AS id, c_name AS title, CAST(c_nationkey AS BIGINT) AS region FROM customer")
 def insert_overwrite(spark, sf):
     """A query into a declared table whose columns live under nested document fields, twice."""
     root = scratch(spark, "insert")
-    columns, aliases = "id int, title string, region bigint", {"title": "place.name", "region": "place.region"}
+    columns, aliases = "id bigint, title string, region bigint", {"title": "place.name", "region": "place.region"}
     for _ in range(2):
-        insert_into(table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"), "t", root, columns, aliases)
+        insert_into(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"), "t", root, columns, aliases)
     return external_table(read_collection(spark, "t", root=root), columns, aliases)
 
 

@@ -24,11 +24,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    hadoop, fs = fs_path(spark, path)
-    if not fs.exists(hadoop) or not fs.getFileStatus(hadoop).isDirectory():
+def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
+    """Names below a folder that match a glob. The listing stays in the JVM and comes back as one text,
+    so a folder of very many files costs no call per file."""
+    _, fs = fs_path(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
+    if found is None or len(found) == 0:
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop))
+    paths = spark._jvm.java.util.List.of(spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))
+    text = spark._jvm.java.util.Arrays.deepToString(paths.toArray())  # [[path, path, ...]]
+    return sorted(item.rsplit("/", 1)[1] for item in text[2:-2].split(", "))
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
@@ -36,13 +41,18 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isDirectory()
 
 
+def version_numbers(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n[len(VERSION) :]) for n in children(spark, path, f"{VERSION}*"))
+
+
+def version_path(path: str, number: int) -> str:
+    return f"{path}/{VERSION}{number:06d}"
+
+
 def current_version(spark: SparkSession, path: str) -> int | None:
     """Newest finished version of a saved collection: Spark writes ``_SUCCESS`` last."""
-    numbers = [int(n[len(VERSION) :]) for n in children(spark, path) if n.startswith(VERSION)]
-    for n in sorted(numbers, reverse=True):
-        if path_exists(spark, f"{path}/{VERSION}{n:06d}/_SUCCESS"):
-            return n
-    return None
+    numbers = reversed(version_numbers(spark, path))
+    return next((n for n in numbers if path_exists(spark, version_path(path, n) + "/_SUCCESS")), None)
 
 
 def home(name: str, root: str | None) -> str:
@@ -57,8 +67,8 @@ def locate_collection(spark: SparkSession, name: str, root: str | None = None) -
         if path_exists(spark, path):
             version = current_version(spark, path)
             if version is not None:
-                return f"{path}/{VERSION}{version:06d}"
-            if not any(n.startswith(VERSION) for n in children(spark, path)):
+                return version_path(path, version)
+            if not version_numbers(spark, path):
                 return path
     try:
         if root is None and "/" not in name and spark.catalog.tableExists(name):
@@ -115,6 +125,11 @@ def is_named(candidate: str, names) -> bool:
     return asked
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    hadoop, fs = fs_path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables: below the shared folder the cluster names in
     ``spark.checkpoint.dir``. Only a single-machine session without that setting gets a local one."""

@@ -8,7 +8,9 @@ each field (update). ``compact_stream`` folds finished batches once and for all.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -17,7 +19,7 @@ from ..functions.fields import quote
 from ..operators.batch import fold, latest
 from ..operators.project import project_for_write
 from ..operators.write import with_index
-from ..sources.catalog import children, path_exists
+from ..sources.catalog import children, drop_path, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -33,6 +35,7 @@ def stream_to_collection(
     id: str | None = None,
     operation: str | None = None,
     order=None,
+    unique: bool = False,
     index_pattern: str | None = None,
     include=(),
     exclude=(),
@@ -73,7 +76,7 @@ def stream_to_collection(
         if include or exclude:
             keep = [id] if id and include else []
             out = project_for_write(out, [*include, *keep, *(["_index"] if index_pattern and include else [])], exclude)
-        if id:
+        if id and not unique:
             out = _settle(out, id, operation, order, write_null)
         save_batch(out, path, batch_id, commit_log)
 
@@ -96,7 +99,7 @@ def save_batch(df: DataFrame, path: str, batch_id: int, commit_log: bool = True)
     if not commit_log:
         df.write.mode("append").parquet(f"{path}/docs/{BATCH}=0")
         return
-    started = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
+    started = dt.datetime.now(dt.timezone.utc)
     folder = f"{path}/docs/{BATCH}={batch_id}"
     df.write.mode("overwrite").parquet(folder)
     written = spark.read.schema(df.schema).parquet(folder)
@@ -112,7 +115,7 @@ def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
 def commit_history(spark: SparkSession, path: str) -> DataFrame:
     """One row per written file of each committed batch: task, records, started, resource, batch_id."""
     schema = "task string, records bigint, started timestamp, resource string, batch_id bigint"
-    if not children(spark, f"{path}/commits"):
+    if not _numbers(spark, f"{path}/commits", BATCH):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/commits")
 
@@ -120,10 +123,14 @@ def commit_history(spark: SparkSession, path: str) -> DataFrame:
 def last_committed(spark: SparkSession, path: str) -> int | None:
     """Highest committed batch. Batches of a query finish one after the other, so all before it are
     committed too."""
-    ids = sorted((int(n.split("=")[1]) for n in children(spark, f"{path}/commits") if n.startswith(BATCH)), reverse=True)
+    ids = reversed(_numbers(spark, f"{path}/commits", BATCH))
     return next((n for n in ids if is_committed(spark, path, n)), None)
 
 
+def _numbers(spark: SparkSession, folder: str, key: str) -> list[int]:
+    return sorted(int(n.split("=")[1]) for n in children(spark, folder, f"{key}=*"))
+
+
 def read_stream_collection(
     spark: SparkSession,
     path: str,
@@ -142,38 +149,47 @@ def read_stream_collection(
 
 
 def _committed_rows(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """All visible rows with the batch they came from: the newest compacted base, then later batches."""
-    last = last_committed(spark, path)
-    base = _base(spark, path)
-    docs = None
-    if children(spark, f"{path}/docs"):
-        docs = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(f"{path}/docs")
-        docs = docs.withColumn(BATCH, F.col(BATCH).cast("bigint"))
-        if last is not None:
-            docs = docs.where(F.col(BATCH) <= last)
-    if base is None:
-        if docs is None:
-            raise FileNotFoundError(f"nothing was written to [{path}] yet")
-        return docs
-    folded = spark.read.parquet(f"{path}/base/through={base}").withColumn(BATCH, F.lit(base).cast("bigint"))
-    return folded if docs is None else folded.unionByName(docs.where(F.col(BATCH) > base), allowMissingColumns=True)
+    """All visible rows with the batch they came from: the newest compacted base, then the folders of
+    later batches. Folders the base covers are not even listed."""
+    last, base = last_committed(spark, path), _base(spark, path)
+    batches = [
+        n for n in _numbers(spark, f"{path}/docs", BATCH) if (last is None or n <= last) and (base is None or n > base)
+    ]
+    parts = []
+    if base is not None:
+        parts.append(spark.read.parquet(f"{path}/base/through={base}").withColumn(BATCH, F.lit(base).cast("bigint")))
+    if batches:
+        reader = spark.read.option("mergeSchema", str(merge_schema).lower()).option("basePath", f"{path}/docs")
+        docs = reader.parquet(*(f"{path}/docs/{BATCH}={n}" for n in batches))
+        parts.append(docs.withColumn(BATCH, F.col(BATCH).cast("bigint")))
+    if not parts:
+        raise FileNotFoundError(f"nothing was written to [{path}] yet")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _base(spark: SparkSession, path: str) -> int | None:
-    done = [int(n.split("=")[1]) for n in children(spark, f"{path}/base") if n.startswith("through=")]
-    return next(
-        (n for n in sorted(done, reverse=True) if path_exists(spark, f"{path}/base/through={n}/_SUCCESS")), None
-    )
+    done = reversed(_numbers(spark, f"{path}/base", "through"))
+    return next((n for n in done if path_exists(spark, f"{path}/base/through={n}/_SUCCESS")), None)
 
 
 def compact_stream(
     spark: SparkSession, path: str, id: str, operation: str = "index", write_null: bool = False
 ) -> int | None:
     """Folds all committed batches into a new base, which later reads start from. Returns the last batch
-    it covers. The batches stay, so readers at work and replays are not disturbed."""
+    it covers. The batches stay until ``expire_batches``, so readers at work are not disturbed."""
     last = last_committed(spark, path)
     if last is None or last == _base(spark, path):
         return last
     state = read_stream_collection(spark, path, id, operation, write_null, merge_schema=True)
     state.write.mode("overwrite").parquet(f"{path}/base/through={last}")
     return last
+
+
+def expire_batches(spark: SparkSession, path: str) -> list[int]:
+    """Deletes the batch folders the newest base covers. Their commit records stay, so a replay of such a
+    batch is still skipped."""
+    base = _base(spark, path)
+    gone = [n for n in _numbers(spark, f"{path}/docs", BATCH) if base is not None and n <= base]
+    for n in gone:
+        drop_path(spark, f"{path}/docs/{BATCH}={n}")
+    return gone

@@ -104,3 +104,11 @@ def test_refusals(spark, tmp_path):
     refuse("operation upsert", mode="update", id="id", operation="index")
     refuse("not a streaming frame", df=spark.range(1))
     assert sm.commit_history(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_expired_batches_live_on_in_the_base(spark, tmp_path):
+    out = run(feed(spark, tmp_path, ONE, TWO), tmp_path, id="id")
+    before = rows(sm.read_stream_collection(spark, out, "id"))
+    sm.compact_stream(spark, out, "id")
+    assert sm.expire_batches(spark, out) == [0, 1]
+    assert rows(sm.read_stream_collection(spark, out, "id")) == before
