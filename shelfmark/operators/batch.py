@@ -37,21 +37,22 @@ def latest(df: DataFrame, id: str, order=None, first: bool = False) -> DataFrame
     if not others:
         return df.select(id).distinct()
     body = F.struct(*(F.col(quote(c)) for c in others))
+    groups = df.groupBy(F.col(quote(id)).alias(id))
     if order is None:
-        kept = df.groupBy(F.col(quote(id)).alias(id)).agg(F.any_value(body).alias("__row"), F.count(F.lit(1)).alias("__n"))
-        single = _checked_id(kept, id, F.col("__n") == 1)
+        kept = groups.agg(F.any_value(body).alias("__row"), F.count(F.lit(1)).alias("__n"))
+        kept = kept.where(_single(id))
     else:
         pick = F.min_by if first else F.max_by
-        kept = df.groupBy(F.col(quote(id)).alias(id)).agg(pick(body, order_key(df, order)).alias("__row"))
-        single = F.col(quote(id))
+        kept = groups.agg(pick(body, order_key(df, order)).alias("__row"))
     return kept.select(
-        *(single.alias(id) if c == id else F.col("__row").getField(c).alias(c) for c in df.columns)
+        *(F.col(quote(c)) if c == id else F.col("__row").getField(c).alias(c) for c in df.columns)
     )
 
 
-def _checked_id(df: DataFrame, id: str, single: Column) -> Column:
+def _single(id: str) -> Column:
+    """True, or the job fails. A filter, so that the frame stays partitioned by its id column."""
     text = F.concat(F.lit("several documents with id "), F.col(quote(id)).cast("string"), F.lit("; name an order column"))
-    return F.when(single, F.col(quote(id))).otherwise(F.raise_error(text).cast(df.schema[id].dataType))
+    return F.when(F.col("__n") == 1, True).otherwise(F.raise_error(text).cast("boolean"))
 
 
 def all_but_first(df: DataFrame, id: str, order=None) -> DataFrame:

@@ -356,26 +356,48 @@ def write_versioned(
         ranked = good.withColumn("__high", -F.col(quote(version)))
         one = latest(ranked, id, ["__high", *names], first=True).drop("__high")
         lost = all_but_first(ranked, id, ["__high", *names]).drop("__high")
+    kept_type = t.schema[version].dataType
+    t2, one, agreed = _aligned(t, one)
+    target = _replace_winners(t2, one, agreed, id, version, mode, is_small(good))
     stored = t.select(F.col(quote(id)), F.col(quote(version)).alias("__stored"))
     checked = one.join(stored.join(good.select(id).distinct(), id, "left_semi"), id, "left")
-    new, old = F.col(quote(version)), F.col("__stored")
-    wins = {
+    losers = checked.where(~_wins(F.col(quote(version)), F.col("__stored"), mode)).drop("__stored").select(*s.columns)
+    conflict = F.concat(F.lit("version conflict, given version "), F.col(quote(version)).cast("string"))
+    rejected = reject(losers.unionByName(lost), 409, "version_conflict", conflict).unionByName(bad)
+    target = target.withColumn(version, F.col(quote(version)).cast(kept_type))
+    return WriteResult(target, rejected, s, lambda t, s: write_versioned(t, s, id, version, mode, order))
+
+
+def _wins(new: Column, old: Column, mode: str) -> Column:
+    rule = {
         "external": old.isNull() | (new > old),
         "external_gt": old.isNull() | (new > old),
         "external_gte": old.isNull() | (new >= old),
         "internal": old.isNotNull() & (new == old),
         "force": F.lit(True),
     }[mode]
-    won = F.coalesce(wins, F.lit(False))
-    winners = checked.where(won).drop("__stored").select(*s.columns)
-    losers = checked.where(~won).drop("__stored").select(*s.columns)
-    kept = t.join(winners.select(id), id, "left_anti").select(*t.columns)
+    return F.coalesce(rule, F.lit(False))
+
+
+def _replace_winners(t, one, agreed, id: str, version: str, mode: str, small: bool) -> DataFrame:
+    """The target with the winning source rows in place of the stored ones, in one join."""
+    new, old = F.col(quote(f"__s_{version}")), F.col(quote(version))
+    win = F.col("__hit").isNotNull() & _wins(new, old, mode)
+    columns = []
+    for f in agreed.fields:
+        have = F.col(quote(f.name)) if f.name in t.columns else F.lit(None).cast(f.dataType)
+        given = F.col(quote(f"__s_{f.name}")) if f.name in one.columns and f.name != id else F.lit(None).cast(f.dataType)
+        if f.name == version and mode == "internal":
+            given = given + 1
+        columns.append((have if f.name == id else F.when(win, given).otherwise(have)).alias(f.name))
+    side = _prefixed(one, id)
+    if not small:
+        joined = t.withColumn("__stored", F.lit(True)).join(side, id, "full_outer")
+        return joined.where(F.col("__stored").isNotNull() | win).select(*columns)
+    replaced = t.join(side, id, "left").select(*columns)
     if mode == "internal":
-        winners = winners.withColumn(version, F.col(quote(version)) + 1)
-    t2, w2, _ = _aligned(kept, winners)
-    conflict = F.concat(F.lit("version conflict, given version "), F.col(quote(version)).cast("string"))
-    rejected = reject(losers.unionByName(lost), 409, "version_conflict", conflict).unionByName(bad)
-    return WriteResult(append_ids(t2, w2), rejected, s, lambda t, s: write_versioned(t, s, id, version, mode, order))
+        return replaced
+    return append_ids(replaced, one.join(present_ids(t, one, id), id, "left_anti").select(*one.columns))
 
 
 def write_json_docs(

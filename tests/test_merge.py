@@ -193,8 +193,10 @@ VERSION_CASES = {
 }
 
 
+@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("mode", VERSION_CASES)
-def test_versions(spark, mode):
+def test_versions(spark, mode, small, monkeypatch):
+    monkeypatch.setattr(merge, "is_small", lambda df: small)
     t = spark.createDataFrame([("a", 4), ("b", 2)], "id string, v int")
     s = spark.createDataFrame([("a", 3), ("a", 5), ("a", 1), ("b", 2), ("c", 9)], "id string, v int")
     target, rejected = VERSION_CASES[mode]
@@ -268,3 +270,18 @@ def test_target_is_not_shuffled_for_a_small_source(spark, tmp_path):
     out.collect()
     text = plan(out)
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_large_merge_shuffles_each_side_once(spark, tmp_path):
+    from conftest import plan
+
+    spark.range(1000).selectExpr("cast(id AS string) AS id", "id AS n").write.parquet(f"{tmp_path}/t")
+    t = s = spark.read.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(sm.write_upsert(t, s, "id").target)
+        assert text.count("Exchange hashpartitioning") == 2 and "FullOuter" in text
+        assert plan(sm.write_upsert(t, s, "id", unique=True).target).count("Exchange hashpartitioning") == 2
+        assert plan(sm.write_versioned(t, s, "id", "n").target).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
