@@ -90,7 +90,7 @@ from .operators.write import (
     write_target,
 )
 from .sources.collections import is_empty, read_alias, read_collection, read_collections, register_view
-from .sources.json_docs import mapped_schema, parse_docs, read_json_docs, read_pairs, with_metadata
+from .sources.json_docs import detect_geo, mapped_schema, parse_docs, read_json_docs, read_pairs, with_metadata
 from .sources.mapping import merge_mappings, parse_mapping, to_schema
 from .streaming.sink import (
     commit_history,

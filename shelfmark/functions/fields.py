@@ -22,6 +22,11 @@ def quote(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
+def columns_of(df) -> list[Column]:
+    """The frame's columns, whatever characters their names hold."""
+    return [F.col(quote(c)) for c in df.columns]
+
+
 def locate(schema: T.StructType, name: str) -> tuple[Column, T.DataType, int]:
     """Column, leaf type and array depth of a (dotted) field; KeyError when it does not exist."""
     if name in schema.fieldNames():

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.fields import quote
+from ..functions.fields import columns_of, quote
 
 SALT = 64
 HOT_ROWS = 1_000_000
@@ -67,7 +67,7 @@ def all_but_first(df: DataFrame, id: str, order=None) -> DataFrame:
     local = salted.withColumn("__local", F.row_number().over(within))
     leaders = local.where("__local = 1")
     leaders = leaders.withColumn("__rank", F.row_number().over(Window.partitionBy(F.col(quote(id))).orderBy(*ranking)))
-    columns = [F.col(quote(c)) for c in df.columns]
+    columns = columns_of(df)
     return local.where("__local > 1").select(*columns).unionByName(leaders.where("__rank > 1").select(*columns))
 
 
@@ -90,7 +90,7 @@ def fold(df: DataFrame, id: str, order, write_null: bool = False) -> DataFrame:
     return (
         df.groupBy(F.col(quote(id)).alias(id))
         .agg(*(last(F.col(quote(f.name)), f.dataType).alias(f.name) for f in others))
-        .select(*(F.col(quote(c)) for c in df.columns))
+        .select(*columns_of(df))
     )
 
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.documents import NOT_FOUND, document, field_or_const, json_paths, resolve
-from ..functions.fields import quote
+from ..functions.fields import columns_of, quote
 from ..functions.predicates import as_predicate, negate
 from ..sources.mapping import common_schema, conform, conform_frame, settled_type
 from .batch import absent_rows, all_but_first, fold, latest
@@ -194,11 +194,13 @@ def write_index(t: DataFrame, s: DataFrame, id: str | None = None, order=None, u
     ids. Several rows of one id: the last by ``order`` wins. ``unique`` promises that ids do not repeat in
     the source, which saves looking."""
     if id is None:
-        return WriteResult(append_ids(t, s.withColumn("_id", F.uuid()) if "_id" in t.columns else s), _none(s), s)
+        added = s.withColumn("_id", F.uuid()) if "_id" in t.columns and "_id" not in s.columns else s
+        t2, added, _ = _aligned(t, conform_frame(added, settled_type(t.schema, added.schema)))
+        return WriteResult(append_ids(t2, added), _none(s), s)
     _need_id(id, "index", t, s)
     good, bad = split_unfit(t, s, id)
     t2, one, _ = _aligned(t, good if unique else latest(good, id, order))
-    kept = t2.join(good.select(id).distinct(), id, "left_anti").select(*t2.columns)
+    kept = t2.join(good.select(id).distinct(), id, "left_anti").select(*columns_of(t2))
     return WriteResult(append_ids(kept, one), bad, s, lambda t, s: write_index(t, s, id, order, unique))
 
 
@@ -212,8 +214,8 @@ def write_create(t: DataFrame, s: DataFrame, id: str, order=None) -> WriteResult
     good, bad = split_unfit(t, s, id)
     first, rest = latest(good, id, order, first=True), all_but_first(good, id, order)
     present = present_ids(t, good, id)
-    t2, added, _ = _aligned(t, first.join(present, id, "left_anti").select(*s.columns))
-    taken = first.join(present, id, "left_semi").select(*s.columns)
+    t2, added, _ = _aligned(t, first.join(present, id, "left_anti").select(*columns_of(s)))
+    taken = first.join(present, id, "left_semi").select(*columns_of(s))
     rejected = _conflict(taken.unionByName(rest), id).unionByName(bad)
     return WriteResult(append_ids(t2, added), rejected, s, lambda t, s: write_create(t, s, id, order))
 
@@ -234,7 +236,7 @@ def write_update(
     t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null, unique))
     joined = t2.join(_prefixed(one, id), id, "left")
     target = joined.select(*_merged_columns(t2, one, agreed, id, write_null, version))
-    gone = absent_rows(good, present_ids(t, good, id), id).select(*s.columns)
+    gone = absent_rows(good, present_ids(t, good, id), id).select(*columns_of(s))
     rejected = _missing(gone, id).unionByName(bad)
     return WriteResult(target, rejected, s, lambda t, s: write_update(t, s, id, order, write_null, version, unique))
 
@@ -253,7 +255,7 @@ def write_upsert(
         added = one.join(present_ids(t, good, id), id, "left_anti")
         if version:
             added = added.withColumn(version, F.lit(1).cast(t.schema[version].dataType))
-        target = append_ids(merged, added.select(*(c for c in added.columns)))
+        target = append_ids(merged, added)
     else:
         target = t2.join(_prefixed(one, id), id, "full_outer").select(*columns)
     return WriteResult(target, bad, s, lambda t, s: write_upsert(t, s, id, order, write_null, version, unique))
@@ -265,7 +267,7 @@ def write_delete(t: DataFrame, s: DataFrame, id: str | None, include=(), exclude
     if json_input or include or exclude:
         raise ValueError("a delete takes ids only: JSON input and field include / exclude make no sense")
     keys = s.select(id).where(F.col(quote(id)).isNotNull()).distinct()
-    return WriteResult(t.join(keys, id, "left_anti").select(*t.columns), _none(s), s)
+    return WriteResult(t.join(keys, id, "left_anti").select(*columns_of(t)), _none(s), s)
 
 
 def delete_by_query(t: DataFrame, query, text=()) -> DataFrame:
@@ -318,7 +320,7 @@ def write_script(
         out.append(value.alias(name))
     rejected = bad
     if how == "left":
-        gone = one.join(present_ids(t, good, id), id, "left_anti").select(*s.columns)
+        gone = one.join(present_ids(t, good, id), id, "left_anti").select(*columns_of(s))
         rejected = _missing(gone, id).unionByName(bad)
     again = lambda t, s: write_script(t, s, id, set, params, upsert, scripted_upsert)
     return WriteResult(joined.select(*out), rejected, s, again)
@@ -361,7 +363,7 @@ def write_versioned(
     target = _replace_winners(t2, one, agreed, id, version, mode, is_small(good))
     stored = t.select(F.col(quote(id)), F.col(quote(version)).alias("__stored"))
     checked = one.join(stored.join(good.select(id).distinct(), id, "left_semi"), id, "left")
-    losers = checked.where(~_wins(F.col(quote(version)), F.col("__stored"), mode)).drop("__stored").select(*s.columns)
+    losers = checked.where(~_wins(F.col(quote(version)), F.col("__stored"), mode)).drop("__stored").select(*columns_of(s))
     conflict = F.concat(F.lit("version conflict, given version "), F.col(quote(version)).cast("string"))
     rejected = reject(losers.unionByName(lost), 409, "version_conflict", conflict).unionByName(bad)
     target = target.withColumn(version, F.col(quote(version)).cast(kept_type))
@@ -397,7 +399,7 @@ def _replace_winners(t, one, agreed, id: str, version: str, mode: str, small: bo
     replaced = t.join(side, id, "left").select(*columns)
     if mode == "internal":
         return replaced
-    return append_ids(replaced, one.join(present_ids(t, one, id), id, "left_anti").select(*one.columns))
+    return append_ids(replaced, one.join(present_ids(t, one, id), id, "left_anti").select(*columns_of(one)))
 
 
 def write_json_docs(

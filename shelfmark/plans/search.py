@@ -37,15 +37,11 @@ def term_text(spark, sf):
     return search(table(spark, sf, "documents"), p.term("text", "and"), text=["text"]).select("doc_id", "lang")
 
 
-@query("""
-    SELECT user_id, count(*) AS n FROM events GROUP BY user_id
-    HAVING list_contains(list(DISTINCT event_type), 'error')
-""")
+@query("SELECT page_id, url FROM pages WHERE list_contains(string_split_regex(url, '[/?&#.]'), 'page=2')")
 def term_array(spark, sf):
-    per_user = table(spark, sf, "events").groupBy("user_id").agg(
-        F.collect_set("event_type").alias("types"), F.count(F.lit(1)).alias("n")
-    )
-    return search(per_user, p.term("types", "error")).select("user_id", "n")
+    """A term on an array field matches when any element does."""
+    pages = table(spark, sf, "pages").withColumn("parts", F.split("url", "[/?&#.]"))
+    return search(pages, p.term("parts", "page=2")).select("page_id", "url")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')")

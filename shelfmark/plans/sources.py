@@ -81,10 +81,10 @@ def routing_read(spark, sf):
 
 
 @query("""
-    SELECT event_type, greatest(1, count(*) // 300) AS slices, count(*) AS docs FROM events GROUP BY 1
+    SELECT event_type, greatest(1, count(*) // 1000) AS slices, count(*) AS docs FROM events GROUP BY 1
 """)
 def slices(spark, sf):
-    cut = slice_scan(table(spark, sf, "events").select("event_id", "event_type"), 300, "event_type", "event_id")
+    cut = slice_scan(table(spark, sf, "events").select("event_id", "event_type"), 1000, "event_type", "event_id")
     return cut.groupBy("event_type", "_slice").agg(F.count(F.lit(1)).alias("n")).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("slices"), F.sum("n").alias("docs")
     )

@@ -254,12 +254,12 @@ def placed_by_routing(spark, sf):
 
 
 @query("""
-    SELECT 'events-' || event_type || '-' || strftime(ts, '%Y.%m.%d') AS _index, count(*) AS n, min(event_id) AS first_id
+    SELECT 'events-' || event_type || '-' || strftime(ts, '%Y.%m') AS _index, count(*) AS n, min(event_id) AS first_id
     FROM events GROUP BY 1
 """)
 def dynamic_index(spark, sf):
     root = scratch(spark, "dynamic")
-    write_dynamic(table(spark, sf, "events"), "events-{event_type}-{ts|YYYY.MM.dd}", root)
+    write_dynamic(table(spark, sf, "events"), "events-{event_type}-{ts|YYYY.MM}", root)
     rows = spark.read.parquet(root)
     return rows.groupBy("_index").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.decode import (
     NUMERIC_TYPES,
     blank_to_null,
+    detect_geo_point,
+    detect_geo_shape,
     geo_shape,
     geo_value,
     join_value,
@@ -19,7 +21,7 @@ from ..functions.decode import (
     parse_date_nanos,
 )
 from ..functions.documents import document
-from ..functions.fields import quote
+from ..functions.fields import columns_of, quote
 from ..operators.project import matched_depth, numbered
 from .mapping import Field, filter_mapping, leaf_type, parse_mapping, to_schema
 
@@ -255,7 +257,7 @@ def _read(work: DataFrame, fields, reader: _Reader) -> DataFrame:
 
     Each is made by a one-element explode, which Spark keeps as a step of its own. As plain columns they
     would be inlined into every filter pushed below them, parsing the text again for each use."""
-    columns = [F.col(quote(c)) for c in work.columns]
+    columns = columns_of(work)
     work = work.select(*columns, F.explode(F.array(F.try_parse_json("__json"))).alias("__doc"))
     values = []
     for f in fields:
@@ -282,5 +284,26 @@ def _unmapped(doc: Column, fields) -> Column:
     return F.transform_values(rest, lambda k, v: F.to_json(v))
 
 
+def detect_geo(df: DataFrame, json_col: str, mapping) -> dict[str, str]:
+    """Format of each geo field of the mapping, by its dotted name, from the first document that has
+    the field. What it returns is the ``geo`` argument of :func:`parse_docs`."""
+    found = {}
+    for name, kind in _geo_fields(parse_mapping(mapping), ""):
+        path = "$" + "".join(_step(p) for p in name.split("."))
+        text = df.select(F.get_json_object(F.col(quote(json_col)).cast("string"), path).alias("value"))
+        detected = (detect_geo_point if kind == "geo_point" else detect_geo_shape)(text, "value")
+        if detected:
+            found[name] = detected
+    return found
+
+
+def _geo_fields(fields, parent: str):
+    for f in fields:
+        if f.type in ("geo_point", "geo_shape"):
+            yield parent + f.name, f.type
+        elif f.type == "object":
+            yield from _geo_fields(f.fields, parent + f.name + ".")
+
+
 def mapped_schema(mapping, **options) -> T.StructType:
     return to_schema(parse_mapping(mapping), **options)

@@ -227,3 +227,19 @@ def test_to_document(spark):
     assert full["gone"] is None and full["s"]["n"] is None
     with pytest.raises(ValueError, match="decimal"):
         sm.to_document(spark.sql("SELECT cast(1 AS decimal(10,0)) AS decimal"))
+
+
+def test_detected_geo_formats_feed_the_reader(spark):
+    mapping = {
+        "properties": {
+            "p": {"type": "geo_point"},
+            "o": {"properties": {"q": {"type": "geo_point"}, "s": {"type": "geo_shape"}}},
+        }
+    }
+    docs = spark.createDataFrame(
+        [('{"p":null}',), ('{"p":[1.5,2.5],"o":{"q":"u1"}}',), ('{"o":{"s":{"type":"Point","coordinates":[1,2]}}}',)], "json string"
+    )
+    geo = sm.detect_geo(docs, "json", mapping)
+    assert geo == {"p": "lon_lat_array", "o.q": "geohash", "o.s": "point"}
+    out = sm.parse_docs(docs, "json", mapping, geo=geo).collect()
+    assert out[1].p == [1.5, 2.5] and out[1].o.q == "u1" and out[2].o.s.coordinates == [1.0, 2.0]

@@ -285,3 +285,13 @@ def test_large_merge_shuffles_each_side_once(spark, tmp_path):
         assert plan(sm.write_versioned(t, s, "id", "n").target).count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_names_with_dots_and_signs(spark):
+    ddl = "id string, `@timestamp` long, `a.b` int"
+    t = spark.createDataFrame([("1", 1, 1), ("2", 1, 1)], ddl)
+    s = spark.createDataFrame([("1", 2, None), ("3", 2, 5)], ddl)
+    assert rows(sm.write_upsert(t, s, "id").target) == [("1", 2, 1), ("2", 1, 1), ("3", 2, 5)]
+    assert rows(sm.write_index(t, s, "id", "@timestamp").target) == [("1", 2, None), ("2", 1, 1), ("3", 2, 5)]
+    assert rows(sm.write_create(t, s, "id").rejected.select("id", "`a.b`")) == [("1", None)]
+    assert sm.write_index(t, s.selectExpr("id", "cast(`a.b` AS string) AS `a.b`")).target.count() == 4
