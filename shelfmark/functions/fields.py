@@ -89,12 +89,18 @@ def literal(value, kind: T.DataType) -> Column:
     return F.lit(value)
 
 
+_WHOLE_BITS = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}
+
+
 def _number(value, kind: T.DataType) -> Column:
-    if isinstance(value, float) and value.is_integer() and not isinstance(kind, (T.FloatType, T.DoubleType)):
-        value = int(value)
-    if isinstance(value, int) and not isinstance(kind, T.DecimalType):
-        return F.lit(value).try_cast(kind) if abs(value) < 1 << 63 else F.lit(float(value))
-    return F.lit(value)
+    """A number as the field's own type where that keeps its value; otherwise as it is, so that bounds
+    beyond the type's range still compare."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.lit(float(value)).cast(kind)
+    bits = _WHOLE_BITS.get(type(kind))
+    if bits is not None and float(value).is_integer() and -(1 << bits) <= int(value) < 1 << bits:
+        return F.lit(int(value)).cast(kind)
+    return F.lit(value if isinstance(value, float) or abs(value) < 1 << 63 else float(value))
 
 
 def _as_text(value) -> str:

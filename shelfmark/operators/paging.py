@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.fields import quote
+from ..functions.fields import literal, quote
 from .batch import SALT
 
 GROUP_LIMIT = 100  # up to here it is enough that Spark cuts each group to n rows per task before the shuffle
@@ -32,7 +32,7 @@ def limit_per_partition(df: DataFrame, n: int, by, order: str = "_id") -> DataFr
 def page_after(df: DataFrame, after_id, size: int, id: str = "_id") -> DataFrame:
     """The next ``size`` rows by id, after ``after_id`` (None: from the start)."""
     column = F.col(quote(id))
-    rest = df if after_id is None else df.where(column > F.lit(after_id))
+    rest = df if after_id is None else df.where(column > literal(after_id, df.schema[id].dataType))
     return rest.orderBy(column).limit(size)
 
 

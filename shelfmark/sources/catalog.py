@@ -24,16 +24,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
-    """Names below a folder that match a glob. The listing stays in the JVM and comes back as one text,
-    so a folder of very many files costs no call per file."""
-    _, fs = fs_path(spark, path)
-    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob. The listing stays in the JVM and comes back as one text, so a folder of very
+    many files costs no call per file."""
+    _, fs = fs_path(spark, pattern)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern))
     if found is None or len(found) == 0:
         return []
     paths = spark._jvm.java.util.List.of(spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))
-    text = spark._jvm.java.util.Arrays.deepToString(paths.toArray())  # [[path, path, ...]]
-    return sorted(item.rsplit("/", 1)[1] for item in text[2:-2].split(", "))
+    text = spark._jvm.java.util.Arrays.deepToString(paths.toArray())[2:-2]  # path, path, ...
+    scheme = text.split(":", 1)[0] + ":"
+    return sorted(scheme + p for p in text.removeprefix(scheme).split(f", {scheme}"))
+
+
+def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
+    """Names below a folder that match a glob."""
+    return [p.rsplit("/", 1)[1] for p in _glob(spark, f"{path}/{pattern}")]
+
+
+def finished(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names of folders that Spark has finished writing: it puts ``_SUCCESS`` there last."""
+    return [p.rsplit("/", 2)[1] for p in _glob(spark, f"{path}/{pattern}/_SUCCESS")]
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
@@ -50,9 +61,8 @@ def version_path(path: str, number: int) -> str:
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
-    """Newest finished version of a saved collection: Spark writes ``_SUCCESS`` last."""
-    numbers = reversed(version_numbers(spark, path))
-    return next((n for n in numbers if path_exists(spark, version_path(path, n) + "/_SUCCESS")), None)
+    """Newest finished version of a saved collection."""
+    return max((int(n[len(VERSION) :]) for n in finished(spark, path, f"{VERSION}*")), default=None)
 
 
 def home(name: str, root: str | None) -> str:

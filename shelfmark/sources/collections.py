@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.predicates import as_predicate, bool_
@@ -14,6 +16,7 @@ from .json_docs import with_metadata as add_metadata
 from .mapping import common_schema, conform_frame, merge_mappings, parse_mapping, to_schema
 
 ROUTING_BUCKET = "_bucket"
+LOOKUPS = 8  # schema look-ups at a time
 
 
 def read_collection(
@@ -146,12 +149,15 @@ def read_collections(
         picked = select_names(list_collections(spark, root), names)
     else:
         picked = split_names(names)
-    frames = []
-    for name in picked:
+
+    def read(name: str) -> tuple[str, DataFrame] | None:
         if missing_as_empty and locate_collection(spark, name, root) is None:
-            continue
-        mapping = (mappings or {}).get(name)
-        frames.append((name, read_collection(spark, name, root=root, mapping=mapping, **options)))
+            return None
+        return name, read_collection(spark, name, root=root, mapping=(mappings or {}).get(name), **options)
+
+    # each collection's schema is looked up in its files: many look-ups run side by side
+    with ThreadPoolExecutor(max_workers=LOOKUPS) as pool:
+        frames = [f for f in pool.map(inheritable_thread_target(spark)(read), picked) if f is not None]
     if not frames:
         if missing_as_empty:
             return spark.createDataFrame([], T.StructType())

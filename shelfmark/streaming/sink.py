@@ -1,14 +1,18 @@
 """A Structured Streaming sink whose collections survive replays.
 
-Each micro-batch is written to its own folder (``docs/batch_id=N``); a replayed batch replaces the
-folder, so nothing is duplicated and a batch costs what it brings, never a rewrite of the collection.
+Each micro-batch is written to its own folder, named by start time, writer (the query's checkpoint) and
+batch number, and becomes visible with its commit record. A batch the writer has already committed is
+skipped, an attempt lost before its commit stays invisible, and a batch costs what it brings, never a
+rewrite of the collection. Several queries may write to one collection.
+
 Reading a keyed collection folds the batches: per id, the last document (append) or the last value of
-each field (update). ``compact_stream`` folds finished batches once and for all.
+each field (update). ``compact_stream`` folds committed batches once and for all.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 from functools import reduce
 
@@ -19,11 +23,12 @@ from ..functions.fields import quote
 from ..operators.batch import fold, latest
 from ..operators.project import project_for_write
 from ..operators.write import with_index
-from ..sources.catalog import children, drop_path, path_exists
+from ..sources.catalog import children, drop_path, finished
 
 log = logging.getLogger(__name__)
 
-BATCH = "batch_id"
+BATCH = "batch"
+NO_LOG = "0-plain-0"  # the folder of streams that keep no commit log
 
 
 def stream_to_collection(
@@ -67,10 +72,11 @@ def stream_to_collection(
         raise ValueError("operation [upsert] requires an id but none was specified")
     if not commit_log:
         log.warning("commit log is off: replayed batches will be written twice")
+    writer_id = writer_of(checkpoint) if commit_log else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        if commit_log and is_committed(session, path, batch_id):
+        if writer_id and is_committed(session, path, writer_id, batch_id):
             return
         out = with_index(batch, index_pattern) if index_pattern else batch
         if include or exclude:
@@ -78,7 +84,7 @@ def stream_to_collection(
             out = project_for_write(out, [*include, *keep, *(["_index"] if index_pattern and include else [])], exclude)
         if id and not unique:
             out = _settle(out, id, operation, order, write_null)
-        save_batch(out, path, batch_id, commit_log)
+        save_batch(out, path, writer_id, batch_id)
 
     options = {"availableNow": True} if trigger is None else trigger
     writer = sdf.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
@@ -93,42 +99,45 @@ def _settle(batch: DataFrame, id: str, operation: str, order, write_null: bool)
     return latest(batch, id, order) if operation == "index" else fold(batch, id, order, write_null)
 
 
-def save_batch(df: DataFrame, path: str, batch_id: int, commit_log: bool = True) -> None:
-    """Writes one micro-batch and then its commit record: task files, time and rows."""
+def writer_of(checkpoint: str) -> str:
+    """Short stable name of the query that owns a checkpoint."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def save_batch(df: DataFrame, path: str, writer: str | None, batch_id: int) -> None:
+    """Writes one micro-batch and then its commit record: task files, time and rows. Without a writer the
+    rows are plainly appended."""
     spark = df.sparkSession
-    if not commit_log:
-        df.write.mode("append").parquet(f"{path}/docs/{BATCH}=0")
+    if writer is None:
+        df.write.mode("append").parquet(f"{path}/docs/{BATCH}={NO_LOG}")
         return
     started = dt.datetime.now(dt.timezone.utc)
-    folder = f"{path}/docs/{BATCH}={batch_id}"
-    df.write.mode("overwrite").parquet(folder)
-    written = spark.read.schema(df.schema).parquet(folder)
+    name = f"{BATCH}={int(started.timestamp() * 1000):013d}-{writer}-{batch_id:010d}"
+    df.write.mode("overwrite").parquet(f"{path}/docs/{name}")
+    written = spark.read.schema(df.schema).parquet(f"{path}/docs/{name}")
     records = written.groupBy(F.col("_metadata.file_name").alias("task")).agg(F.count(F.lit(1)).alias("records"))
-    commit = records.withColumns({"started": F.lit(started), "resource": F.lit(path)})
-    commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{BATCH}={batch_id}")
+    facts = {"started": started, "resource": path, "writer": writer, "batch_id": batch_id}
+    commit = records.withColumns({k: F.lit(v) for k, v in facts.items()})
+    commit = commit.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{name}")
 
 
-def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
-    return path_exists(spark, f"{path}/commits/{BATCH}={batch_id}/_SUCCESS")
+def is_committed(spark: SparkSession, path: str, writer: str, batch_id: int) -> bool:
+    return bool(finished(spark, f"{path}/commits", f"{BATCH}=*-{writer}-{batch_id:010d}"))
 
 
 def commit_history(spark: SparkSession, path: str) -> DataFrame:
-    """One row per written file of each committed batch: task, records, started, resource, batch_id."""
-    schema = "task string, records bigint, started timestamp, resource string, batch_id bigint"
-    if not _numbers(spark, f"{path}/commits", BATCH):
+    """One row per written file of each committed batch."""
+    schema = "task string, records bigint, started timestamp, resource string, writer string, batch_id bigint"
+    names = finished(spark, f"{path}/commits", f"{BATCH}=*")
+    if not names:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/commits")
-
+    return spark.read.schema(schema).parquet(*(f"{path}/commits/{n}" for n in names))
 
-def last_committed(spark: SparkSession, path: str) -> int | None:
-    """Highest committed batch. Batches of a query finish one after the other, so all before it are
-    committed too."""
-    ids = reversed(_numbers(spark, f"{path}/commits", BATCH))
-    return next((n for n in ids if is_committed(spark, path, n)), None)
 
-
-def _numbers(spark: SparkSession, folder: str, key: str) -> list[int]:
-    return sorted(int(n.split("=")[1]) for n in children(spark, folder, f"{key}=*"))
+def _writer_and_number(name: str) -> tuple[str, int]:
+    _, writer, number = name.rsplit("-", 2)
+    return writer, int(number)
 
 
 def read_stream_collection(
@@ -150,46 +159,64 @@ def read_stream_collection(
 
 def _committed_rows(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """All visible rows with the batch they came from: the newest compacted base, then the folders of
-    later batches. Folders the base covers are not even listed."""
-    last, base = last_committed(spark, path), _base(spark, path)
-    batches = [
-        n for n in _numbers(spark, f"{path}/docs", BATCH) if (last is None or n <= last) and (base is None or n > base)
-    ]
+    batches it does not cover."""
+    base, covered = _base(spark, path)
+    names = _visible(spark, path, covered)
     parts = []
     if base is not None:
-        parts.append(spark.read.parquet(f"{path}/base/through={base}").withColumn(BATCH, F.lit(base).cast("bigint")))
-    if batches:
+        parts.append(spark.read.parquet(f"{path}/base/{base}").withColumn(BATCH, F.lit("")))
+    if names:
         reader = spark.read.option("mergeSchema", str(merge_schema).lower()).option("basePath", f"{path}/docs")
-        docs = reader.parquet(*(f"{path}/docs/{BATCH}={n}" for n in batches))
-        parts.append(docs.withColumn(BATCH, F.col(BATCH).cast("bigint")))
+        docs = reader.parquet(*(f"{path}/docs/{n}" for n in names))
+        parts.append(docs.withColumn(BATCH, F.col(BATCH).cast("string")))
     if not parts:
         raise FileNotFoundError(f"nothing was written to [{path}] yet")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _base(spark: SparkSession, path: str) -> int | None:
-    done = reversed(_numbers(spark, f"{path}/base", "through"))
-    return next((n for n in done if path_exists(spark, f"{path}/base/through={n}/_SUCCESS")), None)
+def _visible(spark: SparkSession, path: str, covered: dict[str, int]) -> list[str]:
+    names = finished(spark, f"{path}/commits", f"{BATCH}=*")
+    names = [n for n, (w, k) in ((n, _writer_and_number(n)) for n in names) if k > covered.get(w, -1)]
+    return names + children(spark, f"{path}/docs", f"{BATCH}={NO_LOG}")
+
+
+def _base(spark: SparkSession, path: str) -> tuple[str | None, dict[str, int]]:
+    """The newest finished base, and per writer the last batch it covers (one row per writer)."""
+    done = finished(spark, f"{path}/base", "at=*")
+    if not done:
+        return None, {}
+    rows = spark.read.schema("writer string, batch_id bigint").parquet(f"{path}/covered/{done[-1]}").collect()
+    return done[-1], {r["writer"]: r["batch_id"] for r in rows}
 
 
 def compact_stream(
     spark: SparkSession, path: str, id: str, operation: str = "index", write_null: bool = False
-) -> int | None:
-    """Folds all committed batches into a new base, which later reads start from. Returns the last batch
-    it covers. The batches stay until ``expire_batches``, so readers at work are not disturbed."""
-    last = last_committed(spark, path)
-    if last is None or last == _base(spark, path):
-        return last
+) -> dict[str, int]:
+    """Folds all committed batches into a new base, which later reads start from. Returns, per writer, the
+    last batch it covers. The batches stay until ``expire_batches``, so readers at work are not disturbed.
+    Run it from one place at a time."""
+    base, covered = _base(spark, path)
+    fresh = [_writer_and_number(n) for n in _visible(spark, path, covered) if not n.endswith(NO_LOG)]
+    if not fresh:
+        return covered
+    covered = dict(covered)
+    for writer, number in fresh:
+        covered[writer] = max(number, covered.get(writer, -1))
+    name = f"at={int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000):013d}"
     state = read_stream_collection(spark, path, id, operation, write_null, merge_schema=True)
-    state.write.mode("overwrite").parquet(f"{path}/base/through={last}")
-    return last
-
-
-def expire_batches(spark: SparkSession, path: str) -> list[int]:
-    """Deletes the batch folders the newest base covers. Their commit records stay, so a replay of such a
-    batch is still skipped."""
-    base = _base(spark, path)
-    gone = [n for n in _numbers(spark, f"{path}/docs", BATCH) if base is not None and n <= base]
-    for n in gone:
-        drop_path(spark, f"{path}/docs/{BATCH}={n}")
+    rows = spark.createDataFrame(list(covered.items()), "writer string, batch_id bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/covered/{name}")
+    state.write.mode("overwrite").parquet(f"{path}/base/{name}")
+    return covered
+
+
+def expire_batches(spark: SparkSession, path: str) -> list[str]:
+    """Deletes the batch folders the newest base covers, and older bases. Commit records stay, so a replay
+    of such a batch is still skipped."""
+    base, covered = _base(spark, path)
+    names = [n for n in children(spark, f"{path}/docs", f"{BATCH}=*") if not n.endswith(NO_LOG)]
+    gone = [f"docs/{n}" for n, (w, k) in ((n, _writer_and_number(n)) for n in names) if k <= covered.get(w, -1)]
+    gone += [f"base/{n}" for n in finished(spark, f"{path}/base", "at=*") if n != base]
+    for name in gone:
+        drop_path(spark, f"{path}/{name}")
     return gone

@@ -71,6 +71,17 @@ def test_null_values_and_empty_sets(trips):
     assert sm.search(trips, sm.missing("no.such.field")).count() == 3
 
 
+def test_numbers_compare_in_the_fields_type(spark):
+    df = spark.createDataFrame([(1, 0.1, 5), (100, 2.5, None)], "tiny byte, f float, n long")
+    counts = {
+        sm.range("tiny", lt=300): 2, sm.range("tiny", gt=300): 0, sm.range("tiny", gte=99.5): 1, sm.term("tiny", 1.0): 1,
+        sm.term("f", 0.1): 1, sm.term("f", "2.5"): 1, sm.range("n", lt=2**70): 1, sm.term("n", 2**70): 0, sm.term("n", "five"): 0,
+        sm.terms("n", ["5", True, 7]): 1,
+    }
+    for query, expected in counts.items():
+        assert sm.search(df, query).count() == expected
+
+
 def test_arrays_match_any_element(spark):
     df = spark.createDataFrame(
         [(1, ["a b", "c"], [(1, "x"), (2, "y")]), (2, [], []), (3, None, None), (4, [None], [(None, "z")])],
