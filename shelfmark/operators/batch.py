@@ -20,7 +20,12 @@ def hashable(kind: T.DataType) -> bool:
 
 
 def row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*(F.col(quote(f.name)) for f in df.schema.fields if hashable(f.dataType)))
+    """Hash of a row's content; columns Spark cannot hash count with their JSON text."""
+    parts = []
+    for f in df.schema.fields:
+        column = F.col(quote(f.name))
+        parts.append(column if hashable(f.dataType) else F.to_json(F.struct(column)))
+    return F.xxhash64(*parts)
 
 
 def order_key(df: DataFrame, order) -> Column:
@@ -56,19 +61,22 @@ def _single(id: str) -> Column:
 
 
 def all_but_first(df: DataFrame, id: str, order=None) -> DataFrame:
-    """Every row that is not the first of its id (the one ``latest(first=True)`` gives). Rows are ranked
-    per (id, salt); only the at most ``SALT`` leaders of an id meet in one task."""
+    """Every row that is not the first of its id (the one ``latest(first=True)`` gives).
+
+    Rows are ranked per (id, salt) first; then only the leaders of an id, at most ``SALT``, meet in one
+    group, while all others stay in their salted groups. The salt differs by input partition, so that even
+    identical copies of one row are spread."""
     if order is None:  # latest() has made sure that ids do not repeat
         return df.limit(0)
     names = [order] if isinstance(order, str) else list(order)
     ranking = [F.col(quote(n)) for n in names] + [F.col("__tie")]
-    salted = df.withColumn("__tie", row_hash(df)).withColumn("__salt", F.pmod(F.col("__tie"), F.lit(SALT)))
-    within = Window.partitionBy(F.col(quote(id)), "__salt").orderBy(*ranking)
-    local = salted.withColumn("__local", F.row_number().over(within))
-    leaders = local.where("__local = 1")
-    leaders = leaders.withColumn("__rank", F.row_number().over(Window.partitionBy(F.col(quote(id))).orderBy(*ranking)))
-    columns = columns_of(df)
-    return local.where("__local > 1").select(*columns).unionByName(leaders.where("__rank > 1").select(*columns))
+    key = F.col(quote(id))
+    salted = df.withColumn("__tie", row_hash(df))
+    salted = salted.withColumn("__salt", F.pmod(F.xxhash64(F.spark_partition_id(), "__tie"), F.lit(SALT)))
+    ranked = salted.withColumn("__local", F.row_number().over(Window.partitionBy(key, "__salt").orderBy(*ranking)))
+    ranked = ranked.withColumn("__group", F.when(F.col("__local") == 1, F.lit(-1)).otherwise(F.col("__salt")))
+    ranked = ranked.withColumn("__rank", F.row_number().over(Window.partitionBy(key, "__group").orderBy(*ranking)))
+    return ranked.where((F.col("__local") > 1) | (F.col("__rank") > 1)).select(*columns_of(df))
 
 
 def fold(df: DataFrame, id: str, order, write_null: bool = False) -> DataFrame:

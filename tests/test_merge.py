@@ -295,3 +295,16 @@ def test_names_with_dots_and_signs(spark):
     assert rows(sm.write_index(t, s, "id", "@timestamp").target) == [("1", 2, None), ("2", 1, 1), ("3", 2, 5)]
     assert rows(sm.write_create(t, s, "id").rejected.select("id", "`a.b`")) == [("1", None)]
     assert sm.write_index(t, s.selectExpr("id", "cast(`a.b` AS string) AS `a.b`")).target.count() == 4
+
+
+def test_copies_spread_over_salted_groups(spark):
+    """A third of all rows are one identical row: everything but one copy is rejected, from many groups."""
+    hot = spark.range(0, 3000, 1, 12).selectExpr("'hot' AS id", "1 AS n", "map('k', 1) AS m")
+    cold = spark.range(6000).selectExpr("concat('c', id % 2000) AS id", "cast(id AS int) AS n", "map('k', cast(id AS int)) AS m")
+    t = spark.createDataFrame([("c7", 0, {"k": 0})], "id string, n int, m map<string,int>")
+    s = hot.unionByName(cold)
+    result = sm.write_create(t, s, "id", "n")
+    assert result.target.count() == 2001
+    counts = {r.id: r["count"] for r in result.rejected.groupBy("id").count().collect()}
+    assert counts["hot"] == 2999 and counts["c7"] == 3 and all(n == 2 for k, n in counts.items() if k not in ("hot", "c7"))
+    assert {r.n for r in result.rejected.where("id = 'c9'").collect()} == {2009, 4009}
