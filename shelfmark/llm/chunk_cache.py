@@ -9,24 +9,36 @@ from collections.abc import Callable
 
 import numpy as np
 
+from .common import prefix_sums, span_hashes
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Slices of an array, one after the other."""
+    counts = ends - starts
+    total = int(counts.sum())
+    if not total:
+        return values[:0]
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
+    at += np.arange(total)
+    return values[at]
+
 
 class ChunkIds:
-    """``encode(chunks) -> (ids, counts)`` gives the ids of many chunks, joined, and how many each has."""
+    """``encode(chunks) -> (chunks, ids, counts)`` gives the ids of many chunks (bytes), joined, and how many
+    each has; it may put the chunks into another order."""
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 700_000):
+    def __init__(self, encode: Callable, limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict = {}
+        self.code: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self, chunks: list) -> None:
-        if len(self.code) + len(chunks) > self.limit and self.code:
-            self._clear()
-        ids, counts = self.encode(chunks)
+    def _learn(self, chunks: list[bytes]) -> None:
+        chunks, ids, counts = self.encode(chunks)
         n = len(self.code)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -37,30 +49,21 @@ class ChunkIds:
         self.used += len(ids)
         self.code.update(zip(chunks, range(n, n + len(chunks))))
 
-    def __call__(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the chunks in a row, and how many ids each chunk has."""
-        new = set(chunks).difference(self.code)
+    def codes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The table row of every chunk of ``data``."""
+        _, first, inverse = np.unique(span_hashes(prefix_sums(data), starts, ends), return_index=True, return_inverse=True)
+        held = data.tobytes()
+        chunks = [held[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        new = [c for c in chunks if c not in self.code]
+        if new and len(self.code) + len(new) > self.limit:
+            self._clear()
+            new = chunks
         if new:
-            held = len(self.code)
-            self._learn(sorted(new))
-            if len(self.code) < held + len(new):  # started anew: the rest is to be learned again
-                rest = set(chunks).difference(self.code)
-                if rest:
-                    self._learn_more(sorted(rest))
-        codes = np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
-        return gathered(self.ids, self.start[codes], self.start[codes + 1])
-
-    def _learn_more(self, chunks: list) -> None:
-        limit, self.limit = self.limit, 1 << 62  # what one call needs is held together
-        try:
-            self._learn(chunks)
-        finally:
-            self.limit = limit
-
+            self._learn(list(dict.fromkeys(new)))
+        return np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))[inverse]
 
-def gathered(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slices of an array, one after the other, and their lengths."""
-    counts = ends - starts
-    total = int(counts.sum())
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) if total else np.zeros(0, np.int64)
-    return values[at + np.arange(total)], counts
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks in a row, and how many ids each chunk has."""
+        codes = self.codes(data, starts, ends)
+        lo, hi = self.start[codes], self.start[codes + 1]
+        return gathered(self.ids, lo, hi), hi - lo

@@ -21,7 +21,7 @@ stored as the least 64-bit integer. Only the id and text columns are read, whate
 from __future__ import annotations
 
 import functools
-import re
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,17 +35,34 @@ from pyspark.sql import functions as F
 
 from ..sources.catalog import scratch
 from .chunk_cache import ChunkIds
-from .common import chunked, query, table
+from .common import IS_GAP, chunked, query, table, text_bytes
 
 MAGIC = b"SHLFPK01"
 BLOCK_IDS = 4096
 NULL_ID = -(2**63)
 
-#: The characters that Unicode calls white space.
-WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: White space with the word after it. No token crosses the start of such a chunk: the tokenizer's own
-#: pattern never lets white space follow another character within a piece.
-CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+$")
+#: UTF-8 forms of the characters beyond ASCII that Unicode calls white space.
+WIDE_WHITE = [
+    c.encode()
+    for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+]
+
+
+def chunk_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of chunks (white space with what follows it) that cover every row, and the index of
+    each row's first chunk. No token crosses the start of a chunk: the tokenizer's own pattern never lets
+    white space follow another character within a piece."""
+    white = IS_GAP[data]
+    for lead in (0xC2, 0xE1, 0xE2, 0xE3):
+        for at in np.flatnonzero(data == lead):
+            for form in WIDE_WHITE:
+                if form[0] == lead and data[at : at + len(form)].tobytes() == form:
+                    white[at : at + len(form)] = True
+    starts = white.copy()
+    starts[1:] &= ~white[:-1]
+    starts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    first = np.flatnonzero(starts)
+    return first, np.append(first[1:], len(data)), np.searchsorted(first, offsets)
 
 
 def pack(ids: np.ndarray, bits: int, block_ids: int = BLOCK_IDS) -> tuple[np.ndarray, bytes]:
@@ -130,8 +147,6 @@ class Shard:
 def _chunk_ids(vocabulary: str) -> tuple[ChunkIds, int]:
     """Encoder of one worker. The missing chunks are encoded as one text in which every chunk starts a new
     piece; ids are given back to their chunks by their lengths in bytes."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -141,37 +156,30 @@ def _chunk_ids(vocabulary: str) -> tuple[ChunkIds, int]:
     size = tokenizer.get_vocab_size()
     #: A token has one character for each byte it stands for.
     n_bytes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-    white = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c))
-
-    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joined = [c[0] in white and c[-1] not in white for c in chunks]
-        out: list = [None] * len(chunks)
-        single = [k for k, j in enumerate(joined) if not j]
-        for k, e in zip(single, tokenizer.encode_batch_fast([chunks[k] for k in single], add_special_tokens=False)):
-            out[k] = np.array(e.ids, np.uint32)
-        rest = [k for k, j in enumerate(joined) if j]
-        for at in range(0, len(rest), 20_000):
-            some = rest[at : at + 20_000]
-            ids = np.array(tokenizer.encode_batch_fast(["".join([chunks[k] for k in some])], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.cumsum([len(chunks[k].encode()) for k in some])
-            cuts = np.searchsorted(np.cumsum(n_bytes[ids]), ends) + 1
-            for k, part in zip(some, np.split(ids, cuts[:-1])):
-                out[k] = part
-        return np.concatenate(out) if out else np.zeros(0, np.uint32), np.array(list(map(len, out)), np.int64)
+    gap = frozenset(np.flatnonzero(IS_GAP).tolist())
+
+    def encode(chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        joined = [c for c in chunks if c[0] in gap and not c.decode()[-1].isspace()]
+        single = list(set(chunks).difference(joined))
+        alone = [e.ids for e in tokenizer.encode_batch_fast([c.decode() for c in single], add_special_tokens=False)]
+        ids, counts = [np.array([i for x in alone for i in x], np.uint32)], [np.array(list(map(len, alone)), np.int64)]
+        for at in range(0, len(joined), 20_000):
+            some = joined[at : at + 20_000]
+            got = np.array(tokenizer.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.searchsorted(np.cumsum(n_bytes[got]), np.cumsum(list(map(len, some)))) + 1
+            ids.append(got)
+            counts.append(np.diff(ends, prepend=0))
+        return single + joined, np.concatenate(ids), np.concatenate(counts)
 
     return ChunkIds(encode), size
 
 
-def encode_texts(texts: list[str], vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(column: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, and how many each has."""
-    chunk_ids, _ = _chunk_ids(vocabulary)
-    chunks, ends = [], []
-    for text in texts:
-        chunks += CHUNK.findall(text)
-        ends.append(len(chunks))
-    ids, counts = chunk_ids(chunks)
-    running = np.concatenate([[0], np.cumsum(counts)])[[0, *ends]]
-    return ids, np.diff(running)
+    data, offsets = text_bytes(column)
+    starts, ends, row_first = chunk_spans(data, offsets)
+    ids, counts = _chunk_ids(vocabulary)[0](data, starts, ends)
+    return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[row_first])
 
 
 def bits_for(size: int) -> int:
@@ -211,7 +219,7 @@ def write_packed(
             return pa.RecordBatch.from_arrays([pa.array(r[0:1]) for r in row], ["part", "number", "path", "n_docs", "n_ids"])
 
         for batch in chunked(batches, "text", 4 << 20):
-            got, n = encode_texts(batch.column("text").to_pylist(), vocabulary)
+            got, n = encode_texts(batch.column("text"), vocabulary)
             if end_id is not None:
                 got, n = np.insert(got, np.cumsum(n), end_id), n + 1
             doc_ids.append(batch.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False))
