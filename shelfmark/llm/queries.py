@@ -1,4 +1,4 @@
 """All registered queries of this package and their SQL."""
 
-from . import decontamination, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, token_packing  # noqa: F401
+from . import decontamination, line_templates, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, token_packing  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
