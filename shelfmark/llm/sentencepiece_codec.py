@@ -35,6 +35,7 @@ from .chunk_cache import ChunkIds, gathered
 from .common import chunked, query, table, text_bytes
 
 SPACE = "▁"
+SLICE_BYTES, SLICE_IDS = 2 << 20, 500_000
 #: Model types as the model files number them.
 TYPES = {1: "unigram", 2: "bpe"}
 
@@ -99,7 +100,7 @@ class Codec:
         bytes_of[self.unknown] = " ⁇ ".encode()
         self.piece_ends = np.cumsum(list(map(len, bytes_of)), dtype=np.int64)
         self.piece_bytes = np.frombuffer(b"".join(bytes_of), np.uint8)
-        self.chunk_ids = ChunkIds(self._encode_chunks, 700_000)
+        self.chunk_ids = ChunkIds(self._encode_chunks, 400_000)
 
     def _merges_to_itself(self, piece: str) -> bool:
         """Whether merging its characters by rank makes the piece; remembers what the last merge joined."""
@@ -133,7 +134,7 @@ class Codec:
             else:
                 result = True
                 break
-        if len(self.apart) > 500_000:
+        if len(self.apart) > 250_000:
             self.apart.clear()
         self.apart[a, b] = result
         return result
@@ -262,7 +263,7 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", into: str = "ids"
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in chunked(batches, "text", 4 << 20):
+        for batch in chunked(batches, "text", SLICE_BYTES):
             ids, counts = codec(model).encode(batch.column("text"))
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -279,13 +280,18 @@ def decode(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "dec
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            lists = batch.column("ids")
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
-            data, offsets = codec(model).decode(flat, ends)
-            held = data.tobytes()
-            texts = [held[a:b].decode(errors="replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
+            total = np.cumsum(batch.column("ids").value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = 0
+            while at < batch.num_rows:  # a slice of bounded size at a time, a row at least
+                before = int(total[at - 1]) if at else 0
+                to = max(at + 1, int(np.searchsorted(total, before + SLICE_IDS, "right")))
+                part = batch.slice(at, to - at)
+                flat = part.column("ids").flatten().to_numpy(zero_copy_only=False)
+                data, offsets = codec(model).decode(flat, total[at:to] - before)
+                held = data.tobytes()
+                texts = [held[a:b].decode(errors="replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
+                at = to
 
     out = rows.mapInArrow(run, rows.select("row").schema.add("decoded", T.StringType()))
     return out.select(*(F.col("row")[c].alias(c) for c in encoded.columns if c != into), F.col("decoded").alias(into))
