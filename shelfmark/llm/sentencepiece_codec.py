@@ -11,9 +11,9 @@ What makes a path best follows the model's type:
 * ``bpe``: the path that merging by rank gives. It is the only one in which no neighbouring pieces would have
   merged across their common boundary, so exactly one piece survives for each boundary.
 
-Both give the ids of the model's own library. No piece holds the space sign after another character in the
-usual models, so paths always meet there, and a chunk (space signs and the word after them) that repeats is
-searched once per worker. Models with such pieces are searched text by text.
+Both give the ids of the model's own library. Between two characters that no piece holds next to each other all
+paths meet, whatever surrounds them. In the usual models this is so before a space sign, so texts fall into
+chunks of about a word, and a chunk that repeats is searched once per worker.
 
 Defined results: null and empty texts have no ids and decode to the empty text; a character without a piece
 becomes its byte pieces, or the unknown id where the model has none (then it does not come back); the space sign U+2581
@@ -86,6 +86,16 @@ class Codec:
         #: No piece crosses the start of a run of space signs.
         self.splits_at_spaces = not any(SPACE in p.lstrip(SPACE) for p in self.id)
         self.prefix = sp.normalize("a") != "a"
+        #: Pairs of ASCII characters that no piece holds next to each other: no piece crosses between them.
+        self.never = np.ones((256, 256), bool)
+        self.never[0x80:] = self.never[:, 0x80:] = False
+        for p in self.id:
+            for a, b in zip(p, p[1:]):
+                if a.isascii() and b.isascii():
+                    self.never[ord(a), ord(b)] = False
+        if not self.byte_id:  # neighbouring unknown characters are one unknown id
+            unknown = [c for c in range(0x80) if chr(c) not in self.id]
+            self.never[np.ix_(unknown, unknown)] = False
         if self.type == "bpe":
             by_score = sorted(self.score, key=lambda p: -self.score[p])
             self.rank = {p: r for r, p in enumerate(by_score) if len(p) > 1}
@@ -193,6 +203,22 @@ class Codec:
         self._emit(self._path(back, len(window)), out)
         yield out
 
+    def _short_path(self, text: str) -> list[str]:
+        """What ``stream`` finds for a text that fits into one window of a ``bpe`` model."""
+        back: list = [None]
+        whole, apart, reach = self.whole, self.apart, self.reach
+        for i in range(1, len(text) + 1):
+            for j in range(max(0, i - reach), i):
+                piece = text[j:i]
+                if j == i - 1 or piece in whole:
+                    if not j:
+                        break
+                    known = apart.get((back[j], piece))
+                    if self._stay_apart(back[j], piece) if known is None else known:
+                        break
+            back.append(piece)
+        return self._path(back, len(text))
+
     def _meeting(self, back: list, i: int) -> int:
         """The last boundary that the paths of all boundaries within reach have in common."""
         alive = set(range(max(0, i - self.reach + 1), i + 1))
@@ -214,9 +240,12 @@ class Codec:
         out: list[int] = []
         counts = []
         for chunk in chunks:
-            n = len(out)
-            for ids in self.stream([chunk.decode()]):
-                out += ids
+            n, text = len(out), chunk.decode()
+            if self.type == "bpe" and len(text) < 4 * self.reach:  # would be one window
+                self._emit(self._short_path(text), out)
+            else:
+                for ids in self.stream([text]):
+                    out += ids
             counts.append(len(out) - n)
         return chunks, np.array(out, np.uint32), np.array(counts, np.int64)
 
@@ -227,6 +256,7 @@ class Codec:
         data = np.frombuffer(b"".join(texts), np.uint8)
         begins = np.zeros(len(data) + 1, bool)
         begins[offsets[:-1]] = True
+        begins[1:-1] |= self.never[data[:-1], data[1:]]
         if self.splits_at_spaces and len(data) > 2:
             space = SPACE.encode()
             sign = (data[:-2] == space[0]) & (data[1:-1] == space[1]) & (data[2:] == space[2])
