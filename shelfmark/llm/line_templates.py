@@ -23,48 +23,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import query, table, written
-from .doc_features import GAP, let, words_of
+from .doc_features import let, words_of
 
 BUCKETS = 1 << 20
 FIELD = "<*>"
 LEADING = 2
 
 
-def masked_line(line: Column) -> Column:
-    """The line's tokens with single spaces between, those with digits masked."""
-    return F.regexp_replace(F.array_join(words_of(line), " "), "[^ ]*[0-9][^ ]*", FIELD)
+def masked_tokens(line: Column) -> Column:
+    """The line's tokens, those with digits masked. Only lines that have a digit are searched for them."""
+    masked = F.regexp_replace(line, "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*", FIELD)
+    return words_of(F.when(line.rlike("[0-9]"), masked).otherwise(line))
 
 
 def dropped_lines(docs: DataFrame, *, text: str = "text", min_docs: int = 10, min_tokens: int = 3, min_constant: float = 0.7) -> DataFrame:
-    """``digest`` of each text that has recurring lines, their ``numbers``, and ``n_tokens`` in them."""
+    """``digest`` of each text that has recurring lines, their ``numbers``, and ``n_tokens`` in them. Leaves and
+    lines are told apart by 64-bit hashes."""
     lines = (
         docs.where(F.col(text).isNotNull())
         .select(F.md5(text).alias("digest"), F.posexplode(F.split(text, "\n")).alias("number", "line"))
-        .withColumn("line", masked_line(F.col("line")))
-        .withColumn("n", F.size(F.split("line", " ")))
-        .where(F.col("n") >= min_tokens)
-        .withColumn("lead", F.substring_index("line", " ", LEADING))
-        .withColumn("bucket", F.pmod(F.xxhash64("n", "lead"), F.lit(BUCKETS)))
-    )
-    common = lines.groupBy("bucket").count().where(F.col("count") >= min_docs).select("bucket")
-    likely = written(lines.join(F.broadcast(common), "bucket", "left_semi").drop("bucket"), "lines-likely")
-    distinct = likely.groupBy("n", "lead", "line").agg(F.count("*").alias("docs"))
-    tokens = distinct.select("n", "lead", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    constants = (
-        tokens.where(F.col("token") != FIELD).groupBy("n", "lead", "at", "token").agg(F.sum("docs").alias("seen"))
-        .where(F.col("seen") >= min_docs).withColumn("constant", F.lit(True)).drop("seen")
+        .select("digest", "number", let(masked_tokens(F.col("line")), lambda t: F.struct(F.size(t).alias("n"), F.array_join(t, " ").alias("line"))).alias("m"))
+        .select("digest", "number", "m.n", "m.line").where(F.col("n") >= min_tokens)
+        .withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", LEADING)))
     )
+    lines = written(lines, "lines")
+    bucket = F.pmod(F.col("leaf"), F.lit(BUCKETS)).alias("bucket")
+    common = lines.groupBy(bucket).count().where(F.col("count") >= min_docs).select("bucket")
+    likely = lines.join(F.broadcast(common), bucket == F.col("bucket"), "left_semi")
+    key = F.xxhash64("line").alias("key")
+    distinct = likely.groupBy("n", "leaf", "line").agg(F.count("*").alias("docs"))
+    tokens = distinct.select("n", "leaf", key, "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
+    tokens = written(tokens.where(F.col("token") != FIELD), "line-tokens")
+    constants = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs).drop("seen")
     templates = (
-        tokens.join(constants, ["n", "lead", "at", "token"], "left")
-        .groupBy("n", "lead", "line")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("at", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("token")))).alias("parts"),
-            F.count("constant").alias("constants"),
-        )
-        .where(F.col("constants") >= F.lit(min_constant) * F.col("n"))
-        .select("n", "line", F.array_join("parts.token", " ").alias("template"))
+        tokens.join(constants, ["leaf", "at", "token"])
+        .groupBy("n", "key")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("constants"))
+        .where(F.size("constants") >= F.lit(min_constant) * F.col("n"))
+        .select("key", F.xxhash64("n", "constants").alias("template"))
     )
-    places = written(likely.join(templates, ["n", "line"]).select("digest", "number", "n", "template"), "lines-places")
+    places = written(likely.select("digest", "number", "n", key).join(templates, "key").drop("key"), "lines-places")
     seen = places.select("template", "digest").distinct().groupBy("template").count()
     recurring = seen.where(F.col("count") >= min_docs).select("template")
     return (
