@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NULL_ID, pack_blocks, packed, unpacked, unpacked_block
+from .blocks import NULL_ID, counts_of, key_counts, pack_blocks, unpacked_block
 from .common import lowered, mixed, prefix_sums, query, span_hashes, table, word_spans, written
 from .components import components
 
@@ -82,57 +82,14 @@ def _keys(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.
     return distinct[order], bucket[order], key[order]
 
 
-def token_counts(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
-    """Per block, how many sets (up to 255) hold each of its distinct tokens."""
-
-    def ask(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("docs")):
-                _, tokens, ends = shingle_sets(payload.as_py(), size)
-                distinct, bucket, key = _keys(tokens, buckets)
-                held = np.zeros(len(distinct), np.int64)
-                by_token = np.argsort(distinct)
-                once = _first_of_equal(tokens, ends)
-                np.add.at(held, by_token[np.searchsorted(distinct[by_token], tokens[once])], 1)
-                held = np.minimum(held, 255).astype("u1")
-                for b, lo in zip(*np.unique(bucket, return_index=True)):
-                    some = slice(lo, np.searchsorted(bucket, b, "right"))
-                    gaps = np.diff(key[some].astype(np.int64), prepend=0).astype("<u4")
-                    payload = packed(*(gaps.view("u1").reshape(-1, 4)[:, i] for i in range(4)), held[some])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(b)]), pa.array([block], pa.int64()), pa.array([payload], pa.binary())], ["bucket", "block", "payload"]
-                    )
-
-    def answer(batches: Iterator[pa.RecordBatch]):
-        def close(bucket, rows):
-            keys, held = [], []
-            for _, payload in rows:
-                *parts, n = unpacked(payload, *["u1"] * 5)
-                keys.append(np.cumsum(np.stack(parts, axis=1).reshape(-1).view("<u4"), dtype=np.int64))
-                held.append(n)
-            names, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.minimum(np.bincount(inverse, np.concatenate(held), len(names)), 255).astype("u1")
-            payloads = [packed(total[i]) for i in np.split(inverse, np.cumsum(list(map(len, keys)))[:-1])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([bucket] * len(rows), pa.int64()), pa.array([b for b, _ in rows], pa.int64()), pa.array(payloads, pa.binary())],
-                ["bucket", "block", "payload"],
-            )
-
-        now, rows = None, []
-        for batch in batches:
-            for bucket, block, payload in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "payload"))):
-                if rows and bucket != now:
-                    yield close(now, rows)
-                    rows = []
-                now = bucket
-                rows.append((block, payload))
-        if rows:
-            yield close(now, rows)
-
-    schema = "bucket long, block long, payload binary"
-    asked = blocks.mapInArrow(ask, schema).repartition(min(buckets, 20_000), "bucket").sortWithinPartitions("bucket")
-    answers = written(asked.mapInArrow(answer, schema), "token-counts")
-    return answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("counts"))
+def token_keys(payload: bytes, size: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket, key, and number of a block's different sets, for each distinct token of the block."""
+    _, tokens, ends = shingle_sets(payload, size)
+    distinct, bucket, key = _keys(tokens, buckets)
+    by_token = np.argsort(distinct)
+    once = tokens[_first_of_equal(tokens, ends)]
+    held = np.bincount(by_token[np.searchsorted(distinct[by_token], once)], minlength=len(distinct))
+    return bucket, key, np.minimum(held, 255)
 
 
 def _first_of_equal(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -152,10 +109,7 @@ def candidate_sets(blocks: DataFrame, counts: DataFrame, size: int, percent: int
             for payload, found in zip(batch.column("docs"), batch.column("counts")):
                 ids, tokens, ends = shingle_sets(payload.as_py(), size)
                 distinct, bucket, _ = _keys(tokens, buckets)
-                held = np.ones(len(distinct), "u1")
-                for f in found.as_py() or []:
-                    lo, hi = np.searchsorted(bucket, [f["bucket"], f["bucket"] + 1])
-                    held[lo:hi] = unpacked(f["payload"], "u1")[0]
+                held = counts_of(bucket, found.as_py())
                 by_token = np.argsort(distinct)
                 held = held[by_token[np.searchsorted(distinct[by_token], tokens)]]
                 n = np.diff(ends, prepend=0)
@@ -252,7 +206,8 @@ def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
     blocks = pack_blocks(docs, id, text)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // TARGET_BYTES))
-    rows = candidate_sets(blocks, token_counts(blocks, size, buckets), size, percent, buckets)
+    counts = key_counts(blocks, buckets, lambda payload: token_keys(payload, size, buckets))
+    rows = candidate_sets(blocks, counts, size, percent, buckets)
     stats = rows.select("doc_id", "n", "one", "two")
     able = rows.where(F.col("tokens").isNotNull())
     reps = stats.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("rep"))
