@@ -188,10 +188,15 @@ def geo_point_format(c: Column) -> Column:
 
 
 def detect_geo_point(df: DataFrame, column: str) -> str | None:
-    """Format of the first non-null value of this field (one sampled row); None when there is none."""
-    found = geo_point_format(F.col(column))
-    row = df.select(found.alias("format")).where("format IS NOT NULL").first()
-    return row["format"] if row else None
+    """The one format that all values of this field have; None when there is no value. Mixed formats raise."""
+    return _only_value(df, geo_point_format(F.col(column)), column)
+
+
+def _only_value(df: DataFrame, value: Column, column: str) -> str | None:
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    if low != high:
+        raise ValueError(f"field [{column}] mixes the formats [{low}] and [{high}]")
+    return low
 
 
 def geo_point(c: Column) -> Column:
@@ -244,7 +249,7 @@ def geo_shape(c: Column, shape: str) -> Column:
 
 def detect_geo_shape(df: DataFrame, column: str) -> str | None:
     kind = F.lower(F.get_json_object(F.col(column), "$.type"))
-    row = df.select(kind.alias("shape")).where("shape IS NOT NULL").first()
-    if row and row["shape"] not in GEO_SHAPES:
-        raise ValueError(f"geo shape [{row['shape']}] is not supported")
-    return row["shape"] if row else None
+    shape = _only_value(df, kind, column)
+    if shape is not None and shape not in GEO_SHAPES:
+        raise ValueError(f"geo shape [{shape}] is not supported")
+    return shape

@@ -409,7 +409,10 @@ def _terms_node(body: dict) -> Predicate:
 
 def _range_node(body: dict) -> Predicate:
     ((field, options),) = body.items()
-    return range(field, **_only("range", options, ("gt", "gte", "lt", "lte")))
+    for bound in _only("range", options, ("gt", "gte", "lt", "lte")).values():
+        if isinstance(bound, str) and (bound.startswith("now") or "||" in bound):
+            raise ValueError(f"[range] does not support date arithmetic: [{bound}]")
+    return range(field, **options)
 
 
 def _prefix_node(body: dict) -> Predicate:
@@ -419,6 +422,8 @@ def _prefix_node(body: dict) -> Predicate:
 
 def _wildcard_node(body: dict) -> Predicate:
     field, options = _field_body("wildcard", body, "value")
+    if "?" in str(options["value"]):
+        raise ValueError("[wildcard] supports [*] only")
     return wildcard(field, options["value"])
 
 
@@ -436,6 +441,7 @@ def _query_string_node(body: dict) -> Predicate:
     return query_string(options.pop("query"), **options)
 
 
+# Options of a query string.
 _STRING_OPTIONS = ("default_field", "default_operator", "lenient", "lowercase_expanded_terms", "analyze_wildcard")
 
 _NODES: dict[str, Callable[[dict], Predicate]] = {
@@ -454,7 +460,7 @@ _NODES: dict[str, Callable[[dict], Predicate]] = {
     "query_string": _query_string_node,
 }
 
-_UNSUPPORTED = re.compile(r"[()\[\]{}~^\"\\/!&|<>+]|^-|:-")
+_UNSUPPORTED = re.compile(r"[()\[\]{}~^\"\\/!&|<>+?]|^-|:-|^NOT$")
 
 
 def query_string(
@@ -471,6 +477,8 @@ def query_string(
     that does not fit a field's type matches nothing, or raises unless ``lenient``."""
     if default_operator.lower() not in ("and", "or"):
         raise ValueError(f"unknown default_operator [{default_operator}]")
+    if analyze_wildcard:
+        raise ValueError("analyze_wildcard is not supported")
     groups: list[list[Predicate]] = [[]]
     joiner = None
     for piece in query.split():
@@ -523,4 +531,5 @@ def uri_query(text: str) -> Predicate:
     return query_string(options.pop("query"), **options)
 
 
+# Names of URI parameters.
 _URI_NAMES = {"q": "query", "df": "default_field"}

@@ -6,16 +6,16 @@ from __future__ import annotations
 import logging
 import socket
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.documents import document
+from ..sources.catalog import scratch
 from .merge import REJECTION, WriteResult
 
 log = logging.getLogger(__name__)
 
-MAX_KINDS = 100  # error types named in the log
-
 # Per stage, the event type and message of an error event, its category and version.
 STAGES = {
     "write": ("bulk_failure", "Encountered Bulk Failure"),
@@ -36,7 +36,7 @@ def log_and_drop(rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Handles everything: logs, in one job, how many rows of each error there are and one of them."""
     body = document(rejected, [c for c in rejected.columns if c not in REJECTION])
     summary = rejected.groupBy("_error_type").agg(F.count(F.lit(1)).alias("n"), F.min(body).alias("example"))
-    for row in summary.take(MAX_KINDS):
+    for row in summary.toLocalIterator():
         log.warning("dropped %s documents: %s, for example %s", row["n"], row["_error_type"], row["example"])
     return rejected, rejected.limit(0)
 
@@ -56,6 +56,7 @@ def collect_to(path: str, stage: str = "write", labels: dict | None = None, tags
         to_error_events(rejected, labels, tags, stage).write.mode("append").parquet(path)
         return rejected, rejected.limit(0)
 
+    handler.takes_all = True
     return handler
 
 
@@ -72,7 +73,10 @@ def handle(rejected: DataFrame, handlers: Iterable[str | Handler] = ()) -> DataF
         chain.append(named.get(h, h) if isinstance(h, str) else h)
     done, rest = None, rejected
     for handler in chain:
-        handled, rest = handler(rest)
+        before = rest
+        handled, rest = handler(before)
+        if handler not in (log_and_drop, fail_on_any) and not getattr(handler, "takes_all", False):
+            _check_split(before, handled, rest)
         done = handled if done is None else done.unionByName(handled)
         if handler in (log_and_drop, fail_on_any):
             return done
@@ -80,6 +84,14 @@ def handle(rejected: DataFrame, handlers: Iterable[str | Handler] = ()) -> DataF
     return handled if done is None else done
 
 
+def _check_split(before: DataFrame, handled: DataFrame, rest: DataFrame) -> None:
+    """A handler must return every row once: a condition and its opposite lose the rows where both are null."""
+    n = before.count()
+    found = handled.count() + rest.count()
+    if found != n:
+        raise ValueError(f"a handler got {n} rejected rows and returned {found}")
+
+
 def to_error_events(
     rejected: DataFrame, labels: dict[str, str] | None = None, tags: Iterable[str] = (), stage: str = "write"
 ) -> DataFrame:
@@ -123,7 +135,9 @@ def retry_rejected(
     if result.retry is None:
         raise ValueError("this write cannot be retried")
     current, retried = result, list(result.retried)
-    for _ in range(rounds):
+    for n in range(rounds):
+        if n:  # each round starts from written tables, or the plan would multiply with the rounds
+            current = replace(current, target=_stored(current.target), rejected=_stored(current.rejected))
         source = current.rejected.drop(*REJECTION)
         if callable(fix):
             edited = fix(source)
@@ -132,3 +146,9 @@ def retry_rejected(
         retried.append(edited)
         current = result.retry(current.target, edited)
     return WriteResult(current.target, current.rejected, result.source, result.retry, retried)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch(df.sparkSession, "retry")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -82,7 +82,7 @@ def _missing(df: DataFrame, id: str) -> DataFrame:
 
 def _need_id(id: str | None, operation: str, *frames: DataFrame) -> None:
     if not id:
-        raise ValueError(f"operation [{operation}] requires an id but none was specified")
+        raise ValueError(f"[{operation}] finds its documents by a column and so requires an id")
     for df in frames:
         if id not in df.columns:
             raise ValueError(f"operation [{operation}]: id column [{id}] not found in {df.columns}")
@@ -181,7 +181,7 @@ def _merged_columns(t: DataFrame, s: DataFrame, agreed, id: str, write_null: boo
         changed = changed | ~_same(old, new, f.dataType)
     if version:
         old = F.col(quote(version))
-        bumped = F.when(old.isNull(), 1).when(hit & changed, old + 1).otherwise(old)
+        bumped = F.when(hit & old.isNull(), 1).when(hit & changed, old + 1).otherwise(old)
         out.append(bumped.cast(t.schema[version].dataType).alias(version))
     return out
 
@@ -351,6 +351,10 @@ def write_versioned(
     _need_id(id, "index", t, s)
     _need_id(version, "index", t, s)
     good, bad = split_unfit(t, s, id)
+    if mode != "force":
+        unversioned = good.where(F.col(quote(version)).isNull())
+        bad = bad.unionByName(reject(unversioned, 400, "mapper_parsing", f"no version in [{version}]"))
+        good = good.where(F.col(quote(version)).isNotNull())
     if mode == "force":
         one, lost = latest(good, id, order), good.limit(0)
     else:
@@ -421,6 +425,8 @@ def write_json_docs(
         raise ValueError("field include / exclude does not apply to documents given as JSON")
     paths = [p for p in (id, order) if p]
     found = json_paths(F.col(quote(json_col)).cast("string"), paths)
+    if order:  # numbers in the order of numbers, other text after them as text
+        found[-1] = F.struct(found[-1].try_cast("decimal(38,9)").alias("number"), found[-1].alias("text"))
     metadata = {n: c for n, c in zip([target_id, "__order"][: len(paths)] if id else ["__order"], found)}
     named = s.select(F.col(quote(json_col)).alias("__text"), *(c.alias(n) for n, c in metadata.items()))
     parsed = parse_docs(named, "__text", mapping, **parse_options)

@@ -21,6 +21,8 @@ from ..sources.catalog import (
     drop_path,
     home,
     locate_collection,
+    save_layout,
+    saved_layout,
     scratch,
     version_numbers,
     version_path,
@@ -92,17 +94,31 @@ def save_collection(
     if mode in ("error", "ignore") and not is_empty(spark, name, root):
         if mode == "ignore":
             return existing
-        raise FileExistsError(f"collection [{name}] exists and contains data; consider another save mode")
+        raise FileExistsError(f"[{name}] already has rows, and mode [error] adds none to them")
+    kept: list[str] = []
     if existing is not None:
-        known = spark.read.parquet(existing).schema
+        layout = saved_layout(spark, existing)
+        known, kept = layout or (spark.read.parquet(existing).schema, [])
         df = conform_frame(df, settled_type(known, df.schema))
     if existing is not None and mode != "overwrite":
+        if partition_by and list(partition_by) != kept and layout:
+            raise ValueError(f"[{name}] is partitioned by {kept}, rows cannot be added by {list(partition_by)}")
         path, how = existing, "append"
     else:
         path, how = next_version(spark, name, root), "errorifexists"
+    _write(df, path, how, list(partition_by) or kept)
+    return path
+
+
+def _write(df: DataFrame, path: str, how: str, partition_by: list[str]) -> None:
+    """Writes the rows in the collection's layout, and keeps schema and layout beside them."""
     writer = df.write.mode(how)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return path
+    save_layout(df.sparkSession, path, _nullable(df.schema), partition_by)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
 def next_version(spark: SparkSession, name: str, root: str) -> str:
@@ -112,11 +128,14 @@ def next_version(spark: SparkSession, name: str, root: str) -> str:
 
 
 def commit_merge(result: WriteResult, name: str, root: str, partition_by=()) -> str:
-    """Saves the target of a keyed write as the collection's next version."""
+    """Saves the target of a keyed write as the collection's next version, laid out as the current one is
+    unless ``partition_by`` says otherwise."""
     spark = result.target.sparkSession
+    existing = locate_collection(spark, name, root)
+    layout = saved_layout(spark, existing) if existing is not None else None
+    kept = [c for c in (layout[1] if layout else []) if c in result.target.columns]
     path = next_version(spark, name, root)
-    writer = result.target.write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _write(result.target, path, "errorifexists", list(partition_by) or kept)
     return path
 
 
@@ -138,6 +157,8 @@ def expire_versions(spark: SparkSession, name: str, root: str, keep: int = 2) ->
 def index_name(df: DataFrame, pattern: str, formatter: Callable[[Column, str], Column] | None = None) -> Column:
     """``logs-{field}`` or ``logs-{ts|yyyy.MM.dd}`` as a Column; null where a field is null. A field the
     frame does not have raises."""
+    if not re.fullmatch(r"(?:[^{}]|\{[^{}]*\})+", pattern):
+        raise ValueError(f"invalid pattern [{pattern}]")
     parts = []
     for literal, braces in re.findall(r"([^{}]+)|\{([^{}]*)\}", pattern):
         if literal:
@@ -181,6 +202,14 @@ def split_index(df: DataFrame, pattern: str, formatter=None) -> tuple[DataFrame,
     return named.where(ok), bad
 
 
+def checked_index(df: DataFrame, pattern: str, formatter=None) -> DataFrame:
+    """Rows with their ``_index``; a null part, or a name no collection may have, ends the job."""
+    named = with_index(df, pattern, formatter)
+    ok = F.coalesce(valid_name(F.col("_index")), F.lit(False))
+    reason = F.concat(F.lit(f"no valid collection name for {pattern}: "), F.coalesce("_index", F.lit("null")))
+    return named.withColumn("_index", F.when(ok, F.col("_index")).otherwise(F.raise_error(reason).cast("string")))
+
+
 def write_dynamic(
     df: DataFrame, pattern: str, root: str, on_error: str = "fail", formatter=None, mode: str = "append"
 ) -> DataFrame:
@@ -190,10 +219,7 @@ def write_dynamic(
     tasks and a small one gets one file."""
     good, bad = split_index(df, pattern, formatter)
     if on_error == "fail":
-        named = with_index(df, pattern, formatter)
-        ok = F.coalesce(valid_name(F.col("_index")), F.lit(False))
-        reason = F.concat(F.lit(f"no valid collection name for {pattern}: "), F.coalesce("_index", F.lit("null")))
-        good = named.withColumn("_index", F.when(ok, F.col("_index")).otherwise(F.raise_error(reason).cast("string")))
+        good = checked_index(df, pattern, formatter)
     elif on_error != "reject":
         raise ValueError(f"unknown on_error [{on_error}]")
     good.hint("rebalance", F.col("_index")).write.mode(mode).partitionBy("_index").parquet(root)

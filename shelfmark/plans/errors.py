@@ -21,7 +21,7 @@ def handler_chain(spark, sf):
     """The first handler takes one language and passes the rest on, the log handler takes the rest."""
 
     def english_only(rejected):
-        return rejected.where("lang = 'en'"), rejected.where("lang <> 'en'")
+        return rejected.where("lang = 'en'"), rejected.where("NOT (lang <=> 'en')")
 
     return e.handle(_conflicts(spark, sf).rejected, [english_only, "log"]).select("doc_id", "_error_type")
 

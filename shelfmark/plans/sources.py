@@ -11,6 +11,7 @@ from ..operators.paging import limit_per_partition, page_after, slice_scan
 from ..operators.write import external_table
 from ..sources.catalog import scratch
 from ..sources.collections import read_alias, read_collection, read_collections, register_view
+from ..functions.predicates import term
 from ..sources.json_docs import parse_docs, read_json_docs, read_pairs, with_metadata
 from .registry import query, table
 
@@ -189,3 +190,23 @@ def first_per_group(spark, sf):
 @query("SELECT event_id, event_type FROM events WHERE event_id > 499 ORDER BY event_id LIMIT 100")
 def next_page(spark, sf):
     return page_after(table(spark, sf, "events").select("event_id", "event_type"), 499, 100, "event_id")
+
+
+@query("SELECT 'customer' AS _index, c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'")
+def several_pruned(spark, sf):
+    """Several collections, filtered by a field that is not returned and that only one of them has."""
+    return read_collections(spark, "customer,supplier", term("c_mktsegment", "BUILDING"), root=sf, include=["c_custkey"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'")
+def alias_pruned(spark, sf):
+    """An alias whose filter and query test fields that are not returned."""
+    aliases = {"finished": [{"collection": "orders", "filter": {"term": {"o_orderstatus": "F"}}}]}
+    return read_alias(spark, "finished", aliases, {"term": {"o_orderpriority": "2-HIGH"}}, root=sf, include=["o_orderkey"])
+
+
+@query("SELECT p_name, 'part' AS _index, p_partkey::VARCHAR AS _id FROM part")
+def metadata_pruned(spark, sf):
+    """Metadata beside pruned columns, from an id that is not returned."""
+    rows = read_collection(spark, "part", root=sf, metadata=True, include=["p_name"], id="p_partkey")
+    return rows.select("p_name", F.col("_metadata")["_index"].alias("_index"), F.col("_metadata")["_id"].alias("_id"))

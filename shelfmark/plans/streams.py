@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.catalog import is_directory, scratch
-from ..streaming.sink import commit_history, compact_stream, read_stream_collection, stream_to_collection
+from ..streaming.sink import (
+    commit_history,
+    compact_stream,
+    is_committed,
+    read_stream_collection,
+    stream_to_collection,
+    writer_of,
+)
 from .registry import query, table
 
 
@@ -65,3 +72,24 @@ def stream_dynamic(spark, sf):
     sdf = stream_table(spark, sf, "events")
     path = _drain(sdf, "names", index_pattern="events-{event_type}", exclude=["props"])
     return read_stream_collection(spark, path).groupBy("_index").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1
+""")
+def stream_batches(spark, sf):
+    """Four micro-batches: the last document of an id wins across batches."""
+    source = scratch(spark, "parts")
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    edges = events.selectExpr("percentile(event_id, array(0.25, 0.5, 0.75)) AS q").first()["q"]
+    bounds = [float("-inf"), *edges, float("inf")]
+    for low, high in zip(bounds, bounds[1:]):
+        part = events.where((F.col("event_id") > F.lit(low)) & (F.col("event_id") <= F.lit(high)))
+        part.coalesce(1).write.mode("append").parquet(source)
+    sdf = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    path = _drain(sdf, "batches", id="user_id", order="event_id")
+    writer = writer_of(f"{path}-checkpoint")
+    if not is_committed(spark, path, writer, 0):
+        raise ValueError("the first batch is not committed")
+    compact_stream(spark, path, "user_id")
+    return read_stream_collection(spark, path, "user_id")

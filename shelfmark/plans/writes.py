@@ -365,3 +365,59 @@ def saved_merge(spark, sf):
     result = m.write_delete(read_collection(spark, "docs", root=root), _labels(spark, sf), "doc_id")
     commit_merge(result, "docs", root)
     return read_collection(spark, "docs", root=root, include=["doc_id", "lang"])
+
+
+@query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def appended_fields(spark, sf):
+    """Three writes, of which the second alone brings a new field: it stays, whichever file is read first."""
+    root = scratch(spark, "fields")
+    customers = _customers(spark, sf)
+    for part in range(3):
+        rows = customers.where(F.col("c_custkey") % 3 == part)
+        save_collection(rows if part == 1 else rows.drop("c_mktsegment"), "customers", root)
+    return read_collection(spark, "customers", root=root)
+
+
+@query("SELECT doc_id, lang FROM documents ANTI JOIN labels USING (doc_id)")
+def bucket_appends(spark, sf):
+    """A collection placed by routing keeps its layout through a plain append and a merge."""
+    root = scratch(spark, "buckets")
+    docs = m.place_by_routing(_documents(spark, sf).withColumn("_routing", F.col("lang")), 4, "doc_id")
+    save_collection(docs.where("doc_id % 2 = 0"), "docs", root, partition_by=["_bucket"])
+    save_collection(docs.where("doc_id % 2 = 1"), "docs", root)
+    result = m.write_delete(read_collection(spark, "docs", root=root), _labels(spark, sf), "doc_id")
+    commit_merge(result, "docs", root)
+    return read_collection(spark, "docs", root=root, include=["doc_id", "lang"])
+
+
+@query(f"""
+    SELECT o_orderkey, CASE WHEN s.v > o.v THEN s.v ELSE o.v END AS v
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN epoch_us(o_orderdate) // 86400000000 END AS v FROM orders) o
+    LEFT JOIN ({_SHIPPED}) s ON l_orderkey = o_orderkey
+    WHERE o.v IS NOT NULL OR s.v IS NULL
+    UNION ALL
+    SELECT o_orderkey, s.v FROM orders JOIN ({_SHIPPED}) s ON l_orderkey = o_orderkey WHERE o_orderkey % 5 = 0
+""")
+def null_versions(spark, sf):
+    """Rows without a version are rejected and hide no other; a stored document without one takes any."""
+    orders = _dated_orders(spark, sf).select("o_orderkey", F.when(F.col("o_orderkey") % 5 > 0, F.col("v")).alias("v"))
+    shipped = _shipments(spark, sf)
+    unversioned = shipped.select("o_orderkey", F.lit(None).cast("bigint").alias("v"))
+    return m.write_versioned(orders, shipped.unionByName(unversioned), "o_orderkey", "v").target
+
+
+@query("SELECT user_id::VARCHAR AS _id, max(event_id) AS n FROM events GROUP BY 1")
+def json_number_order(spark, sf):
+    """JSON documents of one id, in the order of a number: 10 comes after 9."""
+    events = table(spark, sf, "events").select(F.to_json(F.struct(F.col("user_id").cast("string").alias("user"), F.col("event_id").alias("n"))).alias("text"))
+    mapping = {"properties": {"user": {"type": "keyword"}, "n": {"type": "long"}}}
+    empty = spark.createDataFrame([], "_id string, user string, n long")
+    return m.write_json_docs(empty, events, "text", id="user", mapping=mapping, order="n").target.select("_id", "n")
+
+
+@query("SELECT 'events-' || strftime(ts, '%H') || ':00' AS _index, event_id FROM events")
+def timed_names(spark, sf):
+    """Names with a colon, written by field values and read back by name."""
+    root = scratch(spark, "timed")
+    write_dynamic(table(spark, sf, "events").select("event_id", "ts"), "events-{ts|HH}:00", root)
+    return read_collections(spark, "events-*", root=root).select("_index", "event_id")

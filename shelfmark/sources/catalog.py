@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..operators.project import simple_match
 
 VERSION = "v="
+LAYOUT = "_layout.json"  # a leading underscore hides it from Parquet readers
 
 
 def fs_path(spark: SparkSession, path: str):
@@ -69,10 +71,44 @@ def home(name: str, root: str | None) -> str:
     return f"{root.rstrip('/')}/{name}" if root else name
 
 
+def _path_names(spark: SparkSession):
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+
+def _escape(spark: SparkSession, name: str) -> str:
+    """A name as Spark writes it into a partition folder."""
+    return _path_names(spark).escapePathName(name)
+
+
+def save_layout(spark: SparkSession, path: str, schema: T.StructType, partition_by=()) -> None:
+    """Keeps the agreed schema and the partitioning beside a saved version."""
+    target, fs = fs_path(spark, f"{path}/{LAYOUT}")
+    out = fs.create(target, True)
+    out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "partition_by": list(partition_by)}).encode()))
+    out.close()
+
+
+def saved_layout(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    """Schema and partitioning of a saved version; None for other folders of Parquet files."""
+    source, fs = fs_path(spark, f"{path}/{LAYOUT}")
+    if not fs.exists(source):
+        return None
+    stream = fs.open(source)
+    kept = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    return T.StructType.fromJson(kept["schema"]), kept["partition_by"]
+
+
+def open_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a collection's folder, with the schema agreed over all its writes where one is kept."""
+    layout = saved_layout(spark, path)
+    return spark.read.schema(layout[0]).parquet(path) if layout else spark.read.parquet(path)
+
+
 def locate_collection(spark: SparkSession, name: str, root: str | None = None) -> str | None:
     """What to read for a collection: a path, or ``table:name``; None when there is none."""
     base = home(name, root)
-    candidates = [base, f"{base}.parquet"] + ([f"{root.rstrip('/')}/_index={name}"] if root else [])
+    candidates = [base, f"{base}.parquet"] + ([f"{root.rstrip('/')}/_index={_escape(spark, name)}"] if root else [])
     for path in candidates:
         if path_exists(spark, path):
             version = current_version(spark, path)
@@ -91,7 +127,9 @@ def locate_collection(spark: SparkSession, name: str, root: str | None = None) -
 def list_collections(spark: SparkSession, root: str) -> list[str]:
     names = set()
     for entry in children(spark, root):
-        entry = entry.removeprefix("_index=").removesuffix(".parquet")
+        if entry.startswith("_index="):
+            entry = _path_names(spark).unescapePathName(entry.removeprefix("_index="))
+        entry = entry.removesuffix(".parquet")
         if not entry.startswith(("_", ".")):
             names.add(entry)
     return sorted(names)
@@ -122,17 +160,11 @@ def select_names(known: list[str], names) -> list[str]:
 
 def is_named(candidate: str, names) -> bool:
     """Whether the request names the candidate itself: ``_all`` and ``*`` name nothing in particular."""
-    asked = False
-    for item in split_names(names):
-        include = item[0] != "-"
-        pattern = item[1:] if item[0] in "+-" else item
-        if pattern in ("*", "_all"):
-            return False
-        if simple_match(pattern, candidate):
-            if not include:
-                return False
-            asked = True
-    return asked
+    asked = split_names(names)
+    dropped = {n[1:] for n in asked if n[0] == "-"}
+    wanted = {n.removeprefix("+") for n in asked if n[0] != "-"}
+    fits = {p for p in wanted | dropped if simple_match(p, candidate)}
+    return not (wanted | dropped) & {"*", "_all"} and not fits & dropped and bool(fits & wanted)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

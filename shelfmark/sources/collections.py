@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.predicates import as_predicate, bool_
 from ..operators.project import prune_schema, source_filter as keep_source, validate_fields
 from ..operators.search import search
-from .catalog import is_named, is_pattern, list_collections, locate_collection, select_names, split_names
+from .catalog import is_named, is_pattern, list_collections, locate_collection, open_parquet, select_names, split_names
 from .json_docs import with_metadata as add_metadata
 from .mapping import common_schema, conform_frame, merge_mappings, parse_mapping, to_schema
 
@@ -54,7 +54,7 @@ def read_collection(
         if not missing_as_empty:
             raise FileNotFoundError(f"collection [{name}] does not exist")
         return spark.createDataFrame([], prune_schema(wanted or T.StructType(), include, exclude) if wanted else T.StructType())
-    raw = spark.table(found[6:]) if found.startswith("table:") else spark.read.parquet(found)
+    raw = spark.table(found[6:]) if found.startswith("table:") else open_parquet(spark, found)
     have = raw.schema
     target = wanted or have
     if include or exclude:
@@ -65,18 +65,22 @@ def read_collection(
     else:
         pruned = target
     filtered = query is not None or routing is not None
-    if filtered:  # the query may test any field; Catalyst drops the columns nobody uses
+    noted = metadata if isinstance(metadata, str) else "_metadata"
+    if filtered or metadata:  # the query may test any field, metadata any id; Catalyst drops what nobody uses
         extra = [f for f in have.fields if f.name not in target.fieldNames()]
         df = _scan(spark, raw, found, T.StructType([*target.fields, *extra]))
-        df = search(_routed(df, routing, buckets), query, text, strict, pushdown, recheck)
+        df = _routed(df, routing, buckets)
+        if query is not None:
+            df = search(df, query, text, strict, pushdown, recheck)
+        if metadata:
+            df = add_metadata(df, id, noted, index=name, version=version)
+            pruned = T.StructType([*(f for f in pruned.fields if f.name != noted), df.schema[noted]])
         df = conform_frame(df, pruned)
     else:
         df = _scan(spark, raw, found, pruned)
     if source_filter:
         validate_fields(target, source_filter, validate)
-        df = keep_source(df, source_filter)
-    if metadata:
-        df = add_metadata(df, id, metadata if isinstance(metadata, str) else "_metadata", index=name, version=version)
+        df = keep_source(df, [*source_filter, *([noted] if metadata else [])])
     return df
 
 
@@ -136,6 +140,11 @@ def read_collections(
     index_column: str | None = "_index",
     missing_as_empty: bool = False,
     text=(),
+    include=(),
+    exclude=(),
+    strict: bool = False,
+    pushdown: bool = True,
+    recheck: bool = True,
     **options,
 ) -> DataFrame:
     """Several collections (comma list, ``*`` patterns, ``_all``, ``+`` / ``-``) as one frame.
@@ -167,7 +176,20 @@ def read_collections(
     else:
         agreed = common_schema([df.schema for _, df in frames])
     out = union_frames([(name, df) for name, df in frames], agreed, index_column)
-    return search(out, query, text) if query is not None else out
+    if query is not None:
+        out = search(out, query, text, strict, pushdown, recheck)
+    return _pruned(out, include, exclude, index_column, options.get("metadata"))
+
+
+def _pruned(df: DataFrame, include, exclude, index_column: str | None, metadata) -> DataFrame:
+    """What is left of the agreed fields, after the query: it may test fields that are not returned, and a field
+    need not be in every collection."""
+    if not include and not exclude:
+        return df
+    noted = [index_column, metadata if isinstance(metadata, str) else "_metadata" if metadata else None]
+    extra = [f for f in df.schema.fields if f.name in noted]
+    body = T.StructType([f for f in df.schema.fields if f.name not in noted])
+    return conform_frame(df, T.StructType([*prune_schema(body, include, exclude).fields, *extra]))
 
 
 def union_frames(frames, agreed: T.StructType, index_column: str | None) -> DataFrame:
@@ -207,8 +229,9 @@ def alias_condition(collection: str, names, aliases: dict):
 
 
 def read_alias(
-    spark: SparkSession, names, aliases: dict, query=None, *, root: str | None = None, text=(), **options
-) -> DataFrame:
+    spark: SparkSession, names, aliases: dict, query=None, *, root: str | None = None, text=(), include=(), exclude=(),
+    strict: bool = False, pushdown: bool = True, recheck: bool = True, **options,
+) -> DataFrame:
     """Reads through aliases (``{alias: [{collection, filter, search_routing}]}``); ``names`` may mix
     aliases, collections and patterns. The filters of all requested aliases of a collection are
     OR-ed and then AND-ed to the query, their search routings united."""
@@ -224,11 +247,12 @@ def read_alias(
         if condition is not None:
             df = search(df, condition, text)
         if query is not None:
-            df = search(df, query, text)
+            df = search(df, query, text, strict, pushdown, recheck)
         frames.append((collection, df))
     if len(frames) == 1:
-        return frames[0][1]
-    return union_frames(frames, common_schema([df.schema for _, df in frames]), "_index")
+        return _pruned(frames[0][1], include, exclude, None, options.get("metadata"))
+    united = union_frames(frames, common_schema([df.schema for _, df in frames]), "_index")
+    return _pruned(united, include, exclude, "_index", options.get("metadata"))
 
 
 def is_empty(spark: SparkSession, name: str, root: str | None = None) -> bool:

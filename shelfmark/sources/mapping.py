@@ -111,16 +111,14 @@ def filter_mapping(fields, include=(), exclude=(), path: str = "") -> tuple[Fiel
 
 
 def resolve_type(name: str, existing: str, incoming: str) -> str:
-    """One type for a field that two collections declare differently. Whole and fractional numbers
-    have only ``keyword`` in common, so they meet as text."""
-    if existing == incoming or existing in WIDER.get(incoming, ()):
+    """The narrowest type that holds the values of both types a field is declared with: of the types both can
+    widen to, the one that can widen furthest itself. Whole and fractional numbers have only ``keyword`` in common."""
+    if existing == incoming:
         return existing
-    if incoming in WIDER.get(existing, ()):
-        return incoming
-    for wider in WIDER.get(incoming, ()):
-        if wider in WIDER.get(existing, ()):
-            return wider
-    raise ValueError(f"field [{name}] has conflicting types [{existing}] and [{incoming}]")
+    shared = {existing, *WIDER.get(existing, ())} & {incoming, *WIDER.get(incoming, ())}
+    if not shared:
+        raise ValueError(f"no type holds both [{existing}] and [{incoming}], the conflicting types of field [{name}]")
+    return max(shared, key=lambda t: (len(WIDER.get(t, ())), t))
 
 
 def merge_mappings(mappings) -> tuple[Field, ...]:

@@ -22,7 +22,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions.fields import quote
 from ..operators.batch import fold, latest
 from ..operators.project import project_for_write
-from ..operators.write import with_index
+from ..operators.write import checked_index
 from ..sources.catalog import children, drop_path, finished
 
 log = logging.getLogger(__name__)
@@ -60,7 +60,7 @@ def stream_to_collection(
     if partition_columns:
         raise ValueError("partition columns are not supported; use an index pattern instead")
     if mode not in ("append", "update"):
-        raise ValueError(f"append and update are the only supported output modes, not [{mode}]")
+        raise ValueError(f"[{mode}]: the only supported output modes of a collection are append and update")
     if mode == "update":
         if operation not in (None, "upsert"):
             raise ValueError("output mode update is only supported with operation upsert")
@@ -69,7 +69,7 @@ def stream_to_collection(
     if operation not in ("index", "upsert"):
         raise ValueError(f"operation [{operation}] is not supported by the stream sink")
     if operation == "upsert" and not id:
-        raise ValueError("operation [upsert] requires an id but none was specified")
+        raise ValueError("[upsert] finds its documents by a column and so requires an id")
     if not commit_log:
         log.warning("commit log is off: replayed batches will be written twice")
     writer_id = writer_of(checkpoint) if commit_log else None
@@ -78,7 +78,7 @@ def stream_to_collection(
         session = batch.sparkSession
         if writer_id and is_committed(session, path, writer_id, batch_id):
             return
-        out = with_index(batch, index_pattern) if index_pattern else batch
+        out = checked_index(batch, index_pattern) if index_pattern else batch
         if include or exclude:
             keep = [id] if id and include else []
             out = project_for_write(out, [*include, *keep, *(["_index"] if index_pattern and include else [])], exclude)
@@ -112,7 +112,10 @@ def save_batch(df: DataFrame, path: str, writer: str | None, batch_id: int) -> N
         df.write.mode("append").parquet(f"{path}/docs/{BATCH}={NO_LOG}")
         return
     started = dt.datetime.now(dt.timezone.utc)
-    name = f"{BATCH}={int(started.timestamp() * 1000):013d}-{writer}-{batch_id:010d}"
+    # a writer's batches are read in the order of their numbers, whatever the driver's clock does
+    before = finished(spark, f"{path}/commits", f"{BATCH}=*-{writer}-{batch_id - 1:010d}") if batch_id else []
+    last = max((int(n.split("=", 1)[1].split("-", 1)[0]) for n in before), default=0)
+    name = f"{BATCH}={max(int(started.timestamp() * 1000), last + 1):013d}-{writer}-{batch_id:010d}"
     df.write.mode("overwrite").parquet(f"{path}/docs/{name}")
     written = spark.read.schema(df.schema).parquet(f"{path}/docs/{name}")
     records = written.groupBy(F.col("_metadata.file_name").alias("task")).agg(F.count(F.lit(1)).alias("records"))
@@ -195,6 +198,8 @@ def compact_stream(
     """Folds all committed batches into a new base, which later reads start from. Returns, per writer, the
     last batch it covers. The batches stay until ``expire_batches``, so readers at work are not disturbed.
     Run it from one place at a time."""
+    if children(spark, f"{path}/docs", f"{BATCH}={NO_LOG}"):
+        raise ValueError("rows written without a commit log have no order to be folded in: read the collection without compaction")
     base, covered = _base(spark, path)
     fresh = [_writer_and_number(n) for n in _visible(spark, path, covered) if not n.endswith(NO_LOG)]
     if not fresh:
