@@ -16,14 +16,14 @@ import hashlib
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.fields import quote
 from ..operators.batch import fold, latest
 from ..operators.project import project_for_write
 from ..operators.write import checked_index
-from ..sources.catalog import children, drop_path, finished
+from ..sources.catalog import children, drop_path, finished, save_layout, saved_layout
 
 log = logging.getLogger(__name__)
 
@@ -117,6 +117,7 @@ def save_batch(df: DataFrame, path: str, writer: str | None, batch_id: int) -> N
     last = max((int(n.split("=", 1)[1].split("-", 1)[0]) for n in before), default=0)
     name = f"{BATCH}={max(int(started.timestamp() * 1000), last + 1):013d}-{writer}-{batch_id:010d}"
     df.write.mode("overwrite").parquet(f"{path}/docs/{name}")
+    save_layout(spark, f"{path}/docs/{name}", _with_fields(df.schema, *(_schema_of(spark, path, n) for n in before)))
     written = spark.read.schema(df.schema).parquet(f"{path}/docs/{name}")
     records = written.groupBy(F.col("_metadata.file_name").alias("task")).agg(F.count(F.lit(1)).alias("records"))
     facts = {"started": started, "resource": path, "writer": writer, "batch_id": batch_id}
@@ -125,6 +126,32 @@ def save_batch(df: DataFrame, path: str, writer: str | None, batch_id: int) -> N
     commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{name}")
 
 
+def _schema_of(spark: SparkSession, path: str, name: str) -> T.StructType | None:
+    """The fields that a writer had brought up to one of its batches."""
+    layout = saved_layout(spark, f"{path}/docs/{name}")
+    return layout[0] if layout else None
+
+
+def _with_fields(schema: T.StructType, *others: T.StructType | None) -> T.StructType:
+    fields = {f.name: f for f in schema.fields}
+    for other in others:
+        for f in other.fields if other is not None else ():
+            fields.setdefault(f.name, f)
+    return T.StructType(list(fields.values()))
+
+
+def _agreed_schema(spark: SparkSession, path: str, names: list[str]) -> T.StructType | None:
+    """The fields of all writers, from the newest batch of each; None if a batch keeps no schema."""
+    newest = {}
+    for name in sorted(names):
+        if name.endswith(NO_LOG):
+            return None
+        writer, number = _writer_and_number(name)
+        newest[writer] = max(newest.get(writer, (-1, "")), (number, name))
+    kept = [_schema_of(spark, path, name) for _, name in sorted(newest.values(), key=lambda v: v[1])]
+    return None if not kept or None in kept else _with_fields(*kept)
+
+
 def is_committed(spark: SparkSession, path: str, writer: str, batch_id: int) -> bool:
     return bool(finished(spark, f"{path}/commits", f"{BATCH}=*-{writer}-{batch_id:010d}"))
 
@@ -149,10 +176,9 @@ def read_stream_collection(
     id: str | None = None,
     operation: str = "index",
     write_null: bool = False,
-    merge_schema: bool = False,
 ) -> DataFrame:
     """The documents a stream has committed so far; with an ``id``, one row per document."""
-    rows = _committed_rows(spark, path, merge_schema)
+    rows = _committed_rows(spark, path)
     body = [c for c in rows.columns if c != BATCH]
     if id is None:
         return rows.drop(BATCH)
@@ -160,7 +186,7 @@ def read_stream_collection(
     return one.select(*(F.col(quote(c)) for c in body))
 
 
-def _committed_rows(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+def _committed_rows(spark: SparkSession, path: str) -> DataFrame:
     """All visible rows with the batch they came from: the newest compacted base, then the folders of
     batches it does not cover."""
     base, covered = _base(spark, path)
@@ -169,7 +195,12 @@ def _committed_rows(spark: SparkSession, path: str, merge_schema: bool = False)
     if base is not None:
         parts.append(spark.read.parquet(f"{path}/base/{base}").withColumn(BATCH, F.lit("")))
     if names:
-        reader = spark.read.option("mergeSchema", str(merge_schema).lower()).option("basePath", f"{path}/docs")
+        agreed = _agreed_schema(spark, path, names)
+        reader = spark.read.option("basePath", f"{path}/docs")
+        if agreed is None:
+            reader = reader.option("mergeSchema", "true")
+        else:
+            reader = reader.schema(T.StructType([*agreed.fields, T.StructField(BATCH, T.StringType())]))
         docs = reader.parquet(*(f"{path}/docs/{n}" for n in names))
         parts.append(docs.withColumn(BATCH, F.col(BATCH).cast("string")))
     if not parts:
@@ -208,7 +239,7 @@ def compact_stream(
     for writer, number in fresh:
         covered[writer] = max(number, covered.get(writer, -1))
     name = f"at={int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000):013d}"
-    state = read_stream_collection(spark, path, id, operation, write_null, merge_schema=True)
+    state = read_stream_collection(spark, path, id, operation, write_null)
     rows = spark.createDataFrame(list(covered.items()), "writer string, batch_id bigint")
     rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/covered/{name}")
     state.write.mode("overwrite").parquet(f"{path}/base/{name}")

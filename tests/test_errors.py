@@ -67,3 +67,13 @@ def test_retry(conflicts):
     assert (stats.docs_sent, stats.docs_accepted, stats.docs_retried) == (3, 3, 2)
     still = sm.retry_rejected(conflicts, lambda d: d, rounds=2)
     assert still.rejected.count() == 2
+
+
+def test_handlers_that_lose_rows_are_caught(spark):
+    rejected = spark.createDataFrame([("en", 409, "t", "r"), (None, 409, "t", "r")], "lang string, _status int, _error_type string, _error_reason string")
+
+    def loses_null(df):
+        return df.where("lang = 'en'"), df.where("lang <> 'en'")
+
+    with pytest.raises(ValueError, match="returned 1"):
+        sm.handle(rejected, [loses_null, "log"])

@@ -237,3 +237,12 @@ def test_random_trees(spark):
         values = dict(zip(("id", "n", "s", "t"), source))
         for i, q in enumerate(queries):
             assert row[f"q{i}"] == bool(_evaluate(q, values)), (q, values)
+
+
+@pytest.mark.parametrize(
+    "query",
+    ["alpha NOT beta", "te?t", {"wildcard": {"t": "te?t"}}, {"range": {"ts": {"gte": "now-1d"}}}, {"query_string": {"query": "a*", "analyze_wildcard": True}}],
+)
+def test_forms_that_are_refused(query):
+    with pytest.raises(ValueError, match="support"):
+        sm.query_string(query) if isinstance(query, str) else sm.dsl(query)

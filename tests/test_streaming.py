@@ -133,3 +133,25 @@ def test_expired_batches_live_on_in_the_base(spark, tmp_path):
     sm.compact_stream(spark, out, "id")
     assert len(sm.expire_batches(spark, out)) == 2 and sm.expire_batches(spark, out) == []
     assert rows(sm.read_stream_collection(spark, out, "id")) == before
+
+
+def test_a_writer_keeps_its_order_and_all_its_fields(spark, tmp_path, monkeypatch):
+    from shelfmark.streaming import sink
+
+    class Clock(sink.dt.datetime):
+        hour = 9
+
+        @classmethod
+        def now(cls, tz=None):
+            cls.hour -= 1  # a clock that runs backwards
+            return cls(2024, 1, 1, cls.hour, tzinfo=tz)
+
+    monkeypatch.setattr(sink.dt, "datetime", Clock)
+    out = f"{tmp_path}/o"
+    sink.save_batch(spark.createDataFrame([(1, "old", 5)], "id int, name string, n int"), out, "w", 0)
+    sink.save_batch(spark.createDataFrame([(1, "new")], "id int, name string"), out, "w", 1)
+    sink.save_batch(spark.createDataFrame([(2, "other", 1.5)], "id int, name string, z double"), out, "v", 0)
+    assert rows(sm.read_stream_collection(spark, out, "id").select("id", "name", "n", "z")) == [(1, "new", None, None), (2, "other", None, 1.5)]
+    sink.save_batch(spark.createDataFrame([(9, "plain")], "id int, name string"), out, None, 0)
+    with pytest.raises(ValueError, match="without a commit log"):
+        sm.compact_stream(spark, out, "id")

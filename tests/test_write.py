@@ -138,3 +138,25 @@ def test_commit_merge(spark, tmp_path):
     result = sm.write_upsert(sm.read_collection(spark, "c", root=root), frame(spark, 7).withColumn("name", F.lit("z")), "id")
     sm.commit_merge(result, "c", root)
     assert sm.read_collection(spark, "c", root=root).where("name = 'z'").count() == 7
+
+
+def test_appends_agree_on_fields_and_layout(spark, tmp_path):
+    root = str(tmp_path)
+    one = spark.createDataFrame([(1, 0), (2, 1)], "id int, _bucket int")
+    more = spark.createDataFrame([(3, 0, "x")], "id int, _bucket int, extra string")
+    sm.save_collection(one, "docs", root, partition_by=["_bucket"])
+    sm.save_collection(more, "docs", root)
+    sm.save_collection(one.selectExpr("id + 10 AS id", "_bucket"), "docs", root)
+    got = sm.read_collection(spark, "docs", root=root).select("id", "_bucket", "extra")
+    assert rows(got) == [(1, 0, None), (11, 0, None), (12, 1, None), (2, 1, None), (3, 0, "x")]
+    with pytest.raises(ValueError, match="partitioned by"):
+        sm.save_collection(one, "docs", root, partition_by=["id"])
+    merged = sm.write_delete(sm.read_collection(spark, "docs", root=root), spark.createDataFrame([(3,)], "id int"), "id")
+    path = sm.commit_merge(merged, "docs", root)
+    assert len(list((tmp_path / path.removeprefix(root + "/")).glob("_bucket=*"))) == 2
+    assert sm.read_collection(spark, "docs", root=root).count() == 4
+
+
+def test_open_brace_in_a_pattern(spark):
+    with pytest.raises(ValueError, match="invalid pattern"):
+        sm.index_name(spark.range(1), "logs-{id")
