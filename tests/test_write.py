@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import shelfmark as sm
-from shelfmark.operators.write import valid_name
+from shelfmark.operators.write import index_name, valid_name
 from shelfmark.sources.catalog import current_version, locate_collection
 
 
@@ -159,4 +159,4 @@ def test_appends_agree_on_fields_and_layout(spark, tmp_path):
 
 def test_open_brace_in_a_pattern(spark):
     with pytest.raises(ValueError, match="invalid pattern"):
-        sm.index_name(spark.range(1), "logs-{id")
+        index_name(spark.range(1), "logs-{id")
