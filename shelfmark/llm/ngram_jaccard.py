@@ -7,8 +7,9 @@ A token is a word shingle. Two documents link if ``100 * common >= percent * uni
    leaves: most texts go here, and nothing but hashes has moved.
 2. Equal sets are one row from here on. A set's *prefix* is its rarest tokens, one more than it may miss: linked
    sets share a token of both prefixes.
-3. Groups: each set is compared with the set it shares most prefix tokens with among the first holders of its tokens.
-   Sets so linked are a group, which is connected by construction.
+3. Groups: of all holders of a prefix token, the one with the smallest share of tokens of its own is its head. Each
+   set is compared with the head it shares most prefix tokens with. Sets so linked are a group, which is connected
+   by construction, and takes in most of a family of near copies at a cost in proportion to its size.
 4. Token-group matrix: the groups that hold a token in a prefix. A set queries the earlier groups that share a
    prefix token with it. Groups are stored in chunks of bounded size, each with the union of its members' tokens;
    a chunk whose union holds too few of the query's tokens is left shut, the others are opened and the query is
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NULL_ID, counts_of, key_counts, pack_blocks, unpacked_block
@@ -127,19 +128,29 @@ def candidate_sets(blocks: DataFrame, counts: DataFrame, size: int, percent: int
                     prefixes[k] = t[rarest].view(np.int64)
                     sets[k] = t.tobytes()
                 one, two = _digests(tokens, ends)
-                columns = [ids, n, one, two, pa.array(prefixes, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+                columns = [ids, n, own, one, two, pa.array(prefixes, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
                 columns = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
                 for at in range(0, len(n), 500):
-                    yield pa.RecordBatch.from_arrays([c.slice(at, 500) for c in columns], ["doc_id", "n", "one", "two", "prefix", "tokens"])
+                    yield pa.RecordBatch.from_arrays([c.slice(at, 500) for c in columns], ["doc_id", "n", "own", "one", "two", "prefix", "tokens"])
 
     joined = blocks.join(counts, "block", "left").select("docs", "counts")
-    return written(joined.mapInArrow(run, "doc_id long, n long, one long, two long, prefix array<long>, tokens binary"), "token-sets")
+    return written(joined.mapInArrow(run, "doc_id long, n long, own long, one long, two long, prefix array<long>, tokens binary"), "token-sets")
 
 
 def _linked(common: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return 100 * common >= percent * (n + m - common)
 
 
+def _may_link(percent: int, n: Column, most: Column, low: Column, high: Column, held: Column) -> Column:
+    """Whether a set of n tokens, of which ``most`` occur elsewhere, can link with one of ``low`` to ``high`` tokens of
+    which at most ``held`` do: linked sets have ``percent`` / (100 + ``percent``) of both their sizes in common."""
+    least = percent * (n + low)
+    return (
+        (percent * n <= 100 * high) & (percent * low <= 100 * n)
+        & ((100 + percent) * most >= least) & ((100 + percent) * held >= least)
+    )
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose sets link."""
     one = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x"))
@@ -212,25 +223,30 @@ def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
     able = rows.where(F.col("tokens").isNotNull())
     reps = stats.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("rep"))
     sets = written(
-        able.join(reps, ["one", "two"]).where("doc_id = rep").dropDuplicates(["one", "two"]).select("rep", "n", "prefix", "tokens"), "sets"
+        able.join(reps, ["one", "two"]).where("doc_id = rep").dropDuplicates(["one", "two"]).select("rep", "n", "own", "prefix", "tokens"), "sets"
     )
-    postings = written(sets.select("rep", "n", F.explode("prefix").alias("token")), "postings")
-    shared = postings.groupBy("token").agg(F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("k")).where("k > 1")
+    # ``most`` tokens of a set are held by others: no pair has more in common
+    most = (F.col("n") - F.col("own")).alias("most")
+    postings = written(sets.select("rep", "n", most, (F.col("own") / F.col("n")).alias("own"), F.explode("prefix").alias("token")), "postings")
+    # among the holders of a token, the one with the fewest tokens of its own is the most similar to the others
+    shared = postings.groupBy("token").agg(F.min(F.struct("own", "rep", "n", "most")).alias("first"), F.count("*").alias("k")).where("k > 1")
     near = (
         postings.join(shared, "token").where(F.col("rep") != F.col("first.rep"))
-        .where((100 * F.col("n") >= percent * F.col("first.n")) & (100 * F.col("first.n") >= percent * F.col("n")))
-        .groupBy(F.col("rep").alias("a"), F.col("first.rep").alias("b")).count()
-        .groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
+        .where(_may_link(percent, F.col("n"), F.col("most"), F.col("first.n"), F.col("first.n"), F.col("first.most")))
+        .groupBy(F.col("rep").alias("a"), F.col("first.rep").alias("b"), F.col("first.own").alias("own")).count()
+        .groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("own"), -F.col("b"))).alias("b"))
     )
     links = written(verified(near, sets, percent), "links-near")
     grouped = components(links).select(F.col("v").alias("rep"), F.col("c").alias("grp"))
     groups = written(sets.select("rep").join(grouped, "rep", "left").select("rep", F.coalesce("grp", "rep").alias("grp")), "groups")
     held = postings.join(groups, "rep")
-    matrix = written(held.select("token", "grp").distinct(), "token-groups")
+    members = held.groupBy("token", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("most").alias("held"))
+    matrix = written(members, "token-groups")
     several = matrix.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     matrix = matrix.join(several, "token")
     queries = (
-        held.join(matrix.select("token", F.col("grp").alias("target")), "token").where("target < grp")
+        held.join(matrix.withColumnRenamed("grp", "target"), "token")
+        .where((F.col("target") < F.col("grp")) & _may_link(percent, F.col("n"), F.col("most"), F.col("low"), F.col("high"), F.col("held")))
         .select("rep", "target").distinct()
     )
     links = links.unionByName(opened(written(queries, "group-queries"), groups, sets, percent))
