@@ -52,15 +52,24 @@ def dropped_lines(docs: DataFrame, *, text: str = "text", min_docs: int = 10, mi
     likely = lines.join(F.broadcast(common), bucket == F.col("bucket"), "left_semi")
     key = F.xxhash64("line").alias("key")
     distinct = likely.groupBy("n", "leaf", "line").agg(F.count("*").alias("docs"))
-    tokens = distinct.select("n", "leaf", key, "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    tokens = written(tokens.where(F.col("token") != FIELD), "line-tokens")
-    constants = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs).drop("seen")
+    leaves = distinct.groupBy("leaf").agg(F.sum("docs").alias("held")).where(F.col("held") >= min_docs).select("leaf")
+    tokens = F.split("line", " ")
+    named = distinct.join(leaves, "leaf").select("n", "leaf", key, "docs", tokens.alias("tokens"))
+    # of a line without room for a variable field, only its own copies make a template; the leading tokens of a
+    # leaf are constants of it already
+    room = F.col("n") - F.ceil(F.lit(min_constant) * F.col("n"))
+    fields = F.size(F.filter("tokens", lambda t: t == FIELD))
+    named = named.where(((F.col("docs") >= min_docs) | (room >= 1)) & (fields <= room))
+    named = written(named, "line-tokens")
+    rest = named.select("leaf", "key", "docs", F.posexplode(F.slice("tokens", LEADING + 1, F.size("tokens"))).alias("at", "token"))
+    rest = rest.where(F.col("token") != FIELD)
+    constants = rest.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs).drop("seen")
+    found = rest.join(constants, ["leaf", "at", "token"]).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("constants"))
+    leading = F.size(F.filter(F.slice("tokens", 1, LEADING), lambda t: t != FIELD))
     templates = (
-        tokens.join(constants, ["leaf", "at", "token"])
-        .groupBy("n", "key")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("constants"))
-        .where(F.size("constants") >= F.lit(min_constant) * F.col("n"))
-        .select("key", F.xxhash64("n", "constants").alias("template"))
+        named.join(found, "key", "left")
+        .where(leading + F.coalesce(F.size("constants"), F.lit(0)) >= F.lit(min_constant) * F.col("n"))
+        .select("key", F.xxhash64("leaf", "constants").alias("template"))
     )
     places = written(likely.select("digest", "number", "n", key).join(templates, "key").drop("key"), "lines-places")
     seen = places.select("template", "digest").distinct().groupBy("template").count()
