@@ -16,6 +16,9 @@ from shelfmark.llm.ngram_jaccard import keep_one_of_each
 from shelfmark.llm.quality_rules import keep_good
 from shelfmark.llm.sentencepiece_codec import decode, encode
 
+#: What counts as a near copy.
+NEAR = {"size": 5, "percent": 80}
+
 
 def _lengths(docs: DataFrame) -> DataFrame:
     """``n_chars`` of the text as it is now."""
@@ -28,13 +31,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines whose template recurs in ten or more texts."""
-    return _lengths(drop_recurring_lines(docs))
+    """All documents, without lines whose template recurs in ten or more texts. Texts that would lose more than half
+    stay whole if they have a near copy for the next stage to judge."""
+    return _lengths(drop_recurring_lines(docs, near_copies=NEAR))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near duplicates: five words, similarity of 0.8."""
-    return keep_one_of_each(docs, size=5, percent=80)
+    return keep_one_of_each(docs, **NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,10 @@ The tree is built by aggregates instead of line by line, so its result depends o
 fills a third of the corpus is one row after the map-side combine. A first count by hash bucket (at most
 ``BUCKETS`` rows, so it can be broadcast) keeps the tokens of lines in rare leaves out of all shuffles.
 
-A document of which more than half of all tokens would go is a copy of others rather than a text with
-boilerplate: it stays whole, for the near-duplicate stage to judge.
+A document of which more than half of all tokens would go may be a copy of others rather than a text with
+boilerplate. By default it stays whole. With ``near_copies`` (options of ``similar_documents``) only those stay whole that
+have a near copy, not equal to them, among such texts: a near-duplicate stage with the same options removes all but
+one. Others lose their lines whatever the share.
 
 Defined results: null and empty texts stay as they are; lines of fewer than ``min_tokens`` tokens stay; texts that
 repeat count once and get equal results; a line that repeats within a text counts once. Extra columns pass
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import query, table, written
 from .doc_features import let, words_of
+from .ngram_jaccard import similar_documents
 
 BUCKETS = 1 << 20
 FIELD = "<*>"
@@ -80,17 +83,29 @@ def dropped_lines(docs: DataFrame, *, text: str = "text", min_docs: int = 10, mi
     )
 
 
-def mark_lines(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
+def _copied(over: DataFrame, near_copies: dict) -> DataFrame:
+    """The ``digest`` of texts that have a near copy among the texts given."""
+    over = written(over.withColumn("id", F.xxhash64("digest")), "lines-over")
+    found = written(similar_documents(over, id="id", text="text", **near_copies).select("doc_id", "component_id"), "lines-near")
+    several = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    return over.join(found.join(several, "component_id", "left_semi"), F.col("id") == F.col("doc_id")).select("digest")
+
+
+def mark_lines(docs: DataFrame, *, text: str = "text", near_copies: dict | None = None, **options) -> DataFrame:
     """``row`` (all columns of the document), ``n_lines``, ``n_dropped`` and ``kept_text``."""
     gone = dropped_lines(docs, text=text, **options)
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.md5(text).alias("digest"))
+    few = 2 * F.col("n_tokens") <= F.size(words_of(F.col("text")))
+    if near_copies is not None:
+        gone = written(gone, "lines-gone")
+        over = rows.join(gone, "digest").where(~few).select("digest", "text").dropDuplicates(["digest"])
+        gone = gone.join(_copied(over, near_copies), "digest", "left_anti")
+        few = F.lit(True)
 
     def kept(lines: Column) -> Column:
         return F.filter(lines, lambda line, i: ~F.array_contains("drop", i.cast("int")))
 
-    marked = rows.join(gone, "digest", "left").withColumn(
-        "drop", F.when(2 * F.col("n_tokens") <= F.size(words_of(F.col("text"))), F.col("numbers"))
-    )
+    marked = rows.join(gone, "digest", "left").withColumn("drop", F.when(few, F.col("numbers")))
     return marked.select(
         "row",
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
