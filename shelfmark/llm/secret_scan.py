@@ -34,12 +34,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the same as whole runs of 16 or more
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
-#: Credential words whose values are weighed, with what may stand between.
+#: Credential words whose values are weighed, with what may stand between. They may end a longer name. The scheme after
+#: ``Authorization:`` is no value. After a scheme, a space alone is enough, if no plain word follows.
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|"""
-    r"""(?:api|access|private|secret|client|encryption)[_\x20-]?key|client[_-]?secret)["']?\x20*(?::|=>?|\bis\b)\x20*(["']?)([^\s"']{6,})""",
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|"""
+    r"""(?:(?:api|access|private|secret|client|encryption)[_\x20-]?)+key)["']?\x20*(?::|=>?|\bis\b)\x20*(["']?)"""
+    r"""(?:(?:bearer|basic|digest|negotiate|token|apikey)\x20+)?|"""
+    r"""\b(?:bearer|basic)\x20+(?-i:(?![A-Z]?[a-z]+(?![A-Za-z0-9+/_=~-]))))([^\s"']{6,})""",
     re.IGNORECASE | re.ASCII,
 )
+SCHEME = re.compile("bearer |basic ", re.IGNORECASE)
 #: Rows of keys, and a few words that stand first in any list of passwords.
 KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "1qaz2wsx3edc4rfv5tgb6yhn7ujm8ik9ol0p")
 COMMON = "password passwort secret admin user test example changeme letmein welcome login master root default dummy sample".split()
@@ -133,7 +137,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guess_spans(text: str, cost: GuessCost, min_cost: float, covered: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    if ":" not in text and "=" not in text and " is " not in text.lower():
+    if ":" not in text and "=" not in text and " is " not in text.lower() and not SCHEME.search(text):
         return []
     out = []
     for m in CONTEXT.finditer(text):

@@ -54,3 +54,16 @@ def test_guess_spans_and_edges(spark):
     assert len(got) == docs.select("doc_id").distinct().count()
     assert got[0] == got[1] == (0, "") and got[10] == (1, "assign:22:44")
     assert s.scan_secrets(docs.limit(0), VOCABULARY).count() == 0
+
+
+def test_credential_words_in_longer_names_and_schemes():
+    cost = s.guess_cost(VOCABULARY)
+    value, jwt = "Xk!9$qz7Lw", "eyJhbGciOiJIUzI1NiJ9.q7Zr"
+    for before, secret in [
+        ("db_password=", value), ("AWS_SECRET_ACCESS_KEY=", value), ("secret_access_key: ", value), ("userPassword: ", value), ("my-token => ", value),
+        ("Authorization: Bearer ", jwt), ("Authorization: Basic ", "dXNlcjpYazkkcXo3"), ('"Authorization": "Bearer ', jwt), ("Bearer ", jwt), ("basic ", jwt),
+    ]:
+        text = f"see {before}{secret} there"
+        assert s.guess_spans(text, cost, 10.0, []) == [(4 + len(before), 4 + len(before) + len(secret), "guess")], before
+    for text in ("basic understanding of it", "Bearer Zwqxkvjbhpfm", "bypass is changeme", "Authorization: Bearer changeme"):
+        assert s.guess_spans(text, cost, 10.0, []) == []
