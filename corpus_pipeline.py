@@ -31,9 +31,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines whose template recurs in ten or more texts. Texts that would lose more than half
+    """All documents, without lines whose template recurs in ten or more texts. Of long lines that are the same in two
+    or more texts, one stays. Texts that would lose more than half
     stay whole if they have a near copy for the next stage to judge."""
-    return _lengths(drop_recurring_lines(docs, near_copies=NEAR))
+    return _lengths(drop_recurring_lines(docs, near_copies=NEAR, long_docs=2))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,10 @@ The tree is built by aggregates instead of line by line, so its result depends o
 fills a third of the corpus is one row after the map-side combine. A first count by hash bucket (at most
 ``BUCKETS`` rows, so it can be broadcast) keeps the tokens of lines in rare leaves out of all shuffles.
 
+With ``long_docs``, a line of ``long_tokens`` tokens or more that stands, the same in all its tokens, in that many
+different texts is a passage repeated: it stays in one of them (the one with the smallest digest) and goes from the
+others, if no template drops it from all. By default long lines are treated as all others.
+
 A document of which more than half of all tokens would go may be a copy of others rather than a text with
 boilerplate. By default it stays whole. With ``near_copies`` (options of ``similar_documents``) only those stay whole that
 have a near copy, not equal to them, among such texts: a near-duplicate stage with the same options removes all but
@@ -39,14 +43,18 @@ def masked_tokens(line: Column) -> Column:
     return words_of(F.when(line.rlike("[0-9]"), masked).otherwise(line))
 
 
-def dropped_lines(docs: DataFrame, *, text: str = "text", min_docs: int = 10, min_tokens: int = 3, min_constant: float = 0.7) -> DataFrame:
-    """``digest`` of each text that has recurring lines, their ``numbers``, and ``n_tokens`` in them. Leaves and
-    lines are told apart by 64-bit hashes."""
+def dropped_lines(
+    docs: DataFrame, *, text: str = "text", min_docs: int = 10, min_tokens: int = 3, min_constant: float = 0.7,
+    long_docs: int | None = None, long_tokens: int = 20,
+) -> DataFrame:
+    """``digest`` of each text that has recurring lines, the ``numbers`` of those to drop, and ``n_tokens`` in all of
+    them. Leaves and lines are told apart by 64-bit hashes."""
+    whole = [] if long_docs is None else [F.xxhash64(F.array_join(words_of(F.col("line")), " ")).alias("whole")]
     lines = (
         docs.where(F.col(text).isNotNull())
         .select(F.md5(text).alias("digest"), F.posexplode(F.split(text, "\n")).alias("number", "line"))
-        .select("digest", "number", let(masked_tokens(F.col("line")), lambda t: F.struct(F.size(t).alias("n"), F.array_join(t, " ").alias("line"))).alias("m"))
-        .select("digest", "number", "m.n", "m.line").where(F.col("n") >= min_tokens)
+        .select("digest", "number", *whole, let(masked_tokens(F.col("line")), lambda t: F.struct(F.size(t).alias("n"), F.array_join(t, " ").alias("line"))).alias("m"))
+        .select("digest", "number", *(["whole"] if whole else []), "m.n", "m.line").where(F.col("n") >= min_tokens)
         .withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", LEADING)))
     )
     lines = written(lines, "lines")
@@ -77,8 +85,17 @@ def dropped_lines(docs: DataFrame, *, text: str = "text", min_docs: int = 10, mi
     places = written(likely.select("digest", "number", "n", key).join(templates, "key").drop("key"), "lines-places")
     seen = places.select("template", "digest").distinct().groupBy("template").count()
     recurring = seen.where(F.col("count") >= min_docs).select("template")
+    found = places.join(recurring, "template", "left_semi").select("digest", "number", "n").distinct()
+    if long_docs is not None:
+        long = lines.where(F.col("n") >= long_tokens).select("whole", "digest", "number", "n").distinct()
+        held = long.select("whole", "digest").distinct().groupBy("whole").agg(F.count("*").alias("k"), F.min("digest").alias("holder"))
+        repeated = long.join(held.where(F.col("k") >= long_docs), "whole").select("digest", "number", "n", (F.col("digest") != F.col("holder")).alias("goes"))
+        found = (
+            found.withColumn("goes", F.lit(True)).unionByName(repeated).groupBy("digest", "number", "n").agg(F.max("goes").alias("goes"))
+            .select("digest", F.when(F.col("goes"), F.col("number")).alias("number"), "n")
+        )
     return (
-        places.join(recurring, "template", "left_semi").select("digest", "number", "n").distinct()
+        found
         .groupBy("digest").agg(F.collect_list("number").alias("numbers"), F.sum("n").alias("n_tokens"))
     )
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -82,7 +83,18 @@ def without_lines(texts):
         if len({t for t, _ in found}) >= 10:
             for t, k in found:
                 gone[t].add(k)
-    over = [t for t in gone if 2 * sum(len(masked[t][k]) for k in gone[t]) > len(tokens_of(t))]
+    long, recurring = defaultdict(set), {t: set(gone[t]) for t in masked}
+    for t in masked:
+        for k, x in enumerate(t.split("\n")):
+            if len(tokens_of(x)) >= 20:
+                long[" ".join(tokens_of(x))].add((hashlib.md5(t.encode()).hexdigest(), t, k))
+    for found in long.values():
+        if len({t for _, t, _ in found}) >= 2:
+            for digest, t, k in found:
+                recurring[t].add(k)
+                if digest != min(found)[0]:
+                    gone[t].add(k)
+    over = [t for t in masked if 2 * sum(len(masked[t][k]) for k in recurring[t]) > len(tokens_of(t))]
     whole = {t for t in over if any(u != t and near_copy(t, u) for u in over)}
     return {t: t if t in whole else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[t]) for t in masked}
 
@@ -106,3 +118,5 @@ def test_line_stage_against_all_pairs(spark):
     got = {r.doc_id: r.text for r in cp.line_dedup(spark, docs, SF).collect()}
     assert got == {i: want[t] for i, t in enumerate(texts)}
     assert sum(want[t] == t for t in texts[16:28]) == 12 and all("\n" not in want[t] for t in texts[:12])
+    passage = texts[28].split("\n")[1]
+    assert sum(passage in want[t] for t in texts[28:31]) == 1
