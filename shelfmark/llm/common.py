@@ -104,16 +104,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Running polynomial sums, from which ``span_hashes`` gets the hash of any span."""
-    powers, _ = _power_tables(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * powers[: len(data)], dtype=np.uint64, out=out[1:])
+def running_sums(values: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of 64-bit values, from which ``span_hashes`` gets the hash of any span."""
+    powers, _ = _power_tables(len(values) + 1)
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers[: len(values)], dtype=np.uint64, out=out[1:])
     return out
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of bytes."""
+    return running_sums(_VALUES[data])
+
+
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of spans of the bytes that ``sums`` was made of."""
+    """64-bit hashes of spans of the bytes or values that ``sums`` was made of."""
     _, inverse = _power_tables(len(sums))
     return mixed((sums[ends] - sums[starts]) * inverse[starts])
 
