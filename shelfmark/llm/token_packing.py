@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -48,19 +49,30 @@ WIDE_WHITE = [
 ]
 
 
-def chunk_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chunk_spans(data: np.ndarray, offsets: np.ndarray, special: re.Pattern | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of chunks (white space with what follows it) that cover every row, and the index of
     each row's first chunk. No token crosses the start of a chunk: the tokenizer's own pattern never lets
-    white space follow another character within a piece."""
+    white space follow another character within a piece. What matches ``special`` is a chunk of its own."""
     white = IS_GAP[data]
-    for lead in (0xC2, 0xE1, 0xE2, 0xE3):
-        for at in np.flatnonzero(data == lead):
-            for form in WIDE_WHITE:
-                if form[0] == lead and data[at : at + len(form)].tobytes() == form:
-                    white[at : at + len(form)] = True
+    for lead in sorted({form[0] for form in WIDE_WHITE}):
+        at = np.flatnonzero(data == lead)
+        for form in (f for f in WIDE_WHITE if f[0] == lead) if len(at) else ():
+            here = at[at + len(form) <= len(data)]
+            for k in range(1, len(form)):
+                here = here[data[here + k] == form[k]]
+            for k in range(len(form)):
+                white[here + k] = True
     starts = white.copy()
     starts[1:] &= ~white[:-1]
     starts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    if special is not None:
+        held = data.tobytes()
+        if special.search(held):
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                for found in special.finditer(held, a, b):
+                    starts[found.start()] = True
+                    if found.end() < b:
+                        starts[found.end()] = True
     first = np.flatnonzero(starts)
     return first, np.append(first[1:], len(data)), np.searchsorted(first, offsets)
 
@@ -144,14 +156,22 @@ class Shard:
 
 
 @functools.lru_cache(2)
-def _chunk_ids(vocabulary: str) -> tuple[ChunkIds, int]:
-    """Encoder of one worker. The missing chunks are encoded as one text in which every chunk starts a new
-    piece; ids are given back to their chunks by their lengths in bytes."""
+def _chunk_ids(vocabulary: str, plain: bool) -> tuple[ChunkIds, int, re.Pattern | None]:
+    """Encoder of one worker, the size of its vocabulary, and the pattern of the special tokens it looks for. The
+    missing chunks are encoded as one text in which every chunk starts a new piece; ids are given back to their chunks
+    by their lengths in bytes."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
+    special = None
+    if plain:
+        tokenizer.encode_special_tokens = True
+    elif added := [t for t in tokenizer.get_added_tokens_decoder().values() if t.content]:
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("special tokens that depend on what is beside them")
+        names = sorted((t.content.encode() for t in added), key=lambda c: (-len(c), c))
+        special = re.compile(b"|".join(map(re.escape, names)))
 
     size = tokenizer.get_vocab_size()
     #: A token has one character for each byte it stands for.
@@ -171,14 +191,16 @@ def _chunk_ids(vocabulary: str) -> tuple[ChunkIds, int]:
             counts.append(np.diff(ends, prepend=0))
         return single + joined, np.concatenate(ids), np.concatenate(counts)
 
-    return ChunkIds(encode), size
+    return ChunkIds(encode), size, special
 
 
-def encode_texts(column: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and how many each has."""
+def encode_texts(column: pa.Array, vocabulary: str, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, and how many each has. The names of special tokens within a text become their
+    ids, as in the library, unless ``plain``: then they are text like any other."""
     data, offsets = text_bytes(column)
-    starts, ends, row_first = chunk_spans(data, offsets)
-    ids, counts = _chunk_ids(vocabulary)[0](data, starts, ends)
+    chunk_ids, _, special = _chunk_ids(vocabulary, plain)
+    starts, ends, row_first = chunk_spans(data, offsets, special)
+    ids, counts = chunk_ids(data, starts, ends)
     return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[row_first])
 
 
@@ -198,14 +220,14 @@ def write_packed(
     ordered = (
         docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"))
-        .sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+        .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"), "text")
     )
 
     def write(batches: Iterator[pa.RecordBatch]):
         part = TaskContext.get().partitionId()
         store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        _, size = _chunk_ids(vocabulary)
+        size = _chunk_ids(vocabulary, False)[1]
         bits = bits_for(max(size, (end_id or 0) + 1))
         doc_ids, counts, ids, held, number = [], [], [], 0, 0
 

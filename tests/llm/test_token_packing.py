@@ -13,7 +13,8 @@ from shelfmark.llm import token_packing as tp
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 library = Tokenizer.from_file(VOCABULARY)
-library.encode_special_tokens = True
+plain = Tokenizer.from_file(VOCABULARY)
+plain.encode_special_tokens = True
 
 
 @settings(max_examples=200, deadline=None)
