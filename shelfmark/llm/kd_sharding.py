@@ -70,7 +70,7 @@ def _scaled(kind: T.DataType, c: Column) -> Column:
 
 def document_places(docs: DataFrame, dimensions: list[str], *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """A written narrow table: ``key`` (of the row), ``id``, ``size``, ``text_crc32``, ``order`` (hash of id and text), ``tie``
-    (the lower 48 bits of all places) and the upper bits in each dimension, ``value0``, ``value1`` …"""
+    (the lower 48 bits of all places), ``shard`` (0) and the upper bits in each dimension, ``value0``, ``value1`` …"""
     kinds = [docs.schema[d].dataType for d in dimensions]
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     values = [
@@ -92,7 +92,7 @@ def document_places(docs: DataFrame, dimensions: list[str], *, id: str = "doc_id
         + F.shiftleft(F.shiftrightunsigned("order", 52), 12)
         + F.shiftrightunsigned(F.xxhash64("key"), 52)
     )
-    rows = written(raw.select("*", tie.alias("tie")).drop("text_hash"), "places")
+    rows = written(raw.select("*", tie.alias("tie"), F.lit(0).cast("long").alias("shard")).drop("text_hash"), "places")
     numbers = [f"value{i}" for i, k in enumerate(kinds) if _is_number(k)]
     if not numbers:
         return rows
@@ -168,7 +168,6 @@ def kd_shards(
     if shards is None:
         shards = max(1, math.ceil(total / target_bytes))
     small = tolerance * total / shards
-    rows = rows.withColumn("shard", F.lit(0).cast("long"))
     nodes, level = [(0, shards, total)], 0
     while nodes := [x for x in nodes if x[1] - x[0] > 1 and x[2]]:
         wanted = {lo: size * ((hi - lo) // 2) // (hi - lo) for lo, hi, size in nodes}
