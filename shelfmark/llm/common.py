@@ -45,11 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options) -> DataFrame:
     """The rows, written once below ``spark.checkpoint.dir`` and read back: lineage ends here, and a lost
     executor costs no recomputation."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -39,7 +39,9 @@ from .chunk_cache import gathered
 from .common import chunked, query, table, text_bytes, written
 from .token_packing import encode_texts
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES, SLICE_IDS = 1 << 20, 1_000_000
+#: Chunks whose ids a worker keeps.
+CHUNKS = 600_000
 INTS = T.ArrayType(T.IntegerType())
 ARRAYS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 
@@ -75,19 +77,32 @@ def byte_level_spelling(vocabulary: str) -> Spelling:
     return Spelling([bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode() for name in names])
 
 
-@functools.lru_cache(2)
-def piece_model(model: str):
-    """The model and the spelling of its pieces."""
-    import sentencepiece
+class PieceModel:
+    """A SentencePiece model, and the bytes of its ids."""
+
+    def __init__(self, model: str):
+        import sentencepiece
+
+        self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=model)
+        pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
+        own = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.spelling = Spelling(own)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each text has."""
+        encoded = self.processor.encode(texts, num_threads=1)
+        counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter(itertools.chain.from_iterable(encoded), np.int64, int(counts.sum())), counts
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=model)
-    pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
-    return sp, Spelling([bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
+
+@functools.lru_cache(2)
+def piece_model(model: str) -> PieceModel:
+    return PieceModel(model)
 
 
 def pair_bound(vocabulary: str, model: str) -> int:
     """No corpus has more different linked pairs of ids."""
-    return 2 * len(byte_level_spelling(vocabulary).data) + len(piece_model(model)[1].data)
+    return 2 * len(byte_level_spelling(vocabulary).data) + len(piece_model(model).spelling.data)
 
 
 def _spells(joined: np.ndarray, ends: np.ndarray, want: np.ndarray, want_ends: np.ndarray) -> np.ndarray:
@@ -125,19 +140,17 @@ def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text", w
     names = [*ARRAYS, *(["overlap_a", "overlap_b"] if with_overlaps else [])]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        sp, b_spelling = piece_model(model)
-        a_spelling = byte_level_spelling(vocabulary)
+        b_side, a_spelling = piece_model(model), byte_level_spelling(vocabulary)
         for batch in chunked(batches, "text", SLICE_BYTES):
-            texts = batch.column("text").fill_null("").to_pylist()
             data, ends = text_bytes(batch.column("text"))
             data, ends = np.insert(data, ends[:-1], 0x20), ends + np.arange(len(ends))
-            a_ids, a_counts = encode_texts(pa.array([" " + t for t in texts], pa.string()), vocabulary, plain=True)
-            encoded = sp.encode(texts, num_threads=1)
-            b_counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            b_ids = np.fromiter(itertools.chain.from_iterable(encoded), np.int64, int(b_counts.sum()))
+            spaced = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data))
+            a_ids, a_counts = encode_texts(spaced, vocabulary, plain=True, limit=CHUNKS)
+            b_ids, b_counts = b_side.encode(batch.column("text").fill_null("").to_pylist())
             good = np.diff(ends) > 1
             sides = []
-            for ids, counts, spelling in ((a_ids.astype(np.int64), a_counts, a_spelling), (b_ids, b_counts, b_spelling)):
+            for ids, counts, spelling in ((a_ids, a_counts, a_spelling), (b_ids, b_counts, b_side.spelling)):
+                ids = ids.astype(np.int64)
                 first = np.concatenate([[0], np.cumsum(counts)])
                 spelt = np.concatenate([[0], np.cumsum(spelling.lengths(ids))])[first]
                 good &= _spells(spelling.join(ids), spelt, data, ends)
@@ -147,12 +160,12 @@ def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text", w
                 ids = gathered(ids, first[:-1][good], first[1:][good])
                 counts = np.diff(first) * good
                 token_ends = np.cumsum(spelling.lengths(ids))
-                kept.append((ids, counts, token_ends, token_ends - spelling.lengths(ids), np.repeat(np.arange(len(texts)), counts)))
+                kept.append((ids, counts, token_ends, token_ends - spelling.lengths(ids), np.repeat(np.arange(batch.num_rows), counts)))
             (a_ids, a_counts, a_ends, a_starts, a_docs), (b_ids, b_counts, b_ends, b_starts, b_docs) = kept
             at_a, at_b = overlaps(a_starts, a_docs, b_starts, b_docs)
             linked = a_ends[at_a] == b_ends[at_b]
             last_a, last_b = at_a[linked], at_b[linked]
-            groups = np.searchsorted(a_docs[last_a], np.arange(len(texts) + 1))
+            groups = np.searchsorted(a_docs[last_a], np.arange(batch.num_rows + 1))
             first_a, first_b = (np.concatenate([[0], np.cumsum(c)]) for c in (a_counts, b_counts))
             columns = [
                 _lists(a_ids, first_a),
@@ -161,7 +174,7 @@ def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text", w
                 _lists(np.diff(last_b, prepend=-1), groups),
             ]
             if with_overlaps:
-                bounds = np.searchsorted(a_docs[at_a], np.arange(len(texts) + 1))
+                bounds = np.searchsorted(a_docs[at_a], np.arange(batch.num_rows + 1))
                 columns += [_lists(at_a - first_a[a_docs[at_a]], bounds), _lists(at_b - first_b[b_docs[at_b]], bounds)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", *names])
 
@@ -170,6 +183,17 @@ def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text", w
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in names), *names)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of about ``SLICE_IDS`` ids of both sides, a row at least."""
+    for batch in batches:
+        sizes = sum(np.asarray(batch.column(c).value_lengths()).astype(np.int64) for c in ("a_ids", "b_ids"))
+        total, at = np.cumsum(sizes), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE_IDS, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """All values of a list column and how many each row has."""
     column = batch.column(name)
@@ -187,13 +211,12 @@ def link_counts(aligned: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                new, n = np.unique(_links(batch), return_counts=True)
-                pairs, at = np.unique(np.concatenate([pairs, new]), return_inverse=True)
-                held = np.zeros(len(pairs), np.int64)
-                np.add.at(held, at, np.concatenate([counts, n]))
-                counts = held
+        for batch in _sliced(batches):
+            new, n = np.unique(_links(batch), return_counts=True)
+            pairs, at = np.unique(np.concatenate([pairs, new]), return_inverse=True)
+            held = np.zeros(len(pairs), np.int64)
+            np.add.at(held, at, np.concatenate([counts, n]))
+            counts = held
         for k in range(0, len(pairs), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[k : k + 50_000]), pa.array(counts[k : k + 50_000])], ["pair", "links"])
 
@@ -217,9 +240,7 @@ def alignment_digests(aligned: DataFrame, counts: DataFrame, *, id: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]):
         pairs, links, best = known.value
         decimals = Spelling([])
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _sliced(batches):
             (a, n_a), (b, n_b), (a_sizes, n_groups), (b_sizes, _) = (_flat(batch, c) for c in ARRAYS)
             at = np.searchsorted(pairs, _links(batch)) if len(a) else np.zeros(0, np.int64)
             group_ends = np.concatenate([[0], np.cumsum(n_groups)])
@@ -257,5 +278,5 @@ def op13_token_alignment(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     aligned = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    aligned = written(aligned.drop("text"), "aligned")
+    aligned = written(aligned.drop("text"), "aligned", **{"parquet.block.size": 32 << 20})
     return alignment_digests(aligned, link_counts(aligned))

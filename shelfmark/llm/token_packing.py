@@ -41,6 +41,8 @@ from .common import IS_GAP, chunked, query, table, text_bytes
 MAGIC = b"SHLFPK01"
 BLOCK_IDS = 4096
 NULL_ID = -(2**63)
+#: Chunks whose ids a worker keeps.
+CHUNKS = 1_000_000
 
 #: UTF-8 forms of the characters beyond ASCII that Unicode calls white space.
 WIDE_WHITE = [
@@ -156,7 +158,7 @@ class Shard:
 
 
 @functools.lru_cache(2)
-def _chunk_ids(vocabulary: str, plain: bool) -> tuple[ChunkIds, int, re.Pattern | None]:
+def _chunk_ids(vocabulary: str, plain: bool, limit: int) -> tuple[ChunkIds, int, re.Pattern | None]:
     """Encoder of one worker, the size of its vocabulary, and the pattern of the special tokens it looks for. The
     missing chunks are encoded as one text in which every chunk starts a new piece; ids are given back to their chunks
     by their lengths in bytes."""
@@ -191,14 +193,14 @@ def _chunk_ids(vocabulary: str, plain: bool) -> tuple[ChunkIds, int, re.Pattern
             counts.append(np.diff(ends, prepend=0))
         return single + joined, np.concatenate(ids), np.concatenate(counts)
 
-    return ChunkIds(encode), size, special
+    return ChunkIds(encode, limit), size, special
 
 
-def encode_texts(column: pa.Array, vocabulary: str, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(column: pa.Array, vocabulary: str, plain: bool = False, limit: int = CHUNKS) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, and how many each has. The names of special tokens within a text become their
-    ids, as in the library, unless ``plain``: then they are text like any other."""
+    ids, as in the library, unless ``plain``: then they are text like any other. A worker keeps the ids of ``limit`` chunks."""
     data, offsets = text_bytes(column)
-    chunk_ids, _, special = _chunk_ids(vocabulary, plain)
+    chunk_ids, _, special = _chunk_ids(vocabulary, plain, limit)
     starts, ends, row_first = chunk_spans(data, offsets, special)
     ids, counts = chunk_ids(data, starts, ends)
     return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[row_first])
@@ -227,7 +229,7 @@ def write_packed(
         part = TaskContext.get().partitionId()
         store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        size = _chunk_ids(vocabulary, False)[1]
+        size = _chunk_ids(vocabulary, False, CHUNKS)[1]
         bits = bits_for(max(size, (end_id or 0) + 1))
         doc_ids, counts, ids, held, number = [], [], [], 0, 0
 

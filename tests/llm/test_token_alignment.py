@@ -96,7 +96,7 @@ def test_overlaps_against_all_pairs(docs, rng):
 
 
 def test_pairs_stay_within_their_bound():
-    a, b = ta.byte_level_spelling(VOCABULARY), ta.piece_model(MODEL)[1]
+    a, b = ta.byte_level_spelling(VOCABULARY), ta.piece_model(MODEL).spelling
     spelt = lambda s: [s.data[x:y].tobytes() for x, y in zip(s.ends, s.ends[1:])]
     a, b = spelt(a), spelt(b)
     held_a, held_b = Counter(a), Counter(b)
