@@ -1,7 +1,8 @@
 """Ids of texts from ids of their distinct chunks.
 
 Most chunks (white space and the word after it) of a corpus repeat, so each distinct chunk is encoded once per
-Python worker and a text is a gather over a table. The table is bounded; beyond its limit it starts anew."""
+Python worker and a text is a gather over a table. Chunks are told apart by 64-bit hashes, so the table holds no text:
+per chunk a hash, two places and its ids. It is bounded in chunks and in ids; beyond a limit it starts anew."""
 
 from __future__ import annotations
 
@@ -24,46 +25,52 @@ def gathered(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 class ChunkIds:
-    """``encode(chunks) -> (chunks, ids, counts)`` gives the ids of many chunks (bytes), joined, and how many
-    each has; it may put the chunks into another order."""
+    """``encode(chunks) -> (chunks, ids, counts)`` gives the ids of many different chunks (bytes), joined, and how many
+    each has; it may put the chunks into another order. At most ``limit`` chunks and eight times as many ids are kept
+    from one call to the next."""
 
     def __init__(self, encode: Callable, limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict[bytes, int] = {}
+        self.hashes = np.zeros(0, np.uint64)  # ascending
+        self.start = np.zeros(0, np.int64)
+        self.end = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        chunks, ids, counts = self.encode(chunks)
-        n = len(self.code)
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(chunks) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+    def _learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
+        """Adds chunks, given in ascending order of their hashes."""
+        listed, ids, counts = self.encode(chunks)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(len(ids), len(self.ids)), np.uint32)])
         self.ids[self.used : self.used + len(ids)] = ids
-        self.start[n + 1 : n + len(chunks) + 1] = self.used + np.cumsum(counts)
+        ends = self.used + np.cumsum(counts)
         self.used += len(ids)
-        self.code.update(zip(chunks, range(n, n + len(chunks))))
-
-    def codes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The table row of every chunk of ``data``."""
-        _, first, inverse = np.unique(span_hashes(prefix_sums(data), starts, ends), return_index=True, return_inverse=True)
-        held = data.tobytes()
-        chunks = [held[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        new = [c for c in chunks if c not in self.code]
-        if new and len(self.code) + len(new) > self.limit:
-            self._clear()
-            new = chunks
-        if new:
-            self._learn(list(dict.fromkeys(new)))
-        return np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))[inverse]
+        if listed is not chunks:
+            place = dict(zip(listed, range(len(listed))))
+            order = np.fromiter(map(place.__getitem__, chunks), np.int64, len(chunks))
+            ends, counts = ends[order], counts[order]
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.start, self.end = np.insert(self.start, at, ends - counts), np.insert(self.end, at, ends)
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks in a row, and how many ids each chunk has."""
-        codes = self.codes(data, starts, ends)
-        lo, hi = self.start[codes], self.start[codes + 1]
+        hashes, first, inverse = np.unique(span_hashes(prefix_sums(data), starts, ends), return_index=True, return_inverse=True)
+        if self.used > 8 * self.limit:
+            self._clear()
+        known = np.zeros(len(hashes), bool)
+        if len(self.hashes):
+            known = self.hashes[np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)] == hashes
+        if len(self.hashes) + len(hashes) - int(known.sum()) > self.limit:
+            self._clear()
+            known[:] = False
+        new = np.flatnonzero(~known)
+        if len(new):
+            held = data.tobytes()
+            self._learn(hashes[new], [held[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+        codes = np.searchsorted(self.hashes, hashes)[inverse]
+        lo, hi = self.start[codes], self.end[codes]
         return gathered(self.ids, lo, hi), hi - lo

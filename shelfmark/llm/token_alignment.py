@@ -35,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .chunk_cache import gathered
+from .chunk_cache import ChunkIds, gathered
 from .common import chunked, query, table, text_bytes, written
 from .token_packing import encode_texts
 
-SLICE_BYTES, SLICE_IDS = 1 << 20, 1_000_000
-#: Chunks whose ids a worker keeps.
-CHUNKS = 600_000
+SLICE_BYTES, SLICE_IDS = 1 << 18, 500_000
+#: Chunks whose ids a worker keeps, on each side.
+CHUNKS = 1_000_000
 INTS = T.ArrayType(T.IntegerType())
 ARRAYS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 
@@ -78,7 +78,8 @@ def byte_level_spelling(vocabulary: str) -> Spelling:
 
 
 class PieceModel:
-    """A SentencePiece model, and the bytes of its ids."""
+    """A SentencePiece model, and the bytes of its ids. Where no piece goes on behind a space, the ids of a text are
+    those of its chunks (spaces and what follows up to the next space), which are encoded once per worker."""
 
     def __init__(self, model: str):
         import sentencepiece
@@ -87,12 +88,33 @@ class PieceModel:
         pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
         own = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.spelling = Spelling(own)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and how many each text has."""
-        encoded = self.processor.encode(texts, num_threads=1)
+        behind = any("▁" in p.lstrip("▁") for i, p in enumerate(pieces) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)))
+        # the model keeps spaces as they are and adds one in front
+        self.in_chunks = not behind and all(sp.normalize(t) == "▁" + t.replace(" ", "▁") for t in ("a", " a  b ", " "))
+        self.space = sp.piece_to_id("▁")
+        self.chunk_ids = ChunkIds(self._encode_chunks, CHUNKS)
+
+    def _encode_chunks(self, chunks: list[bytes]):
+        encoded = self.processor.encode([c[1:].decode() for c in chunks], num_threads=1)
+        return chunks, *self._flat([e or [self.space] for e in encoded])
+
+    @staticmethod
+    def _flat(encoded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
         counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        return np.fromiter(itertools.chain.from_iterable(encoded), np.int64, int(counts.sum())), counts
+        return np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(counts.sum())), counts
+
+    def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each row has. Rows are given with the space the library would add."""
+        if not self.in_chunks:
+            held = data.tobytes()
+            texts = [held[a + 1 : b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            return self._flat(self.processor.encode(texts, num_threads=1))
+        begins = data == 0x20
+        begins[1:] &= data[:-1] != 0x20
+        begins[ends[:-1]] = True
+        starts = np.flatnonzero(begins)
+        ids, counts = self.chunk_ids(data, starts, np.append(starts[1:], len(data)))
+        return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, ends)])
 
 
 @functools.lru_cache(2)
@@ -146,7 +168,7 @@ def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text", w
             data, ends = np.insert(data, ends[:-1], 0x20), ends + np.arange(len(ends))
             spaced = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data))
             a_ids, a_counts = encode_texts(spaced, vocabulary, plain=True, limit=CHUNKS)
-            b_ids, b_counts = b_side.encode(batch.column("text").fill_null("").to_pylist())
+            b_ids, b_counts = b_side.encode(data, ends)
             good = np.diff(ends) > 1
             sides = []
             for ids, counts, spelling in ((a_ids, a_counts, a_spelling), (b_ids, b_counts, b_side.spelling)):

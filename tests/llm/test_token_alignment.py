@@ -95,6 +95,20 @@ def test_overlaps_against_all_pairs(docs, rng):
     assert list(zip(*(g.tolist() for g in got))) == want
 
 
+def test_ids_of_the_library_with_and_without_chunks():
+    rng = random.Random(2)
+    texts = [some_text(rng) for _ in range(300)] + ["", " ", "  ", "a ", " a  b  "]
+    model = ta.PieceModel(MODEL)
+    assert model.in_chunks
+    joined = [(" " + t).encode() for t in texts]
+    data, ends = np.frombuffer(b"".join(joined), np.uint8), np.cumsum([0, *map(len, joined)])
+    for model.in_chunks in (True, False):
+        ids, counts = model.encode(data, ends)
+        got = np.split(ids, np.cumsum(counts)[:-1])
+        for t, g in zip(texts, got):
+            assert g.tolist() == (side_b.encode(t) or ([model.space] if model.in_chunks else []))
+
+
 def test_pairs_stay_within_their_bound():
     a, b = ta.byte_level_spelling(VOCABULARY), ta.piece_model(MODEL).spelling
     spelt = lambda s: [s.data[x:y].tobytes() for x, y in zip(s.ends, s.ends[1:])]
