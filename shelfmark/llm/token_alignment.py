@@ -6,8 +6,9 @@ document, ``pandas.merge_asof`` looks up for the start of every token the token
 Both directions together give all overlaps; overlapping tokens that end together are linked, and these places cut both
 sequences into the smallest groups that spell the same bytes.
 
-``align`` gives every document its ids and groups, ``link_counts`` how often each pair of ids is linked in all
-documents, and ``alignment_digests`` what follows from both for each document.
+``align`` gives every document its ids, groups and overlaps. ``linked_documents`` keeps of these a hash of the groups and the
+linked pairs, ``link_counts`` counts each pair in all documents, and ``link_frequencies`` brings the counts back to the
+documents.
 
 The table of linked pairs has a bound that the documents cannot exceed: of two tokens that end together, the shorter
 one's bytes are the last bytes of the longer one. A token has as many endings as bytes, and no two ids of side A
@@ -39,11 +40,10 @@ from .chunk_cache import ChunkIds, gathered
 from .common import chunked, query, table, text_bytes, written
 from .token_packing import encode_texts
 
-SLICE_BYTES, SLICE_IDS = 1 << 18, 500_000
+SLICE_BYTES = 1 << 18
 #: Chunks whose ids a worker keeps, on each side.
 CHUNKS = 1_000_000
 INTS = T.ArrayType(T.IntegerType())
-ARRAYS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 
 
 class Spelling:
@@ -150,91 +150,124 @@ def overlaps(a_starts: np.ndarray, a_docs: np.ndarray, b_starts: np.ndarray, b_d
     return at_a[order], at_b[order]
 
 
+class Aligned:
+    """Ids and groups of the documents of one slice. ``first_a[i]`` is the place of the first token of row i on side A,
+    ``last_a[k]`` that of the last token of group k, and ``groups[i]`` the first group of row i; side B likewise. ``at_a`` and
+    ``at_b`` are the places of overlapping tokens."""
+
+    def __init__(self, column: pa.Array, vocabulary: str, model: str):
+        b_side, a_spelling = piece_model(model), byte_level_spelling(vocabulary)
+        data, ends = text_bytes(column)
+        data, ends = np.insert(data, ends[:-1], 0x20), ends + np.arange(len(ends))
+        spaced = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data))
+        encoded = encode_texts(spaced, vocabulary, plain=True, limit=CHUNKS), b_side.encode(data, ends)
+        good, sides = np.diff(ends) > 1, []
+        for (ids, counts), spelling in zip(encoded, (a_spelling, b_side.spelling)):
+            ids, first = ids.astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
+            spelt = np.concatenate([[0], np.cumsum(spelling.lengths(ids))])[first]
+            good &= _spells(spelling.join(ids), spelt, data, ends)
+            sides.append((ids, first, spelling))
+        kept = []
+        for ids, first, spelling in sides:
+            ids, counts = gathered(ids, first[:-1][good], first[1:][good]), np.diff(first) * good
+            lengths = spelling.lengths(ids)
+            token_ends = np.cumsum(lengths)
+            kept.append((ids, counts, token_ends, token_ends - lengths, np.repeat(np.arange(len(column)), counts)))
+        (self.a_ids, a_counts, a_ends, a_starts, self.a_docs), (self.b_ids, b_counts, b_ends, b_starts, self.b_docs) = kept
+        self.at_a, self.at_b = overlaps(a_starts, self.a_docs, b_starts, self.b_docs)
+        linked = a_ends[self.at_a] == b_ends[self.at_b]
+        self.last_a, self.last_b = self.at_a[linked], self.at_b[linked]
+        self.groups = np.searchsorted(self.a_docs[self.last_a], np.arange(len(column) + 1))
+        self.first_a, self.first_b = (np.concatenate([[0], np.cumsum(c)]) for c in (a_counts, b_counts))
+
+    def sizes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each group on either side."""
+        return np.diff(self.last_a, prepend=-1), np.diff(self.last_b, prepend=-1)
+
+    def links(self) -> np.ndarray:
+        """The pairs of ids that end the groups, each as one number."""
+        return self.a_ids[self.last_a] << 32 | self.b_ids[self.last_b]
+
+    def group_texts(self) -> list[bytes]:
+        """``a1,a2|b1;a3|b2,b3`` for each row."""
+        a_sizes, b_sizes = self.sizes()
+        # ids in the order of groups, side A first; each has room for the sign after it
+        place_a = np.arange(len(self.a_ids)) + np.repeat(self.last_b + 1 - b_sizes, a_sizes)
+        place_b = np.arange(len(self.b_ids)) + np.repeat(self.last_a + 1, b_sizes)
+        ids, signs = np.zeros(len(self.a_ids) + len(self.b_ids), np.int64), np.full(len(self.a_ids) + len(self.b_ids), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = self.a_ids, self.b_ids
+        signs[place_a[self.last_a]], signs[place_b[self.last_b]] = ord("|"), ord(";")
+        numerals = decimals(1 << max(16, int(ids.max(initial=0)).bit_length()))
+        listed = numerals.join(ids).copy()
+        ends = np.concatenate([[0], np.cumsum(numerals.lengths(ids))])
+        listed[ends[1:] - 1] = signs
+        bounds, text = ends[self.first_a + self.first_b].tolist(), listed.tobytes()
+        return [text[x : max(x, y - 1)] for x, y in zip(bounds, bounds[1:])]
+
+
+@functools.lru_cache(2)
+def decimals(n: int) -> Spelling:
+    """Every id below n in decimal form, with a comma."""
+    return Spelling([b"%d," % i for i in range(n)])
+
+
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text", with_overlaps: bool = False) -> DataFrame:
-    """The documents with ``a_ids`` and ``b_ids`` and, for each group, the number of its tokens on either side,
-    ``a_sizes`` and ``b_sizes``; with ``overlap_a`` and ``overlap_b`` too if asked for: places of tokens, from 0, that share
-    a byte. Both paths name files that every executor has."""
+def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text") -> DataFrame:
+    """The documents with ``a_ids`` and ``b_ids``; for each group the number of its tokens on either side, ``a_sizes`` and
+    ``b_sizes``; and for each overlap the places of the two tokens, from 0, ``overlap_a`` and ``overlap_b``. Both paths name
+    files that every executor has."""
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    names = [*ARRAYS, *(["overlap_a", "overlap_b"] if with_overlaps else [])]
+    names = ["a_ids", "b_ids", "a_sizes", "b_sizes", "overlap_a", "overlap_b"]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        b_side, a_spelling = piece_model(model), byte_level_spelling(vocabulary)
         for batch in chunked(batches, "text", SLICE_BYTES):
-            data, ends = text_bytes(batch.column("text"))
-            data, ends = np.insert(data, ends[:-1], 0x20), ends + np.arange(len(ends))
-            spaced = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data))
-            a_ids, a_counts = encode_texts(spaced, vocabulary, plain=True, limit=CHUNKS)
-            b_ids, b_counts = b_side.encode(data, ends)
-            good = np.diff(ends) > 1
-            sides = []
-            for ids, counts, spelling in ((a_ids, a_counts, a_spelling), (b_ids, b_counts, b_side.spelling)):
-                ids = ids.astype(np.int64)
-                first = np.concatenate([[0], np.cumsum(counts)])
-                spelt = np.concatenate([[0], np.cumsum(spelling.lengths(ids))])[first]
-                good &= _spells(spelling.join(ids), spelt, data, ends)
-                sides.append((ids, first, spelling))
-            kept = []
-            for ids, first, spelling in sides:
-                ids = gathered(ids, first[:-1][good], first[1:][good])
-                counts = np.diff(first) * good
-                token_ends = np.cumsum(spelling.lengths(ids))
-                kept.append((ids, counts, token_ends, token_ends - spelling.lengths(ids), np.repeat(np.arange(batch.num_rows), counts)))
-            (a_ids, a_counts, a_ends, a_starts, a_docs), (b_ids, b_counts, b_ends, b_starts, b_docs) = kept
-            at_a, at_b = overlaps(a_starts, a_docs, b_starts, b_docs)
-            linked = a_ends[at_a] == b_ends[at_b]
-            last_a, last_b = at_a[linked], at_b[linked]
-            groups = np.searchsorted(a_docs[last_a], np.arange(batch.num_rows + 1))
-            first_a, first_b = (np.concatenate([[0], np.cumsum(c)]) for c in (a_counts, b_counts))
-            columns = [
-                _lists(a_ids, first_a),
-                _lists(b_ids, first_b),
-                _lists(np.diff(last_a, prepend=-1), groups),
-                _lists(np.diff(last_b, prepend=-1), groups),
-            ]
-            if with_overlaps:
-                bounds = np.searchsorted(a_docs[at_a], np.arange(batch.num_rows + 1))
-                columns += [_lists(at_a - first_a[a_docs[at_a]], bounds), _lists(at_b - first_b[b_docs[at_b]], bounds)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", *names])
+            x = Aligned(batch.column("text"), vocabulary, model)
+            bounds = np.searchsorted(x.a_docs[x.at_a], np.arange(batch.num_rows + 1))
+            lists = [(x.a_ids, x.first_a), (x.b_ids, x.first_b), *((s, x.groups) for s in x.sizes())]
+            lists += [(x.at_a - x.first_a[x.a_docs[x.at_a]], bounds), (x.at_b - x.first_b[x.b_docs[x.at_b]], bounds)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *(_lists(*v) for v in lists)], ["row", *names])
 
     schema = T.StructType([*rows.select("row").schema.fields, *(T.StructField(n, INTS) for n in names)])
     out = rows.mapInArrow(run, schema)
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in names), *names)
 
 
-def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches in slices of about ``SLICE_IDS`` ids of both sides, a row at least."""
-    for batch in batches:
-        sizes = sum(np.asarray(batch.column(c).value_lengths()).astype(np.int64) for c in ("a_ids", "b_ids"))
-        total, at = np.cumsum(sizes), 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE_IDS, "right")))
-            yield batch.slice(at, to - at)
-            at = to
-
-
-def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a list column and how many each row has."""
-    column = batch.column(name)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), column.value_lengths().to_numpy(zero_copy_only=False)
+def linked_documents(docs: DataFrame, vocabulary: str, model: str, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document ``n_a``, ``n_b`` and ``n_groups``, ``groups_sha256``, a hash of ``a1,a2|b1;a3|b2,b3`` (the ids of each group, side A
+    first; empty without tokens), and ``links``: the linked pairs in order, eight bytes each (id of side A times 2**32
+    plus id of side B, little-endian)."""
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
 
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in chunked(batches, "text", SLICE_BYTES):
+            x = Aligned(batch.column("text"), vocabulary, model)
+            links = x.links().astype("<i8").view(np.uint8)
+            digests = [hashlib.sha256(t).hexdigest() if t else "" for t in x.group_texts()]
+            columns = [
+                *(pa.array(np.diff(v).astype(np.int64)) for v in (x.first_a, x.first_b, x.groups)),
+                pa.array(digests, pa.string()),
+                pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((x.groups * 8).astype(np.int32)), pa.py_buffer(links)]),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
 
-def _links(batch: pa.RecordBatch) -> np.ndarray:
-    """Key of the linked pair of ids at the end of every group."""
-    a, b = (_flat(batch, f"{s}_ids")[0][np.cumsum(_flat(batch, f"{s}_sizes")[0]) - 1] for s in "ab")
-    return a << 32 | b
+    schema = T.StructType(rows.select("id").schema.fields)
+    for c in ("n_a", "n_b", "n_groups"):
+        schema.add(c, T.LongType())
+    out = rows.mapInArrow(run, schema.add("groups_sha256", T.StringType()).add("links", T.BinaryType()))
+    return out.withColumnRenamed("id", id)
 
 
-def link_counts(aligned: DataFrame) -> DataFrame:
-    """``pair`` (id of side A times 2**32 plus id of side B) and ``links``, its number in all documents."""
+def link_counts(linked: DataFrame) -> DataFrame:
+    """``pair`` (as in ``links``) and ``links``, its number in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in _sliced(batches):
-            new, n = np.unique(_links(batch), return_counts=True)
+        for batch in chunked(batches, "links", 4 * SLICE_BYTES):
+            data, _ = text_bytes(batch.column("links"))
+            new, n = np.unique(np.frombuffer(data.tobytes(), "<i8"), return_counts=True)
             pairs, at = np.unique(np.concatenate([pairs, new]), return_inverse=True)
             held = np.zeros(len(pairs), np.int64)
             np.add.at(held, at, np.concatenate([counts, n]))
@@ -242,13 +275,12 @@ def link_counts(aligned: DataFrame) -> DataFrame:
         for k in range(0, len(pairs), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[k : k + 50_000]), pa.array(counts[k : k + 50_000])], ["pair", "links"])
 
-    return aligned.select(*ARRAYS).mapInArrow(run, "pair long, links long").groupBy("pair").agg(F.sum("links").alias("links"))
+    return linked.select("links").mapInArrow(run, "pair long, links long").groupBy("pair").agg(F.sum("links").alias("links"))
 
 
-def alignment_digests(aligned: DataFrame, counts: DataFrame, *, id: str = "doc_id") -> DataFrame:
-    """Per document: tokens of both sides, groups and links; ``n_best``, the links whose pair is linked as often as
-    any pair of their id of side B; ``count_sum``, the sum of the counts of its links; and ``groups_sha256``, a hash of
-    ``a1,a2|b1;a3|b2,b3``: the ids of each group, side A first (empty without tokens)."""
+def link_frequencies(linked: DataFrame, counts: DataFrame) -> DataFrame:
+    """Instead of ``links``: ``n_links``; ``n_best``, the links whose pair is linked as often as any pair of their id of
+    side B; and ``count_sum``, the sum of the counts of the links."""
     held = counts.toArrow()  # bounded by the two vocabularies, see above
     pairs, links = (held.column(c).to_numpy().astype(np.int64) for c in ("pair", "links"))
     order = np.argsort(pairs)
@@ -256,41 +288,20 @@ def alignment_digests(aligned: DataFrame, counts: DataFrame, *, id: str = "doc_i
     b_ids, of = np.unique(pairs & 0xFFFFFFFF, return_inverse=True)
     most = np.zeros(len(b_ids), np.int64)
     np.maximum.at(most, of, links)
-    known = aligned.sparkSession.sparkContext.broadcast((pairs, links, links == most[of]))
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    known = linked.sparkSession.sparkContext.broadcast((pairs, links, (links == most[of]).astype(np.int64)))
+    names = ["n_links", "n_best", "count_sum"]
+    rows = linked.select(F.struct(*(c for c in linked.columns if c != "links")).alias("row"), "links")
 
     def run(batches: Iterator[pa.RecordBatch]):
         pairs, links, best = known.value
-        decimals = Spelling([])
-        for batch in _sliced(batches):
-            (a, n_a), (b, n_b), (a_sizes, n_groups), (b_sizes, _) = (_flat(batch, c) for c in ARRAYS)
-            at = np.searchsorted(pairs, _links(batch)) if len(a) else np.zeros(0, np.int64)
-            group_ends = np.concatenate([[0], np.cumsum(n_groups)])
-            sums = [np.concatenate([[0], np.cumsum(v[at])])[group_ends] for v in (best.astype(np.int64), links)]
-            # ids in the order of groups, side A first; each with room for the sign after it
-            last_a, last_b = np.cumsum(a_sizes), np.cumsum(b_sizes)
-            place_a = np.arange(len(a)) + np.repeat(last_b - b_sizes, a_sizes)
-            place_b = np.arange(len(b)) + np.repeat(last_a, b_sizes)
-            ids, signs = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
-            ids[place_a], ids[place_b] = a, b
-            signs[place_a[last_a - 1]], signs[place_b[last_b - 1]] = ord("|"), ord(";")
-            if len(ids) and ids.max() >= len(decimals.ends) - 1:
-                decimals = Spelling([b"%d," % i for i in range(int(ids.max()) + 1)])
-            ends = np.concatenate([[0], np.cumsum(decimals.lengths(ids))]) if len(ids) else np.zeros(1, np.int64)
-            listed = decimals.join(ids).copy() if len(ids) else np.zeros(0, np.uint8)
-            listed[ends[1:] - 1] = signs
-            bounds = ends[np.concatenate([[0], np.cumsum(n_a + n_b)])].tolist()
-            text = listed.tobytes()
-            digests = [hashlib.sha256(text[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
-            numbers = [n_a, n_b, n_groups, n_groups, *map(np.diff, sums)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(v.astype(np.int64)) for v in numbers), pa.array(digests, pa.string())],
-                ["id", *names, "groups_sha256"],
-            )
-
-    rows = aligned.select(F.col(id).alias("id"), *ARRAYS)
-    schema = T.StructType([*rows.select("id").schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
-    return rows.mapInArrow(run, schema.add("groups_sha256", T.StringType())).withColumnRenamed("id", id)
+        for batch in chunked(batches, "links", 4 * SLICE_BYTES):
+            data, ends = text_bytes(batch.column("links"))
+            at = np.searchsorted(pairs, np.frombuffer(data.tobytes(), "<i8"))
+            sums = [np.diff(np.concatenate([[0], np.cumsum(v[at])])[ends // 8]) for v in (best, links)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, (np.diff(ends) // 8, *sums))], ["row", *names])
+
+    schema = T.StructType([*rows.select("row").schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
+    return rows.mapInArrow(run, schema).select("row.*", *names)
 
 
 @query()
@@ -298,7 +309,8 @@ def op13_token_alignment(spark, sf_dir):
     """Groups and links of every document, and how usual its links are in all documents."""
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    aligned = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    aligned = written(aligned.drop("text"), "aligned", **{"parquet.block.size": 32 << 20})
-    return alignment_digests(aligned, link_counts(aligned))
+    docs = table(spark, sf_dir, "documents")
+    linked = linked_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    linked = written(linked, "linked", compression="zstd")
+    found = link_frequencies(linked, link_counts(linked))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
