@@ -13,7 +13,8 @@ What makes a path best follows the model's type:
 
 Both give the ids of the model's own library. Between two characters that no piece holds next to each other all
 paths meet, whatever surrounds them. In the usual models this is so before a space sign, so texts fall into
-chunks of about a word, and a chunk that repeats is searched once per worker.
+chunks of about a word, and a chunk that repeats is searched once per worker. A chunk of any length goes through the
+same search.
 
 Defined results: null and empty texts have no ids and decode to the empty text; a character without a piece
 becomes its byte pieces, or the unknown id where the model has none (then it does not come back); the space sign U+2581
@@ -23,7 +24,7 @@ in a text decodes to a space, as in the library. Extra columns pass through.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,9 @@ from .chunk_cache import ChunkIds, gathered
 from .common import chunked, query, table, text_bytes
 
 SPACE = "▁"
-SLICE_BYTES, SLICE_IDS = 2 << 20, 500_000
+SLICE_BYTES, SLICE_IDS = 1 << 20, 250_000
+#: Characters of a text that the search copies at a time.
+PART_CHARS = 4096
 #: Model types as the model files number them.
 TYPES = {1: "unigram", 2: "bpe"}
 
@@ -85,7 +88,6 @@ class Codec:
         self.lowest = min(self.score.values(), default=0.0) - 10.0
         #: No piece crosses the start of a run of space signs.
         self.splits_at_spaces = not any(SPACE in p.lstrip(SPACE) for p in self.id)
-        self.prefix = sp.normalize("a") != "a"
         #: Pairs of ASCII characters that no piece holds next to each other: no piece crosses between them.
         self.never = np.ones((256, 256), bool)
         self.never[0x80:] = self.never[:, 0x80:] = False
@@ -96,20 +98,13 @@ class Codec:
         if not self.byte_id:  # neighbouring unknown characters are one unknown id
             unknown = [c for c in range(0x80) if chr(c) not in self.id]
             self.never[np.ix_(unknown, unknown)] = False
+        self.made_of: dict[str, tuple[str, str]] = {}
+        self.apart: dict[tuple[str, str], bool] = {}
+        self.rank, self.whole = {}, set()
         if self.type == "bpe":
             by_score = sorted(self.score, key=lambda p: -self.score[p])
             self.rank = {p: r for r, p in enumerate(by_score) if len(p) > 1}
-            self.made_of: dict[str, tuple[str, str]] = {}
             self.whole = {p for p in self.rank if self._merges_to_itself(p)}
-            self.apart: dict[tuple[str, str], bool] = {}
-        bytes_of = [b""] * size
-        for p, i in self.id.items():
-            bytes_of[i] = p.replace(SPACE, " ").encode()
-        for b, i in self.byte_id.items():
-            bytes_of[i] = bytes([b])
-        bytes_of[self.unknown] = " ⁇ ".encode()
-        self.piece_ends = np.cumsum(list(map(len, bytes_of)), dtype=np.int64)
-        self.piece_bytes = np.frombuffer(b"".join(bytes_of), np.uint8)
         self.chunk_ids = ChunkIds(self._encode_chunks, 400_000)
 
     def _merges_to_itself(self, piece: str) -> bool:
@@ -144,7 +139,7 @@ class Codec:
             else:
                 result = True
                 break
-        if len(self.apart) > 250_000:
+        if len(self.apart) > 100_000:
             self.apart.clear()
         self.apart[a, b] = result
         return result
@@ -158,67 +153,59 @@ class Codec:
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
 
-    def stream(self, parts: Iterator[str]) -> Iterator[list[int]]:
+    def stream(self, parts: Iterable[str]) -> Iterator[list[int]]:
         """Ids, as they become final."""
-        window = ""  # characters since the last final boundary
-        back: list[str | None] = [None]  # last piece of the best path to each boundary of the window
+        reach, unigram = self.reach, self.type == "unigram"
+        whole, apart, stay_apart, scores = self.whole, self.apart, self._stay_apart, self.score
+        held = ""  # characters of the part in work, from the last final boundary on
+        lo = i = 0  # the last final boundary, and the one that was reached last
+        back: list = [None]  # last piece of the best path to each boundary from lo on
         best = [0.0]
-        before: str | None = None  # the final piece before the window
-        unigram = self.type == "unigram"
-        out: list[int] = []
+        before: str | None = None  # the final piece before lo
+        due, out = 4 * reach, []
         for part in parts:
-            for c in part:
-                window += c
-                i = len(window)
-                if unigram:
-                    chosen, top = None, -1e300
-                    for j in range(max(0, i - self.reach), i):
-                        piece = window[j:i]
-                        score = self.score.get(piece)
-                        if score is None and j == i - 1:
-                            score = self.lowest
-                        if score is not None and best[j] + score > top:
-                            chosen, top = piece, best[j] + score
-                    best.append(top)
-                else:
-                    for j in range(max(0, i - self.reach), i):
-                        chosen = window[j:i]
-                        if j == i - 1 or chosen in self.whole:
-                            last = back[j] if j else before
-                            if last is None or self._stay_apart(last, chosen):
-                                break
-                back.append(chosen)
-                if i >= 4 * self.reach:
-                    meet = self._meeting(back, i)
-                    if meet:
-                        pieces = self._path(back, meet)
-                        self._emit(pieces, out)
-                        before = pieces[-1]
-                        window, back = window[meet:], [None, *back[meet + 1 :]]
-                        best = [b - best[meet] for b in best[meet:]] if unigram else best
-                        # an unknown id at the cut is kept back, so that unknown characters stay one id
-                        cut = len(out) - (not self.byte_id and out[-1] == self.unknown)
-                        yield out[:cut]
-                        out = out[cut:]
-        self._emit(self._path(back, len(window)), out)
+            for at in range(0, len(part), PART_CHARS):
+                held, i, lo = held[lo:] + part[at : at + PART_CHARS], i - lo, 0
+                while i < len(held):
+                    i += 1
+                    n = i - lo
+                    if unigram:
+                        chosen, top = None, -1e300
+                        for j in range(n - reach if n > reach else 0, n):
+                            piece = held[lo + j : i]
+                            score = scores.get(piece)
+                            if score is None and j == n - 1:
+                                score = self.lowest
+                            if score is not None and best[j] + score > top:
+                                chosen, top = piece, best[j] + score
+                        best.append(top)
+                    else:
+                        for j in range(n - reach if n > reach else 0, n):
+                            chosen = held[lo + j : i]
+                            if j == n - 1 or chosen in whole:
+                                last = back[j] if j else before
+                                if last is None:
+                                    break
+                                known = apart.get((last, chosen))
+                                if stay_apart(last, chosen) if known is None else known:
+                                    break
+                    back.append(chosen)
+                    if n >= due:
+                        meet = self._meeting(back, n)
+                        if meet:
+                            pieces = self._path(back, meet)
+                            self._emit(pieces, out)
+                            before = pieces[-1]
+                            back, lo = [None, *back[meet + 1 :]], lo + meet
+                            best = [b - best[meet] for b in best[meet:]] if unigram else best
+                            # an unknown id at the cut is kept back, so that unknown characters stay one id
+                            cut = len(out) - (not self.byte_id and out[-1] == self.unknown)
+                            yield out[:cut]
+                            out = out[cut:]
+                        due = max(4 * reach, i - lo + reach)
+        self._emit(self._path(back, i - lo), out)
         yield out
 
-    def _short_path(self, text: str) -> list[str]:
-        """What ``stream`` finds for a text that fits into one window of a ``bpe`` model."""
-        back: list = [None]
-        whole, apart, reach = self.whole, self.apart, self.reach
-        for i in range(1, len(text) + 1):
-            for j in range(max(0, i - reach), i):
-                piece = text[j:i]
-                if j == i - 1 or piece in whole:
-                    if not j:
-                        break
-                    known = apart.get((back[j], piece))
-                    if self._stay_apart(back[j], piece) if known is None else known:
-                        break
-            back.append(piece)
-        return self._path(back, len(text))
-
     def _meeting(self, back: list, i: int) -> int:
         """The last boundary that the paths of all boundaries within reach have in common."""
         alive = set(range(max(0, i - self.reach + 1), i + 1))
@@ -240,12 +227,9 @@ class Codec:
         out: list[int] = []
         counts = []
         for chunk in chunks:
-            n, text = len(out), chunk.decode()
-            if self.type == "bpe" and len(text) < 4 * self.reach:  # would be one window
-                self._emit(self._short_path(text), out)
-            else:
-                for ids in self.stream([text]):
-                    out += ids
+            n = len(out)
+            for ids in self.stream([chunk.decode()]):
+                out += ids
             counts.append(len(out) - n)
         return chunks, np.array(out, np.uint32), np.array(counts, np.int64)
 
@@ -257,14 +241,37 @@ class Codec:
         begins = np.zeros(len(data) + 1, bool)
         begins[offsets[:-1]] = True
         begins[1:-1] |= self.never[data[:-1], data[1:]]
-        if self.splits_at_spaces and len(data) > 2:
+        if self.splits_at_spaces:
             space = SPACE.encode()
-            sign = (data[:-2] == space[0]) & (data[1:-1] == space[1]) & (data[2:] == space[2])
-            begins[:-3] |= sign & ~np.concatenate([[False] * 3, sign[:-3]])
+            sign = np.flatnonzero(data == space[0])
+            sign = sign[sign + 2 < len(data)]
+            sign = sign[(data[sign + 1] == space[1]) & (data[sign + 2] == space[2])]
+            begins[sign[np.diff(sign, prepend=-3) != 3]] = True
         starts = np.flatnonzero(begins[:-1])
         ids, counts = self.chunk_ids(data, starts, np.append(starts[1:], len(data)))
         return ids, np.diff(np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, offsets)])
 
+
+class Decoder:
+    """The bytes of every id of a model; all that decoding needs."""
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.prefix = sp.normalize("a") != "a"
+        bytes_of = []
+        for i in range(sp.vocab_size()):
+            piece = sp.id_to_piece(i)
+            if sp.is_byte(i):
+                bytes_of.append(bytes([int(piece[3:5], 16)]))
+            elif sp.is_unknown(i):
+                bytes_of.append(" ⁇ ".encode())
+            else:
+                bytes_of.append(b"" if sp.is_control(i) or sp.is_unused(i) else piece.replace(SPACE, " ").encode())
+        self.piece_ends = np.cumsum(list(map(len, bytes_of)), dtype=np.int64)
+        self.piece_bytes = np.frombuffer(b"".join(bytes_of), np.uint8)
+
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of many texts, given all their ids and where each text's ids end; with the n + 1 offsets."""
         ids = ids.astype(np.int64)
@@ -282,6 +289,12 @@ class Codec:
         return data, offsets
 
 
+@functools.lru_cache(2)
+def decoder(path: str) -> Decoder:
+    with open(path, "rb") as file:
+        return Decoder(file.read())
+
+
 @functools.lru_cache(2)
 def codec(path: str) -> Codec:
     with open(path, "rb") as file:
@@ -317,7 +330,7 @@ def decode(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "dec
                 to = max(at + 1, int(np.searchsorted(total, before + SLICE_IDS, "right")))
                 part = batch.slice(at, to - at)
                 flat = part.column("ids").flatten().to_numpy(zero_copy_only=False)
-                data, offsets = codec(model).decode(flat, total[at:to] - before)
+                data, offsets = decoder(model).decode(flat, total[at:to] - before)
                 held = data.tobytes()
                 texts = [held[a:b].decode(errors="replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])

@@ -33,6 +33,19 @@ def test_ids_of_the_library(texts):
         assert [i for ids in codec.stream([parts[:7], parts[7:]]) for i in ids] == library.encode(t)
 
 
+@pytest.mark.parametrize("texts", [["0"], ["a"], ["", "0"], ["é"], ["日"], ["🙂"], [""], [], ["ab", "", "c"], [" "], ["  "], ["▁"], ["0", "1", "2"]])
+def test_tables_of_a_few_bytes(texts):
+    codec = sc.codec(MODEL)
+    assert encoded(codec, texts) == [library.encode(t) for t in texts]
+
+
+def test_texts_longer_than_a_part(monkeypatch):
+    monkeypatch.setattr(sc, "PART_CHARS", 5)
+    codec = sc.codec(MODEL)
+    for text in ("aab" * 100, "some plain text " * 20, "x" * 300, "日本語" * 50):
+        assert [i for ids in codec.stream([codec.processor.normalize(text)]) for i in ids] == library.encode(text)
+
+
 def test_long_texts_stream_in_bounded_pieces():
     codec = sc.codec(MODEL)
     text = "aab" * 5000
