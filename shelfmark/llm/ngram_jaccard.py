@@ -16,11 +16,12 @@ A token is a word shingle. Two documents link if ``100 * common >= percent * uni
    compared with their members.
 5. Components of all links, by contraction.
 
-So pairs inside a group are never listed, and a copy costs one row. Tokens are told apart by 64-bit hashes.
+So pairs inside a group are never listed, and a copy costs one row. Tokens and sets are told apart by 64-bit hashes.
 
 Defined results: null texts and texts without a word have the empty set, are linked with nothing and are
 their own component; a text of fewer words than a shingle has the whole sequence as its one token; a null id comes after
-all others. Only id and text are read; other columns may be called anything.
+all others. Rows of one id are documents of their own: their texts are linked or not like any others, and each row has
+the smallest id of its own component. Other columns may be called anything.
 """
 
 from __future__ import annotations
@@ -212,8 +213,9 @@ def opened(queries: DataFrame, groups: DataFrame, sets: DataFrame, percent: int)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every document."""
+def set_classes(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Per document ``doc_id`` (``NULL_ID`` for null), ``n`` (tokens) and ``class``: a number that documents have in common if and
+    only if links join them; null without tokens. Sets are named by a hash of their tokens, so ids may repeat."""
     blocks = pack_blocks(docs, id, text)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // TARGET_BYTES))
@@ -221,10 +223,9 @@ def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
     rows = candidate_sets(blocks, counts, size, percent, buckets)
     stats = rows.select("doc_id", "n", "one", "two")
     able = rows.where(F.col("tokens").isNotNull())
-    reps = stats.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("rep"))
-    sets = written(
-        able.join(reps, ["one", "two"]).where("doc_id = rep").dropDuplicates(["one", "two"]).select("rep", "n", "own", "prefix", "tokens"), "sets"
-    )
+    held_by = stats.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("by"))
+    able = able.join(held_by, ["one", "two"]).where("doc_id = by").dropDuplicates(["one", "two"])
+    sets = written(able.select(F.col("one").alias("rep"), "n", "own", "prefix", "tokens"), "sets")
     # ``most`` tokens of a set are held by others: no pair has more in common
     most = (F.col("n") - F.col("own")).alias("most")
     postings = written(sets.select("rep", "n", most, (F.col("own") / F.col("n")).alias("own"), F.explode("prefix").alias("token")), "postings")
@@ -250,21 +251,32 @@ def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
         .select("rep", "target").distinct()
     )
     links = links.unionByName(opened(written(queries, "group-queries"), groups, sets, percent))
-    labels = components(links)
-    classes = reps.join(labels, reps.rep == labels.v, "left").select("one", "two", F.coalesce("c", "rep").alias("component"))
-    found = stats.join(classes, ["one", "two"], "left")
-    alone = F.col("component").isNull() | (F.col("n") == 0)
-    out = found.select(
-        F.col("doc_id"), F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id")
-    )
+    labels = components(links).select(F.col("v").alias("one"), "c")
+    found = stats.join(labels, "one", "left")
+    return found.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("c", "one")).alias("class"))
+
+
+def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every document."""
+    found = written(set_classes(docs, id, text, size, percent), "classes")
+    several = found.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
+    least = several.where("k > 1").select("class", "least")
+    out = found.join(least, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
     null = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
     return out.select(null("doc_id"), "n_shingles", null("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame, *, id: str = "doc_id", **options) -> DataFrame:
-    """The documents that are the smallest of their component."""
-    found = similar_documents(docs, id=id, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs[id] == F.col("_gone"), "left_anti")
+def keep_one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+    """One document of every component, the one with the smallest id; a null id comes after all others. Of several
+    rows of that id in one component one stays, whichever. Texts without words stay, all of them."""
+    keyed = written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    found = set_classes(keyed.select("key", F.col("row")[text].alias("text")), "key", "text", size, percent).where(F.col("class").isNotNull())
+    ids = keyed.select("key", F.col("row")[id].alias("id"))
+    rows = written(found.join(ids, found.doc_id == ids.key).select("class", "key", "id"), "class-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    several = rows.groupBy("class").agg(F.count("*").alias("k"), first["key"].alias("kept")).where("k > 1")
+    gone = rows.join(several.select("class", "kept"), "class").where("key <> kept").select("key")
+    return keyed.join(gone, "key", "left_anti").select("row.*")
 
 
 @query()
