@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import query, table, written
-from .doc_features import let, words_of
+from .doc_features import GAPS, let, words_of
 from .ngram_jaccard import similar_documents
 
 BUCKETS = 1 << 20
@@ -37,10 +37,15 @@ FIELD = "<*>"
 LEADING = 2
 
 
-def masked_tokens(line: Column) -> Column:
-    """The line's tokens, those with digits masked. Only lines that have a digit are searched for them."""
-    masked = F.regexp_replace(line, "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*", FIELD)
-    return words_of(F.when(line.rlike("[0-9]"), masked).otherwise(line))
+def plain_spaces(text: Column) -> Column:
+    """The text with its tokens apart by one space, and its lines as they are but for that."""
+    spaced = F.translate(text, GAPS.replace(" ", "").replace("\n", ""), " " * (len(GAPS) - 2))
+    return F.when(spaced.contains("  "), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+
+
+def masked(spaced: Column) -> Column:
+    """The text with a field for every token that has a digit."""
+    return F.regexp_replace(spaced, "(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", FIELD)
 
 
 def dropped_lines(
@@ -49,15 +54,19 @@ def dropped_lines(
 ) -> DataFrame:
     """``digest`` of each text that has recurring lines, the ``numbers`` of those to drop, and ``n_tokens`` in all of
     them. Leaves and lines are told apart by 64-bit hashes."""
-    whole = [] if long_docs is None else [F.xxhash64(F.array_join(words_of(F.col("line")), " ")).alias("whole")]
-    lines = (
-        docs.where(F.col(text).isNotNull())
-        .select(F.md5(text).alias("digest"), F.posexplode(F.split(text, "\n")).alias("number", "line"))
-        .select("digest", "number", *whole, let(masked_tokens(F.col("line")), lambda t: F.struct(F.size(t).alias("n"), F.array_join(t, " ").alias("line"))).alias("m"))
-        .select("digest", "number", *(["whole"] if whole else []), "m.n", "m.line").where(F.col("n") >= min_tokens)
-        .withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", LEADING)))
-    )
-    lines = written(lines, "lines")
+    rows = docs.where(F.col(text).isNotNull()).select(F.md5(text).alias("digest"), plain_spaces(F.col(text)).alias("text"))
+    rows = rows.select("digest", F.split("text", "\n").alias("lines"), F.split(masked(F.col("text")), "\n").alias("masked"))
+    if long_docs is None:
+        lines = rows.select("digest", F.posexplode("masked").alias("number", "line"))
+    else:
+        lines = rows.select("digest", F.posexplode(F.arrays_zip("lines", "masked")).alias("number", "l"))
+        lines = lines.select("digest", "number", F.xxhash64(F.trim("l.lines")).alias("whole"), F.col("l.masked").alias("line"))
+    lines = lines.withColumn("line", F.trim("line"))
+    # tokens are apart by one byte
+    n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    lines = lines.withColumn("n", F.when(F.col("line") == "", 0).otherwise(n))
+    lines = lines.withColumn("leaf", F.xxhash64("n", F.substring_index("line", " ", LEADING)))
+    lines = written(lines, "lines").where(F.col("n") >= min_tokens)
     bucket = F.pmod(F.col("leaf"), F.lit(BUCKETS)).alias("bucket")
     common = lines.groupBy(bucket).count().where(F.col("count") >= min_docs).select("bucket")
     likely = lines.join(F.broadcast(common), bucket == F.col("bucket"), "left_semi")
@@ -122,7 +131,14 @@ def mark_lines(docs: DataFrame, *, text: str = "text", near_copies: dict | None
     def kept(lines: Column) -> Column:
         return F.filter(lines, lambda line, i: ~F.array_contains("drop", i.cast("int")))
 
-    marked = rows.join(gone, "digest", "left").withColumn("drop", F.when(few, F.col("numbers")))
+    # marks go to the documents by a map of hash buckets; documents in other buckets stay where they are
+    gone = written(gone, "lines-marks")
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(BUCKETS)).alias("bucket")
+    held = F.broadcast(gone.select(bucket).distinct().withColumn("hit", F.lit(True)))
+    rows = rows.join(held, bucket == F.col("bucket"), "left")
+    hit = rows.where("hit").select("row", "text", "digest").join(gone, "digest", "left").withColumn("drop", F.when(few, F.col("numbers")))
+    rest = rows.where("hit IS NULL").select("row", "text", F.lit(None).cast("array<int>").alias("drop"))
+    marked = hit.select("row", "text", "drop").unionByName(rest)
     return marked.select(
         "row",
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
