@@ -56,10 +56,11 @@ def dropped_lines(
     them. Leaves and lines are told apart by 64-bit hashes."""
     rows = docs.where(F.col(text).isNotNull()).select(F.md5(text).alias("digest"), plain_spaces(F.col(text)).alias("text"))
     rows = rows.select("digest", F.split("text", "\n").alias("lines"), F.split(masked(F.col("text")), "\n").alias("masked"))
+    # the outer form adds no filter that would split a text once more; no text is without lines
     if long_docs is None:
-        lines = rows.select("digest", F.posexplode("masked").alias("number", "line"))
+        lines = rows.select("digest", F.posexplode_outer("masked").alias("number", "line"))
     else:
-        lines = rows.select("digest", F.posexplode(F.arrays_zip("lines", "masked")).alias("number", "l"))
+        lines = rows.select("digest", F.posexplode_outer(F.arrays_zip("lines", "masked")).alias("number", "l"))
         lines = lines.select("digest", "number", F.xxhash64(F.trim("l.lines")).alias("whole"), F.col("l.masked").alias("line"))
     lines = lines.withColumn("line", F.trim("line"))
     # tokens are apart by one byte

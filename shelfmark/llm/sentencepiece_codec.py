@@ -105,7 +105,7 @@ class Codec:
             by_score = sorted(self.score, key=lambda p: -self.score[p])
             self.rank = {p: r for r, p in enumerate(by_score) if len(p) > 1}
             self.whole = {p for p in self.rank if self._merges_to_itself(p)}
-        self.chunk_ids = ChunkIds(self._encode_chunks, 400_000)
+        self.chunk_ids = ChunkIds(self._encode_chunks, 2_000_000)
 
     def _merges_to_itself(self, piece: str) -> bool:
         """Whether merging its characters by rank makes the piece; remembers what the last merge joined."""
