@@ -97,5 +97,6 @@ from .streaming.sink import (
     compact_stream,
     expire_batches,
     read_stream_collection,
+    read_stream_errors,
     stream_to_collection,
 )

@@ -88,14 +88,14 @@ def _need_id(id: str | None, operation: str, *frames: DataFrame) -> None:
             raise ValueError(f"operation [{operation}]: id column [{id}] not found in {df.columns}")
 
 
-def split_unfit(t: DataFrame, s: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:
-    """Source rows cast to the types the target already has, and the rows that cannot be: without an
+def split_unfit(t: T.StructType, s: DataFrame, id: str | None) -> tuple[DataFrame, DataFrame]:
+    """Source rows cast to the types the target's fields already have, and the rows that cannot be: without an
     id, or with a value its field's type cannot hold."""
-    problems = [(F.col(quote(id)).isNull(), "no id")]
+    problems = [(F.col(quote(id)).isNull(), "no id")] if id else []
     casts = {}
     for f in s.schema.fields:
-        if f.name in t.columns and t.schema[f.name].dataType != f.dataType:
-            want, column = t.schema[f.name].dataType, F.col(quote(f.name))
+        if f.name in t.fieldNames() and t[f.name].dataType != f.dataType:
+            want, column = t[f.name].dataType, F.col(quote(f.name))
             simple = not isinstance(want, (T.StructType, T.ArrayType, T.MapType))
             if not simple:
                 casts[f.name] = conform(column, f.dataType, settled_type(want, f.dataType), "try_cast")
@@ -198,7 +198,7 @@ def write_index(t: DataFrame, s: DataFrame, id: str | None = None, order=None, u
         t2, added, _ = _aligned(t, conform_frame(added, settled_type(t.schema, added.schema)))
         return WriteResult(append_ids(t2, added), _none(s), s)
     _need_id(id, "index", t, s)
-    good, bad = split_unfit(t, s, id)
+    good, bad = split_unfit(t.schema, s, id)
     t2, one, _ = _aligned(t, good if unique else latest(good, id, order))
     kept = t2.join(good.select(id).distinct(), id, "left_anti").select(*columns_of(t2))
     return WriteResult(append_ids(kept, one), bad, s, lambda t, s: write_index(t, s, id, order, unique))
@@ -211,7 +211,7 @@ def _none(s: DataFrame) -> DataFrame:
 def write_create(t: DataFrame, s: DataFrame, id: str, order=None) -> WriteResult:
     """Insert only. An id the collection has, or had from an earlier row of the batch, is rejected."""
     _need_id(id, "create", t, s)
-    good, bad = split_unfit(t, s, id)
+    good, bad = split_unfit(t.schema, s, id)
     first, rest = latest(good, id, order, first=True), all_but_first(good, id, order)
     present = present_ids(t, good, id)
     t2, added, _ = _aligned(t, first.join(present, id, "left_anti").select(*columns_of(s)))
@@ -232,7 +232,7 @@ def write_update(
     """Merge the given fields into existing documents; a missing id is rejected. Several rows of one id
     are applied in ``order``."""
     _need_id(id, "update", t, s)
-    good, bad = split_unfit(t, s, id)
+    good, bad = split_unfit(t.schema, s, id)
     t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null, unique))
     joined = t2.join(_prefixed(one, id), id, "left")
     target = joined.select(*_merged_columns(t2, one, agreed, id, write_null, version))
@@ -247,7 +247,7 @@ def write_upsert(
     """Merge into existing documents, insert the others. With a ``version`` column, a document that
     really changes counts one up; an upsert that changes nothing leaves it alone."""
     _need_id(id, "upsert", t, s)
-    good, bad = split_unfit(t, s, id)
+    good, bad = split_unfit(t.schema, s, id)
     t2, one, agreed = _aligned(t, _one_per_id(good, id, order, write_null, unique))
     columns = _merged_columns(t2, one, agreed, id, write_null, version)
     if is_small(good):
@@ -291,7 +291,7 @@ def write_script(
     ``scripted_upsert`` the expressions run over an empty document. An id may occur once per batch,
     because the second run would have to see the result of the first."""
     _need_id(id, "update", t, s)
-    good, bad = split_unfit(t.select(id), s, id)
+    good, bad = split_unfit(t.select(id).schema, s, id)
     one = latest(good, id)
     values = _params(one, params)
     source = [F.col(quote(c)).alias(c) for c in s.columns if c != id]
@@ -350,7 +350,7 @@ def write_versioned(
         raise ValueError(f"unknown version type [{mode}]")
     _need_id(id, "index", t, s)
     _need_id(version, "index", t, s)
-    good, bad = split_unfit(t, s, id)
+    good, bad = split_unfit(t.schema, s, id)
     if mode != "force":
         unversioned = good.where(F.col(quote(version)).isNull())
         bad = bad.unionByName(reject(unversioned, 400, "mapper_parsing", f"no version in [{version}]"))

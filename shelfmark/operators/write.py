@@ -21,6 +21,7 @@ from ..sources.catalog import (
     drop_path,
     home,
     locate_collection,
+    open_parquet,
     save_layout,
     saved_layout,
     scratch,
@@ -94,11 +95,11 @@ def save_collection(
     if mode in ("error", "ignore") and not is_empty(spark, name, root):
         if mode == "ignore":
             return existing
-        raise FileExistsError(f"[{name}] already has rows, and mode [error] adds none to them")
+        raise FileExistsError(f"collection [{name}] holds documents; mode [error] only fills empty ones")
     kept: list[str] = []
     if existing is not None:
         layout = saved_layout(spark, existing)
-        known, kept = layout or (spark.read.parquet(existing).schema, [])
+        known, kept = layout or (open_parquet(spark, existing).schema, [])
         df = conform_frame(df, settled_type(known, df.schema))
     if existing is not None and mode != "overwrite":
         if partition_by and list(partition_by) != kept and layout:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
+def literal(path: str) -> str:
+    """A path for Spark's readers, which take some signs for patterns, that means just this path."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a glob. The listing stays in the JVM and comes back as one text, so a folder of very
     many files costs no call per file."""
     _, fs = fs_path(spark, pattern)
@@ -41,12 +47,12 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
 
 def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     """Names below a folder that match a glob."""
-    return [p.rsplit("/", 1)[1] for p in _glob(spark, f"{path}/{pattern}")]
+    return [p.rsplit("/", 1)[1] for p in glob_paths(spark, f"{literal(path)}/{pattern}")]
 
 
 def finished(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Names of folders that Spark has finished writing: it puts ``_SUCCESS`` there last."""
-    return [p.rsplit("/", 2)[1] for p in _glob(spark, f"{path}/{pattern}/_SUCCESS")]
+    return [p.rsplit("/", 2)[1] for p in glob_paths(spark, f"{literal(path)}/{pattern}/_SUCCESS")]
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
@@ -75,40 +81,58 @@ def _path_names(spark: SparkSession):
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
 
 
-def _escape(spark: SparkSession, name: str) -> str:
+def escaped(spark: SparkSession, name: str) -> str:
     """A name as Spark writes it into a partition folder."""
     return _path_names(spark).escapePathName(name)
 
 
-def save_layout(spark: SparkSession, path: str, schema: T.StructType, partition_by=()) -> None:
-    """Keeps the agreed schema and the partitioning beside a saved version."""
+def unescaped(spark: SparkSession, folder: str) -> str:
+    return _path_names(spark).unescapePathName(folder)
+
+
+def save_layout(spark: SparkSession, path: str, schema: T.StructType, partition_by=(), **facts) -> None:
+    """Keeps the agreed schema, the partitioning and other facts beside a saved version."""
     target, fs = fs_path(spark, f"{path}/{LAYOUT}")
     out = fs.create(target, True)
-    out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "partition_by": list(partition_by)}).encode()))
+    kept = {"schema": schema.jsonValue(), "partition_by": list(partition_by), **facts}
+    out.write(bytearray(json.dumps(kept).encode()))
     out.close()
 
 
-def saved_layout(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
-    """Schema and partitioning of a saved version; None for other folders of Parquet files."""
+def read_layout(spark: SparkSession, path: str) -> dict | None:
+    """What is kept beside a saved version; None for other folders of Parquet files."""
     source, fs = fs_path(spark, f"{path}/{LAYOUT}")
     if not fs.exists(source):
         return None
     stream = fs.open(source)
     kept = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     stream.close()
-    return T.StructType.fromJson(kept["schema"]), kept["partition_by"]
+    return kept
+
+
+def saved_layout(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    """Schema and partitioning of a saved version."""
+    kept = read_layout(spark, path)
+    return (T.StructType.fromJson(kept["schema"]), kept["partition_by"]) if kept else None
 
 
 def open_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a collection's folder, with the schema agreed over all its writes where one is kept."""
+    """The rows of a collection's folder, with the schema agreed over all its writes where one is kept. The names in
+    the folders of a root that holds dynamic collections are text, whatever they look like."""
     layout = saved_layout(spark, path)
-    return spark.read.schema(layout[0]).parquet(path) if layout else spark.read.parquet(path)
+    if layout:
+        return spark.read.schema(layout[0]).parquet(literal(path))
+    rows = spark.read.parquet(literal(path))
+    if "_index" in rows.columns and children(spark, path, "_index=*"):
+        return spark.read.schema(T.StructType([*(f for f in rows.schema.fields if f.name != "_index"), T.StructField("_index", T.StringType())])).parquet(literal(path))
+    return rows
 
 
 def locate_collection(spark: SparkSession, name: str, root: str | None = None) -> str | None:
-    """What to read for a collection: a path, or ``table:name``; None when there is none."""
+    """What to read for a collection: a path, ``table:name``, or ``stream:folder`` for one that a stream in that folder
+    writes; None when there is none."""
     base = home(name, root)
-    candidates = [base, f"{base}.parquet"] + ([f"{root.rstrip('/')}/_index={_escape(spark, name)}"] if root else [])
+    candidates = [base, f"{base}.parquet"] + ([f"{root.rstrip('/')}/_index={escaped(spark, name)}"] if root else [])
     for path in candidates:
         if path_exists(spark, path):
             version = current_version(spark, path)
@@ -116,6 +140,12 @@ def locate_collection(spark: SparkSession, name: str, root: str | None = None) -
                 return version_path(path, version)
             if not version_numbers(spark, path):
                 return path
+    if root is not None:
+        from .streamed import collection_names, is_stream
+
+        folder = root.rstrip("/")
+        if is_stream(spark, folder) and name in collection_names(spark, folder):
+            return f"stream:{folder}"
     try:
         if root is None and "/" not in name and spark.catalog.tableExists(name):
             return f"table:{name}"
@@ -125,10 +155,14 @@ def locate_collection(spark: SparkSession, name: str, root: str | None = None) -
 
 
 def list_collections(spark: SparkSession, root: str) -> list[str]:
+    from .streamed import collection_names, is_stream
+
+    if is_stream(spark, root.rstrip("/")):
+        return collection_names(spark, root.rstrip("/"))
     names = set()
     for entry in children(spark, root):
         if entry.startswith("_index="):
-            entry = _path_names(spark).unescapePathName(entry.removeprefix("_index="))
+            entry = unescaped(spark, entry.removeprefix("_index="))
         entry = entry.removesuffix(".parquet")
         if not entry.startswith(("_", ".")):
             names.add(entry)

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.predicates import as_predicate, bool_
 from ..operators.project import prune_schema, source_filter as keep_source, validate_fields
 from ..operators.search import search
-from .catalog import is_named, is_pattern, list_collections, locate_collection, open_parquet, select_names, split_names
+from .catalog import is_named, is_pattern, list_collections, literal, locate_collection, open_parquet, select_names, split_names
 from .json_docs import with_metadata as add_metadata
 from .mapping import common_schema, conform_frame, merge_mappings, parse_mapping, to_schema
+from .streamed import named_state
 
 ROUTING_BUCKET = "_bucket"
 LOOKUPS = 8  # schema look-ups at a time
@@ -54,7 +55,7 @@ def read_collection(
         if not missing_as_empty:
             raise FileNotFoundError(f"collection [{name}] does not exist")
         return spark.createDataFrame([], prune_schema(wanted or T.StructType(), include, exclude) if wanted else T.StructType())
-    raw = spark.table(found[6:]) if found.startswith("table:") else open_parquet(spark, found)
+    raw = open_found(spark, found, name)
     have = raw.schema
     target = wanted or have
     if include or exclude:
@@ -84,6 +85,15 @@ def read_collection(
     return df
 
 
+def open_found(spark: SparkSession, found: str, name: str) -> DataFrame:
+    """The rows behind what ``locate_collection`` found."""
+    if found.startswith("table:"):
+        return spark.table(found[6:])
+    if found.startswith("stream:"):
+        return named_state(spark, found[7:], name)
+    return open_parquet(spark, found)
+
+
 def _schema(schema, mapping) -> T.StructType | None:
     if isinstance(schema, str):
         return T.StructType.fromDDL(schema)
@@ -95,8 +105,8 @@ def _scan(spark: SparkSession, raw: DataFrame, found: str, want: T.StructType) -
     arrays of structs the pruned schema has to be handed to the Parquet reader."""
     if raw.schema == want:
         return raw
-    if not found.startswith("table:") and _is_part(want, raw.schema) and _prunes_arrays(want, raw.schema):
-        return spark.read.schema(want).parquet(found)
+    if not found.startswith(("table:", "stream:")) and _is_part(want, raw.schema) and _prunes_arrays(want, raw.schema):
+        return spark.read.schema(want).parquet(literal(found))
     return conform_frame(raw, want)
 
 

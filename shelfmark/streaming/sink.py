@@ -5,6 +5,10 @@ batch number, and becomes visible with its commit record. A batch the writer has
 skipped, an attempt lost before its commit stays invisible, and a batch costs what it brings, never a
 rewrite of the collection. Several queries may write to one collection.
 
+With ``index_pattern`` the rows name their collections: the batch is written to one folder per name, all of which become
+visible with the one commit, and ``read_collection(name, root=path)`` finds each. With ``on_error="reject"`` rows that
+cannot be taken are written as error events beside the batch, under the same commit, and the stream goes on.
+
 Reading a keyed collection folds the batches: per id, the last document (append) or the last value of
 each field (update). ``compact_stream`` folds committed batches once and for all.
 """
@@ -19,17 +23,27 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.fields import quote
-from ..operators.batch import fold, latest
+from ..functions.fields import columns_of, quote
+from ..operators.errors import to_error_events
+from ..operators.merge import reject, split_unfit
 from ..operators.project import project_for_write
-from ..operators.write import checked_index
-from ..sources.catalog import children, drop_path, finished, save_layout, saved_layout
+from ..operators.write import checked_index, split_index
+from ..sources.catalog import children, drop_path, finished, literal, read_layout, save_layout
+from ..sources.mapping import parse_mapping, to_schema
+from ..sources.streamed import (
+    BATCH,
+    INDEX,
+    NO_LOG,
+    base,
+    keyed,
+    one_per_document,
+    stream_state,
+    visible,
+    writer_and_number,
+)
 
 log = logging.getLogger(__name__)
 
-BATCH = "batch"
-NO_LOG = "0-plain-0"  # the folder of streams that keep no commit log
-
 
 def stream_to_collection(
     sdf: DataFrame,
@@ -49,12 +63,22 @@ def stream_to_collection(
     commit_log: bool = True,
     trigger: dict | None = None,
     name: str | None = None,
+    on_error: str = "fail",
+    schema: T.StructType | str | None = None,
+    mapping=None,
+    labels: dict | None = None,
+    tags=(),
 ) -> StreamingQuery:
     """Starts writing a stream to the collection at ``path``.
 
     ``append`` indexes documents (by ``id`` when given), ``update`` upserts them and needs an ``id``.
     ``complete`` mode and partition columns are refused: use ``index_pattern`` to split by field values.
-    With ``commit_log=False`` batches are plainly appended and a replay duplicates rows."""
+    With ``commit_log=False`` batches are plainly appended and a replay duplicates rows.
+
+    ``schema`` or ``mapping`` declares field types. ``on_error="fail"`` stops the stream at a row without a legal
+    collection name, and at an id that repeats within a batch when no ``order`` says which row is last. With
+    ``"reject"`` such rows, all rows of such an id, rows without an id and rows with a value that its declared field
+    cannot hold become error events (``read_stream_errors``), with ``labels`` and ``tags``."""
     if not sdf.isStreaming:
         raise ValueError("not a streaming frame; use save_collection")
     if partition_columns:
@@ -70,21 +94,55 @@ def stream_to_collection(
         raise ValueError(f"operation [{operation}] is not supported by the stream sink")
     if operation == "upsert" and not id:
         raise ValueError("[upsert] finds its documents by a column and so requires an id")
+    if on_error not in ("fail", "reject"):
+        raise ValueError(f"unknown on_error [{on_error}]")
+    if on_error == "reject" and not commit_log:
+        raise ValueError("without a commit log a replay would repeat rejected rows")
     if not commit_log:
         log.warning("commit log is off: replayed batches will be written twice")
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if declared is None and mapping is not None:
+        declared = to_schema(parse_mapping(mapping))
     writer_id = writer_of(checkpoint) if commit_log else None
+    key = {"id": id, "operation": operation, "write_null": write_null} if id else None
+    own = {}  # the batch this query wrote last, so that commits are listed only when it starts
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        if writer_id and is_committed(session, path, writer_id, batch_id):
+        started_here = own.get("batch_id") == batch_id - 1
+        if writer_id and not started_here and is_committed(session, path, writer_id, batch_id):
             return
-        out = checked_index(batch, index_pattern) if index_pattern else batch
-        if include or exclude:
-            keep = [id] if id and include else []
-            out = project_for_write(out, [*include, *keep, *(["_index"] if index_pattern and include else [])], exclude)
-        if id and not unique:
-            out = _settle(out, id, operation, order, write_null)
-        save_batch(out, path, writer_id, batch_id)
+        out = batch
+        if on_error == "reject":
+            out = batch.persist()
+        try:
+            rejected = []
+            if on_error == "reject":
+                if index_pattern:
+                    out, bad = split_index(out, index_pattern)
+                    rejected.append(bad)
+                if id or declared is not None:
+                    fits = declared if declared is not None else T.StructType()
+                    out, bad = split_unfit(fits, out, id)
+                    rejected.append(bad.drop(INDEX) if index_pattern else bad)
+                if id and not unique and order is None:
+                    out, bad = _split_repeated(out, id)
+                    rejected.append(bad.drop(INDEX) if index_pattern else bad)
+            else:
+                out = checked_index(out, index_pattern) if index_pattern else out
+                out = _declared(out, declared) if declared is not None else out
+            if include or exclude:
+                keep = [id] if id and include else []
+                out = project_for_write(out, [*include, *keep, *([INDEX] if index_pattern and include else [])], exclude)
+            if id and not unique:
+                out = one_per_document(out, id, order, operation, write_null)
+            # as events first: the rejected rows of one step may have other types than those of the next
+            events = reduce(DataFrame.unionByName, [to_error_events(bad, labels, tags) for bad in rejected]) if rejected else None
+            own["name"] = save_batch(out, path, writer_id, batch_id, key, events, own.get("name") if started_here else None)
+            own["batch_id"] = batch_id
+        finally:
+            if on_error == "reject":
+                batch.unpersist()
 
     options = {"availableNow": True} if trigger is None else trigger
     writer = sdf.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
@@ -92,11 +150,20 @@ def stream_to_collection(
     return (writer.queryName(name) if name else writer).start()
 
 
-def _settle(batch: DataFrame, id: str, operation: str, order, write_null: bool) -> DataFrame:
-    """One row per id inside the batch."""
-    if order is None:
-        return latest(batch, id)
-    return latest(batch, id, order) if operation == "index" else fold(batch, id, order, write_null)
+def _declared(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """The declared fields in their types; a value its field cannot hold ends the job."""
+    casts = {f.name: F.col(quote(f.name)).cast(f.dataType) for f in declared.fields if f.name in df.columns}
+    return df.withColumns(casts)
+
+
+def _split_repeated(df: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose id is the only one of its kind, and all others as rejected."""
+    rows = df.withColumn("__key", keyed(df, id))
+    repeated = rows.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
+    reason = F.concat(F.lit("several documents with id "), F.col(quote(id)).cast("string"), F.lit("; name an order column"))
+    bad = rows.join(repeated, "__key", "left_semi").select(*columns_of(df))
+    good = rows.join(repeated, "__key", "left_anti").select(*columns_of(df))
+    return good, reject(bad, 409, "version_conflict", reason)
 
 
 def writer_of(checkpoint: str) -> str:
@@ -104,52 +171,51 @@ def writer_of(checkpoint: str) -> str:
     return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def save_batch(df: DataFrame, path: str, writer: str | None, batch_id: int) -> None:
-    """Writes one micro-batch and then its commit record: task files, time and rows. Without a writer the
-    rows are plainly appended."""
+def save_batch(
+    df: DataFrame, path: str, writer: str | None, batch_id: int, key: dict | None = None, events: DataFrame | None = None,
+    before: str | None = None,
+) -> str | None:
+    """Writes one micro-batch with its error events and then its commit record: task files, time and rows. ``before`` is
+    the name of the writer's batch before this one, if known. Without a writer the rows are plainly appended.
+    Returns the batch's name."""
     spark = df.sparkSession
+    divided = [INDEX] if INDEX in df.columns else []
     if writer is None:
-        df.write.mode("append").parquet(f"{path}/docs/{BATCH}={NO_LOG}")
-        return
+        df.write.mode("append").partitionBy(*divided).parquet(f"{path}/docs/{BATCH}={NO_LOG}")
+        return None
     started = dt.datetime.now(dt.timezone.utc)
     # a writer's batches are read in the order of their numbers, whatever the driver's clock does
-    before = finished(spark, f"{path}/commits", f"{BATCH}=*-{writer}-{batch_id - 1:010d}") if batch_id else []
-    last = max((int(n.split("=", 1)[1].split("-", 1)[0]) for n in before), default=0)
+    if before is None and batch_id:
+        before = max(finished(spark, f"{path}/commits", f"{BATCH}=*-{writer}-{batch_id - 1:010d}"), default=None)
+    last = int(before.split("=", 1)[1].split("-", 1)[0]) if before else 0
     name = f"{BATCH}={max(int(started.timestamp() * 1000), last + 1):013d}-{writer}-{batch_id:010d}"
-    df.write.mode("overwrite").parquet(f"{path}/docs/{name}")
-    save_layout(spark, f"{path}/docs/{name}", _with_fields(df.schema, *(_schema_of(spark, path, n) for n in before)))
-    written = spark.read.schema(df.schema).parquet(f"{path}/docs/{name}")
+    rows = df.hint("rebalance", F.col(INDEX)) if divided else df
+    rows.write.mode("overwrite").partitionBy(*divided).parquet(f"{path}/docs/{name}")
+    fields, since = _fields_of_writer(df.schema, read_layout(spark, f"{path}/docs/{before}") if before else None, batch_id)
+    save_layout(spark, f"{path}/docs/{name}", fields, divided, since=since, key=key)
+    if events is not None:
+        events.write.mode("overwrite").parquet(f"{path}/errors/{name}")
+    written = spark.read.option("basePath", f"{path}/docs/{name}").schema(fields).parquet(literal(f"{path}/docs/{name}"))
     records = written.groupBy(F.col("_metadata.file_name").alias("task")).agg(F.count(F.lit(1)).alias("records"))
     facts = {"started": started, "resource": path, "writer": writer, "batch_id": batch_id}
     commit = records.withColumns({k: F.lit(v) for k, v in facts.items()})
     commit = commit.withColumn("batch_id", F.col("batch_id").cast("bigint"))
     commit.coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/{name}")
+    return name
 
 
-def _schema_of(spark: SparkSession, path: str, name: str) -> T.StructType | None:
-    """The fields that a writer had brought up to one of its batches."""
-    layout = saved_layout(spark, f"{path}/docs/{name}")
-    return layout[0] if layout else None
-
-
-def _with_fields(schema: T.StructType, *others: T.StructType | None) -> T.StructType:
-    fields = {f.name: f for f in schema.fields}
-    for other in others:
-        for f in other.fields if other is not None else ():
-            fields.setdefault(f.name, f)
-    return T.StructType(list(fields.values()))
-
-
-def _agreed_schema(spark: SparkSession, path: str, names: list[str]) -> T.StructType | None:
-    """The fields of all writers, from the newest batch of each; None if a batch keeps no schema."""
-    newest = {}
-    for name in sorted(names):
-        if name.endswith(NO_LOG):
-            return None
-        writer, number = _writer_and_number(name)
-        newest[writer] = max(newest.get(writer, (-1, "")), (number, name))
-    kept = [_schema_of(spark, path, name) for _, name in sorted(newest.values(), key=lambda v: v[1])]
-    return None if not kept or None in kept else _with_fields(*kept)
+def _fields_of_writer(schema: T.StructType, before: dict | None, batch_id: int) -> tuple[T.StructType, int]:
+    """The fields a writer has brought in batches that can be read with one schema, and the first such batch. A field
+    in another type than before begins a new stretch."""
+    fields = {f.name: T.StructField(f.name, f.dataType, True) for f in schema.fields}
+    if before is None:
+        return T.StructType(list(fields.values())), batch_id
+    known = T.StructType.fromJson(before["schema"])
+    if any(f.name in fields and fields[f.name].dataType != f.dataType for f in known.fields):
+        return T.StructType(list(fields.values())), batch_id
+    for f in known.fields:
+        fields.setdefault(f.name, f)
+    return T.StructType(list(fields.values())), before.get("since", 0)
 
 
 def is_committed(spark: SparkSession, path: str, writer: str, batch_id: int) -> bool:
@@ -162,12 +228,7 @@ def commit_history(spark: SparkSession, path: str) -> DataFrame:
     names = finished(spark, f"{path}/commits", f"{BATCH}=*")
     if not names:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*(f"{path}/commits/{n}" for n in names))
-
-
-def _writer_and_number(name: str) -> tuple[str, int]:
-    _, writer, number = name.rsplit("-", 2)
-    return writer, int(number)
+    return spark.read.schema(schema).parquet(*(literal(f"{path}/commits/{n}") for n in names))
 
 
 def read_stream_collection(
@@ -177,50 +238,21 @@ def read_stream_collection(
     operation: str = "index",
     write_null: bool = False,
 ) -> DataFrame:
-    """The documents a stream has committed so far; with an ``id``, one row per document."""
-    rows = _committed_rows(spark, path)
-    body = [c for c in rows.columns if c != BATCH]
-    if id is None:
-        return rows.drop(BATCH)
-    one = latest(rows, id, BATCH) if operation == "index" else fold(rows, id, BATCH, write_null)
-    return one.select(*(F.col(quote(c)) for c in body))
-
-
-def _committed_rows(spark: SparkSession, path: str) -> DataFrame:
-    """All visible rows with the batch they came from: the newest compacted base, then the folders of
-    batches it does not cover."""
-    base, covered = _base(spark, path)
-    names = _visible(spark, path, covered)
-    parts = []
-    if base is not None:
-        parts.append(spark.read.parquet(f"{path}/base/{base}").withColumn(BATCH, F.lit("")))
-    if names:
-        agreed = _agreed_schema(spark, path, names)
-        reader = spark.read.option("basePath", f"{path}/docs")
-        if agreed is None:
-            reader = reader.option("mergeSchema", "true")
-        else:
-            reader = reader.schema(T.StructType([*agreed.fields, T.StructField(BATCH, T.StringType())]))
-        docs = reader.parquet(*(f"{path}/docs/{n}" for n in names))
-        parts.append(docs.withColumn(BATCH, F.col(BATCH).cast("string")))
-    if not parts:
-        raise FileNotFoundError(f"nothing was written to [{path}] yet")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def _visible(spark: SparkSession, path: str, covered: dict[str, int]) -> list[str]:
-    names = finished(spark, f"{path}/commits", f"{BATCH}=*")
-    names = [n for n, (w, k) in ((n, _writer_and_number(n)) for n in names) if k > covered.get(w, -1)]
-    return names + children(spark, f"{path}/docs", f"{BATCH}={NO_LOG}")
+    """The documents a stream has committed so far; with an ``id``, one row per document (and collection, where rows
+    name theirs)."""
+    return stream_state(spark, path, id, operation, write_null)
 
 
-def _base(spark: SparkSession, path: str) -> tuple[str | None, dict[str, int]]:
-    """The newest finished base, and per writer the last batch it covers (one row per writer)."""
-    done = finished(spark, f"{path}/base", "at=*")
-    if not done:
-        return None, {}
-    rows = spark.read.schema("writer string, batch_id bigint").parquet(f"{path}/covered/{done[-1]}").collect()
-    return done[-1], {r["writer"]: r["batch_id"] for r in rows}
+def read_stream_errors(spark: SparkSession, path: str) -> DataFrame:
+    """The error events of all committed batches, with the ``writer`` and ``batch_id`` they came from."""
+    kept = set(children(spark, f"{path}/errors", f"{BATCH}=*"))
+    names = [n for n in finished(spark, f"{path}/commits", f"{BATCH}=*") if n in kept]
+    if not names:
+        raise FileNotFoundError(f"no batch of [{path}] was written with on_error='reject'")
+    reader = spark.read.option("basePath", f"{path}/errors").option("mergeSchema", "true")
+    events = reader.parquet(*(literal(f"{path}/errors/{n}") for n in names))
+    parts = F.split(F.col(BATCH).cast("string"), "-")
+    return events.withColumns({"writer": F.get(parts, F.lit(1)), "batch_id": F.get(parts, F.lit(2)).cast("bigint")}).drop(BATCH)
 
 
 def compact_stream(
@@ -231,28 +263,33 @@ def compact_stream(
     Run it from one place at a time."""
     if children(spark, f"{path}/docs", f"{BATCH}={NO_LOG}"):
         raise ValueError("rows written without a commit log have no order to be folded in: read the collection without compaction")
-    base, covered = _base(spark, path)
-    fresh = [_writer_and_number(n) for n in _visible(spark, path, covered) if not n.endswith(NO_LOG)]
-    if not fresh:
+    _, covered = base(spark, path)
+    names = [n for n in visible(spark, path, covered) if not n.endswith(NO_LOG)]
+    if not names:
         return covered
     covered = dict(covered)
-    for writer, number in fresh:
+    for writer, number in map(writer_and_number, names):
         covered[writer] = max(number, covered.get(writer, -1))
+    key = (read_layout(spark, f"{path}/docs/{max(names)}") or {}).get("key")
     name = f"at={int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000):013d}"
     state = read_stream_collection(spark, path, id, operation, write_null)
+    divided = [INDEX] if INDEX in state.columns else []
     rows = spark.createDataFrame(list(covered.items()), "writer string, batch_id bigint")
     rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/covered/{name}")
-    state.write.mode("overwrite").parquet(f"{path}/base/{name}")
+    folded = state.hint("rebalance", F.col(INDEX)) if divided else state
+    # a base is finished, and so read, once Spark's own mark is there; what stands beside it is put there first
+    save_layout(spark, f"{path}/base/{name}", state.schema, divided, key=key)
+    folded.write.mode("append").partitionBy(*divided).parquet(f"{path}/base/{name}")
     return covered
 
 
 def expire_batches(spark: SparkSession, path: str) -> list[str]:
-    """Deletes the batch folders the newest base covers, and older bases. Commit records stay, so a replay
-    of such a batch is still skipped."""
-    base, covered = _base(spark, path)
+    """Deletes the batch folders the newest base covers, and older bases. Commit records and error events stay, so a
+    replay of such a batch is still skipped."""
+    at, covered = base(spark, path)
     names = [n for n in children(spark, f"{path}/docs", f"{BATCH}=*") if not n.endswith(NO_LOG)]
-    gone = [f"docs/{n}" for n, (w, k) in ((n, _writer_and_number(n)) for n in names) if k <= covered.get(w, -1)]
-    gone += [f"base/{n}" for n in finished(spark, f"{path}/base", "at=*") if n != base]
+    gone = [f"docs/{n}" for n, (w, k) in ((n, writer_and_number(n)) for n in names) if k <= covered.get(w, -1)]
+    gone += [f"base/{n}" for n in finished(spark, f"{path}/base", "at=*") if n != at]
     for name in gone:
         drop_path(spark, f"{path}/{name}")
     return gone

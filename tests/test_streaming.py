@@ -155,3 +155,87 @@ def test_a_writer_keeps_its_order_and_all_its_fields(spark, tmp_path, monkeypatc
     sink.save_batch(spark.createDataFrame([(9, "plain")], "id int, name string"), out, None, 0)
     with pytest.raises(ValueError, match="without a commit log"):
         sm.compact_stream(spark, out, "id")
+
+
+def test_rejected_rows_become_events_under_the_commit_of_their_batch(spark, tmp_path, monkeypatch):
+    one = [(1, "ok", 1), (2, "UPPER", 1), (3, None, 1), (None, "ok", 4), (5, "twice", 5), (5, "twice", 6), (5, "other", 7)]
+    two = [(1, "ok", 2), (7, "bad name", 8)]
+    options = dict(id="id", index_pattern="c-{name}", on_error="reject", labels={"job": "t"}, tags=["x"])
+    sdf = feed(spark, tmp_path, one, two)
+    out = run(sdf, tmp_path, **options)
+    assert rows(sm.read_stream_collection(spark, out, "id")) == [(1, "ok", 2, "c-ok"), (5, "other", 7, "c-other")]
+    events = sm.read_stream_errors(spark, out)
+    got = rows(events.select("batch_id", "error.code", F.get_json_object("event.raw", "$.n").alias("n"), "labels.job"))
+    want = [(0, "invalid_index_name", "1", "t"), (0, "invalid_index_name", "1", "t"), (0, "mapper_parsing", "4", "t")]
+    want += [(0, "version_conflict", "5", "t"), (0, "version_conflict", "6", "t"), (1, "invalid_index_name", "8", "t")]
+    assert got == want
+    # a replay under the same name repeats neither rows nor events
+    writer = writer_of(f"{tmp_path}/cp")
+    monkeypatch.setattr("shelfmark.streaming.sink.writer_of", lambda checkpoint: writer)
+    sm.stream_to_collection(sdf, out, f"{tmp_path}/again", **options).awaitTermination()
+    assert rows(sm.read_stream_errors(spark, out).groupBy("batch_id").count()) == [(0, 5), (1, 1)]
+    assert sm.read_stream_collection(spark, out).count() == 3
+    # a batch lost before its commit leaves no event that can be seen
+    lost = f"batch=9999999999999-{writer}-0000000002"
+    events.drop("writer", "batch_id").write.parquet(f"{out}/errors/{lost}")
+    assert sm.read_stream_errors(spark, out).count() == 6
+
+
+def test_values_that_do_not_fit_their_declared_field(spark, tmp_path):
+    sdf = feed(spark, tmp_path, [(1, "7", 1), (2, "seven", 2), (3, None, 3)])
+    out = run(sdf, tmp_path, on_error="reject", schema="name bigint, other string")
+    assert rows(sm.read_stream_collection(spark, out)) == [(1, 7, 1), (3, None, 3)]
+    assert [r.error.message for r in sm.read_stream_errors(spark, out).collect()] == ["failed to parse field [name]"]
+    mapped = sm.stream_to_collection(sdf, f"{tmp_path}/m", f"{tmp_path}/mcp", on_error="reject", mapping={"properties": {"name": {"type": "long"}}})
+    mapped.awaitTermination()
+    assert sm.read_stream_collection(spark, f"{tmp_path}/m").schema["name"].dataType.simpleString() == "bigint"
+    with pytest.raises(Exception, match="seven"):
+        run(sdf, f"{tmp_path}/strict", schema="name bigint")
+    with pytest.raises(ValueError, match="unknown on_error"):
+        sm.stream_to_collection(sdf, out, f"{tmp_path}/x", on_error="skip")
+    with pytest.raises(ValueError, match="commit log"):
+        sm.stream_to_collection(sdf, out, f"{tmp_path}/x", on_error="reject", commit_log=False)
+
+
+def test_a_collection_per_name(spark, tmp_path):
+    one = [(1, "007", 1), (2, "a.b", 1), (1, "a.b", 5)]
+    out = run(feed(spark, tmp_path, one, [(1, "007", 2), (3, "2024", 1)]), tmp_path, id="id", index_pattern="{name}")
+    assert rows(sm.read_collection(spark, "007", root=out)) == [(1, "007", 2)]
+    assert rows(sm.read_collection(spark, "a.b", root=out)) == [(1, "a.b", 5), (2, "a.b", 1)]
+    both = sm.read_collections(spark, "0*,2*", root=out)
+    assert rows(both.select("_index", "id", "n")) == [("007", 1, 2), ("2024", 3, 1)]
+    # a lost batch shows in none of its collections
+    writer = writer_of(f"{tmp_path}/cp")
+    lost = spark.createDataFrame([(9, "007", 9), (9, "new", 9)], DDL).withColumn("_index", F.col("name"))
+    lost.write.partitionBy("_index").parquet(f"{out}/docs/batch=9999999999999-{writer}-0000000002")
+    assert sm.read_collection(spark, "007", root=out).count() == 1
+    with pytest.raises(FileNotFoundError):
+        sm.read_collection(spark, "new", root=out)
+    # only the folders of the name are read
+    scan = sm.read_collection(spark, "007", root=out)
+    assert all("_index=007" in f for f in scan.inputFiles())
+    before = {n: rows(sm.read_collection(spark, n, root=out)) for n in ("007", "a.b", "2024")}
+    sm.compact_stream(spark, out, "id")
+    sm.expire_batches(spark, out)
+    assert {n: rows(sm.read_collection(spark, n, root=out)) for n in before} == before
+
+
+def test_types_of_several_writers_and_of_one_over_time(spark, tmp_path):
+    out = f"{tmp_path}/o"
+    frame = lambda ddl, *r: spark.createDataFrame(list(r), ddl)
+    save_batch(frame("id int, x bigint", (1, 5)), out, "w", 0)
+    save_batch(frame("id int, x string, y int", (2, "five", 1)), out, "w", 1)
+    save_batch(frame("id int, x string", (3, "six")), out, "w", 2)
+    save_batch(frame("id int, x double", (4, 0.5)), out, "v", 0)
+    got = sm.read_stream_collection(spark, out)
+    assert rows(got.select("id", "x", "y")) == [(1, "5", None), (2, "five", 1), (3, "six", None), (4, "0.5", None)]
+
+
+def test_commits_are_listed_once_a_query(spark, tmp_path, monkeypatch):
+    from shelfmark.streaming import sink
+
+    asked = []
+    listed = sink.finished
+    monkeypatch.setattr(sink, "finished", lambda spark, path, pattern: (asked.append(pattern), listed(spark, path, pattern))[1])
+    run(feed(spark, tmp_path, ONE, TWO, ONE, TWO), tmp_path)
+    assert len(asked) == 1
