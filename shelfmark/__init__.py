@@ -77,11 +77,13 @@ from .operators.project import (
 )
 from .operators.search import count_docs, search
 from .operators.write import (
+    MergeReport,
     commit_merge,
     expire_versions,
     external_table,
     insert_overwrite,
     is_valid_name,
+    merge_collection,
     save_collection,
     save_many,
     split_index,

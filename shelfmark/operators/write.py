@@ -9,28 +9,32 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.decode import parse_date
-from ..functions.documents import NOT_FOUND, extract
+from ..functions.documents import NOT_FOUND, document, extract
 from ..functions.fields import locate, quote
 from ..sources.catalog import (
     VERSION,
+    children,
     current_version,
     drop_path,
     home,
+    literal,
     locate_collection,
     open_parquet,
+    read_layout,
     save_layout,
     saved_layout,
     scratch,
     version_numbers,
     version_path,
 )
-from ..sources.collections import is_empty
+from ..sources.collections import ROUTING_BUCKET, is_empty, routing_bucket
 from ..sources.mapping import conform_frame, settled_type
-from .merge import WriteResult, reject
+from .merge import REJECTION, WriteResult, reject
 from .project import project_for_write
 
 # Characters a collection name must not contain, and must not start with.
@@ -72,11 +76,14 @@ def save_collection(
     include=(),
     exclude=(),
     partition_by=(),
+    id: str | None = None,
+    buckets: int | None = None,
 ) -> str:
     """Saves a frame and returns the path written.
 
     ``append``, ``overwrite``, ``error`` and ``ignore`` look at whether the collection *has rows*.
-    Overwriting drops the documents but keeps the fields the collection already knew."""
+    Overwriting drops the documents but keeps the fields the collection already knew. With ``buckets`` the documents
+    are dealt into so many folders by a hash of their ``id``, so that ``merge_collection`` rewrites only those it touches."""
     spark = df.sparkSession
     if df.isStreaming:
         raise ValueError("a streaming frame cannot be saved as a batch; use stream_to_collection")
@@ -96,26 +103,47 @@ def save_collection(
         if mode == "ignore":
             return existing
         raise FileExistsError(f"collection [{name}] holds documents; mode [error] only fills empty ones")
+    if buckets and (partition_by or id not in df.columns):
+        raise ValueError("buckets need an id column, and no other partitioning")
     kept: list[str] = []
+    dealt = {"id": id, "buckets": buckets} if buckets else None
     if existing is not None:
         layout = saved_layout(spark, existing)
+        had = (read_layout(spark, existing) or {}).get("dealt")
+        if mode != "overwrite" and had and dealt and had != dealt:
+            raise ValueError(f"[{name}] has {had['buckets']} buckets by [{had['id']}], rows cannot be added in another way")
+        dealt = dealt or had
         known, kept = layout or (open_parquet(spark, existing).schema, [])
         df = conform_frame(df, settled_type(known, df.schema))
     if existing is not None and mode != "overwrite":
+        if buckets and not had:
+            raise ValueError(f"[{name}] was saved without buckets: overwrite it to deal its documents into some")
         if partition_by and list(partition_by) != kept and layout:
             raise ValueError(f"[{name}] is partitioned by {kept}, rows cannot be added by {list(partition_by)}")
         path, how = existing, "append"
     else:
         path, how = next_version(spark, name, root), "errorifexists"
-    _write(df, path, how, list(partition_by) or kept)
+    _write(df, path, how, list(partition_by) or kept, dealt)
     return path
 
 
-def _write(df: DataFrame, path: str, how: str, partition_by: list[str]) -> None:
+def _write(df: DataFrame, path: str, how: str, partition_by: list[str], dealt: dict | None = None) -> None:
     """Writes the rows in the collection's layout, and keeps schema and layout beside them."""
+    if dealt:
+        df, partition_by = _dealt(df, dealt), [ROUTING_BUCKET]
     writer = df.write.mode(how)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    save_layout(df.sparkSession, path, _nullable(df.schema), partition_by)
+    save_layout(df.sparkSession, path, _nullable(df.schema), partition_by, dealt=dealt)
+
+
+def _dealt(df: DataFrame, dealt: dict) -> DataFrame:
+    """The rows with the bucket of their id; a bucket that takes many rows is written by several tasks."""
+    placed = df.withColumn(ROUTING_BUCKET, _bucket(dealt))
+    return placed.hint("rebalance", F.col(ROUTING_BUCKET))
+
+
+def _bucket(dealt: dict) -> Column:
+    return routing_bucket(F.coalesce(F.col(quote(dealt["id"])).cast("string"), F.lit("")), dealt["buckets"])
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -135,11 +163,93 @@ def commit_merge(result: WriteResult, name: str, root: str, partition_by=()) ->
     existing = locate_collection(spark, name, root)
     layout = saved_layout(spark, existing) if existing is not None else None
     kept = [c for c in (layout[1] if layout else []) if c in result.target.columns]
+    dealt = (read_layout(spark, existing) or {}).get("dealt") if existing is not None else None
     path = next_version(spark, name, root)
-    _write(result.target, path, "errorifexists", list(partition_by) or kept)
+    target = result.target.drop(ROUTING_BUCKET) if dealt else result.target
+    _write(target, path, "errorifexists", [] if dealt else list(partition_by) or kept, dealt)
     return path
 
 
+@dataclass
+class MergeReport:
+    """What a merge did to a saved collection: the rejected rows (written), the buckets it rewrote (None for a
+    collection without), and statistics that the writes themselves counted."""
+
+    rejected: DataFrame
+    buckets: list[int] | None
+    counts: dict[str, int]
+
+    def stats(self) -> DataFrame:
+        """One row: documents and bytes sent, accepted and rejected. Runs no job."""
+        spark = self.rejected.sparkSession
+        listed = ", ".join(f"CAST({v} AS BIGINT) AS {k}" for k, v in self.counts.items())
+        return spark.sql(f"SELECT {listed}")
+
+
+def merge_collection(
+    spark: SparkSession, name: str, root: str, write: Callable[..., WriteResult], source: DataFrame, id: str, **options
+) -> MergeReport:
+    """Runs a keyed write (``write_index``, ``write_update``, ``write_delete`` …) against a saved collection and saves the
+    outcome.
+
+    The source is written once and counted on the way, so the merge reads it from there and nothing is computed again
+    for statistics. Of a collection with buckets only those that ids of the source fall into are read (partition
+    pruning) and replaced (dynamic partition overwrite): a merge costs what it touches. The new buckets are
+    complete in a scratch table before the first old one is replaced. Replacing them is not one step: readers at work
+    should read again, and a run that was lost there is finished by running the merge once more. Other collections
+    get a whole next version."""
+    path = locate_collection(spark, name, root)
+    if path is None or path.startswith(("table:", "stream:")):
+        raise FileNotFoundError(f"no saved collection [{name}]")
+    layout = read_layout(spark, path) or {}
+    dealt = layout.get("dealt")
+    if dealt and dealt["id"] != id:
+        raise ValueError(f"[{name}] has buckets by [{dealt['id']}], not by [{id}]")
+    sent = Observation()
+    source = _observed(source, sent, "merge-source")
+    target, touched = open_parquet(spark, path), None
+    if dealt:
+        rows = source.where(F.col(quote(id)).isNotNull()).select(_bucket(dealt).alias("bucket")).distinct().collect()
+        touched = sorted(r["bucket"] for r in rows)  # one row a bucket at most
+        target = target.where(F.col(ROUTING_BUCKET).isin(touched)).drop(ROUTING_BUCKET)
+    result = write(target, source, id, **options)
+    refused = Observation()
+    rejected = _observed(result.rejected, refused, "merge-rejected")
+    if dealt:
+        _replace_buckets(spark, path, result.target, dealt, touched, layout)
+    else:
+        commit_merge(result, name, root)
+    counts = {f"{k}_{kind}": v for kind, seen in (("sent", sent), ("rejected", refused)) for k, v in seen.get.items()}
+    counts |= {f"{k}_accepted": counts[f"{k}_sent"] - counts[f"{k}_rejected"] for k in ("docs", "bytes")}
+    return MergeReport(rejected, touched, counts)
+
+
+def _observed(df: DataFrame, seen: Observation, label: str) -> DataFrame:
+    """The rows written to a scratch table; Spark counts documents and their bytes while it writes."""
+    body = F.octet_length(document(df, [c for c in df.columns if c not in REJECTION])).cast("bigint")
+    path = scratch(df.sparkSession, label)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(body), F.lit(0)).alias("bytes"))
+    watched.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(literal(path))
+
+
+def _replace_buckets(spark: SparkSession, path: str, target: DataFrame, dealt: dict, touched: list[int], layout: dict) -> None:
+    known = T.StructType([f for f in T.StructType.fromJson(layout["schema"]).fields if f.name != ROUTING_BUCKET])
+    agreed = _nullable(settled_type(known, target.schema))
+    fresh = scratch(spark, "merge-buckets")
+    _dealt(conform_frame(target, agreed), dealt).write.partitionBy(ROUTING_BUCKET).parquet(fresh)
+    held = {int(n.split("=", 1)[1]) for n in children(spark, fresh, f"{ROUTING_BUCKET}=*")}
+    if held:
+        agreed = T.StructType([*agreed.fields, T.StructField(ROUTING_BUCKET, T.IntegerType())])
+        merged = spark.read.schema(agreed).parquet(literal(fresh)).hint("rebalance", F.col(ROUTING_BUCKET))
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(ROUTING_BUCKET).parquet(path)
+        save_layout(spark, path, agreed, [ROUTING_BUCKET], dealt=dealt)
+    for bucket in touched:  # one that lost its last document has no folder to replace it
+        if bucket not in held:
+            drop_path(spark, f"{path}/{ROUTING_BUCKET}={bucket}")
+
+
 def expire_versions(spark: SparkSession, name: str, root: str, keep: int = 2) -> list[str]:
     """Deletes finished versions older than the ``keep`` newest ones."""
     base = home(name, root)

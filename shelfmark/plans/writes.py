@@ -9,6 +9,7 @@ from ..operators.write import (
     commit_merge,
     external_table,
     insert_overwrite as insert_into,
+    merge_collection,
     save_collection,
     save_many as save_to_many,
     split_index,
@@ -421,3 +422,32 @@ def timed_names(spark, sf):
     root = scratch(spark, "timed")
     write_dynamic(table(spark, sf, "events").select("event_id", "ts"), "events-{ts|HH}:00", root)
     return read_collections(spark, "events-*", root=root).select("_index", "event_id")
+
+
+@query("""
+    SELECT doc_id, lang, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id) WHERE doc_id % 3 > 0
+    UNION ALL SELECT doc_id, NULL, NULL, quality, toxic FROM labels ANTI JOIN documents USING (doc_id)
+""")
+def bucket_merges(spark, sf):
+    """Three merges into a collection of 16 buckets: an upsert that brings fields, a delete, and one that takes nothing."""
+    root = scratch(spark, "dealt")
+    docs = _documents(spark, sf)
+    save_collection(docs, "docs", root, id="doc_id", buckets=16)
+    merge_collection(spark, "docs", root, m.write_upsert, _labels(spark, sf), "doc_id")
+    merge_collection(spark, "docs", root, m.write_delete, docs.where("doc_id % 3 = 0").select("doc_id"), "doc_id")
+    merge_collection(spark, "docs", root, m.write_delete, docs.where("false").select("doc_id"), "doc_id")
+    return read_collection(spark, "docs", root=root)
+
+
+@query("""
+    WITH sent AS (SELECT doc_id, strlen(CAST(json_object('doc_id', doc_id, 'lang', lang) AS VARCHAR)) AS size, doc_id IN (SELECT doc_id FROM labels) AS taken FROM documents)
+    SELECT count(*) AS docs_sent, CAST(sum(size) AS BIGINT) AS bytes_sent, count(*) FILTER (WHERE taken) AS docs_rejected,
+        CAST(coalesce(sum(size) FILTER (WHERE taken), 0) AS BIGINT) AS bytes_rejected, count(*) FILTER (WHERE NOT taken) AS docs_accepted,
+        CAST(coalesce(sum(size) FILTER (WHERE NOT taken), 0) AS BIGINT) AS bytes_accepted FROM sent
+""")
+def merge_report(spark, sf):
+    """Statistics of a write that the write itself counted."""
+    root = scratch(spark, "report")
+    save_collection(_labels(spark, sf), "labels", root, id="doc_id", buckets=4)
+    sent = table(spark, sf, "documents", include=["doc_id", "lang"])
+    return merge_collection(spark, "labels", root, m.write_create, sent, "doc_id").stats()

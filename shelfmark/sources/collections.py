@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.predicates import as_predicate, bool_
 from ..operators.project import prune_schema, source_filter as keep_source, validate_fields
 from ..operators.search import search
-from .catalog import is_named, is_pattern, list_collections, literal, locate_collection, open_parquet, select_names, split_names
+from .catalog import is_named, is_pattern, list_collections, literal, locate_collection, open_parquet, read_layout, select_names, split_names
 from .json_docs import with_metadata as add_metadata
 from .mapping import common_schema, conform_frame, merge_mappings, parse_mapping, to_schema
 from .streamed import named_state
@@ -91,7 +91,9 @@ def open_found(spark: SparkSession, found: str, name: str) -> DataFrame:
         return spark.table(found[6:])
     if found.startswith("stream:"):
         return named_state(spark, found[7:], name)
-    return open_parquet(spark, found)
+    rows = open_parquet(spark, found)
+    # buckets by id are for merges alone; those by routing are data
+    return rows.drop(ROUTING_BUCKET) if ROUTING_BUCKET in rows.columns and (read_layout(spark, found) or {}).get("dealt") else rows
 
 
 def _schema(schema, mapping) -> T.StructType | None:

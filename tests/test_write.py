@@ -160,3 +160,68 @@ def test_appends_agree_on_fields_and_layout(spark, tmp_path):
 def test_open_brace_in_a_pattern(spark):
     with pytest.raises(ValueError, match="invalid pattern"):
         index_name(spark.range(1), "logs-{id")
+
+
+def _files(path):
+    import glob
+    import os
+
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{glob.escape(path)}/_bucket=*/*.parquet")}
+
+
+def test_a_merge_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    root = f"{tmp_path}/g[1]"
+    docs = spark.range(200).selectExpr("id", "id * 2 AS n")
+    path = sm.save_collection(docs, "docs", root, id="id", buckets=8)
+    before = _files(path)
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in before}) == 8
+    report = sm.merge_collection(spark, "docs", root, sm.write_delete, spark.createDataFrame([(17,)], "id long"), "id")
+    after = _files(path)
+    gone = {f.split("_bucket=")[1].split("/")[0] for f in before.keys() - after.keys()}
+    assert len(gone) == 1 and len(report.buckets) == 1 and all(after[f] == before[f] for f in before.keys() & after.keys())
+    assert sm.read_collection(spark, "docs", root=root).columns == ["id", "n"]
+    assert rows(sm.read_collection(spark, "docs", root=root).selectExpr("count(*)", "sum(id)")) == [(199, 19900 - 17)]
+    assert rows(report.stats().select("docs_sent", "docs_accepted", "docs_rejected")) == [(1, 1, 0)]
+    # a new field, a new id and a changed one; a rejected row stays data
+    more = spark.createDataFrame([(5, 1, "x"), (777, 2, "y"), (None, 3, "z")], "id long, n long, s string")
+    report = sm.merge_collection(spark, "docs", root, sm.write_upsert, more, "id")
+    got = sm.read_collection(spark, "docs", root=root)
+    assert rows(got.where("s IS NOT NULL")) == [(5, 1, "x"), (777, 2, "y")] and got.count() == 200
+    assert rows(report.rejected.select("s", "_error_type")) == [("z", "mapper_parsing")] and report.counts["docs_rejected"] == 1
+    # an append is dealt as well; a bucket that loses its last document goes
+    sm.save_collection(spark.createDataFrame([(900, 9)], "id long, n long"), "docs", root)
+    sm.merge_collection(spark, "docs", root, sm.write_delete, got.select("id"), "id")
+    assert rows(sm.read_collection(spark, "docs", root=root).select("id")) == [(900,)]
+    for bad in ({"id": "id", "buckets": 4}, {"partition_by": ["n"]}):
+        with pytest.raises(ValueError, match="buckets|partitioned"):
+            sm.save_collection(docs, "docs", root, **bad)
+    with pytest.raises(ValueError, match="buckets by"):
+        sm.merge_collection(spark, "docs", root, sm.write_index, docs, "n")
+    with pytest.raises(FileNotFoundError):
+        sm.merge_collection(spark, "none", root, sm.write_index, docs, "id")
+
+
+def test_merges_of_collections_without_buckets(spark, tmp_path):
+    root = str(tmp_path)
+    sm.save_collection(spark.range(5).selectExpr("id", "id AS n"), "docs", root)
+    report = sm.merge_collection(spark, "docs", root, sm.write_index, spark.createDataFrame([(1, 100), (9, 9)], "id long, n long"), "id")
+    assert report.buckets is None and report.counts["docs_accepted"] == 2
+    assert rows(sm.read_collection(spark, "docs", root=root)) == [(0, 0), (1, 100), (2, 2), (3, 3), (4, 4), (9, 9)]
+    result = sm.write_delete(sm.read_collection(spark, "docs", root=root), spark.range(2), "id")
+    sm.save_collection(sm.read_collection(spark, "docs", root=root), "dealt", root, id="id", buckets=3)
+    sm.commit_merge(result, "dealt", root)
+    assert rows(sm.read_collection(spark, "dealt", root=root).select("id")) == [(2,), (3,), (4,), (9,)]
+
+
+def test_roots_with_signs_of_patterns(spark, tmp_path):
+    root = f"{tmp_path}/g[1]{{a,b}}"
+    for _ in range(2):
+        sm.save_collection(spark.range(3), "c", root)
+    assert sm.read_collection(spark, "c", root=root).count() == 6
+    assert rows(sm.read_collections(spark, "*", root=root).groupBy("_index").count()) == [("c", 6)]
+
+
+def test_names_of_dynamic_collections_stay_text(spark, tmp_path):
+    df = spark.createDataFrame([("007", 1), ("2024", 2)], "name string, n int")
+    sm.write_dynamic(df, "{name}", f"{tmp_path}/r")
+    assert rows(sm.read_collection(spark, f"{tmp_path}/r").select("_index", "n")) == [("007", 1), ("2024", 2)]
