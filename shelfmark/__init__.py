@@ -91,7 +91,7 @@ from .operators.write import (
     write_dynamic,
     write_target,
 )
-from .sources.collections import is_empty, read_alias, read_collection, read_collections, register_view
+from .sources.collections import is_empty, persisted, read_alias, read_collection, read_collections, register_view
 from .sources.json_docs import detect_geo, mapped_schema, parse_docs, read_json_docs, read_pairs, with_metadata
 from .sources.mapping import merge_mappings, parse_mapping, to_schema
 from .streaming.sink import (

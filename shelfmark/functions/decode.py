@@ -45,19 +45,27 @@ def empty_as_null(df: DataFrame, cols=None) -> DataFrame:
     return df.withColumns({n: blank_to_null(F.col(quote(n))) for n in names})
 
 
-def parse_date(c: Column, zone: str | None = None) -> Column:
-    """ISO date with optional time and an offset written ``hh:mm``, ``hhmm`` or ``hh``; a whole number of
-    five or more digits is epoch milliseconds. ``zone`` applies where the text names no offset
-    (default: the session time zone). Unreadable text becomes null."""
+def parse_date(c: Column, zone: str | None = None, digits: bool = True) -> Column:
+    """ISO date with optional time and an offset written ``hh:mm``, ``hhmm`` or ``hh``. ``zone`` applies where the text names
+    no offset (default: the session time zone). Unreadable text becomes null.
+
+    A number is epoch milliseconds, whatever its length. Text that has lost what it was takes ``digits``: a whole
+    number of five or more digits then counts as milliseconds too, four digits as a year."""
     text = F.trim(c.cast("string"))
-    dated = (F.substring(text, 5, 1) == "-") | (F.length(text) == 4)
-    return F.when(dated, _moment(text, zone)).otherwise(F.timestamp_millis(text.try_cast("bigint")))
+    moment = _moment(text, zone)
+    if digits:
+        dated = (F.substring(text, 5, 1) == "-") | (F.length(text) == 4)
+        moment = F.when(dated, moment).otherwise(F.timestamp_millis(text.try_cast("bigint")))
+    else:
+        moment = F.when((F.substring(text, 5, 1) == "-") | text.rlike("^[0-9]{4}$"), moment)
+    number = F.typeof(c).rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
+    return F.when(number, F.timestamp_millis(text.try_cast("decimal(38,0)").try_cast("bigint"))).otherwise(moment)
 
 
-def parse_date_nanos(c: Column) -> Column:
+def parse_date_nanos(c: Column, digits: bool = True) -> Column:
     """ISO date, optional time with up to nine fraction digits, UTC unless an offset is given. Spark
     keeps microseconds: the last three digits are cut."""
-    return parse_date(c, "UTC")
+    return parse_date(c, "UTC", digits)
 
 
 def _moment(text: Column, zone: str | None) -> Column:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.fields import columns_of, quote
+from ..sources.catalog import literal, scratch
 
 SALT = 64
 HOT_ROWS = 1_000_000
@@ -79,6 +80,39 @@ def all_but_first(df: DataFrame, id: str, order=None) -> DataFrame:
     return ranked.where((F.col("__local") > 1) | (F.col("__rank") > 1)).select(*columns_of(df))
 
 
+def in_pieces(df: DataFrame, id: str, order) -> DataFrame:
+    """The rows with ``__order`` (a comparable key) and ``__piece``: all rows sorted by id and order, cut into the pieces of
+    one range partitioning and written. An id with very many rows spans several pieces, in order, so nothing that
+    goes through the rows of an id one after the other has to hold them all."""
+    spark = df.sparkSession
+    ordered = df.withColumn("__order", order_key(df, order)).repartitionByRange(F.col(quote(id)), F.col("__order"))
+    path = scratch(spark, "pieces")
+    ordered.withColumn("__piece", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(literal(path))
+
+
+def numbered_in_pieces(pieces: DataFrame, id: str) -> DataFrame:
+    """Adds ``__rank``, the number of a row among those of its id, from 0."""
+    key = F.col(quote(id))
+    held = pieces.groupBy(key.alias(id), "__piece").agg(F.count(F.lit(1)).alias("__held"))
+    before = Window.partitionBy(key).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select(key, "__piece", F.coalesce(F.sum("__held").over(before), F.lit(0)).alias("__start"))
+    local = F.row_number().over(Window.partitionBy(key, "__piece").orderBy("__order")) - 1
+    ranked = pieces.withColumn("__local", local).join(starts, [id, "__piece"])
+    return ranked.withColumn("__rank", F.col("__start") + F.col("__local")).drop("__start", "__local")
+
+
+def highest_before(pieces: DataFrame, id: str, value: str) -> DataFrame:
+    """Adds ``__before``, the highest ``value`` in earlier rows of the id; null for the first."""
+    key, earlier = F.col(quote(id)), (Window.unboundedPreceding, -1)
+    held = pieces.groupBy(key.alias(id), "__piece").agg(F.max(quote(value)).alias("__high"))
+    carried = F.max("__high").over(Window.partitionBy(key).orderBy("__piece").rowsBetween(*earlier))
+    starts = held.select(key, "__piece", carried.alias("__carried"))
+    local = F.max(quote(value)).over(Window.partitionBy(key, "__piece").orderBy("__order").rowsBetween(*earlier))
+    found = pieces.withColumn("__local", local).join(starts, [id, "__piece"])
+    return found.withColumn("__before", F.greatest("__local", "__carried")).drop("__local", "__carried")
+
+
 def fold(df: DataFrame, id: str, order, write_null: bool = False) -> DataFrame:
     """All partial documents of an id applied in order: per leaf, the last value given. With
     ``write_null`` a null is a value too."""

@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.documents import NOT_FOUND, document, field_or_const, json_paths, resolve
 from ..functions.fields import columns_of, quote
 from ..functions.predicates import as_predicate, negate
+from ..sources.catalog import literal, scratch
 from ..sources.mapping import common_schema, conform, conform_frame, settled_type
-from .batch import absent_rows, all_but_first, fold, latest
+from .batch import absent_rows, all_but_first, fold, highest_before, in_pieces, latest, numbered_in_pieces
 
 REJECTION = ("_status", "_error_type", "_error_reason")
+#: Rows of one id whose scripts run in one go.
+SCRIPTS = 10_000
 
 
 @dataclass
@@ -282,15 +285,18 @@ def write_script(
     params: dict[str, str | Column] | str | None = None,
     upsert: bool = False,
     scripted_upsert: bool = False,
+    order=None,
 ) -> WriteResult:
     """Update documents by expressions. ``set`` maps a field to a SQL text or Column over ``t.<field>``
     (the stored document) and ``params.<name>``; ``params`` maps names to source fields or ``<constants>``
     (or is a text ``name:field, name:<constant>``).
 
     An absent document is rejected; with ``upsert`` the source row becomes the document; with
-    ``scripted_upsert`` the expressions run over an empty document. An id may occur once per batch,
-    because the second run would have to see the result of the first."""
+    ``scripted_upsert`` the expressions run over an empty document. Several rows of one id need an ``order``: each
+    then runs over what the one before it left. That takes scripts given as SQL text."""
     _need_id(id, "update", t, s)
+    if order is not None:
+        return _scripts_in_order(t, s, id, set, params, upsert, scripted_upsert, order)
     good, bad = split_unfit(t.select(id).schema, s, id)
     one = latest(good, id)
     values = _params(one, params)
@@ -326,6 +332,63 @@ def write_script(
     return WriteResult(joined.select(*out), rejected, s, again)
 
 
+def _scripts_in_order(t, s, id: str, set, params, upsert: bool, scripted_upsert: bool, order) -> WriteResult:
+    """All scripts of an id, one after the other. The rows of an id are taken in lots of ``SCRIPTS``: a lot is gathered
+    per id, run through in one expression, and the documents written before the next lot. Most batches have one."""
+    if any(not isinstance(v, str) for v in set.values()):
+        raise ValueError("scripts that run in an order are given as SQL text")
+    again = lambda t, s: _scripts_in_order(t, s, id, set, params, upsert, scripted_upsert, order)
+    shape = write_script(t, s, id, set, params, upsert, scripted_upsert).target.schema
+    body = [f for f in shape.fields if f.name != id]
+    good, bad = split_unfit(t.select(id).schema, s, id)
+    ranked = numbered_in_pieces(in_pieces(good, id, order), id).withColumn("__lot", F.floor(F.col("__rank") / SCRIPTS))
+    values = _params(ranked, params)
+    rows = ranked.select(
+        F.col(quote(id)).alias("__id"), "__lot", "__rank",
+        (F.struct(*(c.alias(n) for n, c in values.items())) if values else F.struct(F.lit(None).cast("string").alias("none"))).alias("params"),
+        F.struct(*(_typed(F.col(quote(f.name)) if f.name in s.columns else F.lit(None), f) for f in body)).alias("source"),
+    )
+    lots = (rows.agg(F.max("__lot")).first()[0] or 0) + 1
+    inserts = upsert and not scripted_upsert
+    stored = t.select(F.col(quote(id)).alias("__key"), F.struct(*(_typed(F.col(quote(f.name)) if f.name in t.columns else F.lit(None), f) for f in body)).alias("__doc"))
+    for lot in range(lots):
+        element = F.struct("__rank", "params", "source")
+        side = rows.where(F.col("__lot") == lot).groupBy("__id").agg(F.collect_list(element).alias("__rows"))
+        if lots > 1:
+            stored = _written(stored, "scripts")
+        joined = stored.join(side, F.col("__key") == F.col("__id"), "full_outer" if upsert or scripted_upsert else "left")
+        by_rank = F.array_sort("__rows", lambda a, b: (a["__rank"] - b["__rank"]).cast("int"))
+        joined = joined.select(F.coalesce("__key", "__id").alias("__key"), "__doc", by_rank.alias("__rows"), F.col("__key").isNull().alias("__absent"))
+        first = F.get("__rows", F.lit(0))["source"]
+        empty = F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in body))
+        start = F.when(F.col("__absent"), first if inserts else empty).otherwise(F.col("__doc"))
+        steps = F.transform("__rows", lambda r: r["params"])
+        steps = F.when(F.col("__absent") & F.lit(inserts), F.slice(steps, F.lit(2), F.size("__rows"))).otherwise(steps)
+        joined = joined.select("__key", start.alias("__start"), steps.alias("__steps"))
+        parts = ", ".join(f"'{_quoted(f.name)}', CAST({f'({set[f.name]})' if f.name in set else f't.{quote(f.name)}'} AS {f.dataType.simpleString()})" for f in body)
+        ran = F.expr(f"aggregate(__steps, __start, (t, params) -> named_struct({parts}))")
+        stored = joined.select("__key", F.when(F.col("__steps").isNull(), F.col("__start")).otherwise(ran).alias("__doc"))
+    target = stored.select(*(F.col("__key" if f.name == id else f"__doc.{quote(f.name)}").alias(f.name) for f in shape.fields))
+    rejected = bad
+    if not (upsert or scripted_upsert):
+        rejected = _missing(absent_rows(good, present_ids(t, good, id), id).select(*columns_of(s)), id).unionByName(bad)
+    return WriteResult(target, rejected, s, again)
+
+
+def _typed(c: Column, f: T.StructField) -> Column:
+    return c.cast(f.dataType).alias(f.name)
+
+
+def _quoted(name: str) -> str:
+    return name.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(literal(path))
+
+
 def _params(df: DataFrame, params) -> dict[str, Column]:
     if isinstance(params, str):
         params = dict(p.strip().split(":", 1) for p in params.split(",") if p.strip())
@@ -344,8 +407,11 @@ def write_versioned(
     """Index guarded by a version column of the source.
 
     ``external`` / ``external_gt`` need a higher version than the stored one, ``external_gte`` at least
-    that, ``internal`` exactly that (and then counts one up), ``force`` takes any. Inside a batch the
-    highest version of an id is tried, its other rows are rejected."""
+    that, ``internal`` exactly that (and then counts one up), ``force`` takes any.
+
+    With an ``order`` the rows of an id come one after the other, and (external modes) each is judged by the highest
+    version before it, stored or accepted: 3 then 5 are both accepted, 5 then 3 rejects one. Without an order,
+    and for ``internal``, the highest version of an id is tried and its other rows are rejected."""
     if mode not in ("internal", "external", "external_gt", "external_gte", "force"):
         raise ValueError(f"unknown version type [{mode}]")
     _need_id(id, "index", t, s)
@@ -355,6 +421,8 @@ def write_versioned(
         unversioned = good.where(F.col(quote(version)).isNull())
         bad = bad.unionByName(reject(unversioned, 400, "mapper_parsing", f"no version in [{version}]"))
         good = good.where(F.col(quote(version)).isNotNull())
+    if order is not None and mode.startswith("external"):
+        return _versions_in_order(t, s, good, bad, id, version, mode, order)
     if mode == "force":
         one, lost = latest(good, id, order), good.limit(0)
     else:
@@ -374,6 +442,23 @@ def write_versioned(
     return WriteResult(target, rejected, s, lambda t, s: write_versioned(t, s, id, version, mode, order))
 
 
+def _versions_in_order(t, s, good, bad, id: str, version: str, mode: str, order) -> WriteResult:
+    """Every row against the highest of the stored version and those of earlier rows: a rejected row's version is
+    not above that, so it takes no part."""
+    judged = highest_before(in_pieces(good, id, order), id, version)
+    stored = t.select(F.col(quote(id)), F.col(quote(version)).alias("__stored")).join(good.select(id).distinct(), id, "left_semi")
+    judged = judged.join(stored, id, "left").withColumn("__bar", F.greatest("__before", "__stored"))
+    judged = judged.withColumn("__ok", _wins(F.col(quote(version)), F.col("__bar"), mode))
+    losers = judged.where(~F.col("__ok")).select(*columns_of(s))
+    accepted = judged.where("__ok").select(*columns_of(s), "__order")
+    t2, one, agreed = _aligned(t, latest(accepted, id, [version, "__order"]).drop("__order"))
+    target = _replace_winners(t2, one, agreed, id, version, mode, is_small(good))
+    target = target.withColumn(version, F.col(quote(version)).cast(t.schema[version].dataType))
+    conflict = F.concat(F.lit("version conflict, given version "), F.col(quote(version)).cast("string"))
+    rejected = reject(losers, 409, "version_conflict", conflict).unionByName(bad)
+    return WriteResult(target, rejected, s, lambda t, s: write_versioned(t, s, id, version, mode, order))
+
+
 def _wins(new: Column, old: Column, mode: str) -> Column:
     rule = {
         "external": old.isNull() | (new > old),
@@ -425,8 +510,12 @@ def write_json_docs(
         raise ValueError("field include / exclude does not apply to documents given as JSON")
     paths = [p for p in (id, order) if p]
     found = json_paths(F.col(quote(json_col)).cast("string"), paths)
-    if order:  # numbers in the order of numbers, other text after them as text
-        found[-1] = F.struct(found[-1].try_cast("decimal(38,9)").alias("number"), found[-1].alias("text"))
+    if order:  # numbers in the order of numbers (equal as doubles: exactly), other text after them as text
+        text = found[-1]
+        number = text.try_cast("double")
+        found[-1] = F.struct(
+            (number.isNull() & text.isNotNull()).alias("is_text"), number.alias("number"), text.try_cast("decimal(38,9)").alias("exact"), text.alias("text")
+        )
     metadata = {n: c for n, c in zip([target_id, "__order"][: len(paths)] if id else ["__order"], found)}
     named = s.select(F.col(quote(json_col)).alias("__text"), *(c.alias(n) for n, c in metadata.items()))
     parsed = parse_docs(named, "__text", mapping, **parse_options)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode as d
 from ..functions.documents import extract, field_or_const, first_found, json_paths as paths_of, to_document as as_document
+from ..sources.json_docs import parse_docs
 from .registry import query, table
 
 
@@ -202,3 +203,42 @@ def documents_without_nulls(spark, sf):
 def documents_with_nulls(spark, sf):
     rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     return as_document(rows.select("doc_id", "lang", "quality", "toxic"), write_null=True)
+
+
+@query("""
+    SELECT event_id, CASE event_type WHEN 'signup' THEN event_id WHEN 'view' THEN epoch_ms(make_timestamp(1000 + event_id % 9000, 1, 1, 0, 0, 0.0))
+        WHEN 'click' THEN 86400000 * (epoch_us(ts) // 86400000000) END AS millis, event_type = 'purchase' AS malformed
+    FROM events
+""")
+def dates_by_token(spark, sf):
+    """A JSON number is epoch milliseconds however short, four digits of text are a year, eight are no date."""
+    kind = F.col("event_type")
+    token = (
+        F.when(kind == "signup", F.col("event_id").cast("string"))
+        .when(kind == "view", F.concat(F.lit('"'), (1000 + F.col("event_id") % 9000).cast("string"), F.lit('"')))
+        .when(kind == "click", F.concat(F.lit('"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"')))
+        .when(kind == "purchase", '"20240101"').otherwise("null")
+    )
+    docs = table(spark, sf, "events").select("event_id", F.concat(F.lit('{"at": '), token, F.lit("}")).alias("json"))
+    rows = parse_docs(docs, "json", {"properties": {"at": {"type": "date"}}}, zone="UTC", on_error="keep")
+    return rows.select("event_id", F.unix_millis("at").alias("millis"), F.col("_malformed").alias("malformed"))
+
+
+@query("""
+    SELECT event_id, user_id, CAST(event_id AS VARCHAR) AS outer_text, '"' || event_type || '"' AS inner_text,
+        '[' || event_id || ',' || user_id || ']' AS listed FROM events
+""")
+def unmapped_nested(spark, sf):
+    """Fields outside the mapping inside mapped objects, and inside arrays of them, by dotted name."""
+    user = F.struct("user_id", F.col("event_id").alias("seen"), F.struct(F.col("event_type").alias("kind"), F.lit(1).alias("known")).alias("deep"))
+    items = F.array(F.struct(F.col("event_id").alias("of"), F.lit(1).alias("k")), F.struct(F.col("user_id").alias("of"), F.lit(2).alias("k")))
+    docs = table(spark, sf, "events").select("event_id", F.to_json(F.struct(user.alias("user"), items.alias("items"))).alias("json"))
+    mapping = {"properties": {
+        "user": {"properties": {"user_id": {"type": "long"}, "deep": {"properties": {"known": {"type": "long"}}}}},
+        "items": {"type": "nested", "properties": {"k": {"type": "long"}}},
+    }}
+    rows = parse_docs(docs, "json", mapping, unmapped="keep")
+    extra = F.col("_unmapped")
+    return rows.select(
+        "event_id", "user.user_id", extra["user.seen"].alias("outer_text"), extra["user.deep.kind"].alias("inner_text"), extra["items.of"].alias("listed")
+    )

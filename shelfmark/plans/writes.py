@@ -451,3 +451,37 @@ def merge_report(spark, sf):
     save_collection(_labels(spark, sf), "labels", root, id="doc_id", buckets=4)
     sent = table(spark, sf, "documents", include=["doc_id", "lang"])
     return merge_collection(spark, "labels", root, m.write_create, sent, "doc_id").stats()
+
+
+@query("""
+    SELECT o_orderkey, CAST(o_orderkey % 7 * power(2, coalesce(k, 0)) + coalesce(added, 0) AS BIGINT) AS counter, coalesce(k, 0) AS runs
+    FROM orders LEFT JOIN (
+        SELECT l_orderkey, count(*) AS k, sum(l_partkey * power(2, k - r)) AS added FROM (
+            SELECT l_orderkey, l_partkey, row_number() OVER w AS r, count(*) OVER (PARTITION BY l_orderkey) AS k
+            FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey))
+        GROUP BY 1) ON l_orderkey = o_orderkey
+""")
+def scripts_in_order(spark, sf):
+    """Several scripts of one document: each runs over what the one before it left."""
+    orders = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 7).alias("counter"), F.lit(0).cast("bigint").alias("runs"))
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_linenumber")
+    script = {"counter": "t.counter * 2 + params.part", "runs": "t.runs + 1"}
+    return m.write_script(orders, lines, "o_orderkey", script, "part:l_partkey", order=["l_linenumber", "l_partkey"]).target
+
+
+@query("""
+    WITH given AS (SELECT user_id, event_id, event_id * 37 % 101 AS v FROM events),
+    judged AS (SELECT *, max(v) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+        CASE WHEN user_id % 2 = 0 THEN user_id % 90 END AS stored FROM given),
+    ruled AS (SELECT *, v > coalesce(greatest(before, stored), -1) AS ok FROM judged)
+    SELECT user_id, event_id, v, false AS rejected FROM ruled WHERE ok QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+    UNION ALL SELECT user_id, event_id, v, true FROM ruled WHERE NOT ok
+    UNION ALL SELECT DISTINCT user_id, NULL, stored, false FROM ruled WHERE stored IS NOT NULL AND user_id NOT IN (SELECT user_id FROM ruled WHERE ok)
+""")
+def versions_in_order(spark, sf):
+    """Versions of one document in the order given: each is judged by the highest one before it."""
+    given = table(spark, sf, "events").select("user_id", "event_id", (F.col("event_id") * 37 % 101).alias("v"))
+    stored = given.where("user_id % 2 = 0").select("user_id", F.lit(None).cast("bigint").alias("event_id"), (F.col("user_id") % 90).alias("v"))
+    result = m.write_versioned(stored.distinct(), given, "user_id", "v", order="event_id")
+    kept = result.target.select("user_id", "event_id", "v", F.lit(False).alias("rejected"))
+    return kept.unionByName(result.rejected.select("user_id", "event_id", "v", F.lit(True).alias("rejected")))

@@ -22,6 +22,12 @@ def fs_path(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified_uri(spark: SparkSession, path: str) -> str:
+    """The path as ``_metadata.file_path`` begins for files below it."""
+    hadoop, fs = fs_path(spark, path)
+    return fs.makeQualified(hadoop).toUri().toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop, fs = fs_path(spark, path)
     return fs.exists(hadoop)

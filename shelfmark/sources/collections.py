@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.predicates import as_predicate, bool_
 from ..operators.project import prune_schema, source_filter as keep_source, validate_fields
 from ..operators.search import search
-from .catalog import is_named, is_pattern, list_collections, literal, locate_collection, open_parquet, read_layout, select_names, split_names
+from .catalog import (
+    children,
+    is_named,
+    is_pattern,
+    list_collections,
+    literal,
+    locate_collection,
+    open_parquet,
+    qualified_uri,
+    read_layout,
+    select_names,
+    split_names,
+)
 from .json_docs import with_metadata as add_metadata
 from .mapping import common_schema, conform_frame, merge_mappings, parse_mapping, to_schema
 from .streamed import named_state
@@ -171,10 +185,13 @@ def read_collections(
     else:
         picked = split_names(names)
 
-    def read(name: str) -> tuple[str, DataFrame] | None:
-        if missing_as_empty and locate_collection(spark, name, root) is None:
+    def read(name: str) -> tuple[str, DataFrame, str | None] | None:
+        mapping, found = (mappings or {}).get(name), locate_collection(spark, name, root)
+        if missing_as_empty and found is None:
             return None
-        return name, read_collection(spark, name, root=root, mapping=(mappings or {}).get(name), **options)
+        df = read_collection(spark, name, root=root, mapping=mapping, **options)
+        alone = bool(options) or mapping is not None or found.startswith(("table:", "stream:")) or bool(children(spark, found, "*=*"))
+        return name, df, None if alone else found
 
     # each collection's schema is looked up in its files: many look-ups run side by side
     with ThreadPoolExecutor(max_workers=LOOKUPS) as pool:
@@ -183,11 +200,11 @@ def read_collections(
         if missing_as_empty:
             return spark.createDataFrame([], T.StructType())
         raise FileNotFoundError(f"no collection matches [{names}]")
-    if mappings and all(n in mappings for n, _ in frames):
-        agreed = to_schema(merge_mappings([parse_mapping(mappings[n]) for n, _ in frames]))
+    if mappings and all(n in mappings for n, _, _ in frames):
+        agreed = to_schema(merge_mappings([parse_mapping(mappings[n]) for n, _, _ in frames]))
     else:
-        agreed = common_schema([df.schema for _, df in frames])
-    out = union_frames([(name, df) for name, df in frames], agreed, index_column)
+        agreed = common_schema([df.schema for _, df, _ in frames])
+    out = union_frames(_in_one_scan(spark, frames, index_column), agreed, index_column)
     if query is not None:
         out = search(out, query, text, strict, pushdown, recheck)
     return _pruned(out, include, exclude, index_column, options.get("metadata"))
@@ -204,11 +221,45 @@ def _pruned(df: DataFrame, include, exclude, index_column: str | None, metadata)
     return conform_frame(df, T.StructType([*prune_schema(body, include, exclude).fields, *extra]))
 
 
+def _in_one_scan(spark: SparkSession, frames, index_column: str | None) -> list[tuple[str | None, DataFrame]]:
+    """Collections of one schema as one scan over all their paths; the name of a row's collection then comes from the path
+    of its file. A filter on the name reaches the list of files, so those of other collections are not opened.
+    Collections without a path of their own (None) stay as they are."""
+    groups: dict[str, list] = {}
+    out = []
+    for name, df, found in frames:
+        if found is None:
+            out.append((name, df))
+        else:
+            groups.setdefault(df.schema.json(), []).append((name, df, found))
+    for same in groups.values():
+        if len(same) == 1:
+            out.append(same[0][:2])
+            continue
+        rows = spark.read.schema(same[0][1].schema).parquet(*(literal(found) for _, _, found in same))
+        if index_column:
+            rows = rows.withColumn(index_column, _name_by_path(spark, {found: name for name, _, found in same}))
+        out.append((None, rows))
+    return out
+
+
+def _name_by_path(spark: SparkSession, names: dict[str, str]) -> Column:
+    """The collection whose path (of a file or a folder) begins the path of the row's file."""
+    places = [(re.sub("^file:/+", "file:/", qualified_uri(spark, path)), name) for path, name in names.items()]
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    entries = F.create_map(*(F.lit(x) for pair in places for x in pair))
+    depths = sorted({place.count("/") for place, _ in places})
+    # a place is found by the leading parts of the file's path, so the number of collections adds nothing per row
+    return F.coalesce(*(F.element_at(entries, F.substring_index(file, "/", depth + 1)) for depth in depths))
+
+
 def union_frames(frames, agreed: T.StructType, index_column: str | None) -> DataFrame:
     shaped = []
     for name, df in frames:
-        df = conform_frame(df, agreed)
-        shaped.append(df.withColumn(index_column, F.lit(name)) if index_column else df)
+        named = index_column if name is None else None
+        want = T.StructType([*agreed.fields, T.StructField(named, T.StringType())]) if named else agreed
+        df = conform_frame(df, want)
+        shaped.append(df.withColumn(index_column, F.lit(name)) if index_column and name is not None else df)
     return reduce(lambda a, b: a.unionByName(b), shaped)
 
 
@@ -267,6 +318,17 @@ def read_alias(
     return _pruned(united, include, exclude, "_index", options.get("metadata"))
 
 
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.DISK_ONLY):
+    """The rows kept on the executors' disks (or as ``level`` says) for several uses, and released at the end of the block. What
+    an executor held when it was lost is read again from the collection."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def is_empty(spark: SparkSession, name: str, root: str | None = None) -> bool:
     """Whether a collection has no rows; a missing one counts as empty."""
     found = locate_collection(spark, name, root)

@@ -21,7 +21,7 @@ from ..functions.decode import (
     parse_date_nanos,
 )
 from ..functions.documents import document
-from ..functions.fields import columns_of, quote
+from ..functions.fields import quote
 from ..operators.project import matched_depth, numbered
 from .mapping import Field, filter_mapping, leaf_type, parse_mapping, to_schema
 
@@ -139,7 +139,7 @@ class _Reader:
         if f.type in ("date", "date_nanos"):
             if not self.rich_dates:
                 return blank_to_null(text)
-            parsed = parse_date_nanos(text) if f.type == "date_nanos" else parse_date(text, self.zone)
+            parsed = parse_date_nanos(text, False) if f.type == "date_nanos" else parse_date(text, self.zone, False)
             millis = F.timestamp_millis(F.try_variant_get(base, path, "bigint"))
             return F.when(_is_number(base, path), millis).otherwise(parsed)
         if f.type == "binary":
@@ -197,6 +197,7 @@ def parse_docs(
     *,
     unmapped: str = "ignore",
     on_error: str | Column | Callable[[Column], Column] = "fail",
+    tries: int = 1,
     include=(),
     exclude=(),
     rich_dates: bool = True,
@@ -211,10 +212,11 @@ def parse_docs(
 
     A document is malformed when it is not a JSON object or when a value cannot be read as its
     mapped type. ``on_error``: ``fail`` the job, ``skip`` the document, ``keep`` it with the flag
-    ``_malformed``, or an expression giving the edited text to try once more (what is still
-    malformed then fails). ``unmapped="keep"`` adds the fields outside the mapping, as JSON text by
-    name, in ``_unmapped``. ``decoders`` replaces the decoding of a document type by a
-    Column -> Column function on the text."""
+    ``_malformed``, or an expression giving the edited text to read instead, up to ``tries`` times (what is still
+    malformed then fails). Only malformed documents are edited and read again. ``unmapped="keep"`` adds the fields
+    outside the mapping, as JSON text by their dotted name, in ``_unmapped``; of an array of objects, all values of such a
+    field as one JSON array. ``decoders`` replaces the decoding of a document type by a Column -> Column
+    function on the text. In dates, a JSON number is epoch milliseconds and JSON text an ISO date."""
     fields = filter_mapping(parse_mapping(mapping), include, exclude)
     reader = _Reader(rich_dates, zone, empty_as_null, as_array, as_array_exclude, geo, decoders)
     repair = on_error if not isinstance(on_error, str) else None
@@ -226,12 +228,9 @@ def parse_docs(
     source = F.col(quote(json_col)).cast("string")  # JSON may arrive as bytes
     kept = [c for c in df.columns if c != json_col]
     work = df.withColumn("__json", source)
-    if repair is not None:
-        first = _read(work, fields, reader).withColumn("__flag", _malformed(fields, reader))
-        fixed = repair(F.col("__json")) if callable(repair) else repair
-        edited = F.when(F.col("__flag"), fixed).otherwise(F.col("__json")).alias("__json")
-        work = first.select(*kept, edited)
     work = _read(work, fields, reader)
+    for _ in range(tries if repair is not None else 0):
+        work = _read_again(work, fields, reader, repair(F.col("__json")) if callable(repair) else repair)
 
     columns = []
     for f in fields:
@@ -240,7 +239,7 @@ def parse_docs(
             value = value.cast(to_schema([f], as_array, as_array_exclude, rich_dates, geo)[0].dataType)
         columns.append(value.alias(f.name))
     if unmapped == "keep":
-        columns.append(_unmapped(F.col("__doc"), fields).alias("_unmapped"))
+        columns.append(_unmapped(F.col("__doc"), "$", fields, "").alias("_unmapped"))
     flag = _malformed(fields, reader)
     if on_error == "skip":
         work = work.where(~flag)
@@ -257,15 +256,35 @@ def _read(work: DataFrame, fields, reader: _Reader) -> DataFrame:
 
     Each is made by a one-element explode, which Spark keeps as a step of its own. As plain columns they
     would be inlined into every filter pushed below them, parsing the text again for each use."""
-    columns = columns_of(work)
-    work = work.select(*columns, F.explode(F.array(F.try_parse_json("__json"))).alias("__doc"))
+    work = _step_of(work, "__doc", F.try_parse_json("__json"))
+    values = _values(fields, reader)
+    return _step_of(work, "__v", values) if values is not None else work
+
+
+def _values(fields, reader: _Reader) -> Column | None:
     values = []
     for f in fields:
         raw = F.get_json_object("__json", "$" + _step(f.name))
         values.append((raw if f.raw else reader.field(F.col("__doc"), "$", f, f.name)).alias(f.name))
-    if not values:
-        return work
-    return work.select(*columns, "__doc", F.explode(F.array(F.struct(*values))).alias("__v"))
+    return F.struct(*values) if values else None
+
+
+def _step_of(work: DataFrame, name: str, value: Column) -> DataFrame:
+    """The frame with a column that is computed in a step of its own."""
+    others = [F.col(quote(c)) for c in work.columns if c != name]
+    return work.select(*others, F.explode(F.array(value)).alias(name))
+
+
+def _read_again(work: DataFrame, fields, reader: _Reader, fixed: Column) -> DataFrame:
+    """Malformed documents edited and read once more; of the others everything stays as it was read."""
+    flag = F.col("__flag")
+    work = _step_of(work, "__flag", _malformed(fields, reader))
+    work = _step_of(work, "__json", F.when(flag, fixed).otherwise(F.col("__json")))
+    work = _step_of(work, "__doc", F.when(flag, F.try_parse_json("__json")).otherwise(F.col("__doc")))
+    values = _values(fields, reader)
+    if values is not None:
+        work = _step_of(work, "__v", F.when(flag, values).otherwise(F.col("__v")))
+    return work.drop("__flag")
 
 
 def _malformed(fields, reader: _Reader) -> Column:
@@ -277,16 +296,34 @@ def _malformed(fields, reader: _Reader) -> Column:
     return F.coalesce(bad, F.lit(True))
 
 
-def _unmapped(doc: Column, fields) -> Column:
+def _unmapped(base: Column, path: str, fields, prefix: str) -> Column:
+    """Fields outside the mapping at ``path`` and in all mapped objects below it, by dotted name; null where there is
+    no object."""
+    every = F.try_variant_get(base, path, "map<string,variant>")
     known = [f.name for f in fields]
-    every = F.try_variant_get(doc, "$", "map<string,variant>")
     rest = F.map_filter(every, lambda k, v: ~k.isin(known)) if known else every
-    return F.transform_values(rest, lambda k, v: F.to_json(v))
+    own = F.transform_values(F.transform_keys(rest, lambda k, v: F.concat(F.lit(prefix), k)), lambda k, v: F.to_json(v))
+    inner = [_unmapped_below(base, path + _step(f.name), f, f"{prefix}{f.name}.") for f in fields if f.type in ("object", "nested") and f.fields]
+    none = F.create_map().cast("map<string,string>")
+    return F.when(every.isNotNull(), F.map_concat(own, *(F.coalesce(m, none) for m in inner))) if inner else own
+
+
+def _unmapped_below(base: Column, path: str, f: Field, prefix: str) -> Column:
+    """The same of one object, or of an array of objects: there the values of a name are one JSON array."""
+    each = F.transform(F.try_variant_get(base, path, "array<variant>"), lambda x: _unmapped(x, "$", f.fields, prefix))
+
+    def together(maps: Column) -> Column:
+        names = F.array_distinct(F.flatten(F.transform(maps, lambda m: F.map_keys(m))))
+        values = lambda n: F.filter(F.transform(maps, lambda m: m[n]), lambda v: v.isNotNull())
+        return F.map_from_arrays(names, F.transform(names, lambda n: F.concat(F.lit("["), F.array_join(values(n), ","), F.lit("]"))))
+
+    several = together(F.filter(each, lambda m: m.isNotNull()))
+    return F.when(each.isNotNull(), several).otherwise(_unmapped(base, path, f.fields, prefix))
 
 
 def detect_geo(df: DataFrame, json_col: str, mapping) -> dict[str, str]:
-    """Format of each geo field of the mapping, by its dotted name, from the first document that has
-    the field. What it returns is the ``geo`` argument of :func:`parse_docs`."""
+    """Format of each geo field of the mapping, by its dotted name; all documents that have the field must agree
+    on one. What it returns is the ``geo`` argument of :func:`parse_docs`."""
     found = {}
     for name, kind in _geo_fields(parse_mapping(mapping), ""):
         path = "$" + "".join(_step(p) for p in name.split("."))

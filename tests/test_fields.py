@@ -136,6 +136,39 @@ def test_blank_values_are_not_malformed(spark):
     assert (r.l, r.d, tuple(r.o)) == (None, None, (None, None))
 
 
+def test_unmapped_fields_at_any_depth(spark):
+    mapping = {"properties": {"a": {"properties": {"x": {"type": "long"}, "b": {"properties": {"y": {"type": "long"}}}}}, "n": {"type": "nested", "properties": {"k": {"type": "long"}, "o": {"properties": {"p": {"type": "long"}}}}}}}
+    doc = {"a": {"x": 1, "u": "t", "b": {"y": 2, "v": [1, 2]}}, "n": [{"k": 1, "w": 3}, {"w": {"z": None}, "o": {"p": 1, "q": 7}}, 5], "top": None}
+    df = spark.createDataFrame([(json.dumps(doc),), ('{"a": {"x": 1}}',), ('{"a": 3}',)], "json string")
+    got = [r["_unmapped"] for r in sm.parse_docs(df, "json", mapping, unmapped="keep", on_error="keep").collect()]
+    assert got[0] == {"a.u": '"t"', "a.b.v": "[1,2]", "n.w": '[3,{"z":null}]', "n.o.q": "[7]", "top": "null"}
+    assert got[1:] == [{}, {}]
+
+
+def test_dates_by_token(spark):
+    mapping = {"properties": {"d": {"type": "date"}}}
+    texts = ["1234", '"1234"', '"20240101"', "20240101", '"2024-01-01"', "null", "1.5e3", '"0"', "-5"]
+    df = spark.createDataFrame([(f'{{"d": {t}}}',) for t in texts], "json string")
+    got = sm.parse_docs(df, "json", mapping, on_error="keep").select(F.unix_millis("d").alias("d"), "_malformed").collect()
+    year = int((dt.datetime(1234, 1, 1) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    assert [r.d for r in got] == [1234, year, None, 20240101, 1704067200000, None, 1500, None, -5]
+    assert [r["_malformed"] for r in got] == [False, False, True, False, False, False, False, True, False]
+    numbers = spark.createDataFrame([(1234, 7.0)], "whole bigint, fraction double")
+    assert numbers.select(F.unix_millis(sm.parse_date(F.col("whole"))), F.unix_millis(sm.parse_date(F.col("fraction")))).first() == (1234, 7)
+
+
+def test_repair_reads_only_malformed_documents_again(spark):
+    mapping = {"properties": {"k": {"type": "long"}}}
+    df = spark.createDataFrame([('{"k": 1}',), ('{"k": "',), ('{"k": ',)], "json string")
+    repair = lambda t: F.when(t.endswith('"'), F.substring(t, 1, 6)).otherwise(F.concat(t, F.lit("2}")))
+    twice = sm.parse_docs(df, "json", mapping, on_error=repair, tries=2)
+    assert sorted(r.k for r in twice.collect()) == [1, 2, 2]
+    text = twice._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("parseJson") == 3 and text.count("THEN static_invoke(VariantExpressionEvalUtils.parseJson") == 2
+    with pytest.raises(Exception, match="malformed document"):
+        sm.parse_docs(df, "json", mapping, on_error=repair).collect()
+
+
 def test_unmapped_and_decoders(spark):
     r = parse(spark, {"l": 1, "extra": {"k": 1}}, unmapped="keep")
     assert r["_unmapped"] == {"extra": '{"k":1}'}

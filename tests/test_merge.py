@@ -308,3 +308,46 @@ def test_copies_spread_over_salted_groups(spark):
     counts = {r.id: r["count"] for r in result.rejected.groupBy("id").count().collect()}
     assert counts["hot"] == 2999 and counts["c7"] == 3 and all(n == 2 for k, n in counts.items() if k not in ("hot", "c7"))
     assert {r.n for r in result.rejected.where("id = 'c9'").collect()} == {2009, 4009}
+
+
+@pytest.mark.parametrize("lot", [2, 10_000])
+def test_scripts_of_one_id_in_order(spark, lot, monkeypatch):
+    monkeypatch.setattr(merge, "SCRIPTS", lot)
+    t = spark.createDataFrame([("a", 1, "x", None), ("b", 2, "y", None)], "id string, n bigint, tag string, log string")
+    s = spark.createDataFrame([("a", 10, 3), ("a", 20, 1), ("a", 30, 2), ("c", 5, 1), ("c", 7, 2), ("c", 9, 3), (None, 1, 1)], "id string, k bigint, at int")
+    script = {"n": "coalesce(t.n, 0) * 2 + params.k", "log": "concat_ws(',', t.log, params.k)"}
+    plain = sm.write_script(t, s, "id", script, {"k": "k"}, order="at")
+    assert rows(plain.target.select("id", "n", "tag", "log")) == [("a", ((1 * 2 + 20) * 2 + 30) * 2 + 10, "x", "20,30,10"), ("b", 2, "y", None)]
+    assert rows(plain.rejected.select("id", "k", "_status")) == [("c", 5, 404), ("c", 7, 404), ("c", 9, 404), (None, 1, 400)]
+    scripted = sm.write_script(t, s, "id", script, {"k": "k"}, upsert=True, scripted_upsert=True, order="at")
+    assert ("c", 43, None, "5,7,9") in rows(scripted.target.select("id", "n", "tag", "log"))
+    first = sm.write_script(t, s.withColumnRenamed("k", "n"), "id", {"n": "t.n * 2 + params.k"}, {"k": "n"}, upsert=True, order="at")
+    assert ("c", (5 * 2 + 7) * 2 + 9) in rows(first.target.select("id", "n"))
+    with pytest.raises(ValueError, match="SQL text"):
+        sm.write_script(t, s, "id", {"n": F.col("params.k")}, {"k": "k"}, order="at")
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_versions_of_one_id_in_order(spark, small, monkeypatch):
+    monkeypatch.setattr(merge, "is_small", lambda df: small)
+    t = spark.createDataFrame([("a", 4, 0), ("d", 9, 0)], "id string, v int, at int")
+    s = spark.createDataFrame(
+        [("a", 3, 1), ("a", 5, 2), ("a", 5, 3), ("b", 3, 1), ("b", 5, 2), ("c", 5, 1), ("c", 3, 2), ("d", 8, 1), ("e", None, 1)], "id string, v int, at int"
+    )
+    up = sm.write_versioned(t, s, "id", "v", order="at")
+    assert rows(up.target) == [("a", 5, 2), ("b", 5, 2), ("c", 5, 1), ("d", 9, 0)]
+    assert rows(up.rejected.select("id", "v", "at", "_status")) == [("a", 3, 1, 409), ("a", 5, 3, 409), ("c", 3, 2, 409), ("d", 8, 1, 409), ("e", None, 1, 400)]
+    same = sm.write_versioned(t, s, "id", "v", "external_gte", order="at")
+    assert ("a", 5, 3) in rows(same.target) and rows(same.rejected.where("v IS NOT NULL").select("id", "v", "at")) == [("a", 3, 1), ("c", 3, 2), ("d", 8, 1)]
+
+
+def test_json_documents_in_the_order_of_any_number(spark):
+    empty = spark.createDataFrame([], "_id string, n double, s string")
+    mapping = {"properties": {"n": {"type": "double"}, "s": {"type": "keyword"}}}
+
+    def last(*texts):
+        docs = spark.createDataFrame([(f'{{"id": "1", "n": {n}, "s": "{i}"}}',) for i, n in enumerate(texts)], "json string")
+        return sm.write_json_docs(empty, docs, "json", id="id", order="n", mapping=mapping, on_error="keep").target.first().s
+
+    assert last("9", "1e30") == "1" and last("1e30", "9") == "0" and last("10", "9") == "0"
+    assert last("9007199254740993", "9007199254740992") == "0" and last("-1e300", "-1e299") == "1"

@@ -211,3 +211,35 @@ def test_routing(spark, tmp_path):
     sm.place_by_routing(df, 16).write.partitionBy("_bucket").parquet(f"{tmp_path}/c")
     out = sm.read_collection(spark, "c", root=str(tmp_path), routing=["r3", "r4"], buckets=16)
     assert out.count() == 10 and "PartitionFilters: [_bucket" in plan(out).replace("isnotnull(_bucket", "[_bucket")
+
+
+def test_collections_of_one_schema_are_one_scan(spark, tmp_path):
+    root = f"{tmp_path}/r [1]"
+    for i in range(40):
+        df = spark.range(i, i + 2).withColumn("n", F.lit(i)) if i % 2 else spark.range(i, i + 2).withColumn("s", F.lit(f"v{i}"))
+        sm.save_collection(df.coalesce(1), f"c%{i:02d}+x", root)
+    spark.range(3).withColumn("n", F.lit(7)).coalesce(1).write.parquet(f"{root}/file.parquet")
+    got = sm.read_collections(spark, "*", root=root)
+    assert plan(got).count("FileScan") == 2
+    want = [(f"c%{i:02d}+x", i + k, i if i % 2 else None, None if i % 2 else f"v{i}") for i in range(40) for k in (0, 1)]
+    want += [("file", k, 7, None) for k in range(3)]
+    assert rows(got.select("_index", "id", "n", "s")) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    one = got.where(F.col("_index") == "c%07+x")
+    assert rows(one.select("id")) == [(7,), (8,)]
+    # the filter reaches the list of files: one is read, of 41 in all
+    one.collect()
+    leaves = one._jdf.queryExecution().executedPlan().collectLeaves()
+    assert sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())) == 1
+
+
+def test_persisted_rows_are_released(spark, tmp_path):
+    root = str(tmp_path)
+    sm.save_collection(spark.range(100), "c", root)
+    df = sm.read_collection(spark, "c", root=root)
+    with sm.persisted(df) as kept:
+        assert kept.storageLevel.useDisk and not kept.storageLevel.useMemory
+        assert kept.count() == 100 and kept.where("id > 50").count() == 49
+    assert not df.storageLevel.useDisk
+    with pytest.raises(RuntimeError), sm.persisted(df):
+        raise RuntimeError("in the block")
+    assert not df.storageLevel.useDisk
