@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import errors as e
 from ..operators import merge as m
+from ..operators.write import commit_merge, save_collection
 from ..sources.catalog import scratch
+from ..sources.collections import read_collection
 from ..sources.json_docs import parse_docs
 from .registry import query, table
 
@@ -116,3 +118,19 @@ def unfit_values(spark, sf):
     return m.write_index(target, table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey").rejected.select(
         "p_partkey", "_status", "_error_type"
     )
+
+
+@query("SELECT doc_id, quality, 'version_conflict' AS _error_type FROM labels")
+def abort_on_rejects(spark, sf):
+    """Rejected rows that no handler took end the job, and nothing is saved."""
+    root = scratch(spark, "abort")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    save_collection(labels, "labels", root)
+    result = m.write_create(read_collection(spark, "labels", root=root), table(spark, sf, "documents", include=["doc_id"]), "doc_id")
+    try:
+        e.handle(result.rejected, ["fail"])
+        commit_merge(result, "labels", root)
+    except e.RejectedDocuments as stopped:
+        kind = str(stopped).split(":")[0]
+        return read_collection(spark, "labels", root=root).withColumn("_error_type", F.lit(kind))
+    raise AssertionError("rejected rows were taken")

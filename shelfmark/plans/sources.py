@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import place_by_routing
 from ..operators.paging import limit_per_partition, page_after, slice_scan
-from ..operators.write import external_table
+from ..operators.write import external_table, save_collection, write_dynamic
 from ..sources.catalog import scratch
-from ..sources.collections import read_alias, read_collection, read_collections, register_view
+from ..sources.collections import is_empty, persisted, read_alias, read_collection, read_collections, register_view
 from ..functions.predicates import term
 from ..sources.json_docs import parse_docs, read_json_docs, read_pairs, with_metadata
 from .registry import query, table
@@ -210,3 +210,72 @@ def metadata_pruned(spark, sf):
     """Metadata beside pruned columns, from an id that is not returned."""
     rows = read_collection(spark, "part", root=sf, metadata=True, include=["p_name"], id="p_partkey")
     return rows.select("p_name", F.col("_metadata")["_index"].alias("_index"), F.col("_metadata")["_id"].alias("_id"))
+
+
+@query("SELECT source AS _index, lang, count(*) AS docs, max(doc_id) AS doc_id FROM documents WHERE source <> 'src0' GROUP BY 1, 2")
+def one_scan(spark, sf):
+    """A collection per source, all but one of them read as one scan."""
+    root = scratch(spark, "sources")
+    write_dynamic(table(spark, sf, "documents").select("doc_id", "lang", "source"), "{source}", root)
+    rows = read_collections(spark, "src*,-src0", root=root)
+    return rows.groupBy("_index", "lang").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("doc_id"))
+
+
+@query("""
+    SELECT source, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars, (SELECT max(n_chars) FROM documents) AS longest FROM documents GROUP BY 1
+""")
+def kept_on_disk(spark, sf):
+    """Rows of a collection that several results are made from, kept on disk meanwhile."""
+    path = scratch(spark, "kept")
+    with persisted(table(spark, sf, "documents").select("source", "n_chars")) as rows:
+        longest = rows.agg(F.max("n_chars")).first()[0]
+        sums = rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_chars").alias("chars"))
+        sums.withColumn("longest", F.lit(longest).cast("bigint")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("""
+    SELECT 'documents' AS name, (SELECT count(*) = 0 FROM documents) AS empty
+    UNION ALL SELECT 'drained', true UNION ALL SELECT 'none', true UNION ALL SELECT 'labels', (SELECT count(*) = 0 FROM labels)
+""")
+def empty_collections(spark, sf):
+    """Whether collections have rows: given ones, one that lost its rows, and one that is not there."""
+    root = scratch(spark, "drained")
+    labels = table(spark, sf, "labels")
+    for rows in (labels, labels.where("doc_id IS NULL")):
+        save_collection(rows, "drained", root, mode="overwrite")
+    found = [(n, is_empty(spark, n, r)) for n, r in (("documents", sf), ("drained", root), ("none", root), ("labels", sf))]
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{n}', {str(e).lower()})" for n, e in found) + " AS t(name, empty)")
+
+
+@query("SELECT event_id, user_id FROM events")
+def strict_fields(spark, sf):
+    """Asked for strictly, a field that the collection does not have ends the call; as a warning it is left out."""
+    try:
+        table(spark, sf, "events", include=["event_id", "nope.deep"], validate="strict")
+    except ValueError as refused:
+        if "nope.deep" not in str(refused):
+            raise
+    else:
+        raise AssertionError("an unknown field was taken")
+    return table(spark, sf, "events", include=["event_id", "user_id", "nope"], validate="warn")
+
+
+@query("""
+    SELECT event_id, '{"user_id":' || user_id || ',"kind":"' || event_type || '"}' AS detail, user_id FROM events
+""")
+def disabled_object(spark, sf):
+    """An object the mapping leaves unread stays JSON text."""
+    detail = F.struct("user_id", F.col("event_type").alias("kind"))
+    docs = table(spark, sf, "events").select("event_id", F.to_json(F.struct(detail.alias("detail"), "user_id")).alias("json"))
+    mapping = {"properties": {"detail": {"type": "object", "enabled": False}, "user_id": {"type": "long"}}}
+    return parse_docs(docs, "json", mapping).select("event_id", "detail", "user_id")
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) // 86400000000 AS BIGINT) AS day, upper(event_type) AS kind FROM events")
+def own_decoders(spark, sf):
+    """Document types that are decoded by functions of the caller."""
+    docs = table(spark, sf, "events").select("event_id", F.to_json(F.struct(F.date_format("ts", "dd/MM/yyyy").alias("day"), F.col("event_type").alias("kind"))).alias("json"))
+    mapping = {"properties": {"day": {"type": "date"}, "kind": {"type": "keyword"}}}
+    rows = parse_docs(docs, "json", mapping, decoders={"date": lambda c: F.to_date(c, "dd/MM/yyyy"), "keyword": F.upper})
+    return rows.select("event_id", F.datediff("day", F.lit("1970-01-01")).cast("bigint").alias("day"), "kind")

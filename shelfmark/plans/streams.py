@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.write import save_collection
 from ..sources.catalog import is_directory, scratch
 from ..sources.collections import read_collections
 from ..streaming.sink import (
@@ -166,3 +167,24 @@ def stream_writers(spark, sf):
     for sdf, name in ((whole, "one"), (text, "two")):
         stream_to_collection(sdf, path, f"{path}-{name}").awaitTermination()
     return read_stream_collection(spark, path)
+
+
+@query("SELECT event_id, event_type FROM events")
+def stream_refusals(spark, sf):
+    """What a stream must not be written as is refused before it starts; then it is appended."""
+    sdf = stream_table(spark, sf, "events").select("event_id", "event_type")
+    path = scratch(spark, "refused")
+    refused = [
+        lambda: stream_to_collection(sdf, path, f"{path}-c", "complete"),
+        lambda: stream_to_collection(sdf, path, f"{path}-c", partition_columns=["event_type"]),
+        lambda: stream_to_collection(sdf, path, f"{path}-c", "update"),
+        lambda: stream_to_collection(table(spark, sf, "events"), path, f"{path}-c"),
+        lambda: save_collection(sdf, "events", path),
+    ]
+    for call in refused:
+        try:
+            call()
+        except ValueError:
+            continue
+        raise AssertionError("a stream was taken that must be refused")
+    return read_stream_collection(spark, _drain(sdf, "taken"))

@@ -13,6 +13,7 @@ from ..operators.write import (
     save_collection,
     save_many as save_to_many,
     split_index,
+    with_index,
     write_dynamic,
     write_target,
 )
@@ -485,3 +486,24 @@ def versions_in_order(spark, sf):
     result = m.write_versioned(stored.distinct(), given, "user_id", "v", order="event_id")
     kept = result.target.select("user_id", "event_id", "v", F.lit(False).alias("rejected"))
     return kept.unionByName(result.rejected.select("user_id", "event_id", "v", F.lit(True).alias("rejected")))
+
+
+@query("SELECT doc_id, quality FROM labels")
+def known_collections_only(spark, sf):
+    """Without automatic creation only a collection that is there takes rows."""
+    root = scratch(spark, "known")
+    labels = _labels(spark, sf).select("doc_id", "quality")
+    save_collection(labels.where("doc_id % 2 = 0"), "labels", root)
+    save_collection(labels.where("doc_id % 2 = 1"), "labels", root, auto_create=False)
+    try:
+        save_collection(labels, "label", root, auto_create=False)
+    except FileNotFoundError:
+        return read_collections(spark, "label*", root=root, index_column=None)
+    raise AssertionError("a collection was made")
+
+
+@query("SELECT 'of-' || upper(lang[1:1]) || lang[2:] AS name, count(*) AS n FROM documents GROUP BY 1")
+def own_name_format(spark, sf):
+    """Names by a formatter of the caller."""
+    named = with_index(table(spark, sf, "documents").select("doc_id", "lang"), "of-{lang|title}", lambda c, form: F.initcap(c) if form == "title" else c)
+    return named.groupBy(F.col("_index").alias("name")).agg(F.count(F.lit(1)).alias("n"))
