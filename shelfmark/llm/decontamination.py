@@ -52,24 +52,25 @@ class ItemAutomaton:
             last = 0
             for w in words:
                 last = self._extend(last, w)
+        #: State -> the state that stands for the last ``window`` words of its runs. Links lead to shorter runs.
+        by_length = sorted(range(len(self.step)), key=self.length.__getitem__)
+        self.anchor = list(range(len(self.step)))
+        for state in by_length[1:]:
+            if self.length[self.link[state]] >= window:
+                self.anchor[state] = self.anchor[self.link[state]]
         for item, words in numbered:
             state, n = 0, 0
             for w in words:
                 state, n = self.step[state][w], n + 1
                 if n >= window:
-                    self.windows.setdefault(self.anchor(state), set()).update([item] if item is not None else [])
+                    self.windows.setdefault(self.anchor[state], set()).update([item] if item is not None else [])
             if n < window:
                 self.short.setdefault(state, (n, set()))[1].update([item] if item is not None else [])
         self.least = min([window, *(n for n, _ in self.short.values())])
-        #: Short items that end wherever a state is reached, longest first.
-        self.ending: list[list[int]] = []
-        for state in range(len(self.step)):
-            found, s = [], state
-            while s > 0:
-                if s in self.short:
-                    found.append(s)
-                s = self.link[s]
-            self.ending.append(found)
+        #: State -> the longest run of its ending, itself included, that is a short item; 0 without one.
+        self.ending = [0] * len(self.step)
+        for state in by_length[1:]:
+            self.ending[state] = state if state in self.short else self.ending[self.link[state]]
 
     def _copy(self, state: int, at: int, w: int) -> int:
         """The state of the longest run that ends with ``w`` after ``at``: split off from ``state`` if that also
@@ -101,17 +102,12 @@ class ItemAutomaton:
             self.link[new] = self._copy(self.step[at][w], at, w)
         return new
 
-    def anchor(self, state: int) -> int:
-        """The state that stands for the last ``window`` words of a run."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged spans of hit words (first, last) and ids of the items whose windows occur."""
         known = bytes(map(self.vocabulary.__contains__, words))
         spans: list[tuple[int, int]] = []
         items: set[str] = set()
+        seen: set[int] = set()  # states whose items are in already
         window, step, link, length = self.window, self.step, self.link, self.length
         for run in re.finditer(rb"\x01{%d,}" % self.least, known):
             state = n = 0
@@ -123,13 +119,19 @@ class ItemAutomaton:
                 state, n = step[state][w], n + 1
                 size = 0
                 if n >= window:
-                    at = self.anchor(state)
-                    items |= self.windows[at]
+                    at = self.anchor[state]
+                    if at not in seen:
+                        seen.add(at)
+                        items |= self.windows[at]
                     size = window
-                for at in self.ending[state]:
+                at = self.ending[state]
+                while at:  # at most as many as there are lengths below the window
                     if (m := self.short[at][0]) <= n:
-                        items |= self.short[at][1]
                         size = max(size, m)
+                        if ~at not in seen:
+                            seen.add(~at)
+                            items |= self.short[at][1]
+                    at = self.ending[link[at]]
                 if size:
                     first = i - size + 1
                     while spans and spans[-1][1] >= first - 1:

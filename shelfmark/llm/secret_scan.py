@@ -107,17 +107,13 @@ class GuessCost:
     def __call__(self, value: str) -> float:
         """Base-10 logarithm of the guesses for the cheapest way to cut the value."""
         parts = self._parts(value)
-        best = [0.0]
-        in_brute = [False]  # whether the cheapest way ends in a brute-force part, which one more character extends
+        # per place, the cheapest way that ends in a brute-force part, which one more character extends, and of all others
+        brute, other = [math.inf], [-PART]
         for j in range(1, len(value) + 1):
-            cost = best[j - 1] + _brute(value[j - 1]) + (0 if in_brute[j - 1] or j == 1 else PART)
-            brute = True
-            for i, own in parts.get(j, ()):
-                if (other := best[i] + own + (PART if i else 0)) < cost:
-                    cost, brute = other, False
-            best.append(cost)
-            in_brute.append(brute)
-        return best[-1]
+            ways = [min(brute[i], other[i]) + PART + own for i, own in parts.get(j, ())]
+            brute.append(min(brute[j - 1], other[j - 1] + PART) + _brute(value[j - 1]))
+            other.append(min(ways, default=math.inf))
+        return min(brute[-1], other[-1]) if value else 0.0
 
 
 @functools.lru_cache(2)
@@ -140,11 +136,14 @@ def guess_spans(text: str, cost: GuessCost, min_cost: float, covered: list[tuple
     if ":" not in text and "=" not in text and " is " not in text.lower() and not SCHEME.search(text):
         return []
     out = []
+    covering, reach = sorted(covered)[::-1], 0  # how far spans reach that begin before a value
     for m in CONTEXT.finditer(text):
         start, end = m.span(2)
         if not m[1]:
             end = start + len(m[2].rstrip(".,;:!?)]}>"))
-        if end - start < 6 or any(a <= start and end <= b for a, b, _ in covered):
+        while covering and covering[-1][0] <= start:
+            reach = max(reach, covering.pop()[1])
+        if end - start < 6 or end <= reach:
             continue
         if cost(text[start:end]) >= min_cost:
             out.append((start, end, "guess"))

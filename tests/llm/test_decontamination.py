@@ -1,4 +1,5 @@
 import random
+import time
 
 import edges
 import pytest
@@ -56,3 +57,12 @@ def test_edges(spark):
     assert cleaned.columns == docs.columns and cleaned.count() == docs.count() - 3
     assert dc.mark_contamination(docs.limit(0), items).count() == 0
     assert dc.decontaminate(docs, items.limit(0)).count() == docs.count()
+
+
+def test_items_of_equal_words_take_time_in_proportion():
+    words = [b"a"] * 60_000
+    started = time.process_time()
+    automaton = dc.ItemAutomaton([("long", words), ("short", words[:4]), ("tiny", words[:1])], 10)
+    spans, items = automaton.hits(words)
+    assert spans == [(0, len(words) - 1)] and items == {"long", "short", "tiny"}
+    assert time.process_time() - started < 10

@@ -1,5 +1,9 @@
+import random
+import time
+
 import edges
 import public_tokenizers
+import pytest
 
 from shelfmark.llm import secret_scan as s
 
@@ -40,8 +44,81 @@ def test_cheapest_cut_is_found():
 
         return rest(len(value), False)
 
-    for value in ("hunter2", "x9pass2020!!", "qwertyaaa1", "zz19991231zz", "tttttt"):
-        assert cost(value) <= brute(value) + s.PART + 1e-9
+    rng = random.Random(3)
+    pieces = ["pass", "summer", "and", "is", "2020", "1999", "qwe", "asd", "aaa", "abab", "x", "9", "!", "mera", "cing"]
+    values = ["hunter2", "x9pass2020!!", "qwertyaaa1", "zz19991231zz", "tttttt", "andsisummera", "cing2cirx", "a"]
+    values += ["".join(rng.choices(pieces, k=rng.randint(1, 5))) for _ in range(2000)]
+    for value in values:
+        assert cost(value) == pytest.approx(brute(value), abs=1e-9)
+
+
+def _word(c):
+    return c.isascii() and (c.isalnum() or c in "+/_.=-")
+
+
+def plain_base_spans(text):
+    """The fixed patterns, character by character."""
+    out = []
+    names = ("password", "passwd", "secret", "token", "apikey", "api_key")
+    lower = "".join(c.lower() if c.isascii() else c for c in text)
+    i = 0
+    while i < len(text):
+        ends = []
+        for name in names:
+            if lower.startswith(name, i):
+                for j in {i + len(name), i + len(name) + (text[i + len(name) : i + len(name) + 1] in ('"', "'"))}:
+                    while text[j : j + 1] == " ":
+                        j += 1
+                    if text[j : j + 1] in (":", "="):
+                        ends.append(j + 1)
+        found = None
+        if ends:
+            j = ends[0]
+            while text[j : j + 1] == " ":
+                j += 1
+            if text[j : j + 1] in ('"', "'") and _word(text[j + 1 : j + 2] or " "):
+                j += 1
+            k = j
+            while k < len(text) and _word(text[k]):
+                k += 1
+            found = (j, k) if k > j else None
+        if found:
+            if found[1] - found[0] >= 12:
+                out.append((i, found[1], "assign"))
+            i = found[1]
+        else:
+            i += 1
+    for kind, prefix, good, least in (("access", "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 18), ("hex", "", "0123456789abcdef", 16)):
+        i = 0
+        while i < len(text):
+            k = i + len(prefix)
+            if text.startswith(prefix, i) and text[k : k + 1] and text[k] in good:
+                while k < len(text) and text[k] in good:
+                    k += 1
+                if k - i >= least:
+                    out.append((i, k, kind))
+                i = k
+            else:
+                i += 1
+    return sorted(out)
+
+
+def test_base_spans_against_a_plain_scan():
+    rng = random.Random(8)
+    pieces = ["password", "PassWd", "secret", "Token", "api_key", "APIKEY", "api", "_key", ":", "=", " ", "  ", '"', "'", "AKIA", "AKI", "0123456789abcdef", "ABCDEF0123456789", "a", "F", "é", "ſ", "K", "\n", "-", "x" * 12]
+    for _ in range(20_000):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 14)))
+        assert sorted(s.base_spans(text)) == plain_base_spans(text), text
+
+
+def test_many_values_of_one_text():
+    cost = s.guess_cost(VOCABULARY)
+    line = "db_token=abcdefghijkl0123 and password: changeme\n"
+    text = line * 20_000
+    base = s.base_spans(text)
+    started = time.process_time()
+    assert len(base) == 20_000 and s.guess_spans(text, cost, 10.0, base) == []
+    assert time.process_time() - started < 20
 
 
 def test_guess_spans_and_edges(spark):
