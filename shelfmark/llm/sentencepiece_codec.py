@@ -36,7 +36,7 @@ from .chunk_cache import ChunkIds, gathered
 from .common import chunked, query, table, text_bytes
 
 SPACE = "▁"
-SLICE_BYTES, SLICE_IDS = 1 << 20, 250_000
+SLICE_BYTES, SLICE_IDS = 1 << 19, 250_000
 #: Characters of a text that the search copies at a time.
 PART_CHARS = 4096
 #: Model types as the model files number them.
@@ -105,7 +105,7 @@ class Codec:
             by_score = sorted(self.score, key=lambda p: -self.score[p])
             self.rank = {p: r for r, p in enumerate(by_score) if len(p) > 1}
             self.whole = {p for p in self.rank if self._merges_to_itself(p)}
-        self.chunk_ids = ChunkIds(self._encode_chunks, 2_000_000)
+        self.chunk_ids = ChunkIds(self._encode_chunks, 1_000_000)
 
     def _merges_to_itself(self, piece: str) -> bool:
         """Whether merging its characters by rank makes the piece; remembers what the last merge joined."""
@@ -288,6 +288,12 @@ class Decoder:
             data = data[keep]
         return data, offsets
 
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The decoded texts; bytes that are no UTF-8 become U+FFFD."""
+        data, offsets = self.decode(ids, ends)
+        held = data.tobytes()
+        return pa.array([held[a:b].decode(errors="replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.string())
+
 
 @functools.lru_cache(2)
 def decoder(path: str) -> Decoder:
@@ -301,20 +307,25 @@ def codec(path: str) -> Codec:
         return Codec(file.read())
 
 
-def encode(docs: DataFrame, model: str, *, text: str = "text", into: str = "ids") -> DataFrame:
-    """The documents with an array of ids. ``model`` is the path of a model file that every executor has."""
+def encode(docs: DataFrame, model: str, *, text: str = "text", into: str = "ids", decoded: str | None = None) -> DataFrame:
+    """The documents with an array of ids. ``model`` is the path of a model file that every executor has. With
+    ``decoded`` that column holds what the ids decode to, made by the worker that encoded them."""
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    names = [into, *([decoded] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in chunked(batches, "text", SLICE_BYTES):
             ids, counts = codec(model).encode(batch.column("text"))
-            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))], ["row", "ids"]
-            )
+            ends = np.cumsum(counts)
+            columns = [batch.column("row"), pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int32)))]
+            if decoded:
+                columns.append(decoder(model).texts(ids, ends))
+            yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"][: len(columns)])
 
-    out = rows.mapInArrow(run, rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())))
-    return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != into), F.col("ids").alias(into))
+    schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
+    out = rows.mapInArrow(run, schema.add("decoded", T.StringType()) if decoded else schema)
+    results = [F.col(c).alias(n) for c, n in zip(("ids", "decoded"), names)]
+    return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in names), *results)
 
 
 def decode(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -330,10 +341,7 @@ def decode(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "dec
                 to = max(at + 1, int(np.searchsorted(total, before + SLICE_IDS, "right")))
                 part = batch.slice(at, to - at)
                 flat = part.column("ids").flatten().to_numpy(zero_copy_only=False)
-                data, offsets = decoder(model).decode(flat, total[at:to] - before)
-                held = data.tobytes()
-                texts = [held[a:b].decode(errors="replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), decoder(model).texts(flat, total[at:to] - before)], ["row", "decoded"])
                 at = to
 
     out = rows.mapInArrow(run, rows.select("row").schema.add("decoded", T.StringType()))
@@ -348,7 +356,7 @@ def op1_sentencepiece(spark, sf_dir):
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs, model), model)
+    back = encode(docs, model, decoded="decoded")
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

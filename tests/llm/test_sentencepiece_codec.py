@@ -83,6 +83,8 @@ def test_edges(spark):
     assert set(docs.columns) <= set(back.columns)
     rows = back.collect()
     assert len(rows) == docs.count()
+    at_once = sc.encode(docs, MODEL, decoded="decoded")
+    assert at_once.columns == back.columns and sorted(map(str, at_once.collect())) == sorted(map(str, rows))
     for r in rows:
         assert r.decoded == (r.text or "") and list(r.ids) == library.encode(r.text or "")
     assert sc.decode(sc.encode(docs.limit(0), MODEL), MODEL).count() == 0
