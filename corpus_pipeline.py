@@ -14,7 +14,7 @@ from shelfmark.llm.decontamination import decontaminate
 from shelfmark.llm.line_templates import drop_recurring_lines
 from shelfmark.llm.ngram_jaccard import keep_one_of_each
 from shelfmark.llm.quality_rules import keep_good
-from shelfmark.llm.sentencepiece_codec import decode, encode
+from shelfmark.llm.sentencepiece_codec import encode
 
 #: What counts as a near copy.
 NEAR = {"size": 5, "percent": 80}
@@ -51,7 +51,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether they decode to its text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    back = decode(encode(docs, model), model)
+    back = encode(docs, model, decoded="decoded")
     return back.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
