@@ -8,7 +8,7 @@ import socket
 from collections.abc import Callable, Iterable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.documents import document
 from ..sources.catalog import scratch
@@ -73,10 +73,10 @@ def handle(rejected: DataFrame, handlers: Iterable[str | Handler] = ()) -> DataF
         chain.append(named.get(h, h) if isinstance(h, str) else h)
     done, rest = None, rejected
     for handler in chain:
-        before = rest
-        handled, rest = handler(before)
-        if handler not in (log_and_drop, fail_on_any) and not getattr(handler, "takes_all", False):
-            _check_split(before, handled, rest)
+        if handler in (log_and_drop, fail_on_any) or getattr(handler, "takes_all", False):
+            handled, rest = handler(rest)
+        else:
+            handled, rest = _split_checked(handler, rest)
         done = handled if done is None else done.unionByName(handled)
         if handler in (log_and_drop, fail_on_any):
             return done
@@ -84,12 +84,17 @@ def handle(rejected: DataFrame, handlers: Iterable[str | Handler] = ()) -> DataF
     return handled if done is None else done
 
 
-def _check_split(before: DataFrame, handled: DataFrame, rest: DataFrame) -> None:
-    """A handler must return every row once: a condition and its opposite lose the rows where both are null."""
-    n = before.count()
-    found = handled.count() + rest.count()
-    if found != n:
-        raise ValueError(f"a handler got {n} rejected rows and returned {found}")
+def _split_checked(handler: Handler, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a handler of the caller handled and passed on. It must return every row once: a condition and its opposite
+    lose the rows where both are null. The rejected rows are written, and counted on the way, so that the plan
+    they come from runs once however many handlers there are."""
+    seen = Observation()
+    kept = _stored(rejected.observe(seen, F.count(F.lit(1)).alias("n")))
+    handled, rest = handler(kept)
+    found = handled.select(F.lit(1)).unionAll(rest.select(F.lit(1))).count()
+    if found != seen.get["n"]:
+        raise ValueError(f"a handler got {seen.get['n']} rejected rows and returned {found}")
+    return handled, rest
 
 
 def to_error_events(
