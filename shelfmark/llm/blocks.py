@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked, text_bytes, written
+from .common import chunked, text_bytes, tidy, written
 
 BLOCK_BYTES = 2 << 20
 #: Stands for a null id, after all others.
@@ -57,7 +57,7 @@ def pack_blocks(docs: DataFrame, id: str, text: str) -> DataFrame:
         if ids:
             yield flush()
 
-    return written(rows.mapInArrow(run, "docs binary").withColumn("block", F.monotonically_increasing_id()), "blocks")
+    return written(rows.mapInArrow(tidy(run), "docs binary").withColumn("block", F.monotonically_increasing_id()), "blocks")
 
 
 def unpacked_block(payload: bytes) -> list[np.ndarray]:
@@ -116,8 +116,8 @@ def key_counts(blocks: DataFrame, buckets: int, keys_of: Callable[[bytes], tuple
             yield close(now, rows)
 
     schema = "bucket long, block long, payload binary"
-    asked = blocks.mapInArrow(ask, schema).repartition(min(buckets, 20_000), "bucket").sortWithinPartitions("bucket")
-    answers = written(asked.mapInArrow(answer, schema), "key-counts")
+    asked = blocks.mapInArrow(tidy(ask), schema).repartition(min(buckets, 20_000), "bucket").sortWithinPartitions("bucket")
+    answers = written(asked.mapInArrow(tidy(answer), schema), "key-counts")
     return answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("counts"))
 
 

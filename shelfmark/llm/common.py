@@ -3,6 +3,9 @@ work on the bytes of an Arrow text column."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -123,6 +126,30 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * inverse[starts])
 
 
+def tidy(run: Callable) -> Callable:
+    """``run``, a function of Arrow batches, which gives the memory it worked in back at the end of each task. A Python
+    worker lives on for other tasks, and for a while without any, and would otherwise keep what its largest one took."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
+def release() -> None:
+    """Unused memory back to the system, where the C library can do that."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunked(batches: Iterator[pa.RecordBatch], name: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cuts batches into slices of about ``limit`` bytes of one text column, a row at least, so that the
     arrays made from a slice stay small."""

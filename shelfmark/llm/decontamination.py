@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, query, table, text_bytes, written
+from .common import LOWER, query, table, text_bytes, tidy, written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BLOCK_WORDS = 500_000
@@ -199,7 +199,7 @@ def mark_contamination(
                 )
 
         schema = rows.select("row", "text").schema.add("n_words", T.LongType())
-        rows = rows.mapInArrow(scan, schema.add("spans", SPANS).add("items", T.ArrayType(T.StringType())))
+        rows = rows.mapInArrow(tidy(scan), schema.add("spans", SPANS).add("items", T.ArrayType(T.StringType())))
     return rows
 
 
@@ -231,7 +231,7 @@ def decontaminate(
                 out.append(b"".join([*kept, held[at:]]).decode())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], ["row", "text"])
 
-    cleaned = marked.select("row", "text", "spans").mapInArrow(cut, marked.select("row", "text").schema)
+    cleaned = marked.select("row", "text", "spans").mapInArrow(tidy(cut), marked.select("row", "text").schema)
     return cleaned.select(*(F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
 
 

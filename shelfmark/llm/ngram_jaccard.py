@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NULL_ID, counts_of, key_counts, pack_blocks, unpacked_block
-from .common import lowered, mixed, prefix_sums, query, span_hashes, table, word_spans, written
+from .common import lowered, mixed, prefix_sums, query, span_hashes, table, tidy, word_spans, written
 from .components import components
 
 TARGET_BYTES = 4 << 20
@@ -135,7 +135,7 @@ def candidate_sets(blocks: DataFrame, counts: DataFrame, size: int, percent: int
                     yield pa.RecordBatch.from_arrays([c.slice(at, 500) for c in columns], ["doc_id", "n", "own", "one", "two", "prefix", "tokens"])
 
     joined = blocks.join(counts, "block", "left").select("docs", "counts")
-    return written(joined.mapInArrow(run, "doc_id long, n long, own long, one long, two long, prefix array<long>, tokens binary"), "token-sets")
+    return written(joined.mapInArrow(tidy(run), "doc_id long, n long, own long, one long, two long, prefix array<long>, tokens binary"), "token-sets")
 
 
 def _linked(common: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -166,7 +166,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(bool(_linked(common, len(x), len(y), percent)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def opened(queries: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunk_cache import gathered
-from .common import chunked, mixed, prefix_sums, query, running_sums, span_hashes, table, text_bytes, word_spans
+from .common import chunked, mixed, prefix_sums, query, running_sums, span_hashes, table, text_bytes, tidy, word_spans
 
 SLICE_BYTES = 4 << 20
 #: Periods of up to so many words are scanned for directly.
@@ -209,7 +209,7 @@ def mark_runs(docs: DataFrame, *, text: str = "text", least: int = 6, exponent:
             )
 
     schema = T.StructType([*rows.select("row").schema.fields, *results.fields])
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(tidy(run), schema)
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in results.names), *results.names)
 
 

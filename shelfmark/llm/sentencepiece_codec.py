@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunk_cache import ChunkIds, gathered
-from .common import chunked, query, table, text_bytes
+from .common import chunked, query, table, text_bytes, tidy
 
 SPACE = "▁"
 SLICE_BYTES, SLICE_IDS = 1 << 19, 250_000
@@ -323,7 +323,7 @@ def encode(docs: DataFrame, model: str, *, text: str = "text", into: str = "ids"
             yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"][: len(columns)])
 
     schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
-    out = rows.mapInArrow(run, schema.add("decoded", T.StringType()) if decoded else schema)
+    out = rows.mapInArrow(tidy(run), schema.add("decoded", T.StringType()) if decoded else schema)
     results = [F.col(c).alias(n) for c, n in zip(("ids", "decoded"), names)]
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in names), *results)
 
@@ -344,7 +344,7 @@ def decode(encoded: DataFrame, model: str, *, ids: str = "ids", into: str = "dec
                 yield pa.RecordBatch.from_arrays([part.column("row"), decoder(model).texts(flat, total[at:to] - before)], ["row", "decoded"])
                 at = to
 
-    out = rows.mapInArrow(run, rows.select("row").schema.add("decoded", T.StringType()))
+    out = rows.mapInArrow(tidy(run), rows.select("row").schema.add("decoded", T.StringType()))
     return out.select(*(F.col("row")[c].alias(c) for c in encoded.columns if c != into), F.col("decoded").alias(into))
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunk_cache import ChunkIds, gathered
-from .common import chunked, query, table, text_bytes, written
+from .common import chunked, query, table, text_bytes, tidy, written
 from .token_packing import encode_texts
 
 SLICE_BYTES = 1 << 18
@@ -231,7 +231,7 @@ def align(docs: DataFrame, vocabulary: str, model: str, *, text: str = "text") -
             yield pa.RecordBatch.from_arrays([batch.column("row"), *(_lists(*v) for v in lists)], ["row", *names])
 
     schema = T.StructType([*rows.select("row").schema.fields, *(T.StructField(n, INTS) for n in names)])
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(tidy(run), schema)
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in names), *names)
 
 
@@ -256,7 +256,7 @@ def linked_documents(docs: DataFrame, vocabulary: str, model: str, *, id: str =
     schema = T.StructType(rows.select("id").schema.fields)
     for c in ("n_a", "n_b", "n_groups"):
         schema.add(c, T.LongType())
-    out = rows.mapInArrow(run, schema.add("groups_sha256", T.StringType()).add("links", T.BinaryType()))
+    out = rows.mapInArrow(tidy(run), schema.add("groups_sha256", T.StringType()).add("links", T.BinaryType()))
     return out.withColumnRenamed("id", id)
 
 
@@ -275,7 +275,7 @@ def link_counts(linked: DataFrame) -> DataFrame:
         for k in range(0, len(pairs), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[k : k + 50_000]), pa.array(counts[k : k + 50_000])], ["pair", "links"])
 
-    return linked.select("links").mapInArrow(run, "pair long, links long").groupBy("pair").agg(F.sum("links").alias("links"))
+    return linked.select("links").mapInArrow(tidy(run), "pair long, links long").groupBy("pair").agg(F.sum("links").alias("links"))
 
 
 def link_frequencies(linked: DataFrame, counts: DataFrame) -> DataFrame:
@@ -301,7 +301,7 @@ def link_frequencies(linked: DataFrame, counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, (np.diff(ends) // 8, *sums))], ["row", *names])
 
     schema = T.StructType([*rows.select("row").schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
-    return rows.mapInArrow(run, schema).select("row.*", *names)
+    return rows.mapInArrow(tidy(run), schema).select("row.*", *names)
 
 
 @query()

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..sources.catalog import scratch
 from .chunk_cache import ChunkIds
-from .common import IS_GAP, chunked, query, table, text_bytes
+from .common import IS_GAP, chunked, query, table, text_bytes, tidy
 
 MAGIC = b"SHLFPK01"
 BLOCK_IDS = 4096
@@ -255,7 +255,7 @@ def write_packed(
         if doc_ids:
             yield flush()
 
-    manifest = ordered.mapInArrow(write, "part long, number long, path string, n_docs long, n_ids long")
+    manifest = ordered.mapInArrow(tidy(write), "part long, number long, path string, n_docs long, n_ids long")
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
@@ -285,7 +285,7 @@ def read_packed(manifest: DataFrame) -> DataFrame:
                         ids = pa.array(out[0], mask=out[0] == NULL_ID)
                         yield pa.RecordBatch.from_arrays([ids, *map(pa.array, out[1:])], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.repartition(n).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.repartition(n).mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 @query()
