@@ -7,12 +7,13 @@ import ctypes
 import functools
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.catalog import scratch
+from ..sources.catalog import drop_path, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,10 +49,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str, **options) -> DataFrame:
+#: Paths of the tables written within each open block of ``passing_tables``.
+_passing: list[list[str]] = []
+
+
+@contextmanager
+def passing_tables(spark: SparkSession):
+    """Tables that ``written`` makes within the block are removed at its end, but for those it keeps. What leaves the
+    block must be kept tables: a frame over others could not be computed any more."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            drop_path(spark, path)
+
+
+def written(df: DataFrame, label: str, *, keep: bool = False, **options) -> DataFrame:
     """The rows, written once below ``spark.checkpoint.dir`` and read back: lineage ends here, and a lost
-    executor costs no recomputation."""
+    executor costs no recomputation. Within ``passing_tables`` the table lives until the end of the block, or, to
+    ``keep`` it, of the block around that one."""
     path = scratch(df.sparkSession, label)
+    blocks = _passing[:-1] if keep else _passing
+    if blocks:
+        blocks[-1].append(path)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

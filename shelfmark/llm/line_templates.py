@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table, written
+from .common import passing_tables, query, table, written
 from .doc_features import GAPS, let, words_of
 from .ngram_jaccard import similar_documents
 
@@ -120,20 +120,21 @@ def _copied(over: DataFrame, near_copies: dict) -> DataFrame:
 
 def mark_lines(docs: DataFrame, *, text: str = "text", near_copies: dict | None = None, **options) -> DataFrame:
     """``row`` (all columns of the document), ``n_lines``, ``n_dropped`` and ``kept_text``."""
-    gone = dropped_lines(docs, text=text, **options)
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.md5(text).alias("digest"))
     few = 2 * F.col("n_tokens") <= F.size(words_of(F.col("text")))
-    if near_copies is not None:
-        gone = written(gone, "lines-gone")
-        over = rows.join(gone, "digest").where(~few).select("digest", "text").dropDuplicates(["digest"])
-        gone = gone.join(_copied(over, near_copies), "digest", "left_anti")
-        few = F.lit(True)
+    with passing_tables(docs.sparkSession):
+        gone = dropped_lines(docs, text=text, **options)
+        if near_copies is not None:
+            gone = written(gone, "lines-gone")
+            over = rows.join(gone, "digest").where(~few).select("digest", "text").dropDuplicates(["digest"])
+            gone = gone.join(_copied(over, near_copies), "digest", "left_anti")
+            few = F.lit(True)
+        gone = written(gone, "lines-marks", keep=True)
 
     def kept(lines: Column) -> Column:
         return F.filter(lines, lambda line, i: ~F.array_contains("drop", i.cast("int")))
 
     # marks go to the documents by a map of hash buckets; documents in other buckets stay where they are
-    gone = written(gone, "lines-marks")
     bucket = F.pmod(F.xxhash64("digest"), F.lit(BUCKETS)).alias("bucket")
     held = F.broadcast(gone.select(bucket).distinct().withColumn("hit", F.lit(True)))
     rows = rows.join(held, bucket == F.col("bucket"), "left")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NULL_ID, counts_of, key_counts, pack_blocks, unpacked_block
-from .common import lowered, mixed, prefix_sums, query, span_hashes, table, tidy, word_spans, written
+from .common import lowered, mixed, passing_tables, prefix_sums, query, span_hashes, table, tidy, word_spans, written
 from .components import components
 
 TARGET_BYTES = 4 << 20
@@ -216,16 +216,17 @@ def opened(queries: DataFrame, groups: DataFrame, sets: DataFrame, percent: int)
 def set_classes(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
     """Per document ``doc_id`` (``NULL_ID`` for null), ``n`` (tokens) and ``class``: a number that documents have in common if and
     only if links join them; null without tokens. Sets are named by a hash of their tokens, so ids may repeat."""
-    blocks = pack_blocks(docs, id, text)
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = max(1, -(-total // TARGET_BYTES))
-    counts = key_counts(blocks, buckets, lambda payload: token_keys(payload, size, buckets))
-    rows = candidate_sets(blocks, counts, size, percent, buckets)
-    stats = rows.select("doc_id", "n", "one", "two")
-    able = rows.where(F.col("tokens").isNotNull())
-    held_by = stats.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("by"))
-    able = able.join(held_by, ["one", "two"]).where("doc_id = by").dropDuplicates(["one", "two"])
-    sets = written(able.select(F.col("one").alias("rep"), "n", "own", "prefix", "tokens"), "sets")
+    with passing_tables(docs.sparkSession):
+        blocks = pack_blocks(docs, id, text)
+        total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        buckets = max(1, -(-total // TARGET_BYTES))
+        counts = key_counts(blocks, buckets, lambda payload: token_keys(payload, size, buckets))
+        rows = candidate_sets(blocks, counts, size, percent, buckets)
+        stats = written(rows.select("doc_id", "n", "one", "two"), "set-names", keep=True)
+        able = rows.where(F.col("tokens").isNotNull())
+        held_by = stats.where("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("by"))
+        able = able.join(held_by, ["one", "two"]).where("doc_id = by").dropDuplicates(["one", "two"])
+        sets = written(able.select(F.col("one").alias("rep"), "n", "own", "prefix", "tokens"), "sets", keep=True)
     # ``most`` tokens of a set are held by others: no pair has more in common
     most = (F.col("n") - F.col("own")).alias("most")
     postings = written(sets.select("rep", "n", most, (F.col("own") / F.col("n")).alias("own"), F.explode("prefix").alias("token")), "postings")
@@ -258,7 +259,8 @@ def set_classes(docs: DataFrame, id: str, text: str, size: int, percent: int) ->
 
 def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links) of every document."""
-    found = written(set_classes(docs, id, text, size, percent), "classes")
+    with passing_tables(docs.sparkSession):
+        found = written(set_classes(docs, id, text, size, percent), "classes", keep=True)
     several = found.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
     least = several.where("k > 1").select("class", "least")
     out = found.join(least, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
@@ -270,12 +272,13 @@ def keep_one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     """One document of every component, the one with the smallest id; a null id comes after all others. Of several
     rows of that id in one component one stays, whichever. Texts without words stay, all of them."""
     keyed = written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
-    found = set_classes(keyed.select("key", F.col("row")[text].alias("text")), "key", "text", size, percent).where(F.col("class").isNotNull())
-    ids = keyed.select("key", F.col("row")[id].alias("id"))
-    rows = written(found.join(ids, found.doc_id == ids.key).select("class", "key", "id"), "class-rows")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
-    several = rows.groupBy("class").agg(F.count("*").alias("k"), first["key"].alias("kept")).where("k > 1")
-    gone = rows.join(several.select("class", "kept"), "class").where("key <> kept").select("key")
+    with passing_tables(docs.sparkSession):
+        found = set_classes(keyed.select("key", F.col("row")[text].alias("text")), "key", "text", size, percent).where(F.col("class").isNotNull())
+        ids = keyed.select("key", F.col("row")[id].alias("id"))
+        rows = written(found.join(ids, found.doc_id == ids.key).select("class", "key", "id"), "class-rows")
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+        several = rows.groupBy("class").agg(F.count("*").alias("k"), first["key"].alias("kept")).where("k > 1")
+        gone = written(rows.join(several.select("class", "kept"), "class").where("key <> kept").select("key"), "class-copies", keep=True)
     return keyed.join(gone, "key", "left_anti").select("row.*")
 
 
