@@ -271,7 +271,7 @@ def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
 def keep_one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """One document of every component, the one with the smallest id; a null id comes after all others. Of several
     rows of that id in one component one stays, whichever. Texts without words stay, all of them."""
-    keyed = written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    keyed = written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")), "keyed", compression="zstd")
     with passing_tables(docs.sparkSession):
         found = set_classes(keyed.select("key", F.col("row")[text].alias("text")), "key", "text", size, percent).where(F.col("class").isNotNull())
         ids = keyed.select("key", F.col("row")[id].alias("id"))

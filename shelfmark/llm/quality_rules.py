@@ -92,7 +92,7 @@ def judge_quality(docs: DataFrame, *, text: str = "text", keep_text: bool = True
     ``keep_text=False`` leaves the text out of ``row``."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if keep_text or c != text))
     counted = docs.select(row.alias("row"), counts(F.col(f"`{text}`")).alias("c")).select("row", *(F.col("c")[n].alias(n) for n in COUNTS))
-    voted = written(counted.selectExpr("*", *votes_sql()), "quality-votes")
+    voted = written(counted.selectExpr("*", *votes_sql()), "quality-votes", compression="zstd")
     patterns = written(voted.groupBy(*(f"v_{r}" for r in RULES)).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
     posterior = f"1 / (1 + exp(-({log_odds(fit_votes(patterns, iterations))})))"
     return (
