@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .decode import as_instant
@@ -118,18 +120,16 @@ def extract(df: DataFrame, path: str):
 
 
 def field_or_const(df: DataFrame, text: str):
-    """``<value>`` is a constant (number, true, false, null or text), anything else a field path."""
+    """``<value>`` is a constant, anything else a field path. A constant is a JSON scalar other than a fraction; what
+    is none is text as it stands."""
     if not (text.startswith("<") and text.endswith(">")):
         return extract(df, text)
-    value = text[1:-1]
-    if value == "null":
-        return F.lit(None)
-    if value in ("true", "false"):
-        return F.lit(value == "true")
-    digits = value[1:] if value.startswith("-") else value
-    if digits.isdigit():
-        return F.lit(int(value))
-    return F.lit(value[1:-1] if len(value) > 1 and value[0] == value[-1] == '"' else value)
+    inner = text[1:-1]
+    try:
+        found = json.loads(inner, parse_float=str, parse_constant=str)
+    except ValueError:
+        return F.lit(inner)
+    return F.lit(inner if isinstance(found, (list, dict)) else found)
 
 
 def resolve(df: DataFrame, source):

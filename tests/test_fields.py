@@ -243,6 +243,8 @@ def test_extraction(spark):
     assert [r[0] for r in df.select(sm.extract(df, "s.x")).collect()] == [None, 3]
     constants = ["<4>", "<-5>", "<true>", "<null>", "<text>", '<"7">']
     assert list(df.select(*(sm.field_or_const(df, c) for c in constants)).first()) == [4, -5, True, None, "text", "7"]
+    texts = ["1.5", "NaN", "[1]", "007", "", "two words", "{", "-"]
+    assert list(df.select(*(sm.field_or_const(df, f"<{t}>").alias(f"c{i}") for i, t in enumerate(texts))).first()) == texts
     assert [r[0] for r in df.select(sm.first_found(df, ["zzz", "a", "s.x"])).collect()] == [1, 3]
     with pytest.raises(Exception, match="found"):
         df.select(sm.first_found(df, ["s.x"], on_missing="error")).collect()
